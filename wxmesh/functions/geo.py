@@ -50,60 +50,48 @@ def point_distance_m(p, q, axis_order: str = "xy", decimals: int | None = DISTAN
     return F.round(d, decimals) if decimals is not None else d
 
 
-def _ring_moments(ring: Column, ox: Column, oy: Column) -> Column:
-    """Signed doubled area and first moments of one ring, relative to (ox, oy).
-
-    The ring may be closed (last point = first) or open; the wrap-around edge
-    is taken with a modulo index, a repeated closing point adds nothing.
-    """
-    n = F.size(ring)
-    init = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def step(acc, i):
-        p = F.get(ring, i)
-        q = F.get(ring, F.pmod(i + 1, n))
-        x0, y0 = p["x"] - ox, p["y"] - oy
-        x1, y1 = q["x"] - ox, q["y"] - oy
-        cr = x0 * y1 - x1 * y0
-        return F.struct((acc["a"] + cr).alias("a"),
-                        (acc["mx"] + (x0 + x1) * cr).alias("mx"),
-                        (acc["my"] + (y0 + y1) * cr).alias("my"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), init, step)
+# The centroid is one SQL expression (higher-order functions). Written as SQL
+# text it is built with a single call instead of hundreds of small ones.
+#   o      first vertex (origin for the moments, keeps precision)
+#   per ring: doubled signed area a and first moments mx, my by the shoelace
+#   sum over edges; the wrap-around edge uses a modulo index, so closed and
+#   open rings give the same result
+#   per part: the first ring (k = 0) is the shell and adds, later rings are
+#   holes and subtract, whatever their winding (sign of a is normalised)
+#   centroid = o + (sum mx, sum my) / (3 * sum a); null for zero area
+_CENTROID_SQL = """
+get(transform(array(get(get(get({g}, 0), 0), 0)), o ->
+  get(transform(array(aggregate(
+    flatten(transform({g}, part -> transform(part, (r, k) ->
+      get(transform(array(
+        aggregate(sequence(0, greatest(size(r) - 1, 0)),
+                  named_struct('a', 0D, 'mx', 0D, 'my', 0D),
+                  (acc, i) -> get(transform(array(named_struct(
+                      'x0', get(r, i).x - o.x, 'y0', get(r, i).y - o.y,
+                      'x1', get(r, pmod(i + 1, size(r))).x - o.x,
+                      'y1', get(r, pmod(i + 1, size(r))).y - o.y)),
+                    e -> get(transform(array(e.x0 * e.y1 - e.x1 * e.y0), cr ->
+                      named_struct('a', acc.a + cr,
+                                   'mx', acc.mx + (e.x0 + e.x1) * cr,
+                                   'my', acc.my + (e.y0 + e.y1) * cr)), 0)), 0))),
+        m -> get(transform(array(signum(m.a) * CASE WHEN k = 0 THEN 1D ELSE -1D END), sg ->
+               named_struct('a', sg * m.a, 'mx', sg * m.mx, 'my', sg * m.my)), 0)), 0)))),
+    named_struct('a', 0D, 'mx', 0D, 'my', 0D),
+    (tot, m2) -> named_struct('a', tot.a + m2.a, 'mx', tot.mx + m2.mx, 'my', tot.my + m2.my))),
+  t -> CASE WHEN t.a != 0D THEN named_struct('x', o.x + t.mx / (t.a * 3D),
+                                             'y', o.y + t.my / (t.a * 3D)) END), 0)), 0)
+"""
 
 
-def centroid(geometry) -> Column:
-    """H5: area-weighted centroid of a multipolygon.
+def centroid(geometry: str) -> Column:
+    """H5: area-weighted centroid of a multipolygon column (by name).
 
     Per part, the first ring is the shell (adds) and later rings are holes
-    (subtract), whatever their winding; parts add up. Moments are taken
-    relative to the first vertex to keep precision. Returns a point.
+    (subtract), whatever their winding; parts add up. Returns a point.
     """
-    g = _c(geometry)
-    origin = F.get(F.get(F.get(g, 0), 0), 0)
-    ox, oy = origin["x"], origin["y"]
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def add_ring(acc, ring, idx):
-        m = _ring_moments(ring, ox, oy)
-        sign = F.signum(m["a"]) * F.when(idx == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-        return F.struct((acc["a"] + sign * m["a"]).alias("a"),
-                        (acc["mx"] + sign * m["mx"]).alias("mx"),
-                        (acc["my"] + sign * m["my"]).alias("my"))
-
-    def part_moments(part):
-        indexed = F.transform(part, lambda r, i: F.struct(r.alias("ring"), i.alias("idx")))
-        return F.aggregate(indexed, zero, lambda acc, e: add_ring(acc, e["ring"], e["idx"]))
-
-    total = F.aggregate(
-        F.transform(g, part_moments), zero,
-        lambda acc, m: F.struct((acc["a"] + m["a"]).alias("a"),
-                                (acc["mx"] + m["mx"]).alias("mx"),
-                                (acc["my"] + m["my"]).alias("my")))
-    a3 = total["a"] * 3.0
-    return F.when(total["a"] != 0.0, F.struct(
-        (ox + total["mx"] / a3).alias("x"),
-        (oy + total["my"] / a3).alias("y")))
+    if not isinstance(geometry, str):
+        raise TypeError("centroid() takes a column name")
+    return F.expr(_CENTROID_SQL.format(g=f"`{geometry}`"))
 
 
 def polygon_to_multipolygon(coords) -> Column:

@@ -36,10 +36,20 @@ ROUTE_RADIUS_M = 2 * I.DISCOVERY_RADIUS_M     # bounds all pairwise station dist
 
 
 class Inputs:
-    """Lazily built frames for one scale (plans only; nothing runs here)."""
+    """Lazily built frames for one scale.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    With ``materialise=True`` the frames that a query reads more than once
+    (staged facts, station map, cleaned facts) are checkpointed into the
+    shared ``spark.checkpoint.dir`` on first use: later reads start from the
+    written files, lineage is cut and a lost executor does not force the
+    upstream dedup and joins to run again.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialise: bool = False):
+        self.spark, self.sf_dir, self.materialise = spark, sf_dir, materialise
+
+    def _m(self, df: DataFrame) -> DataFrame:
+        return _materialised(df) if self.materialise else df
 
     @cached_property
     def raw_stations(self): return fx.raw_stations(self.spark, self.sf_dir)
@@ -63,24 +73,26 @@ class Inputs:
     def stg_areas(self): return P.stg_postal_codes(self.areas)
 
     @cached_property
-    def stg_obs(self): return P.stg_facts(self.raw_obs, P.OBSERVATIONS, OBS_ORDER)
+    def stg_obs(self): return self._m(P.stg_facts(self.raw_obs, P.OBSERVATIONS, OBS_ORDER))
 
     @cached_property
-    def stg_fc(self): return P.stg_facts(self.raw_fc, P.FORECASTS, FC_ORDER)
+    def stg_fc(self): return self._m(P.stg_facts(self.raw_fc, P.FORECASTS, FC_ORDER))
 
     @cached_property
     def station_map(self):
-        return P.station_area_map(self.stg_stations, self.stg_areas, self.stg_obs, self.stg_fc)
+        return self._m(P.station_area_map(self.stg_stations, self.stg_areas, self.stg_obs, self.stg_fc))
 
     @cached_property
-    def cleaned_obs_wr(self): return P.cleaned_with_rank(self.stg_obs, self.station_map, P.OBSERVATIONS)
+    def cleaned_obs_wr(self):
+        return self._m(P.cleaned_with_rank(self.stg_obs, self.station_map, P.OBSERVATIONS))
 
     @cached_property
-    def cleaned_fc_wr(self): return P.cleaned_with_rank(self.stg_fc, self.station_map, P.FORECASTS)
+    def cleaned_fc_wr(self):
+        return self._m(P.cleaned_with_rank(self.stg_fc, self.station_map, P.FORECASTS))
 
 
-def _in(spark, sf_dir) -> Inputs:
-    return Inputs(spark, sf_dir)
+def _in(spark, sf_dir, materialise: bool = False) -> Inputs:
+    return Inputs(spark, sf_dir, materialise)
 
 
 def _xy(df: DataFrame, col: str = "geometry", x: str = "geom_x", y: str = "geom_y") -> DataFrame:
@@ -287,8 +299,8 @@ def q_hour_spine(spark, sf_dir):
 
 @register("area_hour_spine", with_ctes("SELECT * FROM fc_spine"))
 def q_area_hour_spine(spark, sf_dir):
-    i = _in(spark, sf_dir)
-    return P.area_hour_spine(i.stg_areas, P.hour_spine(_materialised(i.cleaned_fc_wr), P.FORECASTS))
+    i = _in(spark, sf_dir, materialise=True)
+    return P.area_hour_spine(i.stg_areas, P.hour_spine(i.cleaned_fc_wr, P.FORECASTS))
 
 
 @register("best_station_per_hour", with_ctes("SELECT * FROM obs_best"))
@@ -303,8 +315,8 @@ SELECT postal_code, forecast_hour,
 FROM fc_merged WINDOW w AS (PARTITION BY postal_code ORDER BY forecast_hour)"""))
 def q_lag_values(spark, sf_dir):
     """E6 alone: previous row's (unfilled) temperature on the forecast spine."""
-    i = _in(spark, sf_dir)
-    cleaned = _materialised(i.cleaned_fc_wr)
+    i = _in(spark, sf_dir, materialise=True)
+    cleaned = i.cleaned_fc_wr
     hours = P.hour_spine(cleaned, P.FORECASTS)
     grid = P.area_hour_spine(i.stg_areas, hours)
     prev = previous_in_set(hours, "forecast_hour", "prev_forecast_hour")
@@ -318,14 +330,14 @@ def q_lag_values(spark, sf_dir):
 
 @register("hourly_observations", with_ctes("SELECT * FROM obs_mart"))
 def q_hourly_observations(spark, sf_dir):
-    i = _in(spark, sf_dir)
-    return P.hourly_by_area(_materialised(i.cleaned_obs_wr), i.stg_areas, P.OBSERVATIONS)
+    i = _in(spark, sf_dir, materialise=True)
+    return P.hourly_by_area(i.cleaned_obs_wr, i.stg_areas, P.OBSERVATIONS)
 
 
 @register("hourly_forecasts", with_ctes("SELECT * FROM fc_mart"))
 def q_hourly_forecasts(spark, sf_dir):
-    i = _in(spark, sf_dir)
-    return P.hourly_by_area(_materialised(i.cleaned_fc_wr), i.stg_areas, P.FORECASTS)
+    i = _in(spark, sf_dir, materialise=True)
+    return P.hourly_by_area(i.cleaned_fc_wr, i.stg_areas, P.FORECASTS)
 
 
 # --------------------------------------------------------- loading, I1/A8-A12
@@ -514,9 +526,9 @@ def _rule_sql(model: str, rule: K.Rule) -> str:
     _rule_sql(m, r) for m, rules in K.REFERENCE_SUITE.items() for r in rules)))
 def q_check_report(spark, sf_dir):
     """K6: violation counts of the reference's 31 declared tests."""
-    i = _in(spark, sf_dir)
-    obs_mart = P.hourly_by_area(_materialised(i.cleaned_obs_wr), i.stg_areas, P.OBSERVATIONS)
-    fc_mart = P.hourly_by_area(_materialised(i.cleaned_fc_wr), i.stg_areas, P.FORECASTS)
+    i = _in(spark, sf_dir, materialise=True)
+    obs_mart = _materialised(P.hourly_by_area(i.cleaned_obs_wr, i.stg_areas, P.OBSERVATIONS))
+    fc_mart = _materialised(P.hourly_by_area(i.cleaned_fc_wr, i.stg_areas, P.FORECASTS))
     frames = suite_frames(i, obs_mart, fc_mart)
     return K.report([(m, frames[m], rules) for m, rules in K.REFERENCE_SUITE.items()])
 

@@ -83,25 +83,24 @@ def bind_by_name(df: DataFrame, schema: T.StructType, load_time=None,
     ``load_time`` (one value for the whole batch) when the batch lacks it.
     Columns named in ``keep`` are carried along unchanged after the schema.
     """
-    present = set(df.columns)
-    cols = []
+    src = {f.name: f.dataType for f in df.schema.fields}
+    exprs = []
     for f in schema.fields:
-        if f.name in present:
-            c = F.col(f.name)
-            src = df.schema[f.name].dataType
-            if src == f.dataType:
-                cols.append(c.alias(f.name))
-                continue
-            if isinstance(f.dataType, (T.LongType, T.IntegerType)) and not isinstance(
-                    src, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-                c = c.try_cast("double")
-            if isinstance(f.dataType, T.StringType) and isinstance(src, (T.ArrayType, T.StructType, T.MapType)):
-                cols.append(F.to_json(c).alias(f.name))
-                continue
-            cols.append(c.try_cast(f.dataType).alias(f.name))
+        name, target = f"`{f.name}`", f.dataType.simpleString()
+        if f.name in src:
+            st = src[f.name]
+            if st == f.dataType:
+                exprs.append(f"{name} AS {name}")
+            elif isinstance(f.dataType, T.StringType) and isinstance(st, (T.ArrayType, T.StructType, T.MapType)):
+                exprs.append(f"to_json({name}) AS {name}")
+            elif isinstance(f.dataType, (T.LongType, T.IntegerType)) and not isinstance(
+                    st, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+                exprs.append(f"try_cast(try_cast({name} AS double) AS {target}) AS {name}")
+            else:
+                exprs.append(f"try_cast({name} AS {target}) AS {name}")
         elif f.name == load_time_column and load_time is not None:
-            cols.append(F.lit(load_time).cast(f.dataType).alias(f.name))
+            exprs.append(f"CAST(TIMESTAMP_NTZ '{load_time}' AS {target}) AS {name}")
         else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    cols.extend(F.col(k) for k in keep)
-    return df.select(*cols)
+            exprs.append(f"CAST(NULL AS {target}) AS {name}")
+    exprs.extend(f"`{k}`" for k in keep)
+    return df.selectExpr(*exprs)

@@ -16,8 +16,23 @@ from ..functions.geo import point
 from ..functions.timeutil import hour_of
 
 
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A small single-file input (one Parquet row group) is read by one task,
+    and everything up to the first shuffle would run in that task. Only in
+    that case the rows are dealt round-robin to ``defaultParallelism``
+    partitions; a large input already has at least that many splits and is
+    left untouched (no extra shuffle at scale).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _pad(c: Column, n: int) -> Column:
