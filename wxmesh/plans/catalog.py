@@ -596,3 +596,21 @@ def q_stream_incremental(spark, sf_dir):
     landed.land_weather_json(rows.drop("ingested_at"), landing, mode="append")
     run_available_now(spark, landing, table, ckpt, stations, OBS_NOW)
     return spark.read.parquet(table).select("station_id", "wmo_station_id", "timestamp", "temperature")
+
+
+# ------------------------------------------------------------ whole job, L11
+
+@register("pipeline_run", with_ctes("SELECT * FROM fc_mart"))
+def q_pipeline_run(spark, sf_dir):
+    """L11 + K5 + F2: the gated end-to-end job; returns the written forecast
+    mart read back. The two staging not-null rules that the fixture data
+    breaks on purpose (null WMO ids) are allowed."""
+    from ..session import scratch_path
+    from .pipeline import run_pipeline
+
+    i = _in(spark, sf_dir)
+    res = run_pipeline(spark, i.raw_stations, i.raw_postal, i.raw_obs, i.raw_fc,
+                       scratch_path(spark, "marts"), obs_order=OBS_ORDER, fc_order=FC_ORDER,
+                       allow=[("stg_observations", "not_null(wmo_station_id)"),
+                              ("stg_forecasts", "not_null(wmo_station_id)")])
+    return spark.read.parquet(res.tables["hourly_forecasts"])

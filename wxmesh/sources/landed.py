@@ -24,15 +24,15 @@ STATION_DOC = T.StructType([T.StructField("sources", T.ArrayType(T.StructType([
         ("observation_type", S), ("lat", D), ("lon", D), ("height", D),
         ("first_record", S), ("last_record", S), ("distance", D)]])))])
 
-# Numbers are read as double and bound to the table types later (H13);
-# nested values such as ``fallback_source_ids`` arrive as JSON text.
-WEATHER_FIELDS = [
-    ("timestamp", S), ("source_id", D), ("precipitation", D), ("pressure_msl", D), ("sunshine", D),
-    ("temperature", D), ("wind_direction", D), ("wind_speed", D), ("cloud_cover", D),
-    ("dew_point", D), ("relative_humidity", D), ("visibility", D), ("wind_gust_direction", D),
-    ("wind_gust_speed", D), ("condition", S), ("precipitation_probability", D),
-    ("precipitation_probability_6h", D), ("solar", D), ("icon", S), ("fallback_source_ids", S),
-]
+# Values are read as text and bound to the table types afterwards with
+# try_cast (H13): numbers sent as numbers or as text ("72.0") both load, a
+# bad value becomes null; nested values such as ``fallback_source_ids``
+# arrive as their JSON text.
+WEATHER_FIELDS = [(n, S) for n in (
+    "timestamp", "source_id", "precipitation", "pressure_msl", "sunshine", "temperature",
+    "wind_direction", "wind_speed", "cloud_cover", "dew_point", "relative_humidity", "visibility",
+    "wind_gust_direction", "wind_gust_speed", "condition", "precipitation_probability",
+    "precipitation_probability_6h", "solar", "icon", "fallback_source_ids")]
 WEATHER_DOC = T.StructType([
     T.StructField("station_id", S),
     T.StructField("weather", T.ArrayType(T.StructType([T.StructField(n, t) for n, t in WEATHER_FIELDS]))),
