@@ -112,13 +112,13 @@ def land_areas_geojson(areas: DataFrame, path: str) -> None:
     areas.select(F.to_json(feat).alias("value")).write.mode("overwrite").text(path)
 
 
-def land_weather_json(rows: DataFrame, path: str, ts: str = "timestamp",
-                      group_by_day: bool = True, mode: str = "overwrite") -> None:
-    """Rows -> ``{"station_id", "weather": [...]}`` documents, one per station
-    and day (a bounded group: at most one row per source and hour)."""
+def land_weather_json(rows: DataFrame, path: str, ts: str = "timestamp", mode: str = "overwrite") -> None:
+    """Rows -> ``{"station_id", "weather": [row]}`` documents, one per row.
+
+    The reader accepts lists of any length; emitting one document per row
+    needs no grouping, so no key (however hot) is gathered into one task.
+    """
     cols = [c for c in rows.columns if c not in ("station_id", "wmo_station_id", "ingested_at", ts)]
     item = F.struct(_iso(F.col(ts)).alias("timestamp"), *[F.col(c) for c in cols])
-    keys = ["station_id", F.to_date(ts).alias("_day")] if group_by_day else ["station_id"]
-    docs = rows.groupBy(*keys).agg(F.collect_list(item).alias("weather"))
-    docs.select(F.to_json(F.struct("station_id", "weather")).alias("value")) \
-        .write.mode(mode).text(path)
+    doc = F.struct(F.col("station_id"), F.array(item).alias("weather"))
+    rows.select(F.to_json(doc).alias("value")).write.mode(mode).text(path)
