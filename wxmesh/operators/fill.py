@@ -29,10 +29,10 @@ def spine(keys: DataFrame, times: DataFrame, max_broadcast_rows: int = SPINE_BRO
     smaller side is broadcast after its row count is checked; only if both
     exceed the bound is a plain partitioned product used.
     """
-    n_keys, n_times = keys.count(), times.count()
-    if min(n_keys, n_times) <= max_broadcast_rows:
-        if n_times <= n_keys:
-            return keys.crossJoin(F.broadcast(times))
+    n_times = times.count()
+    if n_times <= max_broadcast_rows:
+        return keys.crossJoin(F.broadcast(times))
+    if keys.count() <= max_broadcast_rows:
         return F.broadcast(keys).crossJoin(times)
     return keys.crossJoin(times)
 

@@ -45,11 +45,14 @@ class Inputs:
     upstream dedup and joins to run again.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialise: bool = False):
-        self.spark, self.sf_dir, self.materialise = spark, sf_dir, materialise
+    MATERIALISE_ALL = ("stg_obs", "stg_fc", "station_map", "cleaned_obs_wr", "cleaned_fc_wr")
 
-    def _m(self, df: DataFrame) -> DataFrame:
-        return _materialised(df) if self.materialise else df
+    def __init__(self, spark: SparkSession, sf_dir: str, materialise=()):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.materialise = self.MATERIALISE_ALL if materialise is True else tuple(materialise or ())
+
+    def _m(self, df: DataFrame, name: str) -> DataFrame:
+        return _materialised(df) if name in self.materialise else df
 
     @cached_property
     def raw_stations(self): return fx.raw_stations(self.spark, self.sf_dir)
@@ -73,25 +76,29 @@ class Inputs:
     def stg_areas(self): return P.stg_postal_codes(self.areas)
 
     @cached_property
-    def stg_obs(self): return self._m(P.stg_facts(self.raw_obs, P.OBSERVATIONS, OBS_ORDER))
+    def stg_obs(self): return self._m(P.stg_facts(self.raw_obs, P.OBSERVATIONS, OBS_ORDER), "stg_obs")
 
     @cached_property
-    def stg_fc(self): return self._m(P.stg_facts(self.raw_fc, P.FORECASTS, FC_ORDER))
+    def stg_fc(self): return self._m(P.stg_facts(self.raw_fc, P.FORECASTS, FC_ORDER), "stg_fc")
 
     @cached_property
     def station_map(self):
-        return self._m(P.station_area_map(self.stg_stations, self.stg_areas, self.stg_obs, self.stg_fc))
+        return self._m(P.station_area_map(self.stg_stations, self.stg_areas, self.stg_obs, self.stg_fc),
+                       "station_map")
 
     @cached_property
     def cleaned_obs_wr(self):
-        return self._m(P.cleaned_with_rank(self.stg_obs, self.station_map, P.OBSERVATIONS))
+        return self._m(P.cleaned_with_rank(self.stg_obs, self.station_map, P.OBSERVATIONS), "cleaned_obs_wr")
 
     @cached_property
     def cleaned_fc_wr(self):
-        return self._m(P.cleaned_with_rank(self.stg_fc, self.station_map, P.FORECASTS))
+        return self._m(P.cleaned_with_rank(self.stg_fc, self.station_map, P.FORECASTS), "cleaned_fc_wr")
+
 
+MART_INPUTS = ("station_map", "cleaned_obs_wr", "cleaned_fc_wr")   # frames a mart reads twice or more
 
-def _in(spark, sf_dir, materialise: bool = False) -> Inputs:
+
+def _in(spark, sf_dir, materialise=()) -> Inputs:
     return Inputs(spark, sf_dir, materialise)
 
 
@@ -299,7 +306,7 @@ def q_hour_spine(spark, sf_dir):
 
 @register("area_hour_spine", with_ctes("SELECT * FROM fc_spine"))
 def q_area_hour_spine(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=True)
+    i = _in(spark, sf_dir, materialise=MART_INPUTS)
     return P.area_hour_spine(i.stg_areas, P.hour_spine(i.cleaned_fc_wr, P.FORECASTS))
 
 
@@ -315,7 +322,7 @@ SELECT postal_code, forecast_hour,
 FROM fc_merged WINDOW w AS (PARTITION BY postal_code ORDER BY forecast_hour)"""))
 def q_lag_values(spark, sf_dir):
     """E6 alone: previous row's (unfilled) temperature on the forecast spine."""
-    i = _in(spark, sf_dir, materialise=True)
+    i = _in(spark, sf_dir, materialise=MART_INPUTS)
     cleaned = i.cleaned_fc_wr
     hours = P.hour_spine(cleaned, P.FORECASTS)
     grid = P.area_hour_spine(i.stg_areas, hours)
@@ -330,13 +337,13 @@ def q_lag_values(spark, sf_dir):
 
 @register("hourly_observations", with_ctes("SELECT * FROM obs_mart"))
 def q_hourly_observations(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=True)
+    i = _in(spark, sf_dir, materialise=MART_INPUTS)
     return P.hourly_by_area(i.cleaned_obs_wr, i.stg_areas, P.OBSERVATIONS)
 
 
 @register("hourly_forecasts", with_ctes("SELECT * FROM fc_mart"))
 def q_hourly_forecasts(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=True)
+    i = _in(spark, sf_dir, materialise=MART_INPUTS)
     return P.hourly_by_area(i.cleaned_fc_wr, i.stg_areas, P.FORECASTS)
 
 
