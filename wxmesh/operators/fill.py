@@ -44,14 +44,24 @@ def fill_from_previous(grid: DataFrame, values: DataFrame, key: str, order: str,
     ``grid`` holds every (key, order) pair, ``values`` at most one row per
     (key, order). ``prev_map`` (order, prev_order) is derived from the grid's
     order values when not given.
+
+    ``values`` is read once: each row is emitted for its own slot and for the
+    next slot of the order set, then one grouped aggregate on (key, order)
+    (partial aggregation before the shuffle) puts the current and the
+    previous value side by side, and one left join attaches them to the grid.
     """
     if prev_map is None:
         prev_map = previous_in_set(grid.select(order).distinct(), order, "_p")
     pm = prev_map.toDF("_next", "_p")
-    current = values.select(key, order, *[F.col(m).alias(f"_cur_{m}") for m in metrics])
-    shifted = (values.join(pm, F.col(order) == F.col("_p"), "inner")
-                     .select(key, F.col("_next").alias(order),
-                             *[F.col(m).alias(f"_prv_{m}") for m in metrics]))
-    joined = (grid.join(current, [key, order], "left")
-                  .join(shifted, [key, order], "left"))
+    slots = F.explode(F.array(
+        F.struct(F.col(order).alias("_t"), F.lit(True).alias("_cur")),
+        F.struct(F.col("_next").alias("_t"), F.lit(False).alias("_cur"))))
+    tagged = (values.join(pm, F.col(order) == F.col("_p"), "left")
+                    .select(key, slots.alias("_s"), *metrics)
+                    .select(key, F.col("_s._t").alias(order), F.col("_s._cur").alias("_cur"), *metrics)
+                    .filter(F.col(order).isNotNull()))
+    pairs = tagged.groupBy(key, order).agg(
+        *[F.max(F.when(F.col("_cur"), F.col(m))).alias(f"_cur_{m}") for m in metrics],
+        *[F.max(F.when(~F.col("_cur"), F.col(m))).alias(f"_prv_{m}") for m in metrics])
+    joined = grid.join(pairs, [key, order], "left")
     return joined.select(key, order, *[F.coalesce(f"_cur_{m}", f"_prv_{m}").alias(m) for m in metrics])
