@@ -22,14 +22,16 @@ from .sequence import previous_in_set
 SPINE_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def spine(keys: DataFrame, times: DataFrame, max_broadcast_rows: int = SPINE_BROADCAST_MAX_ROWS) -> DataFrame:
+def spine(keys: DataFrame, times: DataFrame, max_broadcast_rows: int = SPINE_BROADCAST_MAX_ROWS,
+          n_times: int | None = None) -> DataFrame:
     """C4: every key x every time; both inputs are distinct dimension sets.
 
     The product *is* the requested output (one row per area and hour). The
     smaller side is broadcast after its row count is checked; only if both
     exceed the bound is a plain partitioned product used.
     """
-    n_times = times.count()
+    if n_times is None:
+        n_times = times.count()
     if n_times <= max_broadcast_rows:
         return keys.crossJoin(F.broadcast(times))
     if keys.count() <= max_broadcast_rows:
@@ -38,12 +40,15 @@ def spine(keys: DataFrame, times: DataFrame, max_broadcast_rows: int = SPINE_BRO
 
 
 def fill_from_previous(grid: DataFrame, values: DataFrame, key: str, order: str,
-                       metrics: Sequence[str], prev_map: DataFrame | None = None) -> DataFrame:
+                       metrics: Sequence[str], prev_map: DataFrame | None = None,
+                       broadcast_prev: bool = False) -> DataFrame:
     """Left join ``values`` onto ``grid`` and fill each metric once.
 
     ``grid`` holds every (key, order) pair, ``values`` at most one row per
     (key, order). ``prev_map`` (order, prev_order) is derived from the grid's
-    order values when not given.
+    order values when not given. ``broadcast_prev`` says the caller has
+    checked that the order set (one row per slot) is small enough to
+    broadcast; otherwise adaptive execution decides.
 
     ``values`` is read once: each row is emitted for its own slot and for the
     next slot of the order set, then one grouped aggregate on (key, order)
@@ -53,6 +58,8 @@ def fill_from_previous(grid: DataFrame, values: DataFrame, key: str, order: str,
     if prev_map is None:
         prev_map = previous_in_set(grid.select(order).distinct(), order, "_p")
     pm = prev_map.toDF("_next", "_p")
+    if broadcast_prev:
+        pm = F.broadcast(pm)
     slots = F.explode(F.array(
         F.struct(F.col(order).alias("_t"), F.lit(True).alias("_cur")),
         F.struct(F.col("_next").alias("_t"), F.lit(False).alias("_cur"))))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import centroid, point
 from ..functions.timeutil import hour_of, ts_literal
 from ..operators.dedup import canonical_first, first_per_group, latest_wins
-from ..operators.fill import fill_from_previous, spine
+from ..operators.fill import SPINE_BROADCAST_MAX_ROWS, fill_from_previous, spine
 from ..operators.sequence import previous_in_set
 from ..operators.spatial_join import distance_join
 
@@ -189,9 +189,15 @@ def area_hour_spine(stg_areas: DataFrame, hours: DataFrame) -> DataFrame:
 
 
 def hourly_by_area(cleaned_wr: DataFrame, stg_areas: DataFrame, spec: FactSpec) -> DataFrame:
-    """One row per area and hour with a one-step previous-hour fill."""
+    """One row per area and hour with a one-step previous-hour fill.
+
+    The hour set is counted once; within the bound it is broadcast both to
+    build the spine and as the previous-hour map (one row per hour).
+    """
     hours = hour_spine(cleaned_wr, spec)
-    grid = area_hour_spine(stg_areas, hours)
+    n_hours = hours.count()
+    small = n_hours <= SPINE_BROADCAST_MAX_ROWS
+    grid = spine(stg_areas.select("postal_code").distinct(), hours, n_times=n_hours)
     prev = previous_in_set(hours, spec.hour, "_prev")
     best = best_station_per_hour(cleaned_wr, spec)
-    return fill_from_previous(grid, best, "postal_code", spec.hour, METRICS, prev)
+    return fill_from_previous(grid, best, "postal_code", spec.hour, METRICS, prev, broadcast_prev=small)
