@@ -29,6 +29,17 @@ def latest_wins(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str])
 
 
 def canonical_first(df: DataFrame, partition: str, order: str, value: Column, out: str) -> DataFrame:
-    """Every row gets the value of the first row of its group (no row dropped)."""
-    w = Window.partitionBy(partition).orderBy(F.col(order).asc_nulls_first())
-    return df.withColumn(out, F.first(value).over(w))
+    """Every row gets the value of the first row (by ``order``) of its
+    group; no row is dropped.
+
+    Same answer as ``first(value) over (partition by .. order by ..)`` with
+    the default frame, but as a grouped ``min_by`` (partial aggregation
+    before the shuffle, so a group holding a large share of the rows is
+    reduced map-side) joined back on the key; adaptive execution broadcasts
+    the one-row-per-key side or splits a skewed join partition.
+    """
+    firsts = (df.groupBy(F.col(partition).alias("_key"))
+                .agg(F.min_by(value, F.col(order)).alias(out)))
+    # null-safe: a null key is one group, as in PARTITION BY
+    return (df.join(firsts, F.col(partition).eqNullSafe(F.col("_key")), "left")
+              .drop("_key"))

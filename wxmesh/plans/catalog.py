@@ -402,7 +402,8 @@ SELECT (SELECT coalesce(max(id), 0) FROM fc_existing)
 FROM fc_batch""", {
     "fc_existing": f"SELECT * FROM raw_fc WHERE ingested_at < TIMESTAMP '{FC_ISSUED_SPLIT}'",
     "fc_batch": f"""SELECT * FROM raw_fc WHERE ingested_at >= TIMESTAMP '{FC_ISSUED_SPLIT}'
-                    AND forecast_timestamp > TIMESTAMP '{FC_NOW}'""",
+                    AND forecast_timestamp > TIMESTAMP '{FC_NOW}'
+                    AND forecast_timestamp <= TIMESTAMP '{FC_NOW}' + INTERVAL 10 DAY""",
     "fc_kept": f"""SELECT * FROM fc_existing
                    WHERE NOT (forecast_timestamp > TIMESTAMP '{FC_NOW}'
                               AND station_id IN (SELECT station_id FROM fc_batch))"""}))
@@ -410,7 +411,8 @@ def q_replace_future(spark, sf_dir):
     """A10: the forecast table (older issues) after loading the newer run."""
     fc = _in(spark, sf_dir).raw_fc
     split = F.lit(FC_ISSUED_SPLIT).cast("timestamp_ntz")
-    existing, batch = fc.filter(F.col("ingested_at") < split), fc.filter(F.col("ingested_at") >= split)
+    existing = fc.filter(F.col("ingested_at") < split)
+    batch = I.forecast_window(fc.filter(F.col("ingested_at") >= split), FC_NOW)    # B10 + B11
     out = I.replace_future(existing, batch, FC_NOW, id_order=FC_ID_ORDER)
     return out.select("id", *[c.strip() for c in _FC_OUT.split(",")], "ingested_at")
 

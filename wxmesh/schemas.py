@@ -73,6 +73,11 @@ def create_namespaces(spark: SparkSession) -> list[str]:
     return list(NAMESPACES)
 
 
+def read_raw(spark: SparkSession, base_path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A3: a named raw source read with its declared schema (no inference)."""
+    return spark.read.schema(RAW[name]).format(fmt).load(f"{base_path.rstrip('/')}/{name}")
+
+
 def bind_by_name(df: DataFrame, schema: T.StructType, load_time=None,
                  load_time_column: str | None = None, keep: tuple = ()) -> DataFrame:
     """Bind a batch to a declared schema by column name.
