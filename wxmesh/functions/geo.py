@@ -3,8 +3,8 @@
 Spark 4.1 ships no usable spatial functions (the ST_* family is disabled), so
 points are ``struct<x: double, y: double>`` with x = longitude, y = latitude,
 and areas are multipolygons ``array<array<array<point>>>``. Everything here
-is built from JVM-side functions (higher-order ``aggregate``/``transform``),
-so it stays inside whole-stage code generation; no Python runs per row.
+is built from JVM-side expressions (arithmetic, and higher-order
+``aggregate``/``transform`` for ring walks); no Python runs per row.
 """
 
 from __future__ import annotations

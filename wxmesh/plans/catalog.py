@@ -540,9 +540,9 @@ def _rule_sql(model: str, rule: K.Rule) -> str:
     _rule_sql(m, r) for m, rules in K.REFERENCE_SUITE.items() for r in rules)))
 def q_check_report(spark, sf_dir):
     """K6: violation counts of the reference's 31 declared tests."""
-    i = _in(spark, sf_dir, materialise=MART_INPUTS)
-    obs_mart = _materialised(P.hourly_by_area(i.cleaned_obs_wr, i.stg_areas, P.OBSERVATIONS))
-    fc_mart = _materialised(P.hourly_by_area(i.cleaned_fc_wr, i.stg_areas, P.FORECASTS))
+    i = _in(spark, sf_dir, materialise=MART_INPUTS + ("station_map",))
+    obs_mart = P.hourly_by_area(i.cleaned_obs_wr, i.stg_areas, P.OBSERVATIONS)
+    fc_mart = P.hourly_by_area(i.cleaned_fc_wr, i.stg_areas, P.FORECASTS)
     frames = suite_frames(i, obs_mart, fc_mart)
     return K.report([(m, frames[m], rules) for m, rules in K.REFERENCE_SUITE.items()])
 
