@@ -90,12 +90,14 @@ def forecast_window(batch: DataFrame, now, ts: str = "forecast_timestamp",
 
 def replace_future(existing: DataFrame, batch: DataFrame, now, key: str = "station_id",
                    ts: str = "forecast_timestamp", id_col: str = "id",
-                   id_order: Sequence[str] | None = None, load_time_col: str = "ingested_at") -> DataFrame:
+                   id_order: Sequence[str] | None = None, load_time_col: str = "ingested_at",
+                   ids_after: Column | int | None = None) -> DataFrame:
     """A10 (C8, A11, A12): the forecast table after loading ``batch`` at ``now``.
 
     Rows of ``existing`` for stations present in the batch and later than
     ``now`` are replaced; earlier rows and other stations stay. Batch rows
-    get fresh ids after the table's current maximum and one load time.
+    get fresh ids after the table's current maximum (or after ``ids_after``
+    when ``existing`` is only part of the table) and one load time.
     """
     n = _now(now)
     fresh = batch.filter(F.col(ts) > n)
@@ -103,9 +105,10 @@ def replace_future(existing: DataFrame, batch: DataFrame, now, key: str = "stati
     kept = existing.alias("e").join(
         stations.alias("s"), (F.col(f"e.{key}") == F.col(f"s.{key}")) & (F.col(f"e.{ts}") > n),
         "left_anti")
-    max_id = existing.agg(F.max(id_col)).scalar()     # scalar subquery, one value
+    if ids_after is None:
+        ids_after = F.coalesce(existing.agg(F.max(id_col)).scalar(), F.lit(0))   # scalar subquery
     order = list(id_order or [key, ts])
-    new_rows = (assign_ids(fresh, order, F.coalesce(max_id, F.lit(0)), id_col)
+    new_rows = (assign_ids(fresh, order, ids_after, id_col)
                 .withColumn(load_time_col, n))
     return kept.unionByName(new_rows.select(*existing.columns))
 

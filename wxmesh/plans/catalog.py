@@ -628,3 +628,51 @@ def q_pipeline_run(spark, sf_dir):
                        allow=[("stg_observations", "not_null(wmo_station_id)"),
                               ("stg_forecasts", "not_null(wmo_station_id)")])
     return spark.read.parquet(res.tables["hourly_forecasts"])
+
+
+STREAM_FC_ORDER = ["station_id", "forecast_timestamp", "source_id", "temperature", "precipitation",
+                   "relative_humidity", "wind_speed"]
+_STREAM_FC_OUT = ("station_id, forecast_timestamp, source_id, temperature, precipitation, "
+                  "relative_humidity, wind_speed")
+_STREAM_FC_ORDER_SQL = ", ".join(f"{c} ASC NULLS FIRST" for c in STREAM_FC_ORDER)
+
+
+@register("stream_replace_future", with_ctes(f"""
+SELECT id, {_STREAM_FC_OUT}, ingested_at FROM fcs_run1
+WHERE station_id NOT IN (SELECT station_id FROM fcs_batch2)
+UNION ALL
+SELECT (SELECT coalesce(max(id), 0) FROM fcs_run1) + row_number() OVER (ORDER BY {_STREAM_FC_ORDER_SQL}) AS id,
+       {_STREAM_FC_OUT}, TIMESTAMP '{FC_NOW}' AS ingested_at
+FROM fcs_batch2""", {
+    "fcs_rows": f"""SELECT f.*, f.ingested_at AS issued FROM raw_fc f
+                    JOIN (SELECT id AS sid FROM raw_stations WHERE observation_type = 'forecast') s
+                      ON f.station_id = s.sid
+                    WHERE f.forecast_timestamp > TIMESTAMP '{FC_NOW}'
+                      AND f.forecast_timestamp <= TIMESTAMP '{FC_NOW}' + INTERVAL 10 DAY""",
+    "fcs_run1": f"""SELECT row_number() OVER (ORDER BY {_STREAM_FC_ORDER_SQL}) AS id, {_STREAM_FC_OUT},
+                           TIMESTAMP '{FC_NOW}' AS ingested_at
+                    FROM fcs_rows WHERE issued < TIMESTAMP '{FC_ISSUED_SPLIT}'""",
+    "fcs_batch2": f"SELECT * FROM fcs_rows WHERE issued >= TIMESTAMP '{FC_ISSUED_SPLIT}'"}))
+def q_stream_replace_future(spark, sf_dir):
+    """I2 for forecasts: two forecast runs landed as files (older issues, then
+    newer ones) processed by a file stream whose micro-batches apply
+    replace-future to a station-partitioned table."""
+    from ..session import scratch_path
+    from ..sources import landed
+    from ..streaming.incremental import run_forecasts_available_now
+
+    i = _in(spark, sf_dir)
+    landing, table, ckpt = (scratch_path(spark, n) for n in ("fc-landing", "fc-table", "fc-stream-ckpt"))
+    stations = i.raw_stations.filter(F.col("observation_type") == "forecast")
+    rows = i.raw_fc.select("station_id", "forecast_timestamp", "source_id", "temperature", "precipitation",
+                           "relative_humidity", "wind_speed", "ingested_at")
+    split = F.col("ingested_at") < F.lit(FC_ISSUED_SPLIT).cast("timestamp_ntz")
+    landed.land_weather_json(rows.filter(split).drop("ingested_at"), landing, ts="forecast_timestamp")
+    run_forecasts_available_now(spark, landing, table, ckpt, stations, FC_NOW, STREAM_FC_ORDER)
+    landed.land_weather_json(rows.filter(~split).drop("ingested_at"), landing, ts="forecast_timestamp",
+                             mode="append")
+    run_forecasts_available_now(spark, landing, table, ckpt, stations, FC_NOW, STREAM_FC_ORDER)
+    from .. import schemas
+
+    return spark.read.schema(schemas.FORECASTS).parquet(table).select(
+        "id", *[c.strip() for c in _STREAM_FC_OUT.split(",")], "ingested_at")

@@ -25,8 +25,10 @@ from ..sources.landed import WEATHER_DOC
 
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path`` read with its declared schema (partition values
+    such as zero-padded ids keep their string type), or an empty frame."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except Exception as e:  # missing path on the first run
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return spark.createDataFrame([], schema)
@@ -34,8 +36,13 @@ def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) ->
 
 
 def weather_rows(docs: DataFrame, schema: T.StructType = schemas.OBSERVATIONS) -> DataFrame:
+    """Landed documents -> rows of ``schema`` (forecasts: ``timestamp`` is
+    renamed to ``forecast_timestamp``, B2)."""
     rows = docs.select("station_id", F.explode("weather").alias("w")).select("station_id", "w.*")
-    rows = rows.withColumn("timestamp", parse_iso_utc("timestamp"))
+    ts_col = "timestamp" if "timestamp" in schema.fieldNames() else "forecast_timestamp"
+    rows = rows.withColumn(ts_col, parse_iso_utc("timestamp"))
+    if ts_col != "timestamp":
+        rows = rows.drop("timestamp")
     return schemas.bind_by_name(rows, schema)
 
 
@@ -75,3 +82,50 @@ def run_available_now(spark: SparkSession, landing: str, table_path: str, checkp
         raise TimeoutError("incremental stream did not finish")
     if q.exception() is not None:
         raise q.exception()
+
+
+def forecast_batch_writer(table_path: str, stations: DataFrame, now, id_order):
+    """The ``foreachBatch`` function for forecasts: replace-future (A10).
+
+    The table is partitioned by ``station_id``. A micro-batch rebuilds only
+    the partitions of the stations it carries: their rows up to ``now`` stay,
+    their later rows are replaced by the batch (fresh ids after the table's
+    maximum, one load time). The old rows of those stations are checkpointed
+    first, so the write never overwrites files it is still reading; other
+    stations' partitions are not touched (dynamic partition overwrite).
+    """
+    from ..operators.ingest import forecast_window, replace_future
+    from ..session import checkpoint_dir
+
+    def process(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        batch = forecast_window(attach_station(weather_rows(batch_df, schemas.FORECASTS), stations), now)
+        touched = batch.select("station_id").distinct()
+        existing = read_table_or_empty(spark, table_path, schemas.FORECASTS)
+        existing = existing.select(*schemas.FORECASTS.fieldNames())
+        max_id = existing.agg(F.max("id").alias("m")).collect()[0]["m"] or 0   # one value
+        checkpoint_dir(spark)
+        old = existing.join(touched, "station_id", "left_semi").checkpoint(eager=True)
+        new = replace_future(old, batch, now, id_order=id_order, ids_after=max_id)
+        (new.select(*schemas.FORECASTS.fieldNames())
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("station_id").parquet(table_path))
+
+    return process
+
+
+def run_forecasts_available_now(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
+                                stations: DataFrame, now, id_order, timeout_s: int = 600) -> None:
+    """Forecast runs: every landed file not seen before, then stop."""
+    docs = spark.readStream.schema(WEATHER_DOC).json(landing)
+    q = (docs.writeStream
+             .foreachBatch(forecast_batch_writer(table_path, stations, now, id_order))
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("forecast stream did not finish")
+    if q.exception() is not None:
+        raise q.exception()
