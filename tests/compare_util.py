@@ -6,6 +6,9 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import math
+import os
+
+EXACT = os.environ.get("WXMESH_EXACT_FLOATS") == "1"
 
 import duckdb
 
@@ -26,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6))
+        return repr(v) if EXACT else repr(round(v, 6))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (int, str, bool)):
