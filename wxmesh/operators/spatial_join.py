@@ -14,10 +14,12 @@ not |points| x |areas|:
 * the candidates are filtered by the exact haversine distance, rounded to
   millimetres as everywhere else.
 
-No broadcast is forced: adaptive execution sees the real size of both sides
-after the scan and picks a broadcast hash join only when the smaller side is
-under ``spark.sql.autoBroadcastJoinThreshold``; otherwise it is a shuffled
-join on the cell key, with skewed cells split by the skew-join rule.
+The point side (stations: one row per place) is broadcast only after its
+row count is checked against ``POINT_BROADCAST_MAX_ROWS``; the areas then
+stream through the join in their own partitions, so the pair distances are
+computed by all tasks. Beyond the bound no side is forced: adaptive
+execution picks the join from measured sizes, and a shuffled join on the
+cell key has its skewed cells split by the skew-join rule.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ from ..functions.geo import DISTANCE_DECIMALS, EARTH_RADIUS_M, haversine_m
 # so true distances up to radius + 0.5 mm qualify.
 SEARCH_MARGIN_M = 1.0
 
+# Largest point side broadcast to every task (rows of two doubles and a key).
+POINT_BROADCAST_MAX_ROWS = 1_000_000
+
 
 def grid_shape(radius_m: float) -> tuple[float, int, float]:
     """(cell height in degrees, number of longitude cells, cell width in degrees)."""
@@ -78,13 +83,19 @@ def cover_cells(df: DataFrame, lat: str, lon: str, radius_m: float) -> DataFrame
 def distance_join(points: DataFrame, areas: DataFrame, radius_m: float, *,
                   point_lat: str = "lat", point_lon: str = "lon",
                   area_lat: str = "area_lat", area_lon: str = "area_lon",
-                  dist_col: str = "dist") -> DataFrame:
+                  dist_col: str = "dist", n_points: int | None = None) -> DataFrame:
     """Pairs of ``points`` x ``areas`` with rounded distance <= ``radius_m``.
 
     Column names of the two inputs must be disjoint. The output has all
     columns of both sides (without the helper cell columns) plus ``dist_col``.
+    ``n_points`` is the row count of ``points`` if the caller knows it;
+    otherwise it is counted (pass a materialised or cheap frame).
     """
+    if n_points is None:
+        n_points = points.count()
     p = point_cells(points, point_lat, point_lon, radius_m)
+    if n_points <= POINT_BROADCAST_MAX_ROWS:
+        p = F.broadcast(p)
     a = cover_cells(areas, area_lat, area_lon, radius_m)
     pairs = p.join(a, ["_cx", "_cy"], "inner")
     dist = F.round(haversine_m(F.col(area_lat), F.col(area_lon),

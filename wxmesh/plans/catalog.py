@@ -100,6 +100,8 @@ class Inputs:
 # pushed-down filters, so Spark cannot reuse one scan for both: without the
 # checkpoint the raw fact table would be scanned and deduplicated twice.
 CLEANED_INPUTS = ("stg_obs", "stg_fc")
+OBS_MART_INPUTS = ("stg_obs", "cleaned_obs_wr")      # stg_fc is read once (active stations)
+FC_MART_INPUTS = ("stg_fc", "cleaned_fc_wr")         # stg_obs is read once
 MART_INPUTS = CLEANED_INPUTS + ("cleaned_obs_wr", "cleaned_fc_wr")
 
 
@@ -255,8 +257,11 @@ SELECT wmo_station_id, postal_code, dist,
        CAST(dense_rank() OVER (PARTITION BY postal_code ORDER BY dist) AS INTEGER) AS station_rank
 FROM all_pairs WHERE dist <= 15000.0"""))
 def q_station_rank(spark, sf_dir):
+    from ..session import materialise
+
     i = _in(spark, sf_dir)
-    stations = P.station_points(i.stg_stations, P.active_station_ids(i.stg_obs, i.stg_fc))
+    stations = materialise(P.station_points(i.stg_stations, P.active_station_ids(i.stg_obs, i.stg_fc)),
+                           "station-points")
     pairs = distance_join(stations, P.area_centroids(i.stg_areas), P.STATION_RADIUS_M)
     return P.rank_stations(pairs.select("wmo_station_id", "postal_code", "dist"), max_rank=2**31 - 1)
 
@@ -272,14 +277,14 @@ def q_station_area_map(spark, sf_dir):
 SELECT wmo_station_id, postal_code, "timestamp", observation_hour,
        temperature, precipitation, relative_humidity, wind_speed FROM cleaned_obs"""))
 def q_cleaned_observations(spark, sf_dir):
-    return _in(spark, sf_dir, CLEANED_INPUTS).cleaned_obs_wr.drop("station_rank")
+    return _in(spark, sf_dir, ("stg_obs",)).cleaned_obs_wr.drop("station_rank")
 
 
 @register("cleaned_forecasts", with_ctes("""
 SELECT wmo_station_id, postal_code, forecast_timestamp, forecast_hour,
        temperature, precipitation, relative_humidity, wind_speed FROM cleaned_fc"""))
 def q_cleaned_forecasts(spark, sf_dir):
-    return _in(spark, sf_dir, CLEANED_INPUTS).cleaned_fc_wr.drop("station_rank")
+    return _in(spark, sf_dir, ("stg_fc",)).cleaned_fc_wr.drop("station_rank")
 
 
 @register("range_or_null_filter", with_ctes("""
@@ -296,28 +301,27 @@ def q_range_or_null_filter(spark, sf_dir):
 # -------------------------------------------------------------- marts, L8/L9
 
 def _materialised(df: DataFrame) -> DataFrame:
-    """Cut lineage of a frame read several times (reliable checkpoint in the
-    shared ``spark.checkpoint.dir``; survives executor loss)."""
-    from ..session import checkpoint_dir
+    """Cut lineage of a frame read several times: a Parquet table written once
+    in the shared ``spark.checkpoint.dir`` (survives executor loss)."""
+    from ..session import materialise
 
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialise(df, "stage")
 
 
 @register("hour_spine", with_ctes("SELECT * FROM obs_hours"))
 def q_hour_spine(spark, sf_dir):
-    return P.hour_spine(_in(spark, sf_dir, CLEANED_INPUTS).cleaned_obs_wr, P.OBSERVATIONS)
+    return P.hour_spine(_in(spark, sf_dir, ("stg_obs",)).cleaned_obs_wr, P.OBSERVATIONS)
 
 
 @register("area_hour_spine", with_ctes("SELECT * FROM fc_spine"))
 def q_area_hour_spine(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=MART_INPUTS)
+    i = _in(spark, sf_dir, materialise=FC_MART_INPUTS)
     return P.area_hour_spine(i.stg_areas, P.hour_spine(i.cleaned_fc_wr, P.FORECASTS))
 
 
 @register("best_station_per_hour", with_ctes("SELECT * FROM obs_best"))
 def q_best_station_per_hour(spark, sf_dir):
-    return P.best_station_per_hour(_in(spark, sf_dir, CLEANED_INPUTS).cleaned_obs_wr, P.OBSERVATIONS)
+    return P.best_station_per_hour(_in(spark, sf_dir, ("stg_obs",)).cleaned_obs_wr, P.OBSERVATIONS)
 
 
 @register("lag_values", with_ctes("""
@@ -327,7 +331,7 @@ SELECT postal_code, forecast_hour,
 FROM fc_merged WINDOW w AS (PARTITION BY postal_code ORDER BY forecast_hour)"""))
 def q_lag_values(spark, sf_dir):
     """E6 alone: previous row's (unfilled) temperature on the forecast spine."""
-    i = _in(spark, sf_dir, materialise=MART_INPUTS)
+    i = _in(spark, sf_dir, materialise=FC_MART_INPUTS)
     cleaned = i.cleaned_fc_wr
     hours = P.hour_spine(cleaned, P.FORECASTS)
     grid = P.area_hour_spine(i.stg_areas, hours)
@@ -342,13 +346,13 @@ def q_lag_values(spark, sf_dir):
 
 @register("hourly_observations", with_ctes("SELECT * FROM obs_mart"))
 def q_hourly_observations(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=MART_INPUTS)
+    i = _in(spark, sf_dir, materialise=OBS_MART_INPUTS)
     return P.hourly_by_area(i.cleaned_obs_wr, i.stg_areas, P.OBSERVATIONS)
 
 
 @register("hourly_forecasts", with_ctes("SELECT * FROM fc_mart"))
 def q_hourly_forecasts(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=MART_INPUTS)
+    i = _in(spark, sf_dir, materialise=FC_MART_INPUTS)
     return P.hourly_by_area(i.cleaned_fc_wr, i.stg_areas, P.FORECASTS)
 
 

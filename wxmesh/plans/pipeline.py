@@ -1,7 +1,7 @@
 """The whole job in dependency order, with data-check gates.
 
 staging -> station map -> cleaned facts -> hourly marts. Staging views and
-intermediates are checkpointed into the shared ``spark.checkpoint.dir`` (the
+intermediates are written once as Parquet into the shared ``spark.checkpoint.dir`` (the
 reference keeps them as views; here each is read several times downstream),
 marts are written as Parquet tables sorted by (area, hour). After each layer
 the declared checks of that layer run; a failing rule stops the job before
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks as K
 from ..operators.ingest import write_sorted
-from ..session import checkpoint_dir
+from ..session import materialise
 from . import products as P
 
 
@@ -29,8 +29,7 @@ class PipelineResult:
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialise(df, "pipeline-stage")
 
 
 def run_pipeline(spark: SparkSession, raw_stations: DataFrame, raw_areas: DataFrame,

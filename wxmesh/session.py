@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -64,3 +64,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and
+    read it back: lineage is cut (a lost executor does not recompute the
+    upstream joins and shuffles) and later readers get column pruning and
+    predicate pushdown. The schema is passed on the read, so types (for
+    example zero-padded ids) survive as declared.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
