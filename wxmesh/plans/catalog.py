@@ -38,11 +38,11 @@ ROUTE_RADIUS_M = 2 * I.DISCOVERY_RADIUS_M     # bounds all pairwise station dist
 class Inputs:
     """Lazily built frames for one scale.
 
-    With ``materialise=True`` the frames that a query reads more than once
-    (staged facts, station map, cleaned facts) are checkpointed into the
-    shared ``spark.checkpoint.dir`` on first use: later reads start from the
-    written files, lineage is cut and a lost executor does not force the
-    upstream dedup and joins to run again.
+    Frames named in ``materialise`` (those a query reads more than once:
+    staged facts, station map, cleaned facts) are written once as Parquet
+    into the shared ``spark.checkpoint.dir`` on first use: later reads start
+    from the written table (with column pruning), lineage is cut and a lost
+    executor does not force the upstream dedup and joins to run again.
     """
 
     MATERIALISE_ALL = ("stg_obs", "stg_fc", "station_map", "cleaned_obs_wr", "cleaned_fc_wr")

@@ -206,6 +206,9 @@ def hourly_by_area(cleaned_wr: DataFrame, stg_areas: DataFrame, spec: FactSpec)
     n_hours = hours.count()
     small = n_hours <= SPINE_BROADCAST_MAX_ROWS
     grid = spine(stg_areas.select("postal_code").distinct(), hours, n_times=n_hours)
-    prev = previous_in_set(hours, spec.hour, "_prev")
+    # range partitions for numbering the hour set: sized from its known count
+    parts = max(1, min(int(cleaned_wr.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                       n_hours // 50_000 + 1))
+    prev = previous_in_set(hours, spec.hour, "_prev", num_partitions=parts)
     best = best_station_per_hour(cleaned_wr, spec)
     return fill_from_previous(grid, best, "postal_code", spec.hour, METRICS, prev, broadcast_prev=small)
