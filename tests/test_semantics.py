@@ -226,3 +226,38 @@ def test_geojson_and_station_readers(spark, tmp_dir):
                                 "last_record": "2025-12-01T00:00:00+00:00", "observation_type": "historical"}]}, f)
     st = read_stations_json(spark, sdir).collect()
     assert st[0]["id"] == "123" and st[0]["last_record"] == dt.datetime(2025, 12, 1)
+
+
+def test_append_binds_by_name_and_reads_with_declared_schema(spark, tmp_dir):
+    base = tmp_dir + "/raw"
+    batch = spark.createDataFrame(
+        [("S1", "W1", dt.datetime(2024, 1, 1, 1), "72.0", [1, 2], "extra")],
+        "station_id string, wmo_station_id string, timestamp timestamp_ntz, relative_humidity string, "
+        "fallback_source_ids array<int>, junk string")
+    bound = schemas.bind_by_name(batch, schemas.OBSERVATIONS, load_time="2024-01-02 00:00:00",
+                                 load_time_column="ingested_at")
+    I.append(bound, base + "/weather_observations")
+    I.append(bound, base + "/weather_observations")
+    rows = schemas.read_raw(spark, base, "weather_observations").collect()
+    assert len(rows) == 2
+    r = rows[0]
+    assert r["relative_humidity"] == 72 and r["temperature"] is None
+    assert json.loads(r["fallback_source_ids"]) == [1, 2]
+    assert r["ingested_at"] == dt.datetime(2024, 1, 2)
+    assert "junk" not in r.asDict()
+
+
+def test_sorted_sink_reads_back_in_key_order(spark, tmp_dir):
+    import random
+
+    vals = [(random.Random(i).choice("abc"), i) for i in range(500)]
+    df = spark.createDataFrame(vals, "k string, h int")
+    I.write_sorted(df, tmp_dir + "/sorted", ["k", "h"], num_partitions=4)
+    back = [(r["k"], r["h"]) for r in spark.read.parquet(tmp_dir + "/sorted").collect()]
+    assert sorted(back) == sorted(vals)
+    files = spark.read.parquet(tmp_dir + "/sorted").select(F.input_file_name().alias("f"), "k", "h")
+    per_file = {}
+    for r in files.collect():
+        per_file.setdefault(r["f"], []).append((r["k"], r["h"]))
+    for rows in per_file.values():
+        assert rows == sorted(rows)
