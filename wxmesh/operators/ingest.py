@@ -51,22 +51,35 @@ def active_stations(raw_stations: DataFrame, active_since: str) -> DataFrame:
                                & (F.col("last_record") >= ts_literal(active_since)))
 
 
-def incremental_rows(batch: DataFrame, existing: DataFrame, now, key: str = "station_id",
-                     ts: str = "timestamp", backfill_days: int = BACKFILL_DAYS) -> DataFrame:
+def incremental_rows(batch: DataFrame, existing: DataFrame | None, now, key: str = "station_id",
+                     ts: str = "timestamp", backfill_days: int = BACKFILL_DAYS,
+                     marks: DataFrame | None = None) -> DataFrame:
     """I1 (C9, B9): rows of ``batch`` that are new for their station.
 
     With a mark: ``mark < ts <= now``. Without: ``now - backfill <= ts <= now``
     (the request window's start is inclusive). A row equal to the mark is
-    already loaded and dropped.
+    already loaded and dropped. ``marks`` (key, last_ts) can be given
+    directly (a maintained marks table, one row per station) instead of
+    being aggregated from ``existing``.
     """
     n = _now(now)
-    marks = high_water_marks(existing, key, ts)
-    j = batch.join(marks, key, "left")
+    if marks is None:
+        marks = high_water_marks(existing, key, ts)
+    j = batch.join(marks.select(key, "last_ts"), key, "left")
     new = F.when(F.col("last_ts").isNotNull(), F.col(ts) > F.col("last_ts")) \
            .otherwise(F.col(ts) >= days_before(n, backfill_days))
     return j.filter(new & (F.col(ts) <= n)).drop("last_ts")
 
 
+def advance_marks(marks: DataFrame, new_rows: DataFrame, key: str = "station_id",
+                  ts: str = "timestamp") -> DataFrame:
+    """D2 kept incrementally: previous marks combined with the newest time of
+    the rows just loaded (one row per station, partial aggregation)."""
+    return (marks.select(key, "last_ts")
+                 .unionByName(new_rows.select(key, F.col(ts).alias("last_ts")))
+                 .groupBy(key).agg(F.max("last_ts").alias("last_ts")))
+
+
 # ----------------------------------------------------- forecasts, A10/A11 --
 
 def assign_ids(batch: DataFrame, order: Sequence[str], start_after: Column | int = 0,

@@ -8,8 +8,10 @@ processes whatever has landed and stops, so any scheduler can start it; the
 stream checkpoint remembers which files were consumed.
 
 Replays are idempotent: each micro-batch writes its own ``batch_id``
-partition with dynamic partition overwrite, and marks are computed from the
-*other* batches, so re-running a batch after a failure rewrites the same rows.
+partition with dynamic partition overwrite, and reads the marks left by the
+batch before it, so re-running a batch after a failure rewrites the same rows.
+Marks live in a small table beside the data (one row per station per batch),
+so a micro-batch never scans the whole history to find them.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.timeutil import parse_iso_utc
-from ..operators.ingest import attach_station, incremental_rows
+from ..operators.ingest import advance_marks, attach_station, incremental_rows
+from ..session import materialise
 from ..sources.landed import WEATHER_DOC
 
 
@@ -46,23 +49,39 @@ def weather_rows(docs: DataFrame, schema: T.StructType = schemas.OBSERVATIONS) -
     return schemas.bind_by_name(rows, schema)
 
 
-def incremental_batch_writer(table_path: str, stations: DataFrame, now, load_time=None):
-    """The ``foreachBatch`` function: I1 against the table, one partition per batch."""
-    out_schema = T.StructType(schemas.OBSERVATIONS.fields + [T.StructField("batch_id", T.LongType())])
+MARKS_SCHEMA = T.StructType([T.StructField("station_id", T.StringType()),
+                             T.StructField("last_ts", T.TimestampNTZType()),
+                             T.StructField("batch_id", T.LongType())])
+
+
+def incremental_batch_writer(table_path: str, stations: DataFrame, now, load_time=None,
+                             marks_path: str | None = None):
+    """The ``foreachBatch`` function: I1 against the table, one partition per batch.
+
+    The high-water marks are not re-aggregated from the (ever growing) table:
+    a small marks table next to it holds, per micro-batch, the cumulative
+    newest time per station (one row per station). Micro-batch ``k`` reads
+    only partition ``k - 1`` of it (batch ids of a streaming query are
+    consecutive, and a replay keeps its id), then writes its rows and its
+    cumulative marks into partition ``k`` of each table with dynamic
+    partition overwrite, so a replayed batch rewrites the same files.
+    """
+    marks_path = marks_path or table_path.rstrip("/") + "_marks"
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        existing = read_table_or_empty(spark, table_path, out_schema)
-        if "batch_id" in existing.columns:
-            existing = existing.filter(F.col("batch_id") != batch_id)
+        prev = (read_table_or_empty(spark, marks_path, MARKS_SCHEMA)
+                .filter(F.col("batch_id") == batch_id - 1).drop("batch_id"))
         batch = attach_station(weather_rows(batch_df), stations)
         if load_time is not None:
             batch = batch.withColumn("ingested_at", F.lit(load_time).cast("timestamp_ntz"))
-        new = incremental_rows(batch, existing.drop("batch_id"), now)
-        (schemas.bind_by_name(new, schemas.OBSERVATIONS)
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(table_path))
+        new = materialise(schemas.bind_by_name(incremental_rows(batch, None, now, marks=prev),
+                                               schemas.OBSERVATIONS), "obs-batch")
+        tag = F.lit(batch_id).cast("bigint")
+        for df, path in ((new, table_path), (advance_marks(prev, new), marks_path)):
+            (df.withColumn("batch_id", tag)
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("batch_id").parquet(path))
 
     return process
 
