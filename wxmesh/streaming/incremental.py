@@ -103,32 +103,47 @@ def run_available_now(spark: SparkSession, landing: str, table_path: str, checkp
         raise q.exception()
 
 
-def forecast_batch_writer(table_path: str, stations: DataFrame, now, id_order):
+IDS_SCHEMA = T.StructType([T.StructField("max_id", T.LongType()), T.StructField("batch_id", T.LongType())])
+
+
+def forecast_batch_writer(table_path: str, stations: DataFrame, now, id_order,
+                          ids_path: str | None = None):
     """The ``foreachBatch`` function for forecasts: replace-future (A10).
 
     The table is partitioned by ``station_id``. A micro-batch rebuilds only
     the partitions of the stations it carries: their rows up to ``now`` stay,
-    their later rows are replaced by the batch (fresh ids after the table's
-    maximum, one load time). The old rows of those stations are checkpointed
-    first, so the write never overwrites files it is still reading; other
-    stations' partitions are not touched (dynamic partition overwrite).
+    their later rows are replaced by the batch (fresh ids after the largest id
+    so far, one load time). The semi join on the partition column lets
+    dynamic partition pruning read only those stations' files, which are
+    checkpointed before the write so no file being read is overwritten; other
+    stations' partitions are not touched (dynamic partition overwrite). The
+    largest id so far is carried in a one-row-per-batch side table (batch
+    ``k`` reads partition ``k - 1``), not re-aggregated from the table.
     """
     from ..operators.ingest import forecast_window, replace_future
     from ..session import checkpoint_dir
 
+    ids_path = ids_path or table_path.rstrip("/") + "_ids"
+
     def process(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         batch = forecast_window(attach_station(weather_rows(batch_df, schemas.FORECASTS), stations), now)
         touched = batch.select("station_id").distinct()
         existing = read_table_or_empty(spark, table_path, schemas.FORECASTS)
-        existing = existing.select(*schemas.FORECASTS.fieldNames())
-        max_id = existing.agg(F.max("id").alias("m")).collect()[0]["m"] or 0   # one value
+        prev_max = (read_table_or_empty(spark, ids_path, IDS_SCHEMA)
+                    .filter(F.col("batch_id") == batch_id - 1).select("max_id"))
+        ids_after = F.coalesce(prev_max.agg(F.max("max_id")).scalar(), F.lit(0))   # one value
         checkpoint_dir(spark)
         old = existing.join(touched, "station_id", "left_semi").checkpoint(eager=True)
-        new = replace_future(old, batch, now, id_order=id_order, ids_after=max_id)
-        (new.select(*schemas.FORECASTS.fieldNames())
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        new = replace_future(old, batch, now, id_order=id_order, ids_after=ids_after)
+        new = new.select(*schemas.FORECASTS.fieldNames()).checkpoint(eager=True)
+        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("station_id").parquet(table_path))
+        top = new.agg(F.max("id").alias("m")).select(
+            F.greatest(F.coalesce("m", F.lit(0)), ids_after).cast("bigint").alias("max_id"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"))
+        (top.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(ids_path))
 
     return process
 
