@@ -173,7 +173,7 @@ def test_high_water_marks(spark):
 def test_full_refresh_ignores_empty_batch(spark, tmp_dir):
     df = spark.range(3).withColumnRenamed("id", "x")
     assert I.full_refresh(df, tmp_dir)
-    assert not I.full_refresh(df.limit(0), tmp_dir)
+    assert not I.full_refresh(df.filter(F.lit(False)), tmp_dir)
     assert spark.read.parquet(tmp_dir).count() == 3
 
 
@@ -261,3 +261,21 @@ def test_sorted_sink_reads_back_in_key_order(spark, tmp_dir):
         per_file.setdefault(r["f"], []).append((r["k"], r["h"]))
     for rows in per_file.values():
         assert rows == sorted(rows)
+
+
+def test_command_line_pipeline(spark, tmp_dir):
+    """``python -m wxmesh pipeline`` over raw tables stored with their declared schemas."""
+    from wxmesh.__main__ import main
+    from wxmesh.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    raw = tmp_dir + "/raw"
+    for name, df in (("weather_stations", fx.raw_stations(spark, sf)), ("postal_codes", fx.raw_postal(spark, sf)),
+                     ("weather_observations", fx.raw_obs(spark, sf)), ("weather_forecasts", fx.raw_fc(spark, sf))):
+        schemas.bind_by_name(df, schemas.RAW[name]).write.parquet(f"{raw}/{name}")
+    out = tmp_dir + "/marts"
+    assert main(["pipeline", "--raw", raw, "--out", out,
+                 "--allow", "stg_observations:not_null(wmo_station_id)",
+                 "--allow", "stg_forecasts:not_null(wmo_station_id)"]) == 0
+    assert spark.read.parquet(out + "/hourly_observations").count() == 6720
+    assert spark.read.parquet(out + "/hourly_forecasts").count() == 5040
