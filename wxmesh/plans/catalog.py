@@ -98,7 +98,7 @@ class Inputs:
 # Frames read more than once. The staged facts feed both the station map
 # (active stations) and the cleaning join; the two branches carry different
 # pushed-down filters, so Spark cannot reuse one scan for both: without the
-# checkpoint the raw fact table would be scanned and deduplicated twice.
+# written table the raw fact table would be scanned and deduplicated twice.
 CLEANED_INPUTS = ("stg_obs", "stg_fc")
 OBS_MART_INPUTS = ("stg_obs", "cleaned_obs_wr")      # stg_fc is read once (active stations)
 FC_MART_INPUTS = ("stg_fc", "cleaned_fc_wr")         # stg_obs is read once
