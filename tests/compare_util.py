@@ -8,7 +8,7 @@ import hashlib
 import math
 import os
 
-EXACT = os.environ.get("WXMESH_EXACT_FLOATS") == "1"
+EXACT = os.environ.get("WXMESH_EXACT_FLOATS", "1") == "1"   # compare floats bit for bit by default
 
 import duckdb
 
