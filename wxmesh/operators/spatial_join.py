@@ -88,8 +88,8 @@ def distance_join(points: DataFrame, areas: DataFrame, radius_m: float, *,
 
     Column names of the two inputs must be disjoint. The output has all
     columns of both sides (without the helper cell columns) plus ``dist_col``.
-    ``n_points`` is the row count of ``points`` if the caller knows it;
-    otherwise it is counted (pass a materialised or cheap frame).
+    ``n_points`` is the row count of ``points``, or an upper bound of it, if
+    the caller knows one; otherwise ``points`` is counted.
     """
     if n_points is None:
         n_points = points.count()

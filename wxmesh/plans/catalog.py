@@ -257,12 +257,10 @@ SELECT wmo_station_id, postal_code, dist,
        CAST(dense_rank() OVER (PARTITION BY postal_code ORDER BY dist) AS INTEGER) AS station_rank
 FROM all_pairs WHERE dist <= 15000.0"""))
 def q_station_rank(spark, sf_dir):
-    from ..session import materialise
-
     i = _in(spark, sf_dir)
-    stations = materialise(P.station_points(i.stg_stations, P.active_station_ids(i.stg_obs, i.stg_fc)),
-                           "station-points")
-    pairs = distance_join(stations, P.area_centroids(i.stg_areas), P.STATION_RADIUS_M)
+    stations = P.station_points(i.stg_stations, P.active_station_ids(i.stg_obs, i.stg_fc))
+    pairs = distance_join(stations, P.area_centroids(i.stg_areas), P.STATION_RADIUS_M,
+                          n_points=i.stg_stations.count())     # upper bound of the points
     return P.rank_stations(pairs.select("wmo_station_id", "postal_code", "dist"), max_rank=2**31 - 1)
 
 

@@ -132,15 +132,14 @@ def station_area_map(stg_stations_df: DataFrame, stg_areas: DataFrame, stg_obs:
                      max_rank: int = MAX_STATION_RANK) -> DataFrame:
     """Each area's nearest stations with data, within ``radius_m``.
 
-    The station points (one row per WMO place) are written once, so their
-    size is known before the distance join and the staged facts behind the
-    active-station test are not recomputed for it.
+    The station points (one row per WMO place that has data) are at most as
+    many as the staged station rows; that small table is counted, and the
+    count is the proven bound the distance join checks before broadcasting
+    the points.
     """
-    from ..session import materialise
-
-    stations = materialise(station_points(stg_stations_df, active_station_ids(stg_obs, stg_fc)),
-                           "station-points")
-    pairs = distance_join(stations, area_centroids(stg_areas), radius_m)
+    stations = station_points(stg_stations_df, active_station_ids(stg_obs, stg_fc))
+    pairs = distance_join(stations, area_centroids(stg_areas), radius_m,
+                          n_points=stg_stations_df.count())
     return rank_stations(pairs.select("wmo_station_id", "postal_code", "dist"), max_rank) \
         .select("wmo_station_id", "postal_code", "dist", "station_rank")
 
