@@ -198,10 +198,15 @@ def area_hour_spine(stg_areas: DataFrame, hours: DataFrame) -> DataFrame:
 def hourly_by_area(cleaned_wr: DataFrame, stg_areas: DataFrame, spec: FactSpec) -> DataFrame:
     """One row per area and hour with a one-step previous-hour fill.
 
-    The hour set is counted once; within the bound it is broadcast both to
-    build the spine and as the previous-hour map (one row per hour).
+    The hour set is derived from the cleaned rows once and written (it is
+    tiny, while the cleaned table may be large: the count, the spine and the
+    previous-hour numbering then read the written set instead of scanning
+    the cleaned rows again). Within the bound it is broadcast both to build
+    the spine and as the previous-hour map (one row per hour).
     """
-    hours = hour_spine(cleaned_wr, spec)
+    from ..session import materialise
+
+    hours = materialise(hour_spine(cleaned_wr, spec), "hours")
     n_hours = hours.count()
     small = n_hours <= SPINE_BROADCAST_MAX_ROWS
     grid = spine(stg_areas.select("postal_code").distinct(), hours, n_times=n_hours)
