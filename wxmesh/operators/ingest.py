@@ -198,7 +198,9 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequenc
 def write_sorted(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet",
                  num_partitions: int | None = None) -> None:
     """F2 at the sink: range-partition by the keys and sort inside each file,
-    so the files read back in key order without a single-task global sort."""
+    so the files read back in key order without a single-task global sort.
+    The range bounds are sampled from ``df``: pass a written (materialised)
+    frame so the sampling does not run an expensive plan twice."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
        .write.mode("overwrite").format(fmt).save(path))

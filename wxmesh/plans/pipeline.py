@@ -64,7 +64,10 @@ def run_pipeline(spark: SparkSession, raw_stations: DataFrame, raw_areas: DataFr
     for name, cleaned, spec in (("hourly_observations", cleaned_obs, P.OBSERVATIONS),
                                 ("hourly_forecasts", cleaned_fc, P.FORECASTS)):
         path = f"{base}/{name}"
-        write_sorted(P.hourly_by_area(cleaned, stg_areas, spec), path, ["postal_code", spec.hour])
+        # written once first: the range partitioning of the sorted write samples
+        # its input, which would otherwise run the mart plan a second time
+        mart = _cut(P.hourly_by_area(cleaned, stg_areas, spec))
+        write_sorted(mart, path, ["postal_code", spec.hour])
         result.tables[name] = path
         check({name: spark.read.parquet(path)})
     return result
