@@ -7,7 +7,6 @@ Incoming batches are bound to these *by name*; values are converted with
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, D, L, TS = T.StringType(), T.DoubleType(), T.LongType(), T.TimestampNTZType()
