@@ -108,3 +108,47 @@ def test_stream_replay_is_idempotent(spark, tmp_dir):
     write(docs, 1)          # the same rows in a later batch are not new any more
     assert spark.read.parquet(tmp_dir).count() == 2
     assert set(schemas.OBSERVATIONS.fieldNames()) <= set(spark.read.parquet(tmp_dir).columns)
+
+
+def test_hot_key_holding_a_third_of_the_rows(spark):
+    """One (WMO id, hour) holds a third of all rows: the newest-row dedup and
+    the canonical first value still give the brute-force answer."""
+    import datetime as dt
+
+    from wxmesh import schemas
+    from wxmesh.operators.dedup import canonical_first
+    from wxmesh.plans import products as P
+
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        wmo = "W00001" if hot else f"W{rnd.randint(2, 60):05d}"
+        ts = base if hot else base + dt.timedelta(hours=rnd.randint(0, 47))
+        rows.append((f"S{i % 97:03d}", wmo, ts, float(i), base + dt.timedelta(seconds=rnd.randint(0, 10**6)), i))
+    df = spark.createDataFrame(rows, "station_id string, wmo_station_id string, timestamp timestamp_ntz, "
+                                     "temperature double, ingested_at timestamp_ntz, event_id bigint")
+    got = {(r["wmo_station_id"], r["timestamp"]): r["temperature"]
+           for r in P.stg_facts(schemas.bind_by_name(df, schemas.OBSERVATIONS, keep=("event_id",)),
+                                P.OBSERVATIONS, ("ingested_at", "event_id")).collect()}
+    want = {}
+    for sid, wmo, ts, t, ing, eid in rows:
+        k = (wmo, ts)
+        if k not in want or (ing, eid) > want[k][0]:
+            want[k] = ((ing, eid), t)
+    assert got == {k: v[1] for k, v in want.items()}
+
+    canon = canonical_first(df, "wmo_station_id", "station_id", F.col("temperature"), "first_t").collect()
+    first = {}
+    for sid, wmo, ts, t, ing, eid in rows:
+        if wmo not in first or sid < first[wmo][0]:
+            first[wmo] = (sid, t)
+    firsts_by_wmo = {}
+    for r in canon:
+        firsts_by_wmo.setdefault(r["wmo_station_id"], set()).add(r["first_t"])
+    assert len(canon) == len(rows)
+    for wmo, vals in firsts_by_wmo.items():
+        # the first station id of the group may have several rows; the value is one of theirs
+        cands = {t for sid, w, ts, t, ing, eid in rows if w == wmo and sid == first[wmo][0]}
+        assert len(vals) == 1 and vals <= cands
