@@ -51,3 +51,12 @@ def test_single_partition_only_for_bounded_offsets(spark, name):
     for block in plan.split("Exchange SinglePartition")[1:]:
         # right below a single-partition exchange there is only the per-partition count
         assert "count(1)" in block.split("\n")[1] or "_pid" in block.split("\n")[1]
+
+
+def test_station_side_is_the_broadcast_side(spark):
+    """The size-checked station points are broadcast (build side); the areas
+    stream through the join in their own partitions."""
+    for name in ("station_area_map", "distance_join_grid"):
+        plan = plan_of(spark, name)
+        joins = re.findall(r"BroadcastHashJoin \[_cx#\d+L, _cy#\d+L\], \[_cx#\d+L, _cy#\d+L\], Inner, (Build\w+)", plan)
+        assert joins == ["BuildLeft"], (name, joins)
