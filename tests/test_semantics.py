@@ -279,3 +279,15 @@ def test_command_line_pipeline(spark, tmp_dir):
                  "--allow", "stg_forecasts:not_null(wmo_station_id)"]) == 0
     assert spark.read.parquet(out + "/hourly_observations").count() == 6720
     assert spark.read.parquet(out + "/hourly_forecasts").count() == 5040
+
+
+def test_route_keys_direct_nearest_and_unrouted(spark):
+    """WMO id if present, else the nearest place with one, else null."""
+    sources = stations_frame(spark, [("A", "W1", 52.52, 13.40), ("B", None, 52.53, 13.40),
+                                     ("C", None, 10.0, 10.0)])
+    cands = stations_frame(spark, [("A", "W1", 52.52, 13.40), ("D", "W2", 52.60, 13.40)])
+    got = {r["station_id"]: (r["route_key"], r["route_dist"])
+           for r in I.route_keys(sources, cands, 100000.0).collect()}
+    assert got["A"] == ("W1", 0.0)
+    assert got["B"][0] == "W1" and 1000 < got["B"][1] < 1200
+    assert got["C"] == (None, None)
