@@ -291,3 +291,17 @@ def test_route_keys_direct_nearest_and_unrouted(spark):
     assert got["A"] == ("W1", 0.0)
     assert got["B"][0] == "W1" and 1000 < got["B"][1] < 1200
     assert got["C"] == (None, None)
+
+
+def test_forecast_window_and_discovery_radius(spark):
+    now = dt.datetime(2024, 2, 5, 12)
+    fc = spark.createDataFrame([(now,), (now + dt.timedelta(hours=1),), (now + dt.timedelta(days=10),),
+                                (now + dt.timedelta(days=10, seconds=1),)], "forecast_timestamp timestamp_ntz")
+    kept = sorted(r[0] for r in I.forecast_window(fc, now).collect())
+    assert kept == [now + dt.timedelta(hours=1), now + dt.timedelta(days=10)]
+
+    # 50 km around (52.52, 13.40): 0.44 deg north is about 48.9 km, 0.46 deg about 51.2 km
+    st = stations_frame(spark, [("in", "W1", 52.96, 13.40), ("out", "W2", 52.98, 13.40),
+                                ("far_east", "W3", 52.52, 14.20)])
+    got = {r["id"]: r["distance"] for r in I.stations_in_radius(st).collect()}
+    assert set(got) == {"in"} and 48000 < got["in"] < 50000
