@@ -305,3 +305,22 @@ def test_forecast_window_and_discovery_radius(spark):
                                 ("far_east", "W3", 52.52, 14.20)])
     got = {r["id"]: r["distance"] for r in I.stations_in_radius(st).collect()}
     assert set(got) == {"in"} and 48000 < got["in"] < 50000
+
+
+def test_gate_stops_the_pipeline_before_dependants(spark, tmp_dir):
+    """K5: the sf0.01 fixture data breaks a staging not-null rule on purpose
+    (343 null WMO ids; at sf0.001 there are none); without allowing it, the
+    run stops and no mart is written."""
+    import os as _os
+
+    from wxmesh.operators.checks import CheckFailed
+    from wxmesh.plans.pipeline import run_pipeline
+    from wxmesh.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.01"
+    out = tmp_dir + "/marts"
+    with pytest.raises(CheckFailed, match="stg_observations: not_null\\(wmo_station_id\\)"):
+        run_pipeline(spark, fx.raw_stations(spark, sf), fx.raw_postal(spark, sf), fx.raw_obs(spark, sf),
+                     fx.raw_fc(spark, sf), out, obs_order=("ingested_at", "event_id"),
+                     fc_order=("ingested_at", "id", "source_id", "tie"))
+    assert not _os.path.exists(out)
