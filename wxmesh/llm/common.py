@@ -28,8 +28,11 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 
 def as_texts(column: pa.Array) -> list[str]:
-    """A text column as str; null is empty."""
-    return [t if t is not None else "" for t in column.to_pylist()]
+    """A text column as str; null is empty, bytes that are not UTF-8 are replaced."""
+    try:
+        return [t if t is not None else "" for t in column.to_pylist()]
+    except UnicodeDecodeError:
+        return [b.decode("utf-8", "replace") for b in as_bytes(column)]
 
 
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:

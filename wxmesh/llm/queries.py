@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wxmesh.llm import language_id, quality_pu, quality_rules
+from wxmesh.llm import language_id, packing, quality_pu, quality_rules
 from wxmesh.llm.common import table
 
 
+def tokenizer_paths() -> tuple[str, str]:
+    """The vocabulary that the packing query uses, as JSON and as ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -22,8 +29,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents"), labels)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_paths())
+
+
 QUERIES = {
     "op5_language_id": (op5_language_id, None),
     "op8_quality_classifier": (op8_quality_classifier, None),
     "op9_quality_rules": (op9_quality_rules, None),
+    "op10_packing": (op10_packing, None),
 }
