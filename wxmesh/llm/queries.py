@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wxmesh.llm import language_id, packing, quality_pu, quality_rules
+from wxmesh.llm import language_id, packing, quality_pu, quality_rules, simhash
 from wxmesh.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "quality as label")
     return quality_pu.classify(table(spark, sf_dir, "documents"), labels)
@@ -35,6 +39,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_language_id": (op5_language_id, None),
+    "op6_simhash": (op6_simhash, None),
     "op8_quality_classifier": (op8_quality_classifier, None),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_packing": (op10_packing, None),
