@@ -100,7 +100,7 @@ class Hierarchy:
         return lang, np.clip(score, 0, 1)
 
 
-def fit(docs: DataFrame, cap: int = 1500) -> Hierarchy | None:
+def fit(docs: DataFrame, cap: int = 1000) -> Hierarchy | None:
     """Learn from the rows of ``docs(doc_id, text, lang)`` that have a language and a letter."""
     rows = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text")
     ids = bounded_sample(rows.select("doc_id", "lang").filter("doc_id is not null").distinct(), "lang", cap, F.col("doc_id"))
@@ -142,7 +142,7 @@ def predict(docs: DataFrame, model: Hierarchy | None, keep: list[str]) -> DataFr
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(score, f"{kinds}, lang_pred string, score double")
 
 
-def identify(docs: DataFrame, folds: int = 3, held: int = 1, cap: int = 1500) -> DataFrame:
+def identify(docs: DataFrame, folds: int = 3, held: int = 1, cap: int = 1000) -> DataFrame:
     """Per row ``doc_id, held_out, lang_pred, score``; learned from the rows outside fold ``held``."""
     docs = docs.select("doc_id", "text", "lang").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
     return predict(docs, fit(docs.filter(~F.col("held_out")), cap), ["doc_id", "held_out"])
