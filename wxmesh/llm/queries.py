@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wxmesh.llm import html_text, language_id, packing, quality_pu, quality_rules, simhash
+from wxmesh.llm import decontaminate, html_text, language_id, packing, quality_pu, quality_rules, simhash
 from wxmesh.llm.common import table
 
 
@@ -15,6 +15,10 @@ def tokenizer_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -42,6 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": (op1_decontamination, None),
     "op4_html_extraction": (op4_html_extraction, None),
     "op5_language_id": (op5_language_id, None),
     "op6_simhash": (op6_simhash, None),
