@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from wxmesh.llm.common import as_texts, column_of, crc_fold, record, slices
 from wxmesh.llm.features import hashed_grams
-from wxmesh.llm.linear import bounded_sample, fit_svm, minimise, sigmoid
+from wxmesh.llm.linear import bounded_classes, fit_svm, minimise, sigmoid
 
 #: Families of common language codes.
 FAMILY = {
@@ -103,7 +103,7 @@ class Hierarchy:
 def fit(docs: DataFrame, cap: int = 1000) -> Hierarchy | None:
     """Learn from the rows of ``docs(doc_id, text, lang)`` that have a language and a letter."""
     rows = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text")
-    ids = bounded_sample(rows.select("doc_id", "lang").filter("doc_id is not null").distinct(), "lang", cap, F.col("doc_id"))
+    ids = bounded_classes(rows.select("doc_id", "lang").filter("doc_id is not null").distinct(), "lang", cap, F.col("doc_id"))
     rows = rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
 
     def vectors(batches):

@@ -7,17 +7,31 @@ What is broadcast to the scoring tasks is a weight matrix of a fixed size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bounded_sample(labelled: DataFrame, label: str, cap: int, key: Column) -> DataFrame:
-    """At most ``cap`` rows of each label, those with the smallest hash of ``key``.
+def bounded_rows(rows: DataFrame, cap: int, key: Column) -> DataFrame:
+    """The ``cap`` rows with the smallest hash of ``key``: a top-k, of which each task sends at most ``cap`` rows."""
+    return rows.orderBy(F.xxhash64(key), key).limit(cap)
+
+
+def bounded_sample(labelled: DataFrame, label: str, cap: int, key: Column, values=(0, 1)) -> DataFrame:
+    """``bounded_rows`` of each label among ``values``."""
+    return reduce(DataFrame.unionByName, [bounded_rows(labelled.filter(F.col(label) == v), cap, key) for v in values])
+
+
+def bounded_classes(labelled: DataFrame, label: str, cap: int, key: Column) -> DataFrame:
+    """At most ``cap`` (up to 1000) rows of each label, where the labels are not known beforehand.
 
-    The rank filter becomes a partial limit before the shuffle, so a label that
-    holds most rows sends at most ``cap`` rows from each task.
+    Up to 1000 the rank filter is also a partial limit before the shuffle, so a
+    label that holds most rows sends at most ``cap`` rows from each task.
     """
+    if cap > 1000:
+        raise ValueError("cap is over 1000")
     order = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
     return (labelled.withColumn("_rank", F.row_number().over(order))
             .filter(F.col("_rank") <= cap).drop("_rank"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from wxmesh.llm.common import as_bytes, column_of, crc_fold, record, slices
 from wxmesh.llm.features import STYLE, hashed_grams, style
-from wxmesh.llm.linear import bounded_sample, minimise, sigmoid
+from wxmesh.llm.linear import bounded_rows, minimise, sigmoid
 
 BITS, BINS = 9, 8
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
@@ -81,13 +81,13 @@ def fit(docs: DataFrame, labels: DataFrame, cap: int = 2000) -> Model | None:
     total = known.agg(F.count("*"), F.sum((F.col("label") == 1).cast("long"))).first()
     if not total[1]:
         return None
-    positive = bounded_sample(known.filter("label = 1"), "label", cap, F.col("doc_id")).select("doc_id")
+    positive = bounded_rows(known.filter("label = 1").select("doc_id"), cap, F.col("doc_id"))
     others = docs.select("doc_id").filter("doc_id is not null").distinct().join(known, "doc_id", "left_anti")
-    others = bounded_sample(others.withColumn("label", F.lit(0)), "label", 2 * cap, F.col("doc_id")).select("doc_id")
+    others = bounded_rows(others, 2 * cap, F.col("doc_id"))
     pick = lambda ids: _vectors(docs.join(F.broadcast(ids), "doc_id", "left_semi"))
     pos, unl = pick(positive), pick(others)
     if not len(unl):
-        unl = pick(bounded_sample(known.withColumn("label", F.lit(0)), "label", 2 * cap, F.col("doc_id")).select("doc_id"))
+        unl = pick(bounded_rows(known.select("doc_id"), 2 * cap, F.col("doc_id")))
     return Model(pos, unl, (total[1] + 1) / (total[0] + 2)) if len(pos) else None
 
 
