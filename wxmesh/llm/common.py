@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,12 +51,16 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
-    """Numpy vectors as one compressed binary value; ``unpack_arrays`` reads it back."""
+    """Numpy vectors as one compressed binary value; ``unpack_arrays`` reads it back.
+
+    The bytes of the elements are laid out plane by plane, so that the high
+    bytes of small numbers compress to nothing.
+    """
     out = []
     for a in arrays:
-        raw = np.ascontiguousarray(a)
-        body = zlib.compress(raw.tobytes(), 1) if raw.dtype.itemsize < 8 else raw.tobytes()
-        out.append(struct.pack("<2sqq", raw.dtype.str[1:].encode(), len(raw), len(body)) + body)
+        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
+        body = pa.compress(planes, codec="zstd", asbytes=True) if planes else b""
+        out.append(struct.pack("<2sqq", a.dtype.str[1:].encode(), len(a), len(body)) + body)
     return b"".join(out)
 
 
@@ -65,13 +68,19 @@ def unpack_arrays(blob: bytes) -> list[np.ndarray]:
     out, at, head = [], 0, struct.calcsize("<2sqq")
     while at < len(blob):
         kind, n, size = struct.unpack_from("<2sqq", blob, at)
-        body = blob[at + head:at + head + size]
         dtype = np.dtype("<" + kind.decode())
-        out.append(np.frombuffer(zlib.decompress(body) if dtype.itemsize < 8 else body, dtype, n))
+        planes = pa.decompress(blob[at + head:at + head + size], n * dtype.itemsize, codec="zstd", asbytes=True) if n else b""
+        out.append(np.frombuffer(np.frombuffer(planes, np.uint8).reshape(dtype.itemsize, n).T.tobytes(), dtype))
         at += head + size
     return out
 
 
+def smallest(values: np.ndarray) -> np.ndarray:
+    """Non-negative integers in the smallest unsigned type that holds them."""
+    top = int(values.max(initial=0))
+    return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+
+
 def byte_codes(raw: bytes, n: int) -> np.ndarray:
     """One unsigned 64-bit code per n-byte window (n up to 8), in text order."""
     a = np.frombuffer(raw, np.uint8).astype(np.uint64)

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wxmesh.llm import decontaminate, html_text, language_id, packing, quality_pu, quality_rules, simhash
+from wxmesh.llm import (
+    decontaminate,
+    html_text,
+    katz,
+    language_id,
+    packing,
+    quality_pu,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    toxicity,
+)
 from wxmesh.llm.common import table
 
 
@@ -19,6 +30,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).drop("text")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "toxic as label")
+    return toxicity.classify(table(spark, sf_dir, "documents"), labels)
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -31,6 +52,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "quality as label")
     return quality_pu.classify(table(spark, sf_dir, "documents"), labels)
@@ -47,9 +72,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
+    "op2_suffix_dedup": (op2_suffix_dedup, None),
+    "op3_toxicity": (op3_toxicity, None),
     "op4_html_extraction": (op4_html_extraction, None),
     "op5_language_id": (op5_language_id, None),
     "op6_simhash": (op6_simhash, None),
+    "op7_lm_scoring": (op7_lm_scoring, None),
     "op8_quality_classifier": (op8_quality_classifier, None),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_packing": (op10_packing, None),
