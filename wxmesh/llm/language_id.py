@@ -142,6 +142,20 @@ def predict(docs: DataFrame, model: Hierarchy | None, keep: list[str]) -> DataFr
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(score, f"{kinds}, lang_pred string, score double")
 
 
+def known_languages(docs: DataFrame, model: Hierarchy | None, min_score: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is told with at least ``min_score``."""
+    def keep(batches):
+        for batch in slices(batches, 512):
+            texts = as_texts(column_of(batch, "text"))
+            good = np.zeros(len(texts), bool)
+            known = [k for k, t in enumerate(texts) if LETTER.search(t)] if model else []
+            if known:
+                good[known] = model.predict(np.stack([vector(texts[k]) for k in known]))[1] >= min_score
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(docs: DataFrame, folds: int = 3, held: int = 1, cap: int = 1000) -> DataFrame:
     """Per row ``doc_id, held_out, lang_pred, score``; learned from the rows outside fold ``held``."""
     docs = docs.select("doc_id", "text", "lang").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
