@@ -49,6 +49,7 @@ INSULTS = ("idiot idiots moron morons stupid dumb loser losers scum trash pathet
 ADDRESS = "you your you're youre u du dich dir dein deine ihr tu toi te ton ta vous votre tú usted tus eres".split()
 PREFIXES = (4, 5, 6, 7, 8)
 SPAN = 200
+PRIOR = 20.0
 MAX_TERMS, MIN_SUPPORT, MIN_LOG_ODDS, MIN_G2 = 512, 5, 3.0, 30.0
 VOTERS = ("fixed", "words_0", "words_1", "words_2", "words_3", "begin_4", "begin_5", "begin_6", "begin_7", "begin_8",
           "addressed", "shouting", "masked", "marks", "nothing")
@@ -188,10 +189,15 @@ class LabelModel:
         # Begin with: any lexicon voter means toxic; labelled rows stay (almost) as they are labelled.
         belief = np.where(x[:, :10].any(1), 0.8, 0.05)
         damp = np.ones(len(VOTERS))
+        names = np.array([v.partition("_")[0] for v in VOTERS])
+        lexical = np.isin(names, ("fixed", "words", "begin", "addressed"))
+        # What voters are expected to do counts as a few observations, which decide only where there is little data.
+        prior = np.stack((np.where(lexical, 0.01, np.where(names == "nothing", 0.95, 0.05)),
+                          np.where(lexical, 0.4, np.where(names == "nothing", 0.1, 0.1))))
         for _ in range(rounds):
             mass = np.stack((free * (1 - belief) + 0.98 * clean + 0.02 * toxic, free * belief + 0.02 * clean + 0.98 * toxic))
             size = mass.sum(1)
-            rate = (mass @ x + 0.5) / (size[:, None] + 1.0)  # how often each voter fires in either class
+            rate = (mass @ x + PRIOR * prior) / (size[:, None] + PRIOR)  # how often each voter fires in either class
             self.balance = (size[1] + 1) / (size.sum() + 2)
             damp = 1 / (1 + self._correlation(x, mass, rate))
             evidence = (x * np.log(rate[1] / rate[0]) + (1 - x) * np.log((1 - rate[1]) / (1 - rate[0]))) * damp
