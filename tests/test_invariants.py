@@ -91,25 +91,6 @@ def test_map_ranks_start_at_one(spark):
     assert firsts and all(r["r"] == 1 for r in firsts)
 
 
-def test_stream_replay_is_idempotent(spark, tmp_dir):
-    import datetime as dt
-
-    from wxmesh import schemas
-    from wxmesh.streaming.incremental import incremental_batch_writer
-
-    stations = spark.createDataFrame([("S1", "W1")], "id string, wmo_station_id string")
-    docs = spark.createDataFrame(
-        [("S1", [("2024-01-20T01:00:00+00:00", 1.0), ("2024-01-20T02:00:00+00:00", 2.0)])],
-        "station_id string, weather array<struct<timestamp:string, temperature:double>>")
-    write = incremental_batch_writer(tmp_dir, stations, dt.datetime(2024, 1, 25))
-    write(docs, 0)
-    write(docs, 0)          # replay of the same micro-batch
-    assert spark.read.parquet(tmp_dir).count() == 2
-    write(docs, 1)          # the same rows in a later batch are not new any more
-    assert spark.read.parquet(tmp_dir).count() == 2
-    assert set(schemas.OBSERVATIONS.fieldNames()) <= set(spark.read.parquet(tmp_dir).columns)
-
-
 def test_hot_key_holding_a_third_of_the_rows(spark):
     """One (WMO id, hour) holds a third of all rows: the newest-row dedup and
     the canonical first value still give the brute-force answer."""

@@ -54,8 +54,7 @@ def run_obs_mart(spark, stations, areas, obs):
     stg_o = P.stg_facts(obs, P.OBSERVATIONS)
     stg_f = P.stg_facts(empty_fc(spark), P.FORECASTS)
     m = P.station_area_map(stg_s, stg_a, stg_o, stg_f)
-    cleaned = P.cleaned_with_rank(stg_o, m, P.OBSERVATIONS)
-    mart = P.hourly_by_area(cleaned, stg_a, P.OBSERVATIONS)
+    mart = P.hourly_by_area(stg_o, m, stg_a, P.OBSERVATIONS)
     return m, {(r["postal_code"], r["observation_hour"]): r for r in mart.collect()}
 
 
@@ -252,7 +251,9 @@ def test_sorted_sink_reads_back_in_key_order(spark, tmp_dir):
 
     vals = [(random.Random(i).choice("abc"), i) for i in range(500)]
     df = spark.createDataFrame(vals, "k string, h int")
-    I.write_sorted(df, tmp_dir + "/sorted", ["k", "h"], num_partitions=4)
+    bounds = I.range_bounds(df, "k", 4)
+    assert bounds[0] == "a" and bounds == sorted(set(bounds))
+    I.write_sorted(df, tmp_dir + "/sorted", ["k", "h"], bounds)
     back = [(r["k"], r["h"]) for r in spark.read.parquet(tmp_dir + "/sorted").collect()]
     assert sorted(back) == sorted(vals)
     files = spark.read.parquet(tmp_dir + "/sorted").select(F.input_file_name().alias("f"), "k", "h")
@@ -261,6 +262,8 @@ def test_sorted_sink_reads_back_in_key_order(spark, tmp_dir):
         per_file.setdefault(r["f"], []).append((r["k"], r["h"]))
     for rows in per_file.values():
         assert rows == sorted(rows)
+    ends = [(rows[0], rows[-1]) for _, rows in sorted(per_file.items())]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])) and len(ends) == len(bounds)
 
 
 def test_command_line_pipeline(spark, tmp_dir):
@@ -284,13 +287,16 @@ def test_command_line_pipeline(spark, tmp_dir):
 def test_route_keys_direct_nearest_and_unrouted(spark):
     """WMO id if present, else the nearest place with one, else null."""
     sources = stations_frame(spark, [("A", "W1", 52.52, 13.40), ("B", None, 52.53, 13.40),
-                                     ("C", None, 10.0, 10.0)])
+                                     ("C", None, 10.0, 10.0), ("E", None, None, 13.0), ("F", None, -52.5, -166.6)])
     cands = stations_frame(spark, [("A", "W1", 52.52, 13.40), ("D", "W2", 52.60, 13.40)])
     got = {r["station_id"]: (r["route_key"], r["route_dist"])
-           for r in I.route_keys(sources, cands, 100000.0).collect()}
+           for r in I.route_keys(sources, cands).collect()}
     assert got["A"] == ("W1", 0.0)
     assert got["B"][0] == "W1" and 1000 < got["B"][1] < 1200
-    assert got["C"] == (None, None)
+    assert got["C"][0] == "W1" and 4_700_000 < got["C"][1] < 4_750_000      # however far
+    assert got["F"][0] in ("W1", "W2") and got["F"][1] > 19_900_000         # the other side of the globe
+    assert got["E"] == (None, None)                                          # no coordinates
+    assert {r["route_key"] for r in I.route_keys(sources.filter("id = 'C'"), cands.limit(0)).collect()} == {None}
 
 
 def test_forecast_window_and_discovery_radius(spark):
@@ -321,6 +327,5 @@ def test_gate_stops_the_pipeline_before_dependants(spark, tmp_dir):
     out = tmp_dir + "/marts"
     with pytest.raises(CheckFailed, match="stg_observations: not_null\\(wmo_station_id\\)"):
         run_pipeline(spark, fx.raw_stations(spark, sf), fx.raw_postal(spark, sf), fx.raw_obs(spark, sf),
-                     fx.raw_fc(spark, sf), out, obs_order=("ingested_at", "event_id"),
-                     fc_order=("ingested_at", "id", "source_id", "tie"))
+                     fx.raw_fc(spark, sf), out)
     assert not _os.path.exists(out)

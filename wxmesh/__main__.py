@@ -1,10 +1,12 @@
 """Command line: ``python -m wxmesh <command> ...``.
 
+``stations`` / ``areas``  landed documents -> the raw table, fully refreshed.
+``observations`` / ``forecasts``  process every landed weather document not
+              seen before (a file stream with ``availableNow``) into the table.
 ``pipeline``  raw tables (Parquet folders named like the raw tables, read with
               their declared schemas) -> gated staging, map, cleaned facts and
               the two hourly marts under ``--out``.
-``observations`` / ``forecasts``  process every landed weather document not
-              seen before (a file stream with ``availableNow``) into the table.
+``run``       all of it: landed files to marts, then the ingest summary.
 
 On a cluster, ``spark.checkpoint.dir`` must name a shared folder (it is read
 from the session); submit with ``spark-submit -m wxmesh`` or run with
@@ -20,56 +22,69 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-def main(argv=None) -> int:
+def arguments(argv=None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="wxmesh")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    p = sub.add_parser("pipeline")
-    p.add_argument("--raw", required=True, help="folder with postal_codes, weather_stations, "
-                                                "weather_observations, weather_forecasts")
-    p.add_argument("--out", required=True)
-    p.add_argument("--allow", action="append", default=[], metavar="MODEL:RULE",
-                   help="check that may fail without stopping the run")
-    for name in ("observations", "forecasts"):
-        s = sub.add_parser(name)
-        s.add_argument("--landing", required=True)
-        s.add_argument("--table", required=True)
-        s.add_argument("--checkpoint", required=True, help="stream checkpoint folder")
-        s.add_argument("--raw", required=True, help="folder with weather_stations")
-        s.add_argument("--now", required=True, help="run time, ISO-8601")
-    args = ap.parse_args(argv)
+
+    def command(name: str, *flags: str) -> argparse.ArgumentParser:
+        p = sub.add_parser(name)
+        for flag in flags:
+            p.add_argument(f"--{flag}", required=True, help={
+                "raw": "folder of the raw tables", "landing": "folder of landed documents", "now": "run time, ISO-8601",
+                "checkpoint": "stream checkpoint folder", "out": "folder of the marts", "table": "folder of the table"}[flag])
+        return p
+
+    for name in ("stations", "areas"):
+        command(name, "landing", "raw", "now")
+    for p in (command("observations", "landing", "table", "checkpoint", "raw", "now"),
+              command("forecasts", "landing", "table", "checkpoint", "raw", "now"),
+              command("run", "landing", "raw", "out", "checkpoint", "now")):
+        p.add_argument("--max-files", type=int, help="files of a micro-batch at most")
+        p.add_argument("--max-bytes", type=int, help="bytes of a micro-batch at most")
+    command("pipeline", "raw", "out")
+    for name in ("pipeline", "run"):
+        sub.choices[name].add_argument("--allow", action="append", default=[], metavar="MODEL:RULE",
+                                       help="check that may fail without stopping the run")
+    return ap.parse_args(argv)
+
+
+def main(argv=None) -> int:
+    args = arguments(argv)
 
     from . import schemas
+    from .operators.ingest import active_stations
+    from .plans import pipeline
     from .plans import products as P
-    from .session import checkpoint_dir
+    from .session import checkpoint_dir, release_scratch
+    from .streaming import incremental as S
 
     spark = SparkSession.builder.appName(f"wxmesh-{args.cmd}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
     raw = lambda name: schemas.read_raw(spark, args.raw, name)
+    limits = {"max_files": getattr(args, "max_files", None), "max_bytes": getattr(args, "max_bytes", None)}
+    allow = [tuple(a.split(":", 1)) for a in getattr(args, "allow", [])]
 
-    if args.cmd == "pipeline":
-        from .plans.pipeline import run_pipeline
-
-        allow = [tuple(a.split(":", 1)) for a in args.allow]
-        res = run_pipeline(spark, raw("weather_stations"), raw("postal_codes"), raw("weather_observations"),
-                           raw("weather_forecasts"), args.out, allow=allow)
-        for name, path in res.tables.items():
-            print(f"{name}: {path}")
-        return 0
-
-    from .operators.ingest import active_stations
-    from .streaming import incremental as S
-
-    stations = raw("weather_stations")
-    if args.cmd == "observations":
+    if args.cmd in ("stations", "areas"):
+        load = pipeline.load_stations if args.cmd == "stations" else pipeline.load_areas
+        load(spark, args.landing, args.raw, args.now).show(truncate=False)
+    elif args.cmd == "observations":
         S.run_available_now(spark, args.landing, args.table, args.checkpoint,
-                            active_stations(stations, P.ACTIVE_SINCE), args.now)
+                            active_stations(raw("weather_stations"), P.ACTIVE_SINCE), args.now, **limits)
+    elif args.cmd == "forecasts":
+        S.run_forecasts_available_now(spark, args.landing, args.table, args.checkpoint,
+                                      raw("weather_stations").filter(F.col("observation_type") == "forecast"), args.now, **limits)
     else:
-        S.run_forecasts_available_now(
-            spark, args.landing, args.table, args.checkpoint,
-            stations.filter(F.col("observation_type") == "forecast"), args.now,
-            ["station_id", "forecast_timestamp", "source_id", "temperature", "precipitation",
-             "relative_humidity", "wind_speed"])
+        if args.cmd == "run":
+            result, summary = pipeline.run_job(spark, args.landing, args.raw, args.out, args.checkpoint, args.now,
+                                               allow=allow, **limits)
+            summary.filter("station_id is null").show(truncate=False)
+        else:
+            result = pipeline.run_pipeline(spark, raw("weather_stations"), raw("postal_codes"), raw("weather_observations"),
+                                           raw("weather_forecasts"), args.out, allow=allow)
+        for name, path in result.tables.items():
+            print(f"{result.names[name]}: {path}")
+    release_scratch(spark)
     return 0
 
 

@@ -38,18 +38,6 @@ def haversine_m(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_M) -> Colum
     return F.lit(2.0 * radius) * F.asin(F.sqrt(a))
 
 
-def point_distance_m(p, q, axis_order: str = "xy", decimals: int | None = DISTANCE_DECIMALS) -> Column:
-    """Distance between two points; ``axis_order='yx'`` reads x as latitude."""
-    p, q = _c(p), _c(q)
-    if axis_order == "xy":
-        d = haversine_m(p["y"], p["x"], q["y"], q["x"])
-    elif axis_order == "yx":
-        d = haversine_m(p["x"], p["y"], q["x"], q["y"])
-    else:
-        raise ValueError("axis_order must be 'xy' or 'yx'")
-    return F.round(d, decimals) if decimals is not None else d
-
-
 # The centroid is one SQL expression (higher-order functions). Written as SQL
 # text it is built with a single call instead of hundreds of small ones.
 #   o      first vertex (origin for the moments, keeps precision)
@@ -109,16 +97,34 @@ def multipolygon_coords(coords) -> Column:
 
 
 def bounding_box_filter(lat, lon, center_lat: float, center_lon: float, radius_m: float) -> Column:
-    """Cheap, exact-superset prefilter for a radius around a fixed centre."""
+    """Cheap, exact-superset prefilter for a radius around a fixed centre.
+
+    Longitudes are in -180..180. A box that crosses the antimeridian is two
+    ranges, and one that reaches a pole (or spans the globe) has no longitude
+    bound.
+    """
     dlat = math.degrees(radius_m / EARTH_RADIUS_M)
-    ratio = math.sin(radius_m / EARTH_RADIUS_M) / max(math.cos(math.radians(center_lat)), 1e-12)
-    dlon = 180.0 if ratio >= 1 or abs(center_lat) + dlat >= 90 else math.degrees(math.asin(ratio))
+    ratio = math.sin(min(radius_m / EARTH_RADIUS_M, math.pi / 2)) / max(math.cos(math.radians(center_lat)), 1e-12)
+    polar = ratio >= 1 or abs(center_lat) + dlat >= 90
+    dlon = 180.0 if polar else math.degrees(math.asin(ratio))
     dlat, dlon = dlat * 1.000001 + 1e-9, dlon * 1.000001 + 1e-9
-    return (_c(lat).between(center_lat - dlat, center_lat + dlat)
-            & _c(lon).between(center_lon - dlon, center_lon + dlon))
+    box = _c(lat).between(center_lat - dlat, center_lat + dlat)
+    low, high = center_lon - dlon, center_lon + dlon
+    if dlon >= 180.0:
+        return box
+    if low < -180.0:
+        return box & ((_c(lon) <= high) | (_c(lon) >= low + 360.0))
+    if high > 180.0:
+        return box & ((_c(lon) >= low) | (_c(lon) <= high - 360.0))
+    return box & _c(lon).between(low, high)
 
 
 def within_radius(lat, lon, center_lat: float, center_lon: float, radius_m: float) -> Column:
-    """Stations within ``radius_m`` of a centre (bounding box, then exact)."""
-    d = F.round(haversine_m(F.lit(center_lat), F.lit(center_lon), lat, lon), DISTANCE_DECIMALS)
-    return bounding_box_filter(lat, lon, center_lat, center_lon, radius_m) & (d <= radius_m)
+    """Places within ``radius_m`` of a centre (bounding box, then exact)."""
+    return (bounding_box_filter(lat, lon, center_lat, center_lon, radius_m)
+            & (centre_distance_m(lat, lon, center_lat, center_lon) <= radius_m))
+
+
+def centre_distance_m(lat, lon, center_lat: float, center_lon: float) -> Column:
+    """Rounded distance to a fixed centre."""
+    return F.round(haversine_m(F.lit(center_lat), F.lit(center_lon), lat, lon), DISTANCE_DECIMALS)

@@ -1,4 +1,4 @@
-"""Time and conversion helpers."""
+"""Time helpers."""
 
 from __future__ import annotations
 
@@ -26,9 +26,10 @@ def parse_iso_utc(text) -> Column:
 
     Text is parsed as an instant (offsets honoured) and then rendered as the
     UTC wall clock (the session zone is UTC, see ``session.build_session``).
-    Casting text straight to ``timestamp_ntz`` would drop the offset.
+    Casting text straight to ``timestamp_ntz`` would drop the offset. Text that
+    is no time gives null (also in ANSI mode); the readers report such rows.
     """
-    return F.to_timestamp(_c(text)).cast("timestamp_ntz")
+    return F.try_to_timestamp(_c(text)).cast("timestamp_ntz")
 
 
 def ts_literal(value) -> Column:
@@ -42,13 +43,3 @@ def ts_literal(value) -> Column:
 
 def days_before(ts: Column, days: int) -> Column:
     return ts - F.make_dt_interval(F.lit(days))
-
-
-def list_to_text(arr) -> Column:
-    """A list value stored as text (JSON), null stays null."""
-    return F.when(_c(arr).isNotNull(), F.to_json(_c(arr)))
-
-
-def to_bigint(c) -> Column:
-    """Lenient float/text -> bigint (``72.0`` -> 72, garbage -> null)."""
-    return _c(c).try_cast("double").try_cast("bigint")

@@ -11,11 +11,11 @@ materialise results.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import DISTANCE_DECIMALS, haversine_m
 from ..functions.timeutil import days_before, ts_literal
 from .sequence import dense_row_number
 from .spatial_join import distance_join
@@ -25,6 +25,7 @@ BACKFILL_DAYS = 30            # history fetched for a station without a mark
 FORECAST_HORIZON_DAYS = 10    # forecast window ahead of 'now'
 DISCOVERY_RADIUS_M = 50000.0  # station search radius around the centre
 DISCOVERY_CENTRE = (52.52, 13.40)   # (lat, lon)
+GLOBE_RADIUS_M = 20_100_000.0   # over half the Earth's circumference
 
 
 def _now(now) -> Column:
@@ -33,6 +34,11 @@ def _now(now) -> Column:
 
 # ------------------------------------------------------------- marks, I1 --
 
+def with_load_time(df: DataFrame, load_time, column: str = "ingested_at") -> DataFrame:
+    """Rows without a load time get the one of their batch."""
+    return df.withColumn(column, F.coalesce(F.col(column), _now(load_time)))
+
+
 def high_water_marks(existing: DataFrame, key: str = "station_id", ts: str = "timestamp") -> DataFrame:
     """Newest loaded time per source (one grouped aggregate for all)."""
     return existing.groupBy(key).agg(F.max(ts).alias("last_ts"))
@@ -138,39 +144,52 @@ def ingest_counts(rows: DataFrame, key: str = "station_id") -> DataFrame:
 def stations_in_radius(stations: DataFrame, centre=DISCOVERY_CENTRE,
                        radius_m: float = DISCOVERY_RADIUS_M) -> DataFrame:
     """Stations within ``radius_m`` of the centre, with their distance."""
-    from ..functions.geo import bounding_box_filter
+    from ..functions.geo import centre_distance_m, within_radius
 
     lat0, lon0 = centre
-    d = F.round(haversine_m(F.lit(lat0), F.lit(lon0), F.col("lat"), F.col("lon")), DISTANCE_DECIMALS)
-    return (stations.filter(bounding_box_filter("lat", "lon", lat0, lon0, radius_m))
-                    .withColumn("distance", d).filter(F.col("distance") <= radius_m))
+    return (stations.filter(within_radius("lat", "lon", lat0, lon0, radius_m))
+                    .withColumn("distance", centre_distance_m("lat", "lon", lat0, lon0)))
 
 
-def route_keys(sources: DataFrame, candidates: DataFrame, radius_m: float) -> DataFrame:
-    """Request key per source: its WMO id, else the nearest WMO place.
+def route_keys(sources: DataFrame, candidates: DataFrame, first_radius_m: float = DISCOVERY_RADIUS_M) -> DataFrame:
+    """Request key per source: its WMO id, else the nearest WMO place, however far.
 
-    ``candidates`` are sources that have a WMO id. The nearest one is found
-    with the grid distance join inside ``radius_m``; when all sources come
-    from one discovery circle, twice its radius bounds every pairwise
-    distance, so the search is exact. Sources without either get a null key
-    (the reference raises for them).
+    ``candidates`` are sources that have a WMO id. The nearest place is looked
+    for in a ring that grows fourfold until it spans the globe; a place found
+    within a ring is the nearest of all, so only sources that found none go on.
+    Each round keeps one candidate per source by a grouped ``min_by`` (partial
+    before the shuffle). A source without coordinates, or with no candidate
+    anywhere, gets a null key (the reference raises for it).
     """
+    from ..session import materialise
+
     direct = sources.filter(F.col("wmo_station_id").isNotNull()).select(
         F.col("id").alias("station_id"), F.col("wmo_station_id").alias("route_key"),
         F.lit(0.0).alias("route_dist"))
-    lost = sources.filter(F.col("wmo_station_id").isNull()).select(
-        F.col("id").alias("station_id"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
-    cands = candidates.filter(F.col("wmo_station_id").isNotNull()).select(
-        F.col("wmo_station_id").alias("route_key"), "lat", "lon").distinct()
-    pairs = distance_join(cands, lost.filter(F.col("s_lat").isNotNull() & F.col("s_lon").isNotNull()),
-                          radius_m, area_lat="s_lat", area_lon="s_lon", dist_col="route_dist")
-    w = Window.partitionBy("station_id").orderBy(F.col("route_dist").asc(), F.col("route_key").asc())
-    nearest = (pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1)
-                    .select("station_id", "route_key", "route_dist"))
-    unrouted = lost.join(nearest, "station_id", "left_anti").select(
-        "station_id", F.lit(None).cast("string").alias("route_key"),
-        F.lit(None).cast("double").alias("route_dist"))
-    return direct.unionByName(nearest).unionByName(unrouted)
+    lost = materialise(sources.filter(F.col("wmo_station_id").isNull()).select(
+        F.col("id").alias("station_id"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon")), "unrouted")
+    places = materialise(candidates.filter("wmo_station_id is not null and lat is not null and lon is not null")
+                         .select(F.col("wmo_station_id").alias("route_key"), "lat", "lon").distinct(), "places")
+    nowhere = lost.filter(F.col("s_lat").isNull() | F.col("s_lon").isNull())
+    looking = lost.filter(F.col("s_lat").isNotNull() & F.col("s_lon").isNotNull())
+    found: list[DataFrame] = []
+    radius = first_radius_m
+    while not looking.isEmpty():
+        globe = radius >= GLOBE_RADIUS_M
+        pairs = distance_join(places, looking, min(radius, GLOBE_RADIUS_M), area_lat="s_lat", area_lon="s_lon",
+                              dist_col="route_dist")
+        best = F.min(F.struct("route_dist", "route_key")).alias("_b")
+        here = materialise(pairs.groupBy("station_id").agg(best).select("station_id", "_b.route_key", "_b.route_dist"), "routed")
+        found.append(here)
+        left = looking.join(here, "station_id", "left_anti")
+        if globe:
+            nowhere = nowhere.unionByName(left)
+            break
+        looking = materialise(left, "unrouted")
+        radius *= 4
+    none = nowhere.select("station_id", F.lit(None).cast("string").alias("route_key"),
+                          F.lit(None).cast("double").alias("route_dist"))
+    return reduce(DataFrame.unionByName, [direct, *found, none])
 
 
 # ------------------------------------------------------------ sinks, A8/A9 --
@@ -195,12 +214,26 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequenc
     w.save(path)
 
 
-def write_sorted(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet",
-                 num_partitions: int | None = None) -> None:
-    """F2 at the sink: range-partition by the keys and sort inside each file,
+def range_bounds(keys: DataFrame, key: str, parts: int) -> list:
+    """At most ``parts`` lower bounds that cut the distinct ``key`` values evenly (one row per part is collected)."""
+    ranged = keys.select(key).distinct().repartitionByRange(parts, key).withColumn("_p", F.spark_partition_id())
+    return sorted(r["low"] for r in ranged.groupBy("_p").agg(F.min(key).alias("low")).collect())
+
+
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str], bounds: Sequence, fmt: str = "parquet",
+                 table: str | None = None) -> None:
+    """F2 at the sink: rows go to the part of the first key's range, sorted inside,
     so the files read back in key order without a single-task global sort.
-    The range bounds are sampled from ``df``: pass a written (materialised)
-    frame so the sampling does not run an expensive plan twice."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-       .write.mode("overwrite").format(fmt).save(path))
+
+    ``bounds`` are the ranges' lower bounds (see ``range_bounds``): known from a
+    dimension table, they need no sampling run of ``df``, which is written once.
+    With ``table`` the files are also a catalog table of that name.
+    """
+    bounds = list(bounds) or [""]
+    part = F.size(F.filter(F.array(*map(F.lit, bounds[1:])), lambda b: b <= F.col(keys[0]))) if bounds[1:] else F.lit(0)
+    out = (df.repartitionById(len(bounds), part.cast("int")).sortWithinPartitions(*keys)
+             .write.mode("overwrite").format(fmt))
+    if table:
+        out.option("path", path).saveAsTable(table)
+    else:
+        out.save(path)

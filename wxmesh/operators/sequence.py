@@ -4,11 +4,11 @@
 into one task. The helpers here give the same answers with the work spread
 over ``n`` range partitions:
 
-1. range-partition by the order, sort inside each partition and checkpoint
-   the result, so the partition contents are fixed (range bounds come from
-   sampling; two separately planned exchanges could cut differently);
+1. range-partition by the order and sort inside each partition;
 2. number rows inside each partition (``monotonically_increasing_id`` minus
-   the partition's base, exact on the sorted, checkpointed partitions);
+   the partition's base) and write them with their partition and number, so
+   both are fixed (range bounds come from sampling; two separately planned
+   exchanges could cut differently);
 3. count rows per partition and turn the counts into offsets. The offsets
    table has one row per partition, so its size is bounded by ``n`` (a
    setting, not the data) and it is broadcast.
@@ -36,13 +36,12 @@ def dense_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "r
     """Add ``out`` = 1-based position of each row in ``order`` (like row_number)."""
     n = _parts(df, num_partitions)
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    from ..session import checkpoint_dir
+    from ..session import materialise
 
-    checkpoint_dir(df.sparkSession)
-    fixed = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
-    ranged = (fixed.withColumn("_pid", F.spark_partition_id())
-                .withColumn("_local", F.monotonically_increasing_id()
-                            - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
+    ranged = materialise(
+        df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+          .withColumn("_pid", F.spark_partition_id())
+          .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)), "ranged")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -15,8 +15,7 @@ not |points| x |areas|:
   millimetres as everywhere else.
 
 The point side (stations: one row per place) is broadcast only after its
-row count is checked against ``POINT_BROADCAST_MAX_ROWS``; the areas then
-stream through the join in their own partitions, so the pair distances are
+rows and bytes are measured against the bounds below; the areas then stream through the join in their own partitions, so the pair distances are
 computed by all tasks. Beyond the bound no side is forced: adaptive
 execution picks the join from measured sizes, and a shuffled join on the
 cell key has its skewed cells split by the skew-join rule.
@@ -35,8 +34,9 @@ from ..functions.geo import DISTANCE_DECIMALS, EARTH_RADIUS_M, haversine_m
 # so true distances up to radius + 0.5 mm qualify.
 SEARCH_MARGIN_M = 1.0
 
-# Largest point side broadcast to every task (rows of two doubles and a key).
+# Largest point side broadcast to every task, in rows and in bytes.
 POINT_BROADCAST_MAX_ROWS = 1_000_000
+POINT_BROADCAST_MAX_BYTES = 64 << 20
 
 
 def grid_shape(radius_m: float) -> tuple[float, int, float]:
@@ -80,21 +80,30 @@ def cover_cells(df: DataFrame, lat: str, lon: str, radius_m: float) -> DataFrame
               .withColumn("_cy", F.explode(ys)))
 
 
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether ``df`` is small enough to broadcast, by one aggregate over its rows.
+
+    Fixed-width columns count 16 bytes a row; text counts its own length.
+    """
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(16 * (len(df.columns) - len(texts))))
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and total <= max_bytes
+
+
 def distance_join(points: DataFrame, areas: DataFrame, radius_m: float, *,
                   point_lat: str = "lat", point_lon: str = "lon",
                   area_lat: str = "area_lat", area_lon: str = "area_lon",
-                  dist_col: str = "dist", n_points: int | None = None) -> DataFrame:
+                  dist_col: str = "dist", measured: DataFrame | None = None) -> DataFrame:
     """Pairs of ``points`` x ``areas`` with rounded distance <= ``radius_m``.
 
     Column names of the two inputs must be disjoint. The output has all
     columns of both sides (without the helper cell columns) plus ``dist_col``.
-    ``n_points`` is the row count of ``points``, or an upper bound of it, if
-    the caller knows one; otherwise ``points`` is counted.
+    ``measured`` is a cheap frame with the same columns that has at least the
+    rows of ``points``, if the caller knows one; its size is measured then.
     """
-    if n_points is None:
-        n_points = points.count()
     p = point_cells(points, point_lat, point_lon, radius_m)
-    if n_points <= POINT_BROADCAST_MAX_ROWS:
+    if fits_broadcast(points if measured is None else measured, POINT_BROADCAST_MAX_ROWS, POINT_BROADCAST_MAX_BYTES):
         p = F.broadcast(p)
     a = cover_cells(areas, area_lat, area_lon, radius_m)
     pairs = p.join(a, ["_cx", "_cy"], "inner")

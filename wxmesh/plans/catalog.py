@@ -9,7 +9,7 @@ like the tables). Output columns carry the same names on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,6 @@ from ..sources import fixtures as fx
 from . import products as P
 from .oracle import D, hav, with_ctes
 
-OBS_ORDER = ("ingested_at", "event_id")
 FC_ORDER = ("ingested_at", "id", "source_id", "tie")
 
 # Scenario constants of the loading queries (fixed instants of a test run).
@@ -32,24 +31,22 @@ OBS_LOADED_BEFORE = "2024-01-16 00:00:00"     # observations already in the tabl
 OBS_NOW = "2024-01-25 00:00:00"               # time of the incremental run
 FC_ISSUED_SPLIT = "1996-01-01 00:00:00"       # older issues = table, newer = new run
 FC_NOW = "2024-02-05 12:00:00"                # time of the forecast run
-ROUTE_RADIUS_M = 2 * I.DISCOVERY_RADIUS_M     # bounds all pairwise station distances
+MAX_REPORTED_RANK = 50                        # ranks of the rank query
 
 
 class Inputs:
     """Lazily built frames for one scale.
 
     Frames named in ``materialise`` (those a query reads more than once:
-    staged facts, station map, cleaned facts) are written once as Parquet
+    staged facts, station map) are written once as Parquet
     into the shared ``spark.checkpoint.dir`` on first use: later reads start
     from the written table (with column pruning), lineage is cut and a lost
     executor does not force the upstream dedup and joins to run again.
     """
 
-    MATERIALISE_ALL = ("stg_obs", "stg_fc", "station_map", "cleaned_obs_wr", "cleaned_fc_wr")
-
     def __init__(self, spark: SparkSession, sf_dir: str, materialise=()):
         self.spark, self.sf_dir = spark, sf_dir
-        self.materialise = self.MATERIALISE_ALL if materialise is True else tuple(materialise or ())
+        self.materialise = tuple(materialise)
 
     def _m(self, df: DataFrame, name: str) -> DataFrame:
         return _materialised(df) if name in self.materialise else df
@@ -76,10 +73,10 @@ class Inputs:
     def stg_areas(self): return P.stg_postal_codes(self.areas)
 
     @cached_property
-    def stg_obs(self): return self._m(P.stg_facts(self.raw_obs, P.OBSERVATIONS, OBS_ORDER), "stg_obs")
+    def stg_obs(self): return self._m(P.stg_facts(self.raw_obs, P.OBSERVATIONS), "stg_obs")
 
     @cached_property
-    def stg_fc(self): return self._m(P.stg_facts(self.raw_fc, P.FORECASTS, FC_ORDER), "stg_fc")
+    def stg_fc(self): return self._m(P.stg_facts(self.raw_fc, P.FORECASTS), "stg_fc")
 
     @cached_property
     def station_map(self):
@@ -88,21 +85,26 @@ class Inputs:
 
     @cached_property
     def cleaned_obs_wr(self):
-        return self._m(P.cleaned_with_rank(self.stg_obs, self.station_map, P.OBSERVATIONS), "cleaned_obs_wr")
+        return P.cleaned_with_rank(self.stg_obs, self.station_map, P.OBSERVATIONS)
 
     @cached_property
     def cleaned_fc_wr(self):
-        return self._m(P.cleaned_with_rank(self.stg_fc, self.station_map, P.FORECASTS), "cleaned_fc_wr")
+        return P.cleaned_with_rank(self.stg_fc, self.station_map, P.FORECASTS)
+
+    def hours(self, spec: P.FactSpec) -> DataFrame:
+        return P.hour_spine(self.stg_obs if spec is P.OBSERVATIONS else self.stg_fc, self.station_map, spec)
+
+    def mart(self, spec: P.FactSpec) -> DataFrame:
+        return P.hourly_by_area(self.stg_obs if spec is P.OBSERVATIONS else self.stg_fc, self.station_map, self.stg_areas, spec)
 
 
 # Frames read more than once. The staged facts feed both the station map
 # (active stations) and the cleaning join; the two branches carry different
 # pushed-down filters, so Spark cannot reuse one scan for both: without the
 # written table the raw fact table would be scanned and deduplicated twice.
-CLEANED_INPUTS = ("stg_obs", "stg_fc")
-OBS_MART_INPUTS = ("stg_obs", "cleaned_obs_wr")      # stg_fc is read once (active stations)
-FC_MART_INPUTS = ("stg_fc", "cleaned_fc_wr")         # stg_obs is read once
-MART_INPUTS = CLEANED_INPUTS + ("cleaned_obs_wr", "cleaned_fc_wr")
+OBS_MART_INPUTS = ("stg_obs", "station_map")      # stg_fc is read once (active stations)
+FC_MART_INPUTS = ("stg_fc", "station_map")        # stg_obs is read once
+MART_INPUTS = ("stg_obs", "stg_fc", "station_map")
 
 
 def _in(spark, sf_dir, materialise=()) -> Inputs:
@@ -218,8 +220,8 @@ def q_station_semi_join(spark, sf_dir):
 
 CUSTOMER_AREAS = f"""
 SELECT 'C' || CAST(c_custkey AS VARCHAR) AS postal_code,
-       13.4{D} + ((c_custkey * 29) % 1501 - 750) / 2500.0{D} AS cx,
-       52.52{D} + ((c_custkey * 31) % 1499 - 749) / 3000.0{D} AS cy
+       13.4{D} + ((c_custkey * 29) % 1501 - 750) / 2500.0{D} + ((c_custkey // 1500) % 40) * 2.0{D} AS cx,
+       52.52{D} + ((c_custkey * 31) % 1499 - 749) / 3000.0{D} - (c_custkey // 60000) * 1.5{D} AS cy
 FROM customer"""
 
 
@@ -252,16 +254,13 @@ def q_distance_join_areas(spark, sf_dir):
         .select("station_id", "postal_code", "dist")
 
 
-@register("station_rank", with_ctes("""
-SELECT wmo_station_id, postal_code, dist,
-       CAST(dense_rank() OVER (PARTITION BY postal_code ORDER BY dist) AS INTEGER) AS station_rank
-FROM all_pairs WHERE dist <= 15000.0"""))
+@register("station_rank", with_ctes(f"SELECT * FROM ranked WHERE station_rank <= {MAX_REPORTED_RANK}"))
 def q_station_rank(spark, sf_dir):
     i = _in(spark, sf_dir)
     stations = P.station_points(i.stg_stations, P.active_station_ids(i.stg_obs, i.stg_fc))
     pairs = distance_join(stations, P.area_centroids(i.stg_areas), P.STATION_RADIUS_M,
-                          n_points=i.stg_stations.count())     # upper bound of the points
-    return P.rank_stations(pairs.select("wmo_station_id", "postal_code", "dist"), max_rank=2**31 - 1)
+                          measured=P.station_points(i.stg_stations))
+    return P.rank_stations(pairs.select("wmo_station_id", "postal_code", "dist"), max_rank=MAX_REPORTED_RANK)
 
 
 @register("station_area_map", with_ctes("SELECT * FROM station_map"))
@@ -308,13 +307,13 @@ def _materialised(df: DataFrame) -> DataFrame:
 
 @register("hour_spine", with_ctes("SELECT * FROM obs_hours"))
 def q_hour_spine(spark, sf_dir):
-    return P.hour_spine(_in(spark, sf_dir, ("stg_obs",)).cleaned_obs_wr, P.OBSERVATIONS)
+    return _in(spark, sf_dir, OBS_MART_INPUTS).hours(P.OBSERVATIONS)
 
 
-@register("area_hour_spine", with_ctes("SELECT * FROM fc_spine"))
+@register("area_hour_spine", with_ctes("SELECT postal_code, forecast_hour FROM fc_spine"))
 def q_area_hour_spine(spark, sf_dir):
     i = _in(spark, sf_dir, materialise=FC_MART_INPUTS)
-    return P.area_hour_spine(i.stg_areas, P.hour_spine(i.cleaned_fc_wr, P.FORECASTS))
+    return P.area_hour_spine(i.stg_areas, i.hours(P.FORECASTS))
 
 
 @register("best_station_per_hour", with_ctes("SELECT * FROM obs_best"))
@@ -323,18 +322,16 @@ def q_best_station_per_hour(spark, sf_dir):
 
 
 @register("lag_values", with_ctes("""
-SELECT postal_code, forecast_hour,
-       lag(forecast_hour) OVER w AS prev_forecast_hour,
-       lag(temperature) OVER w AS prev_temperature
-FROM fc_merged WINDOW w AS (PARTITION BY postal_code ORDER BY forecast_hour)"""))
+SELECT s.postal_code, s.forecast_hour, p.forecast_hour AS prev_forecast_hour, c.b.temperature AS prev_temperature
+FROM fc_spine s LEFT JOIN fc_numbered p ON p.k = s.k - 1
+LEFT JOIN fc_choice c ON c.postal_code = s.postal_code AND c.k = s.k - 1"""))
 def q_lag_values(spark, sf_dir):
     """E6 alone: previous row's (unfilled) temperature on the forecast spine."""
     i = _in(spark, sf_dir, materialise=FC_MART_INPUTS)
-    cleaned = i.cleaned_fc_wr
-    hours = P.hour_spine(cleaned, P.FORECASTS)
+    hours = _materialised(i.hours(P.FORECASTS))
     grid = P.area_hour_spine(i.stg_areas, hours)
     prev = previous_in_set(hours, "forecast_hour", "prev_forecast_hour")
-    best = P.best_station_per_hour(cleaned, P.FORECASTS).select(
+    best = P.best_station_per_hour(i.cleaned_fc_wr, P.FORECASTS).select(
         "postal_code", F.col("forecast_hour").alias("prev_forecast_hour"),
         F.col("temperature").alias("prev_temperature"))
     return (grid.join(prev, "forecast_hour", "left")
@@ -344,14 +341,12 @@ def q_lag_values(spark, sf_dir):
 
 @register("hourly_observations", with_ctes("SELECT * FROM obs_mart"))
 def q_hourly_observations(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=OBS_MART_INPUTS)
-    return P.hourly_by_area(i.cleaned_obs_wr, i.stg_areas, P.OBSERVATIONS)
+    return _in(spark, sf_dir, materialise=OBS_MART_INPUTS).mart(P.OBSERVATIONS)
 
 
 @register("hourly_forecasts", with_ctes("SELECT * FROM fc_mart"))
 def q_hourly_forecasts(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=FC_MART_INPUTS)
-    return P.hourly_by_area(i.cleaned_fc_wr, i.stg_areas, P.FORECASTS)
+    return _in(spark, sf_dir, materialise=FC_MART_INPUTS).mart(P.FORECASTS)
 
 
 # --------------------------------------------------------- loading, I1/A8-A12
@@ -455,25 +450,65 @@ def q_ingest_counts(spark, sf_dir):
     return I.ingest_counts(_in(spark, sf_dir).raw_obs)
 
 
-@register("nearest_station_routing", with_ctes(f"""
-SELECT id AS station_id, wmo_station_id AS route_key, 0.0{D} AS route_dist
-FROM route_src WHERE wmo_station_id IS NOT NULL
-UNION ALL
-SELECT l.id AS station_id, b.route_key, b.route_dist
-FROM route_src l LEFT JOIN route_best b ON l.id = b.station_id
-WHERE l.wmo_station_id IS NULL""", {
-    "route_src": "SELECT * FROM raw_stations WHERE observation_type = 'forecast'",
-    "route_cand": "SELECT DISTINCT wmo_station_id, lat, lon FROM raw_stations WHERE wmo_station_id IS NOT NULL",
-    "route_pairs": f"""SELECT s.id AS station_id, c.wmo_station_id AS route_key,
-                              round({hav('s.lat', 's.lon', 'c.lat', 'c.lon')}, 3) AS route_dist
-                       FROM route_src s CROSS JOIN route_cand c WHERE s.wmo_station_id IS NULL""",
-    "route_best": f"""SELECT station_id, route_key, route_dist FROM (
-                        SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY route_dist, route_key) AS rn
-                        FROM route_pairs WHERE route_dist <= {ROUTE_RADIUS_M}) WHERE rn = 1"""}))
+def _routing_sql(src: str) -> str:
+    """Nearest place of all by the least (distance, id) struct, without any limit."""
+    return with_ctes(f"""
+SELECT s.id AS station_id, coalesce(any_value(s.wmo_station_id), min(p.b).wmo) AS route_key,
+       CASE WHEN any_value(s.wmo_station_id) IS NOT NULL THEN 0.0{D} ELSE min(p.b).dist END AS route_dist
+FROM route_src s LEFT JOIN route_pairs p ON p.id = s.id
+GROUP BY s.id""", {
+        "route_src": src,
+        "route_cand": "SELECT DISTINCT wmo_station_id, lat, lon FROM raw_stations WHERE wmo_station_id IS NOT NULL",
+        "route_pairs": f"""
+SELECT s.id, struct_pack(dist := round({hav('s.lat', 's.lon', 'c.lat', 'c.lon')}, 3), wmo := c.wmo_station_id) AS b
+FROM route_src s, route_cand c WHERE s.wmo_station_id IS NULL"""})
+
+
+@register("nearest_station_routing", _routing_sql("SELECT * FROM raw_stations WHERE observation_type = 'forecast'"))
 def q_nearest_station_routing(spark, sf_dir):
     """Forecast request key per forecast source."""
     s = _in(spark, sf_dir).raw_stations
-    return I.route_keys(s.filter(F.col("observation_type") == "forecast"), s, ROUTE_RADIUS_M)
+    return I.route_keys(s.filter(F.col("observation_type") == "forecast"), s)
+
+
+# Sources spread over the globe, with poles and the antimeridian; two of three have no WMO id.
+_GLOBAL_LAT = f"CASE WHEN s_suppkey % 7 = 0 THEN 89.95{D} WHEN s_suppkey % 7 = 1 THEN -89.5{D} ELSE ((s_suppkey * 47) % 179) - 89.0{D} END"
+_GLOBAL_LON = f"CASE WHEN s_suppkey % 5 = 0 THEN -179.95{D} WHEN s_suppkey % 5 = 1 THEN 179.9{D} ELSE ((s_suppkey * 73) % 359) - 179.0{D} END"
+
+
+def _global_sources(spark, sf_dir) -> DataFrame:
+    k = F.col("s_suppkey")
+    return fx.table(spark, sf_dir, "supplier").select(
+        F.lpad(k.cast("string"), 6, "0").alias("id"),
+        F.when(k % 3 == 0, F.concat(F.lit("G"), k.cast("string"))).alias("wmo_station_id"),
+        F.when(k % 7 == 0, 89.95).when(k % 7 == 1, -89.5).otherwise((k * 47) % 179 - 89.0).alias("lat"),
+        F.when(k % 5 == 0, -179.95).when(k % 5 == 1, 179.9).otherwise((k * 73) % 359 - 179.0).alias("lon"))
+
+
+_GLOBAL_SQL = f"""
+SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS id,
+       CASE WHEN s_suppkey % 3 = 0 THEN 'G' || CAST(s_suppkey AS VARCHAR) END AS wmo_station_id,
+       {_GLOBAL_LAT} AS lat, {_GLOBAL_LON} AS lon FROM supplier"""
+
+
+@register("nearest_station_routing_global", _routing_sql(_GLOBAL_SQL))
+def q_nearest_station_routing_global(spark, sf_dir):
+    """B13 for sources anywhere on the globe, most of them far from every place."""
+    return I.route_keys(_global_sources(spark, sf_dir), _in(spark, sf_dir).raw_stations)
+
+
+CENTRES = ((0.0, 179.9, 3_000_000.0), (89.9, 13.4, 500_000.0), (-60.0, -179.0, 2_000_000.0), (10.0, 20.0, 1_500_000.0))
+
+
+@register("radius_filter_global", with_ctes("\nUNION ALL\n".join(f"""
+SELECT {n} AS centre, id, round({hav(f'{la}{D}', f'{lo}{D}', 'lat', 'lon')}, 3) AS distance FROM global_src
+WHERE round({hav(f'{la}{D}', f'{lo}{D}', 'lat', 'lon')}, 3) <= {r}""" for n, (la, lo, r) in enumerate(CENTRES)), {"global_src": _GLOBAL_SQL}))
+def q_radius_filter_global(spark, sf_dir):
+    """B12 around centres at the antimeridian, near a pole, and elsewhere."""
+    src = _global_sources(spark, sf_dir)
+    parts = [I.stations_in_radius(src, (la, lo), r).select(F.lit(n).alias("centre"), "id", "distance")
+             for n, (la, lo, r) in enumerate(CENTRES)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---------------------------------------------------------------- checks, K
@@ -542,139 +577,10 @@ def _rule_sql(model: str, rule: K.Rule) -> str:
     _rule_sql(m, r) for m, rules in K.REFERENCE_SUITE.items() for r in rules)))
 def q_check_report(spark, sf_dir):
     """K6: violation counts of the reference's 31 declared tests."""
-    i = _in(spark, sf_dir, materialise=MART_INPUTS + ("station_map",))
-    obs_mart = P.hourly_by_area(i.cleaned_obs_wr, i.stg_areas, P.OBSERVATIONS)
-    fc_mart = P.hourly_by_area(i.cleaned_fc_wr, i.stg_areas, P.FORECASTS)
-    frames = suite_frames(i, obs_mart, fc_mart)
+    i = _in(spark, sf_dir, materialise=MART_INPUTS)
+    frames = suite_frames(i, i.mart(P.OBSERVATIONS), i.mart(P.FORECASTS))
     return K.report([(m, frames[m], rules) for m, rules in K.REFERENCE_SUITE.items()])
 
 
-# ------------------------------------------------------ landed files, A4-A6
-
-@register("read_geojson_areas", with_ctes(
-    "SELECT postal_code AS plz, round(cx, 9) AS cx, round(cy, 9) AS cy FROM stg_areas"))
-def q_read_geojson_areas(spark, sf_dir):
-    """Areas landed as GeoJSON features, read back with the prefix filter."""
-    from ..session import scratch_path
-    from ..sources import landed
-
-    path = scratch_path(spark, "areas-geojson")
-    landed.land_areas_geojson(_in(spark, sf_dir).raw_postal, path)
-    areas = landed.read_geojson_areas(spark, path, prefixes=P.AREA_PREFIXES)
-    c = centroid("geometry")
-    return areas.select("plz", F.round(c["x"], 9).alias("cx"), F.round(c["y"], 9).alias("cy"))
-
-
-@register("read_weather_json", with_ctes("""
-SELECT station_id, "timestamp", temperature, precipitation, relative_humidity, wind_speed FROM raw_obs"""))
-def q_read_weather_json(spark, sf_dir):
-    """A5: observations landed as per-station, per-day weather documents."""
-    from ..session import scratch_path
-    from ..sources import landed
-
-    path = scratch_path(spark, "weather-json")
-    rows = _in(spark, sf_dir).raw_obs.select(
-        "station_id", "timestamp", "temperature", "precipitation", "relative_humidity", "wind_speed")
-    landed.land_weather_json(rows, path)
-    return landed.read_weather_json(spark, path).select(
-        "station_id", "timestamp", "temperature", "precipitation", "relative_humidity", "wind_speed")
-
-
-@register("stream_incremental", with_ctes(f"""
-SELECT station_id, wmo_station_id, "timestamp", temperature FROM stream_run1
-UNION ALL
-SELECT o.station_id, o.wmo_station_id, o."timestamp", o.temperature
-FROM stream_all o LEFT JOIN (SELECT station_id, max("timestamp") AS last_ts FROM stream_run1 GROUP BY station_id) m
-  ON o.station_id = m.station_id
-WHERE CASE WHEN m.last_ts IS NOT NULL THEN o."timestamp" > m.last_ts
-           ELSE o."timestamp" >= TIMESTAMP '{OBS_NOW}' - INTERVAL 30 DAY END
-  AND o."timestamp" <= TIMESTAMP '{OBS_NOW}'""", {
-    "active_sources": ACTIVE_SOURCES,
-    "stream_all": """SELECT o.station_id, a.wmo_station_id, o."timestamp", o.temperature, o.ingested_at
-                     FROM raw_obs o JOIN active_sources a ON o.station_id = a.id""",
-    "stream_run1": f"""SELECT * FROM stream_all WHERE ingested_at < TIMESTAMP '{OBS_LOADED_BEFORE}'
-                       AND "timestamp" >= TIMESTAMP '{OBS_NOW}' - INTERVAL 30 DAY
-                       AND "timestamp" <= TIMESTAMP '{OBS_NOW}'"""}))
-def q_stream_incremental(spark, sf_dir):
-    """Two landing drops processed by a file stream (AvailableNow) whose
-    micro-batches run the incremental append against the target table."""
-    from ..session import scratch_path
-    from ..sources import landed
-    from ..streaming.incremental import run_available_now
-
-    i = _in(spark, sf_dir)
-    landing, table, ckpt = (scratch_path(spark, n) for n in ("landing", "obs-table", "stream-ckpt"))
-    stations = I.active_stations(i.raw_stations, P.ACTIVE_SINCE)
-    rows = i.raw_obs.select("station_id", "timestamp", "temperature", "ingested_at")
-    split = F.col("ingested_at") < F.lit(OBS_LOADED_BEFORE).cast("timestamp_ntz")
-    landed.land_weather_json(rows.filter(split).drop("ingested_at"), landing)
-    run_available_now(spark, landing, table, ckpt, stations, OBS_NOW)
-    landed.land_weather_json(rows.drop("ingested_at"), landing, mode="append")
-    run_available_now(spark, landing, table, ckpt, stations, OBS_NOW)
-    return spark.read.parquet(table).select("station_id", "wmo_station_id", "timestamp", "temperature")
-
-
-# ------------------------------------------------------------ whole job, L11
-
-@register("pipeline_run", with_ctes("SELECT * FROM fc_mart"))
-def q_pipeline_run(spark, sf_dir):
-    """L11 + K5 + F2: the gated end-to-end job; returns the written forecast
-    mart read back. The two staging not-null rules that the fixture data
-    breaks on purpose (null WMO ids) are allowed."""
-    from ..session import scratch_path
-    from .pipeline import run_pipeline
-
-    i = _in(spark, sf_dir)
-    res = run_pipeline(spark, i.raw_stations, i.raw_postal, i.raw_obs, i.raw_fc,
-                       scratch_path(spark, "marts"), obs_order=OBS_ORDER, fc_order=FC_ORDER,
-                       allow=[("stg_observations", "not_null(wmo_station_id)"),
-                              ("stg_forecasts", "not_null(wmo_station_id)")])
-    return spark.read.parquet(res.tables["hourly_forecasts"])
-
-
-STREAM_FC_ORDER = ["station_id", "forecast_timestamp", "source_id", "temperature", "precipitation",
-                   "relative_humidity", "wind_speed"]
-_STREAM_FC_OUT = ("station_id, forecast_timestamp, source_id, temperature, precipitation, "
-                  "relative_humidity, wind_speed")
-_STREAM_FC_ORDER_SQL = ", ".join(f"{c} ASC NULLS FIRST" for c in STREAM_FC_ORDER)
-
-
-@register("stream_replace_future", with_ctes(f"""
-SELECT id, {_STREAM_FC_OUT}, ingested_at FROM fcs_run1
-WHERE station_id NOT IN (SELECT station_id FROM fcs_batch2)
-UNION ALL
-SELECT (SELECT coalesce(max(id), 0) FROM fcs_run1) + row_number() OVER (ORDER BY {_STREAM_FC_ORDER_SQL}) AS id,
-       {_STREAM_FC_OUT}, TIMESTAMP '{FC_NOW}' AS ingested_at
-FROM fcs_batch2""", {
-    "fcs_rows": f"""SELECT f.*, f.ingested_at AS issued FROM raw_fc f
-                    JOIN (SELECT id AS sid FROM raw_stations WHERE observation_type = 'forecast') s
-                      ON f.station_id = s.sid
-                    WHERE f.forecast_timestamp > TIMESTAMP '{FC_NOW}'
-                      AND f.forecast_timestamp <= TIMESTAMP '{FC_NOW}' + INTERVAL 10 DAY""",
-    "fcs_run1": f"""SELECT row_number() OVER (ORDER BY {_STREAM_FC_ORDER_SQL}) AS id, {_STREAM_FC_OUT},
-                           TIMESTAMP '{FC_NOW}' AS ingested_at
-                    FROM fcs_rows WHERE issued < TIMESTAMP '{FC_ISSUED_SPLIT}'""",
-    "fcs_batch2": f"SELECT * FROM fcs_rows WHERE issued >= TIMESTAMP '{FC_ISSUED_SPLIT}'"}))
-def q_stream_replace_future(spark, sf_dir):
-    """I2 for forecasts: two forecast runs landed as files (older issues, then
-    newer ones) processed by a file stream whose micro-batches apply
-    replace-future to a station-partitioned table."""
-    from ..session import scratch_path
-    from ..sources import landed
-    from ..streaming.incremental import run_forecasts_available_now
-
-    i = _in(spark, sf_dir)
-    landing, table, ckpt = (scratch_path(spark, n) for n in ("fc-landing", "fc-table", "fc-stream-ckpt"))
-    stations = i.raw_stations.filter(F.col("observation_type") == "forecast")
-    rows = i.raw_fc.select("station_id", "forecast_timestamp", "source_id", "temperature", "precipitation",
-                           "relative_humidity", "wind_speed", "ingested_at")
-    split = F.col("ingested_at") < F.lit(FC_ISSUED_SPLIT).cast("timestamp_ntz")
-    landed.land_weather_json(rows.filter(split).drop("ingested_at"), landing, ts="forecast_timestamp")
-    run_forecasts_available_now(spark, landing, table, ckpt, stations, FC_NOW, STREAM_FC_ORDER)
-    landed.land_weather_json(rows.filter(~split).drop("ingested_at"), landing, ts="forecast_timestamp",
-                             mode="append")
-    run_forecasts_available_now(spark, landing, table, ckpt, stations, FC_NOW, STREAM_FC_ORDER)
-    from .. import schemas
-
-    return spark.read.schema(schemas.FORECASTS).parquet(table).select(
-        "id", *[c.strip() for c in _STREAM_FC_OUT.split(",")], "ingested_at")
+# The queries on landed files, streams and the whole job register themselves too.
+from . import catalog_loading  # noqa: E402, F401

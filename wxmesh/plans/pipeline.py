@@ -1,12 +1,14 @@
-"""The whole job in dependency order, with data-check gates.
-
-staging -> station map -> cleaned facts -> hourly marts. Staging views and
-intermediates are written once as Parquet into the shared ``spark.checkpoint.dir`` (the
-reference keeps them as views; here each is read several times downstream),
-marts are written as Parquet tables sorted by (area, hour). After each layer
-the declared checks of that layer run; a failing rule stops the job before
-anything that depends on it is written. Rules listed in ``allow`` are
-reported but do not stop the job.
+"""The whole job in dependency order, with data-check gates.
+
+landed files -> raw tables -> staging -> station map -> cleaned facts -> hourly
+marts. Staging and intermediates are temporary views named like the models
+(each a plan over the raw tables, as the reference's views are); marts are
+catalog tables whose files are in (area, hour) order. Inside one run the staged
+facts and the station map, which several models read, are written once; what
+the run wrote for itself is removed at its end. After each layer the declared
+checks of that layer run; a failing rule stops the job before anything that
+depends on it is written. Rules listed in ``allow`` are reported but do not
+stop the job.
 """
 
 from __future__ import annotations
@@ -15,59 +17,117 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import checks as K
-from ..operators.ingest import write_sorted
-from ..session import materialise
+from ..operators import ingest as I
+from ..session import materialise, scratch
+from ..sources import landed
 from . import products as P
 
 
 @dataclass
 class PipelineResult:
-    tables: dict[str, str]
+    tables: dict[str, str]                                  # mart -> path
+    names: dict[str, str] = field(default_factory=dict)     # mart -> catalog table
     reports: list[DataFrame] = field(default_factory=list)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    return materialise(df, "pipeline-stage")
+MARTS = {"hourly_observations": P.OBSERVATIONS, "hourly_forecasts": P.FORECASTS}
+
+
+def register_views(raw: dict[str, DataFrame], obs_order: tuple | None = None, fc_order: tuple | None = None) -> None:
+    """Staging and intermediate models as temporary views over the raw frames."""
+    stations = P.stg_stations(raw["weather_stations"])
+    areas = P.stg_postal_codes(P.load_areas(raw["postal_codes"]))
+    obs = P.stg_facts(raw["weather_observations"], P.OBSERVATIONS, obs_order)
+    fc = P.stg_facts(raw["weather_forecasts"], P.FORECASTS, fc_order)
+    for name, df in (("stg_stations", stations), ("stg_postal_codes", areas), ("stg_observations", obs), ("stg_forecasts", fc)):
+        df.createOrReplaceTempView(name)
+    station_map = P.station_area_map(stations, areas, obs, fc)
+    station_map.createOrReplaceTempView("station_area_map")
+    P.cleaned(obs, station_map, P.OBSERVATIONS).createOrReplaceTempView("cleaned_observations")
+    P.cleaned(fc, station_map, P.FORECASTS).createOrReplaceTempView("cleaned_forecasts")
 
 
 def run_pipeline(spark: SparkSession, raw_stations: DataFrame, raw_areas: DataFrame,
                  raw_obs: DataFrame, raw_fc: DataFrame, out_dir: str, *,
                  obs_order: tuple | None = None, fc_order: tuple | None = None,
-                 allow: Iterable[tuple[str, str]] = (), gate: bool = True) -> PipelineResult:
+                 allow: Iterable[tuple[str, str]] = (), gate: bool = True, database: str = "analytics") -> PipelineResult:
     suite = K.REFERENCE_SUITE
     allow = tuple(allow)
     result = PipelineResult(tables={})
+    base = out_dir.rstrip("/")
 
     def check(frames: dict[str, DataFrame]) -> None:
         if gate:
             result.reports.append(K.gate([(m, df, suite[m]) for m, df in frames.items()], allow))
 
-    # Staging (views in the reference).
-    stg_stations = P.stg_stations(raw_stations)
-    stg_areas = P.stg_postal_codes(P.load_areas(raw_areas))
-    stg_obs = _cut(P.stg_facts(raw_obs, P.OBSERVATIONS, obs_order))
-    stg_fc = _cut(P.stg_facts(raw_fc, P.FORECASTS, fc_order))
-    check({"stg_observations": stg_obs, "stg_forecasts": stg_fc,
-           "stg_stations": stg_stations, "stg_postal_codes": stg_areas})
-
-    # Intermediate.
-    station_map = _cut(P.station_area_map(stg_stations, stg_areas, stg_obs, stg_fc))
-    check({"station_area_map": station_map})
-    cleaned_obs = _cut(P.cleaned_with_rank(stg_obs, station_map, P.OBSERVATIONS))
-    cleaned_fc = _cut(P.cleaned_with_rank(stg_fc, station_map, P.FORECASTS))
-    check({"cleaned_observations": cleaned_obs, "cleaned_forecasts": cleaned_fc})
-
-    # Marts (tables), written in (area, hour) order.
-    base = out_dir.rstrip("/")
-    for name, cleaned, spec in (("hourly_observations", cleaned_obs, P.OBSERVATIONS),
-                                ("hourly_forecasts", cleaned_fc, P.FORECASTS)):
-        path = f"{base}/{name}"
-        # written once first: the range partitioning of the sorted write samples
-        # its input, which would otherwise run the mart plan a second time
-        mart = _cut(P.hourly_by_area(cleaned, stg_areas, spec))
-        write_sorted(mart, path, ["postal_code", spec.hour])
-        result.tables[name] = path
-        check({name: spark.read.parquet(path)})
+    register_views({"weather_stations": raw_stations, "postal_codes": raw_areas, "weather_observations": raw_obs,
+                    "weather_forecasts": raw_fc}, obs_order, fc_order)
+    with scratch(spark):
+        stg_stations = spark.table("stg_stations")
+        stg_areas = spark.table("stg_postal_codes")
+        stg = {"hourly_observations": materialise(spark.table("stg_observations"), "stg-observations"),
+               "hourly_forecasts": materialise(spark.table("stg_forecasts"), "stg-forecasts")}
+        check({"stg_observations": stg["hourly_observations"], "stg_forecasts": stg["hourly_forecasts"],
+               "stg_stations": stg_stations, "stg_postal_codes": stg_areas})
+
+        station_map = materialise(P.station_area_map(stg_stations, stg_areas, *stg.values()), "station-map")
+        check({"station_area_map": station_map})
+        check({f"cleaned_{spec.name}": P.cleaned(stg[name], station_map, spec) for name, spec in MARTS.items()})
+
+        schemas.create_namespaces(spark, base)
+        bounds = I.range_bounds(stg_areas, "postal_code", int(spark.conf.get("spark.sql.shuffle.partitions")))
+        for name, spec in MARTS.items():
+            path, table = f"{base}/{name}", f"{database}.{name}"
+            mart = P.hourly_by_area(stg[name], station_map, stg_areas, spec)
+            I.write_sorted(mart, path, ["postal_code", spec.hour], bounds, table=table)
+            result.tables[name], result.names[name] = path, table
+            check({name: spark.table(table)})
     return result
+
+
+# ------------------------------------------------------------- load jobs, L10
+
+def load_stations(spark: SparkSession, landing: str, raw_dir: str, now, centre=I.DISCOVERY_CENTRE,
+                  radius_m: float = I.DISCOVERY_RADIUS_M) -> DataFrame:
+    """Landed station documents -> the raw station table, fully refreshed (A4, A8, B12, B14); returns the rejects."""
+    rows, rejects = landed.read_stations(spark, landing, now)
+    found = I.stations_in_radius(rows, centre, radius_m).withColumn("location", P.point("lon", "lat"))
+    I.full_refresh(schemas.bind_by_name(found, schemas.STATIONS), f"{raw_dir.rstrip('/')}/weather_stations")
+    return rejects
+
+
+def load_areas(spark: SparkSession, landing: str, raw_dir: str, now, prefixes=P.AREA_PREFIXES,
+               multiline: bool = False) -> DataFrame:
+    """Landed GeoJSON features -> the raw area table, fully refreshed (A6, A7, A8, B8); returns the rejects."""
+    rows, rejects = landed.read_geojson(spark, landing, prefixes, multiline, now)
+    I.full_refresh(rows, f"{raw_dir.rstrip('/')}/postal_codes")
+    return rejects
+
+
+def run_job(spark: SparkSession, landing: str, raw_dir: str, out_dir: str, checkpoint: str, now, *,
+            allow: Iterable[tuple[str, str]] = (), gate: bool = True, **limits) -> tuple[PipelineResult, DataFrame]:
+    """``landing/{stations,areas,observations,forecasts}`` -> raw tables -> marts.
+
+    Returns the marts and the ingest summary (D3): the rows that this run loaded,
+    by table and station, with a total row per table (null station).
+    """
+    from ..streaming import incremental as S
+
+    landing, raw_dir = landing.rstrip("/"), raw_dir.rstrip("/")
+    load_stations(spark, f"{landing}/stations", raw_dir, now)
+    load_areas(spark, f"{landing}/areas", raw_dir, now)
+    stations = schemas.read_raw(spark, raw_dir, "weather_stations")
+    S.run_available_now(spark, f"{landing}/observations", f"{raw_dir}/weather_observations", f"{checkpoint}/observations",
+                        I.active_stations(stations, P.ACTIVE_SINCE), now, **limits)
+    S.run_forecasts_available_now(spark, f"{landing}/forecasts", f"{raw_dir}/weather_forecasts", f"{checkpoint}/forecasts",
+                                  stations.filter(F.col("observation_type") == "forecast"), now, **limits)
+    raw = {name: S.read_table_or_empty(spark, f"{raw_dir}/{name}", schema) for name, schema in schemas.RAW.items()}
+    result = run_pipeline(spark, raw["weather_stations"], raw["postal_codes"], raw["weather_observations"],
+                          raw["weather_forecasts"], out_dir, allow=allow, gate=gate)
+    loaded = [I.ingest_counts(raw[n].filter(F.col("ingested_at") == P.ts_literal(now))).select(F.lit(n).alias("table"), "station_id", "n_rows")
+              for n in ("weather_observations", "weather_forecasts")]
+    return result, loaded[0].unionByName(loaded[1])

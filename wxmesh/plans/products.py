@@ -36,21 +36,23 @@ class FactSpec:
     ts: str                      # time column of the staged rows
     hour: str                    # hour column of the cleaned rows and the mart
     staged: tuple                # columns of the staging view
-    newest_first: tuple          # total order for "newest row wins"
+    newest_first: tuple          # "newest row wins": total over all staged columns
 
 
 OBSERVATIONS = FactSpec(
     name="observations", ts="timestamp", hour="observation_hour",
     staged=("timestamp", "station_id", "wmo_station_id", "temperature", "precipitation",
             "relative_humidity", "wind_speed", "wind_direction", "ingested_at"),
-    newest_first=("ingested_at", "station_id"),
+    newest_first=("ingested_at", "station_id", "source_id", "temperature", "precipitation",
+                  "relative_humidity", "wind_speed", "wind_direction"),
 )
 
 FORECASTS = FactSpec(
     name="forecasts", ts="forecast_timestamp", hour="forecast_hour",
     staged=("forecast_timestamp", "station_id", "wmo_station_id", "temperature", "precipitation",
             "relative_humidity", "wind_speed", "wind_direction", "condition", "ingested_at"),
-    newest_first=("ingested_at", "id"),
+    newest_first=("ingested_at", "id", "station_id", "source_id", "temperature", "precipitation",
+                  "relative_humidity", "wind_speed", "wind_direction", "condition"),
 )
 
 
@@ -103,19 +105,27 @@ def active_station_ids(stg_obs: DataFrame, stg_fc: DataFrame) -> DataFrame:
     return pick(stg_obs).union(pick(stg_fc)).distinct()
 
 
-def area_centroids(stg_areas: DataFrame) -> DataFrame:
+def _axes(axis_order: str) -> tuple[str, str]:
+    """Which coordinates of a point are (latitude, longitude)."""
+    if axis_order not in ("xy", "yx"):
+        raise ValueError("axis_order must be 'xy' or 'yx'")
+    return ("y", "x") if axis_order == "xy" else ("x", "y")
+
+
+def area_centroids(stg_areas: DataFrame, axis_order: str = "xy") -> DataFrame:
     """H5 hoisted: one centroid per area, computed once before the join."""
-    c = centroid("geometry")
-    return stg_areas.select("postal_code", c["y"].alias("area_lat"), c["x"].alias("area_lon"))
+    c, (lat, lon) = centroid("geometry"), _axes(axis_order)
+    return stg_areas.select("postal_code", c[lat].alias("area_lat"), c[lon].alias("area_lon"))
 
 
-def station_points(stg_stations_df: DataFrame, active_ids: DataFrame | None = None) -> DataFrame:
+def station_points(stg_stations_df: DataFrame, active_ids: DataFrame | None = None, axis_order: str = "xy") -> DataFrame:
     """C2 + D1: one point per WMO id that has data."""
+    lat, lon = _axes(axis_order)
     s = stg_stations_df.filter(F.col("wmo_station_id").isNotNull())
     if active_ids is not None:
         s = s.join(active_ids, "wmo_station_id", "left_semi")
-    return s.select("wmo_station_id", F.col("geometry")["y"].alias("lat"),
-                    F.col("geometry")["x"].alias("lon")).distinct()
+    return s.select("wmo_station_id", F.col("geometry")[lat].alias("lat"),
+                    F.col("geometry")[lon].alias("lon")).distinct()
 
 
 def rank_stations(pairs: DataFrame, max_rank: int = MAX_STATION_RANK) -> DataFrame:
@@ -129,17 +139,18 @@ def rank_stations(pairs: DataFrame, max_rank: int = MAX_STATION_RANK) -> DataFra
 
 def station_area_map(stg_stations_df: DataFrame, stg_areas: DataFrame, stg_obs: DataFrame,
                      stg_fc: DataFrame, radius_m: float = STATION_RADIUS_M,
-                     max_rank: int = MAX_STATION_RANK) -> DataFrame:
+                     max_rank: int = MAX_STATION_RANK, axis_order: str = "xy") -> DataFrame:
     """Each area's nearest stations with data, within ``radius_m``.
 
-    The station points (one row per WMO place that has data) are at most as
-    many as the staged station rows; that small table is counted, and the
-    count is the proven bound the distance join checks before broadcasting
-    the points.
+    The station points (one row per WMO place that has data) are among the
+    staged stations; that small table is measured, and its size is the proven
+    bound that decides whether the points are broadcast. ``axis_order='yx'``
+    takes the first coordinate of a point as latitude, as the reference's
+    distance function does with its points.
     """
-    stations = station_points(stg_stations_df, active_station_ids(stg_obs, stg_fc))
-    pairs = distance_join(stations, area_centroids(stg_areas), radius_m,
-                          n_points=stg_stations_df.count())
+    stations = station_points(stg_stations_df, active_station_ids(stg_obs, stg_fc), axis_order)
+    bound = station_points(stg_stations_df, None, axis_order)
+    pairs = distance_join(stations, area_centroids(stg_areas, axis_order), radius_m, measured=bound)
     return rank_stations(pairs.select("wmo_station_id", "postal_code", "dist"), max_rank) \
         .select("wmo_station_id", "postal_code", "dist", "station_rank")
 
@@ -186,33 +197,40 @@ def best_station_per_hour(cleaned_wr: DataFrame, spec: FactSpec) -> DataFrame:
     return best.select("postal_code", spec.hour, *METRICS)
 
 
-def hour_spine(cleaned_wr: DataFrame, spec: FactSpec) -> DataFrame:
+def mapped_rows(stg: DataFrame, station_map: DataFrame, spec: FactSpec, temperature_range=TEMPERATURE_RANGE,
+                humidity_range=HUMIDITY_RANGE) -> DataFrame:
+    """Staged rows that appear among the cleaned rows, each once (no fan-out to areas)."""
+    ok = in_range_or_null("temperature", *temperature_range) & \
+        in_range_or_null("relative_humidity", *humidity_range)
+    return stg.filter(ok).join(station_map.select("wmo_station_id"), "wmo_station_id", "left_semi")
+
+
+def hour_spine(stg: DataFrame, station_map: DataFrame, spec: FactSpec) -> DataFrame:
     """Distinct hours seen in the cleaned rows (not a calendar)."""
-    return cleaned_wr.select(hour_of(spec.hour).alias(spec.hour)).distinct()
+    return mapped_rows(stg, station_map, spec).select(hour_of(spec.ts).alias(spec.hour)).distinct()
 
 
 def area_hour_spine(stg_areas: DataFrame, hours: DataFrame) -> DataFrame:
     return spine(stg_areas.select("postal_code").distinct(), hours)
 
 
-def hourly_by_area(cleaned_wr: DataFrame, stg_areas: DataFrame, spec: FactSpec) -> DataFrame:
+def hourly_by_area(stg: DataFrame, station_map: DataFrame, stg_areas: DataFrame, spec: FactSpec) -> DataFrame:
     """One row per area and hour with a one-step previous-hour fill.
 
-    The hour set is derived from the cleaned rows once and written (it is
-    tiny, while the cleaned table may be large: the count, the spine and the
-    previous-hour numbering then read the written set instead of scanning
-    the cleaned rows again). Within the bound it is broadcast both to build
-    the spine and as the previous-hour map (one row per hour).
+    The cleaned rows (one per staged row and area) are never written: the best
+    station per area and hour is a partial limit on the join's output. The hour
+    set is taken from the staged rows and written, as it is counted and read
+    twice; it has one row per hour of the period, and within the bound it is
+    broadcast to build the spine and as the previous-hour map.
     """
     from ..session import materialise
 
-    hours = materialise(hour_spine(cleaned_wr, spec), "hours")
+    hours = materialise(hour_spine(stg, station_map, spec), "hours")
     n_hours = hours.count()
     small = n_hours <= SPINE_BROADCAST_MAX_ROWS
     grid = spine(stg_areas.select("postal_code").distinct(), hours, n_times=n_hours)
     # range partitions for numbering the hour set: sized from its known count
-    parts = max(1, min(int(cleaned_wr.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                       n_hours // 50_000 + 1))
+    parts = max(1, min(int(stg.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_hours // 50_000 + 1))
     prev = previous_in_set(hours, spec.hour, "_prev", num_partitions=parts)
-    best = best_station_per_hour(cleaned_wr, spec)
+    best = best_station_per_hour(cleaned_with_rank(stg, station_map, spec), spec)
     return fill_from_previous(grid, best, "postal_code", spec.hour, METRICS, prev, broadcast_prev=small)

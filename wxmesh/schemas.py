@@ -47,6 +47,7 @@ FORECASTS = _schema(
     ("wind_gust_direction", D), ("wind_gust_speed", D), ("ingested_at", TS),
 )
 
+# The raw tables' names, columns and types.
 RAW = {
     "postal_codes": AREAS,
     "weather_stations": STATIONS,
@@ -65,10 +66,11 @@ LOAD_TIME_COLUMN = {
 NAMESPACES = ("raw", "staging", "analytics")
 
 
-def create_namespaces(spark: SparkSession) -> list[str]:
-    """A2: one catalog database per layer."""
+def create_namespaces(spark: SparkSession, location: str | None = None) -> list[str]:
+    """A2: one catalog database per layer, under ``location`` if given."""
     for ns in NAMESPACES:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
+        where = f" LOCATION '{location.rstrip('/')}/{ns}.db'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}{where}")
     return list(NAMESPACES)
 
 
@@ -77,14 +79,21 @@ def read_raw(spark: SparkSession, base_path: str, name: str, fmt: str = "parquet
     return spark.read.schema(RAW[name]).format(fmt).load(f"{base_path.rstrip('/')}/{name}")
 
 
+def _stamp(load_time) -> str:
+    """A load time (text or datetime, UTC) as a SQL literal."""
+    text = load_time if isinstance(load_time, str) else load_time.isoformat(sep=" ")
+    return f"TIMESTAMP_NTZ '{text}'"
+
+
 def bind_by_name(df: DataFrame, schema: T.StructType, load_time=None,
                  load_time_column: str | None = None, keep: tuple = ()) -> DataFrame:
     """Bind a batch to a declared schema by column name.
 
     Missing columns become typed nulls, extra columns are dropped, values are
-    converted with ``try_cast``. Integer targets go through double first so
-    text like ``72.0`` survives. ``load_time_column`` is stamped with
-    ``load_time`` (one value for the whole batch) when the batch lacks it.
+    converted with ``try_cast``. Fractions given for an integer column are
+    rounded as the reference's engine casts them: numbers half to even, text
+    half away from zero. ``load_time_column`` is stamped with ``load_time`` (one
+    value for the whole batch) where the batch has no value.
     Columns named in ``keep`` are carried along unchanged after the schema.
     """
     src = {f.name: f.dataType for f in df.schema.fields}
@@ -93,17 +102,21 @@ def bind_by_name(df: DataFrame, schema: T.StructType, load_time=None,
         name, target = f"`{f.name}`", f.dataType.simpleString()
         if f.name in src:
             st = src[f.name]
-            if st == f.dataType:
+            if f.name == load_time_column and load_time is not None:
+                exprs.append(f"coalesce(try_cast({name} AS {target}), {_stamp(load_time)}) AS {name}")
+            elif st == f.dataType:
                 exprs.append(f"{name} AS {name}")
             elif isinstance(f.dataType, T.StringType) and isinstance(st, (T.ArrayType, T.StructType, T.MapType)):
                 exprs.append(f"to_json({name}) AS {name}")
             elif isinstance(f.dataType, (T.LongType, T.IntegerType)) and not isinstance(
                     st, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-                exprs.append(f"try_cast(try_cast({name} AS double) AS {target}) AS {name}")
+                whole = (f"round(try_cast({name} AS decimal(38, 10)))" if isinstance(st, T.StringType)
+                         else f"bround(try_cast({name} AS double))")
+                exprs.append(f"try_cast({whole} AS {target}) AS {name}")
             else:
                 exprs.append(f"try_cast({name} AS {target}) AS {name}")
         elif f.name == load_time_column and load_time is not None:
-            exprs.append(f"CAST(TIMESTAMP_NTZ '{load_time}' AS {target}) AS {name}")
+            exprs.append(f"{_stamp(load_time)} AS {name}")
         else:
             exprs.append(f"CAST(NULL AS {target}) AS {name}")
     exprs.extend(f"`{k}`" for k in keep)

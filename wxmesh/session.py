@@ -7,8 +7,11 @@ tests, the bench and command-line runs.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,13 +47,16 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    On a cluster this is the shared location named in ``spark.checkpoint.dir``
-    (read from the session). Only when it is unset (local tests) a fresh
-    scratch folder is created and registered.
+    It is the location named in ``spark.checkpoint.dir`` (read from the
+    session). Only on a local master may it be unset: then a fresh scratch
+    folder is registered. On a cluster a machine-local folder would leave each
+    executor's files where the others cannot read them, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
+        if not is_local(sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="wxmesh-ckpt-",
                                    dir=os.environ.get("WXMESH_SCRATCH", "/tmp"))
     if sc.getCheckpointDir() is None:
@@ -58,12 +64,72 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """One JVM (``local``, ``local[n]``); ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
+class Scratch:
+    """Owner of the tables a job writes for itself; ``release`` removes them.
+
+    ``materialise`` and ``scratch_path`` register with the innermost owner that
+    is open (see ``scratch``). Outside of any, the session owns them until
+    ``release_scratch`` or the end of the Python process.
+    """
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def release(self, spark: SparkSession) -> None:
+        paths, self.paths = self.paths, []
+        for path in paths:
+            delete_path(spark, path)
+
+
+_owners: list[Scratch] = [Scratch()]
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder through the file system that its path names."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is materialised inside is removed at the end, also after an error.
+
+    Nothing that still reads such a table may leave the block unwritten.
+    """
+    own = Scratch()
+    _owners.append(own)
+    try:
+        yield own
+    finally:
+        _owners.remove(own)
+        own.release(spark)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove the tables of finished queries of this session."""
+    _owners[0].release(spark)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _owners[0].paths else None
+    if spark is not None:
+        with suppress(Exception):  # the JVM may be gone already
+            _owners[0].release(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-path of the shared checkpoint folder."""
-    import uuid
-
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _owners[-1].paths.append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -16,23 +16,8 @@ from ..functions.geo import point
 from ..functions.timeutil import hour_of
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A small single-file input (one Parquet row group) is read by one task,
-    and everything up to the first shuffle would run in that task. Only in
-    that case the rows are dealt round-robin to ``defaultParallelism``
-    partitions; a large input already has at least that many splits and is
-    left untouched (no extra shuffle at scale).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pad(c: Column, n: int) -> Column:
@@ -129,10 +114,15 @@ def raw_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bench_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many point areas from ``customer`` (distance-join scale tests)."""
+    """Many point areas from ``customer`` (distance-join scale tests).
+
+    Every 1,500 customers fill one box of about 100 km; more customers mean more
+    boxes, so the density of areas is the same at every scale.
+    """
     c = F.col("c_custkey")
+    box = F.floor(c / 1500)
     return table(spark, sf_dir, "customer").select(
         F.concat(F.lit("C"), c.cast("string")).alias("postal_code"),
-        point(F.lit(13.4) + ((c * 29) % 1501 - 750) / 2500.0,
-              F.lit(52.52) + ((c * 31) % 1499 - 749) / 3000.0).alias("centroid"),
+        point(F.lit(13.4) + ((c * 29) % 1501 - 750) / 2500.0 + (box % 40) * 2.0,
+              F.lit(52.52) + ((c * 31) % 1499 - 749) / 3000.0 - F.floor(box / 40) * 1.5).alias("centroid"),
     )

@@ -1,9 +1,12 @@
 """Readers for landed API responses.
 
 The reference fetches JSON over HTTP per request. Here responses are files
-in a landing folder and are read with explicit schemas (no inference), one
-document per line so the read splits across tasks. Writers that produce the
-same layout from DataFrames are included for tests and replays.
+in a landing folder, one document per line, so the read splits across tasks.
+Each reader looks at every line once and gives each a verdict: a row of the
+result, or a row of the rejects with the reason, the line or value and its
+file. Nothing is dropped silently: entries in = rows out + rejects.
+Writers that produce the same layout from DataFrames are included for tests
+and replays.
 """
 
 from __future__ import annotations
@@ -17,53 +20,139 @@ from ..functions.geo import multipolygon_coords, polygon_to_multipolygon
 from ..functions.timeutil import parse_iso_utc
 
 S, D = T.StringType(), T.DoubleType()
+CORRUPT = "_corrupt_record"
 
-STATION_DOC = T.StructType([T.StructField("sources", T.ArrayType(T.StructType([
-    T.StructField(n, t) for n, t in [
-        ("id", S), ("dwd_station_id", S), ("wmo_station_id", S), ("station_name", S),
-        ("observation_type", S), ("lat", D), ("lon", D), ("height", D),
-        ("first_record", S), ("last_record", S), ("distance", D)]])))])
-
-# Values are read as text and bound to the table types afterwards with
-# try_cast (H13): numbers sent as numbers or as text ("72.0") both load, a
-# bad value becomes null; nested values such as ``fallback_source_ids``
-# arrive as their JSON text.
-WEATHER_FIELDS = [(n, S) for n in (
-    "timestamp", "source_id", "precipitation", "pressure_msl", "sunshine", "temperature",
-    "wind_direction", "wind_speed", "cloud_cover", "dew_point", "relative_humidity", "visibility",
-    "wind_gust_direction", "wind_gust_speed", "condition", "precipitation_probability",
-    "precipitation_probability_6h", "solar", "icon", "fallback_source_ids")]
-WEATHER_DOC = T.StructType([
-    T.StructField("station_id", S),
-    T.StructField("weather", T.ArrayType(T.StructType([T.StructField(n, t) for n, t in WEATHER_FIELDS]))),
-])
+
+def _doc(*fields) -> T.StructType:
+    return T.StructType([*(T.StructField(n, t) for n, t in fields), T.StructField(CORRUPT, S)])
+
+
+SOURCE = T.StructType([T.StructField(n, S) for n in (
+    "id", "dwd_station_id", "wmo_station_id", "station_name", "observation_type", "lat", "lon", "height",
+    "first_record", "last_record", "distance")])
+STATION_DOC = _doc(("sources", T.ArrayType(SOURCE)))
+
+# Values are read as text and bound to the table types afterwards (H13):
+# numbers sent as numbers or as text ("72.0") both load, a bad value becomes
+# null; nested values such as ``fallback_source_ids`` arrive as JSON text.
+NUMBERS = ("source_id", "precipitation", "pressure_msl", "sunshine", "temperature",
+           "wind_direction", "wind_speed", "cloud_cover", "dew_point", "relative_humidity", "visibility",
+           "wind_gust_direction", "wind_gust_speed", "precipitation_probability",
+           "precipitation_probability_6h", "solar")
+WEATHER_FIELDS = ("timestamp", *NUMBERS, "condition", "icon", "fallback_source_ids")
+# ``issued`` is optional: when the answer was issued. Without it the landed
+# file's time stands in.
+WEATHER_DOC = _doc(("station_id", S), ("issued", S), ("weather", T.ArrayType(T.StructType([T.StructField(n, S) for n in WEATHER_FIELDS]))))
 
 FEATURE = T.StructType([
     T.StructField("properties", T.StructType([T.StructField("postcode", S)])),
     T.StructField("geometry", T.StructType([T.StructField("type", S), T.StructField("coordinates", S)])),
 ])
 
+#: What a reject looks like: why, what was read, where from.
+REJECTS = "reason string, value string, file string"
 
-def read_stations_json(spark: SparkSession, path: str) -> DataFrame:
-    """A4: ``{"sources": [...]}`` documents -> raw station rows."""
-    docs = spark.read.schema(STATION_DOC).json(path)
-    rows = docs.select(F.explode("sources").alias("s")).select("s.*")
+
+def lines(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """``value``, ``_file`` and ``_issued`` (the file's time) of each line that is not blank."""
+    return with_origin(spark.read.option("wholetext", whole_files).text(path))
+
+
+def with_origin(text: DataFrame) -> DataFrame:
+    return (text.select("value", F.col("_metadata.file_path").alias("_file"),
+                        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_issued"))
+                .filter(F.trim("value") != ""))
+
+
+def _parsed(text: DataFrame, schema: T.StructType) -> DataFrame:
+    return text.withColumn("_d", F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}))
+
+
+def _broken() -> Column:
+    return F.col("_d").isNull() | F.col(f"_d.{CORRUPT}").isNotNull()
+
+
+def _rejects(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("_reason").isNotNull()).select(
+        F.col("_reason").alias("reason"), F.col("_shown").alias("value"), F.col("_file").alias("file"))
+
+
+# ---------------------------------------------------------------- stations --
+
+def judged_stations(text: DataFrame) -> DataFrame:
+    docs = _parsed(text, STATION_DOC)
+    one = docs.withColumn("_broken", _broken()).withColumn(
+        "_s", F.explode_outer(F.when(~F.col("_broken"), F.col("_d.sources"))))
+    listed = F.col("_broken") | F.col("_s").isNotNull() | F.col("_d.sources").isNull()
+    reason = (F.when(F.col("_broken"), F.lit("malformed document"))
+              .when(F.col("_d.sources").isNull(), F.lit("no sources"))
+              .when(F.col("_s.id").isNull(), F.lit("no station id")))
+    # an empty list gives no row and is no reject
+    return one.filter(listed | (F.size("_d.sources") > 0)).select(
+        "_s", "_file", reason.alias("_reason"),
+        F.when(F.col("_s").isNull(), F.col("value")).otherwise(F.to_json("_s")).alias("_shown"))
+
+
+def read_stations(spark: SparkSession, path: str, load_time=None) -> tuple[DataFrame, DataFrame]:
+    """A4: ``{"sources": [...]}`` documents -> raw station rows, and the rejects."""
+    judged = judged_stations(lines(spark, path))
+    rows = judged.filter(F.col("_reason").isNull()).select("_s.*")
     rows = (rows.withColumn("first_record", parse_iso_utc("first_record"))
                 .withColumn("last_record", parse_iso_utc("last_record")))
-    return schemas.bind_by_name(rows, schemas.STATIONS)
+    return (schemas.bind_by_name(rows, schemas.STATIONS, load_time, "created_at"), _rejects(judged))
 
 
-def read_weather_json(spark: SparkSession, path: str, schema: T.StructType = schemas.OBSERVATIONS) -> DataFrame:
-    """A5: ``{"station_id": .., "weather": [...]}`` documents -> rows.
+def read_stations_json(spark: SparkSession, path: str) -> DataFrame:
+    return read_stations(spark, path)[0]
+
+
+# ----------------------------------------------------------------- weather --
+
+def judged_weather(text: DataFrame) -> DataFrame:
+    """One row for each entry of each document, with ``_reason`` where it cannot be loaded."""
+    docs = _parsed(text, WEATHER_DOC).withColumn("_broken", _broken())
+    one = docs.withColumn("_w", F.explode_outer(F.when(~F.col("_broken"), F.col("_d.weather"))))
+    n = F.coalesce(F.size("_d.weather"), F.lit(0))
+    at = parse_iso_utc("_w.timestamp")
+    reason = (F.when(F.col("_broken"), F.lit("malformed document"))
+              .when(F.col("_d.station_id").isNull(), F.lit("no station id"))
+              .when(F.col("_w").isNull(), F.lit("empty entry"))
+              .when(F.col("_w.timestamp").isNull(), F.lit("no timestamp"))
+              .when(at.isNull(), F.lit("bad timestamp")))
+    # a null or empty list gives no row and is no reject
+    return one.filter(F.col("_broken") | (n > 0)).select(
+        F.col("_d.station_id").alias("station_id"), "_w", at.alias("_at"), "_file",
+        F.coalesce(parse_iso_utc("_d.issued"), "_issued").alias("_issued"), reason.alias("_reason"),
+        F.when(F.col("_w").isNull(), F.col("value")).otherwise(F.to_json("_w")).alias("_shown"))
+
+
+def weather_rows(judged: DataFrame, schema: T.StructType = schemas.OBSERVATIONS, load_time=None,
+                 keep: tuple = ()) -> DataFrame:
+    """Good entries as rows of ``schema`` (forecasts: ``timestamp`` is
+    ``forecast_timestamp``, B2). ``keep`` names columns of ``judged`` to carry."""
+    ts = "timestamp" if "timestamp" in schema.fieldNames() else "forecast_timestamp"
+    good = judged.filter(F.col("_reason").isNull())
+    # JSON numbers are numbers to the reference, so they round as such
+    fields = [F.col("_at").alias(ts), *(F.col(f"_w.{n}").try_cast("double").alias(n) for n in NUMBERS),
+              *(F.col(f"_w.{n}").alias(n) for n in ("condition", "icon", "fallback_source_ids"))]
+    return schemas.bind_by_name(good.select("station_id", *fields, *keep), schema, load_time, "ingested_at", keep)
+
+
+def read_weather(spark: SparkSession, path: str, schema: T.StructType = schemas.OBSERVATIONS,
+                 load_time=None) -> tuple[DataFrame, DataFrame]:
+    """A5: ``{"station_id": .., "weather": [...]}`` documents -> rows, and the rejects.
 
     An empty or null list yields no rows; timestamps with offsets become UTC.
     """
-    docs = spark.read.schema(WEATHER_DOC).json(path)
-    rows = docs.select("station_id", F.explode("weather").alias("w")).select("station_id", "w.*")
-    ts_col = "timestamp" if "timestamp" in schema.fieldNames() else "forecast_timestamp"
-    rows = rows.withColumn(ts_col, parse_iso_utc("timestamp"))
-    return schemas.bind_by_name(rows, schema)
+    judged = judged_weather(lines(spark, path))
+    return weather_rows(judged, schema, load_time), _rejects(judged)
+
+
+def read_weather_json(spark: SparkSession, path: str, schema: T.StructType = schemas.OBSERVATIONS) -> DataFrame:
+    return read_weather(spark, path, schema)[0]
+
 
+# ------------------------------------------------------------------- areas --
 
 def _geometry(g: Column) -> Column:
     """H8: GeoJSON Polygon / MultiPolygon -> multipolygon; other types -> null."""
@@ -74,31 +163,56 @@ def _geometry(g: Column) -> Column:
              .when(t == "MultiPolygon", multipolygon_coords(multi)))
 
 
-def read_geojson_areas(spark: SparkSession, path: str, prefixes=None, multiline: bool = False) -> DataFrame:
-    """A6 + A7 + B8: GeoJSON features -> area rows with a shape.
+def _whole(shape: Column) -> Column:
+    """A shape whose every point has both coordinates, with at least one ring."""
+    points = F.flatten(F.flatten(shape))
+    return (F.size(points) > 0) & F.forall(points, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+
+
+def judged_areas(text: DataFrame, multiline: bool = False) -> DataFrame:
+    if multiline:
+        docs = _parsed(text, _doc(("features", T.ArrayType(FEATURE)))).withColumn("_broken", _broken())
+        one = docs.withColumn("_f", F.explode_outer(F.when(~F.col("_broken"), F.col("_d.features"))))
+        one = one.filter(F.col("_broken") | (F.coalesce(F.size("_d.features"), F.lit(0)) > 0))
+        one = one.withColumn("value", F.when(F.col("_broken"), F.col("value")).otherwise(F.to_json("_f")))
+    else:
+        one = _parsed(text, T.StructType([*FEATURE.fields, T.StructField(CORRUPT, S)])) \
+            .withColumn("_broken", _broken()).withColumn("_f", F.struct("_d.properties", "_d.geometry"))
+    one = one.withColumn("_shape", F.when(~F.col("_broken"), _geometry(F.col("_f.geometry"))))
+    kind = F.col("_f.geometry.type")
+    reason = (F.when(F.col("_broken"), F.lit("malformed document"))
+              .when(F.col("_f.geometry").isNull() | kind.isNull(), F.lit("no geometry"))
+              .when(~kind.isin("Polygon", "MultiPolygon"), F.lit("not a polygon"))
+              .when(F.col("_shape").isNull() | ~F.coalesce(_whole(F.col("_shape")), F.lit(False)), F.lit("bad coordinates"))
+              .when(F.col("_f.properties.postcode").isNull(), F.lit("no postcode")))
+    return one.select(F.col("_f.properties.postcode").alias("plz"), F.col("_shape").alias("geometry"), "_file",
+                      reason.alias("_reason"), F.col("value").alias("_shown"))
+
+
+def read_geojson(spark: SparkSession, path: str, prefixes=None, multiline: bool = False,
+                 load_time=None) -> tuple[DataFrame, DataFrame]:
+    """A6 + A7 + B8: GeoJSON features -> area rows with a shape, and the rejects.
 
     Default layout: one feature per line. ``multiline=True`` reads whole
     FeatureCollection documents (each document is then parsed by one task).
+    Features outside ``prefixes`` are neither rows nor rejects.
     """
-    if multiline:
-        coll = T.StructType([T.StructField("features", T.ArrayType(FEATURE))])
-        feats = (spark.read.schema(coll).option("multiLine", True).json(path)
-                      .select(F.explode("features").alias("f")).select("f.*"))
-    else:
-        feats = spark.read.schema(FEATURE).json(path)
-    rows = feats.select(F.col("properties.postcode").alias("plz"),
-                        _geometry(F.col("geometry")).alias("geometry"))
-    rows = rows.filter(F.col("geometry").isNotNull() & F.col("plz").isNotNull())
+    judged = judged_areas(lines(spark, path, multiline), multiline)
+    rows = judged.filter(F.col("_reason").isNull()).select("plz", "geometry", F.col("plz").alias("name"))
     if prefixes:
         from ..plans.products import prefix_filter
         rows = rows.filter(prefix_filter("plz", prefixes))
-    return schemas.bind_by_name(rows.withColumn("name", F.col("plz")), schemas.AREAS)
+    return schemas.bind_by_name(rows, schemas.AREAS, load_time, "created_at"), _rejects(judged)
+
+
+def read_geojson_areas(spark: SparkSession, path: str, prefixes=None, multiline: bool = False) -> DataFrame:
+    return read_geojson(spark, path, prefixes, multiline)[0]
 
 
 # ----------------------------------------------------------------- writers --
 
 def _iso(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def land_areas_geojson(areas: DataFrame, path: str) -> None:
@@ -112,13 +226,21 @@ def land_areas_geojson(areas: DataFrame, path: str) -> None:
     areas.select(F.to_json(feat).alias("value")).write.mode("overwrite").text(path)
 
 
+def land_stations_json(stations: DataFrame, path: str) -> None:
+    """Station rows -> ``{"sources": [station]}`` documents, one per row."""
+    cols = [c for c in SOURCE.fieldNames() if c in stations.columns]
+    item = F.struct(*[(_iso(F.col(c)) if c.endswith("_record") else F.col(c)).alias(c) for c in cols])
+    stations.select(F.to_json(F.struct(F.array(item).alias("sources"))).alias("value")).write.mode("overwrite").text(path)
+
+
 def land_weather_json(rows: DataFrame, path: str, ts: str = "timestamp", mode: str = "overwrite") -> None:
     """Rows -> ``{"station_id", "weather": [row]}`` documents, one per row.
 
     The reader accepts lists of any length; emitting one document per row
     needs no grouping, so no key (however hot) is gathered into one task.
     """
-    cols = [c for c in rows.columns if c not in ("station_id", "wmo_station_id", "ingested_at", ts)]
+    cols = [c for c in rows.columns if c not in ("station_id", "wmo_station_id", "ingested_at", "issued", ts)]
     item = F.struct(_iso(F.col(ts)).alias("timestamp"), *[F.col(c) for c in cols])
-    doc = F.struct(F.col("station_id"), F.array(item).alias("weather"))
+    issued = [_iso(F.col("issued")).alias("issued")] if "issued" in rows.columns else []
+    doc = F.struct(F.col("station_id"), *issued, F.array(item).alias("weather"))
     rows.select(F.to_json(doc).alias("value")).write.mode(mode).text(path)

@@ -1,165 +1,221 @@
-"""Recurring incremental load as a Structured Streaming job.
+"""Recurring incremental loads as Structured Streaming jobs.
 
 The reference re-runs a batch every 15 minutes and keeps per-station
 high-water marks in the table. Here a file stream over the landing folder
-feeds micro-batches to ``foreachBatch``, which applies the same incremental
-rule (I1) against the target table. Triggered with ``availableNow`` it
-processes whatever has landed and stops, so any scheduler can start it; the
-stream checkpoint remembers which files were consumed.
-
-Replays are idempotent: each micro-batch writes its own ``batch_id``
-partition with dynamic partition overwrite, and reads the marks left by the
-batch before it, so re-running a batch after a failure rewrites the same rows.
-Marks live in a small table beside the data (one row per station per batch),
-so a micro-batch never scans the whole history to find them.
+feeds micro-batches to ``foreachBatch``, which applies the same rules (I1, A10)
+against the target table. Triggered with ``availableNow`` it processes whatever
+has landed and stops, so any scheduler can start it; the stream checkpoint
+remembers which files were consumed. A backlog is cut into micro-batches by
+``maxFilesPerTrigger`` / ``maxBytesPerTrigger``; there is no limit on the time.
+
+Restarts and replays. A micro-batch is known by its run (the id Spark keeps in
+the stream's checkpoint) and its batch number. A side table keeps, per
+micro-batch, the time ``now`` it was first started with, and a replay uses that
+time again; whatever else a micro-batch writes it writes to partitions of its
+own or computes from state that other micro-batches left. So a replay, also one
+with a later ``now``, rewrites the same rows, and a new checkpoint on an
+existing table adds to it. Side tables keep the latest micro-batches only.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.timeutil import parse_iso_utc
-from ..operators.ingest import advance_marks, attach_station, incremental_rows
-from ..session import materialise
-from ..sources.landed import WEATHER_DOC
+from ..functions.timeutil import ts_literal
+from ..operators.ingest import (
+    advance_marks,
+    assign_ids,
+    attach_station,
+    forecast_window,
+    high_water_marks,
+    incremental_rows,
+)
+from ..operators.dedup import latest_wins
+from ..session import delete_path, materialise, scratch
+from ..sources.landed import judged_weather, weather_rows, with_origin, _rejects
+
+#: When a landed entry was issued.
+ISSUE = ("_issued",)
+SIDE_BATCHES_KEPT = 3
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path`` read with its declared schema (partition values
     such as zero-padded ids keep their string type), or an empty frame."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # missing path on the first run
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
-
-
-def weather_rows(docs: DataFrame, schema: T.StructType = schemas.OBSERVATIONS) -> DataFrame:
-    """Landed documents -> rows of ``schema`` (forecasts: ``timestamp`` is
-    renamed to ``forecast_timestamp``, B2)."""
-    rows = docs.select("station_id", F.explode("weather").alias("w")).select("station_id", "w.*")
-    ts_col = "timestamp" if "timestamp" in schema.fieldNames() else "forecast_timestamp"
-    rows = rows.withColumn(ts_col, parse_iso_utc("timestamp"))
-    if ts_col != "timestamp":
-        rows = rows.drop("timestamp")
-    return schemas.bind_by_name(rows, schema)
-
-
-MARKS_SCHEMA = T.StructType([T.StructField("station_id", T.StringType()),
-                             T.StructField("last_ts", T.TimestampNTZType()),
-                             T.StructField("batch_id", T.LongType())])
-
-
-def incremental_batch_writer(table_path: str, stations: DataFrame, now, load_time=None,
-                             marks_path: str | None = None):
-    """The ``foreachBatch`` function: I1 against the table, one partition per batch.
-
-    The high-water marks are not re-aggregated from the (ever growing) table:
-    a small marks table next to it holds, per micro-batch, the cumulative
-    newest time per station (one row per station). Micro-batch ``k`` reads
-    only partition ``k - 1`` of it (batch ids of a streaming query are
-    consecutive, and a replay keeps its id), then writes its rows and its
-    cumulative marks into partition ``k`` of each table with dynamic
-    partition overwrite, so a replayed batch rewrites the same files.
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+KEY = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+TIMES_SCHEMA = T.StructType([T.StructField("now", T.TimestampNTZType()), *KEY])
+MARKS_SCHEMA = T.StructType([T.StructField("station_id", T.StringType()), T.StructField("last_ts", T.TimestampNTZType()), *KEY])
+IDS_SCHEMA = T.StructType([T.StructField("max_id", T.LongType()), *KEY])
+
+
+class Batch:
+    """One micro-batch: its key, its fixed time, and its side tables next to the target table."""
+
+    def __init__(self, spark: SparkSession, table_path: str, run_id: str, batch_id: int, now):
+        self.spark, self.run_id, self.batch_id = spark, run_id, batch_id
+        self.base = table_path.rstrip("/")
+        own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+        known = self.side("times", TIMES_SCHEMA).filter(own).agg(F.min("now")).first()[0]
+        if known is None:
+            self.now = now
+            self.write(spark.range(1).select(ts_literal(now).alias("now")), f"{self.base}_times")
+        else:
+            self.now = known
+
+    def side(self, name: str, schema: T.StructType) -> DataFrame:
+        return read_table_or_empty(self.spark, f"{self.base}_{name}", schema)
+
+    def others(self, name: str, schema: T.StructType) -> DataFrame:
+        """The side table without what this micro-batch itself left there before a restart."""
+        return self.side(name, schema).filter((F.col("run_id") != self.run_id) | (F.col("batch_id") < self.batch_id))
+
+    def write(self, df: DataFrame, path: str) -> None:
+        """Replace this micro-batch's partition of the table at ``path``."""
+        (df.withColumn("run_id", F.lit(self.run_id)).withColumn("batch_id", F.lit(self.batch_id).cast("bigint"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("run_id", "batch_id").parquet(path))
+
+    def prune(self, *names: str) -> None:
+        """Side rows are cumulative: those of older micro-batches of this run are not needed any more."""
+        old = self.batch_id - SIDE_BATCHES_KEPT
+        for name in names:
+            if old >= 0:
+                delete_path(self.spark, f"{self.base}_{name}/run_id={self.run_id}/batch_id={old}")
+
+
+def incremental_batch_writer(table_path: str, stations: DataFrame, now, run_id, rejects_path: str | None = None):
+    """The ``foreachBatch`` function: I1 against the table, one partition per micro-batch.
+
+    The high-water marks are not aggregated from the (ever growing) table: a
+    side table holds the cumulative newest time per station after each
+    micro-batch. Only where no marks exist yet (a table filled by a batch load)
+    are they taken from the table. Every row gets the micro-batch's load time.
+    ``run_id`` is a function, as the id is known once the stream runs.
     """
-    marks_path = marks_path or table_path.rstrip("/") + "_marks"
-
-    def process(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        prev = (read_table_or_empty(spark, marks_path, MARKS_SCHEMA)
-                .filter(F.col("batch_id") == batch_id - 1).drop("batch_id"))
-        batch = attach_station(weather_rows(batch_df), stations)
-        if load_time is not None:
-            batch = batch.withColumn("ingested_at", F.lit(load_time).cast("timestamp_ntz"))
-        new = materialise(schemas.bind_by_name(incremental_rows(batch, None, now, marks=prev),
-                                               schemas.OBSERVATIONS), "obs-batch")
-        tag = F.lit(batch_id).cast("bigint")
-        for df, path in ((new, table_path), (advance_marks(prev, new), marks_path)):
-            (df.withColumn("batch_id", tag)
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(path))
+    def process(text: DataFrame, batch_id: int) -> None:
+        spark = text.sparkSession
+        with scratch(spark):
+            batch = Batch(spark, table_path, run_id(), batch_id, now)
+            marks = batch.others("marks", MARKS_SCHEMA).groupBy("station_id").agg(F.max("last_ts").alias("last_ts"))
+            if marks.isEmpty():
+                table = read_table_or_empty(spark, table_path, T.StructType([*schemas.OBSERVATIONS.fields, *KEY]))
+                mine = (F.coalesce("run_id", F.lit("")) == batch.run_id) & (F.col("batch_id") == batch_id)
+                marks = high_water_marks(table.filter(~F.coalesce(mine, F.lit(False))))
+            marks = materialise(marks, "marks")
+            judged = materialise(judged_weather(text), "entries")
+            rows = attach_station(weather_rows(judged, schemas.OBSERVATIONS, batch.now), stations)
+            new = materialise(schemas.bind_by_name(incremental_rows(rows, None, batch.now, marks=marks),
+                                                   schemas.OBSERVATIONS), "obs-batch")
+            batch.write(new, table_path)
+            if rejects_path:
+                batch.write(_rejects(judged), rejects_path)
+            batch.write(advance_marks(marks, new), f"{batch.base}_marks")
+            batch.prune("marks", "times")
 
     return process
 
 
 def run_available_now(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                      stations: DataFrame, now, timeout_s: int = 600) -> None:
-    """Process every landed file not seen before, then stop."""
-    docs = spark.readStream.schema(WEATHER_DOC).json(landing)
-    q = (docs.writeStream
-             .foreachBatch(incremental_batch_writer(table_path, stations, now))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("incremental stream did not finish")
-    if q.exception() is not None:
-        raise q.exception()
-
-
-IDS_SCHEMA = T.StructType([T.StructField("max_id", T.LongType()), T.StructField("batch_id", T.LongType())])
-
-
-def forecast_batch_writer(table_path: str, stations: DataFrame, now, id_order,
-                          ids_path: str | None = None):
+                      stations: DataFrame, now, rejects_path: str | None = None, **limits) -> None:
+    """Process every landed file not seen before, then stop.
+
+    ``limits``: ``max_files`` and ``max_bytes`` of a micro-batch.
+    """
+    _run(spark, landing, checkpoint, lambda run_id: incremental_batch_writer(
+        table_path, stations, now, run_id, rejects_path), **limits)
+
+
+def _run(spark: SparkSession, landing: str, checkpoint: str, writer, max_files: int | None = None,
+         max_bytes: int | None = None) -> None:
+    reader = spark.readStream.format("text")
+    for name, value in (("maxFilesPerTrigger", max_files), ("maxBytesPerTrigger", max_bytes)):
+        if value is not None:
+            reader = reader.option(name, value)
+    started, known = threading.Event(), []
+
+    def run_id() -> str:
+        started.wait()
+        return known[0]
+
+    query = (with_origin(reader.load(landing)).writeStream.foreachBatch(writer(run_id))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    known.append(query.id)
+    started.set()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+# --------------------------------------------------------------- forecasts --
+
+FORECAST_ORDER = ("_issued", "station_id", "forecast_timestamp", *(
+    c for c in schemas.FORECASTS.fieldNames() if c not in ("id", "station_id", "forecast_timestamp", "ingested_at")))
+DATED = T.StructType([*schemas.FORECASTS.fields, T.StructField("forecast_date", T.DateType())])
+
+
+def forecast_batch_writer(table_path: str, stations: DataFrame, now, run_id, id_order=FORECAST_ORDER,
+                          rejects_path: str | None = None):
     """The ``foreachBatch`` function for forecasts: replace-future (A10).
 
-    The table is partitioned by ``station_id``. A micro-batch rebuilds only
-    the partitions of the stations it carries: their rows up to ``now`` stay,
-    their later rows are replaced by the batch (fresh ids after the largest id
-    so far, one load time). The semi join on the partition column lets
-    dynamic partition pruning read only those stations' files, which are
-    checkpointed before the write so no file being read is overwritten; other
-    stations' partitions are not touched (dynamic partition overwrite). The
-    largest id so far is carried in a one-row-per-batch side table (batch
-    ``k`` reads partition ``k - 1``), not re-aggregated from the table.
+    Of several issues of a station's hour in one micro-batch the newest (by its
+    issue time, then its values) stays. The table is partitioned by the
+    forecast's date; past hours can never change, so a micro-batch reads and
+    rewrites only the dates from ``now`` on, which the horizon bounds, whatever
+    the history. The largest id so far is kept in a side table.
     """
-    from ..operators.ingest import forecast_window, replace_future
-    from ..session import checkpoint_dir
-
-    ids_path = ids_path or table_path.rstrip("/") + "_ids"
-
-    def process(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        batch = forecast_window(attach_station(weather_rows(batch_df, schemas.FORECASTS), stations), now)
-        touched = batch.select("station_id").distinct()
-        existing = read_table_or_empty(spark, table_path, schemas.FORECASTS)
-        prev_max = (read_table_or_empty(spark, ids_path, IDS_SCHEMA)
-                    .filter(F.col("batch_id") == batch_id - 1).select("max_id"))
-        ids_after = F.coalesce(prev_max.agg(F.max("max_id")).scalar(), F.lit(0))   # one value
-        checkpoint_dir(spark)
-        old = existing.join(touched, "station_id", "left_semi").checkpoint(eager=True)
-        new = replace_future(old, batch, now, id_order=id_order, ids_after=ids_after)
-        new = new.select(*schemas.FORECASTS.fieldNames()).checkpoint(eager=True)
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("station_id").parquet(table_path))
-        top = new.agg(F.max("id").alias("m")).select(
-            F.greatest(F.coalesce("m", F.lit(0)), ids_after).cast("bigint").alias("max_id"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"))
-        (top.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(ids_path))
+    def process(text: DataFrame, batch_id: int) -> None:
+        spark = text.sparkSession
+        with scratch(spark):
+            batch = Batch(spark, table_path, run_id(), batch_id, now)
+            judged = materialise(judged_weather(text), "entries")
+            rows = attach_station(weather_rows(judged, schemas.FORECASTS, keep=ISSUE), stations)
+            rows = latest_wins(forecast_window(rows, batch.now), ["station_id", "forecast_timestamp"],
+                               [*ISSUE, *(c for c in FORECAST_ORDER if c not in (*ISSUE, "station_id", "forecast_timestamp"))])
+            fresh = materialise(rows, "fc-batch")
+            n = ts_literal(batch.now)
+            table = read_table_or_empty(spark, table_path, DATED)
+            ahead = table.filter(F.col("forecast_date") >= n.cast("date"))
+            seen = batch.others("ids", IDS_SCHEMA)
+            if seen.isEmpty():  # a table filled by a batch load has ids, but no side table yet
+                seen = table.filter(F.coalesce(F.col("ingested_at") != n, F.lit(True))).agg(F.max("id").alias("max_id"))
+            last = seen.agg(F.coalesce(F.max("max_id"), F.lit(0))).first()[0]
+            touched = fresh.select("station_id").distinct()
+            kept = ahead.alias("e").join(
+                touched.alias("s"), (F.col("e.station_id") == F.col("s.station_id")) & (F.col("e.forecast_timestamp") > n), "left_anti")
+            numbered = assign_ids(fresh, id_order, last).withColumn("ingested_at", n) \
+                .select(*schemas.FORECASTS.fieldNames()).withColumn("forecast_date", F.col("forecast_timestamp").cast("date"))
+            # written aside first: the partitions it is read from are replaced below
+            out = materialise(kept.select(*DATED.fieldNames()).unionByName(numbered), "fc-ahead")
+            gone = ahead.select("forecast_date").distinct().exceptAll(out.select("forecast_date").distinct()).collect()
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("forecast_date").parquet(table_path))
+            for day in gone:  # at most the days of the horizon: all of their rows were replaced
+                delete_path(spark, f"{table_path.rstrip('/')}/forecast_date={day['forecast_date']}")
+            if rejects_path:
+                batch.write(_rejects(judged), rejects_path)
+            top = fresh.agg((F.count(F.lit(1)) + F.lit(last)).cast("bigint").alias("max_id"))
+            batch.write(top, f"{batch.base}_ids")
+            batch.prune("ids", "times")
 
     return process
 
 
 def run_forecasts_available_now(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                                stations: DataFrame, now, id_order, timeout_s: int = 600) -> None:
-    """Forecast runs: every landed file not seen before, then stop."""
-    docs = spark.readStream.schema(WEATHER_DOC).json(landing)
-    q = (docs.writeStream
-             .foreachBatch(forecast_batch_writer(table_path, stations, now, id_order))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("forecast stream did not finish")
-    if q.exception() is not None:
-        raise q.exception()
+                                stations: DataFrame, now, id_order=FORECAST_ORDER, rejects_path: str | None = None,
+                                **limits) -> None:
+    """Forecast runs: every landed file not seen before, then stop (``limits`` as above)."""
+    _run(spark, landing, checkpoint, lambda run_id: forecast_batch_writer(
+        table_path, stations, now, run_id, id_order, rejects_path), **limits)
