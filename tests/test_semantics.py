@@ -329,3 +329,38 @@ def test_gate_stops_the_pipeline_before_dependants(spark, tmp_dir):
         run_pipeline(spark, fx.raw_stations(spark, sf), fx.raw_postal(spark, sf), fx.raw_obs(spark, sf),
                      fx.raw_fc(spark, sf), out)
     assert not _os.path.exists(out)
+
+
+def test_wkt_shapes(spark):
+    """H7: rings, holes, parts, a third coordinate, exponents; null for anything else."""
+    from wxmesh.functions.geo import from_wkt
+
+    rows = spark.createDataFrame([
+        ("POLYGON ((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 1))",), ("multipolygon(((0 0,1 0,1 1,0 0)),((5 5,6 5,6 6,5 5)))",),
+        ("POLYGON Z ((1e1 -2.5 7, 3 4 7, 5 6 7, 1e1 -2.5 7))",), ("POINT (1 2)",), ("POLYGON EMPTY",), ("",), (None,)], "t string")
+    got = [r[0] for r in rows.select(from_wkt("t")).collect()]
+    shape = lambda g: [[[(p["x"], p["y"]) for p in ring] for ring in part] for part in g]
+    assert shape(got[0]) == [[[(0, 0), (4, 0), (4, 4), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 1)]]]
+    assert shape(got[1]) == [[[(0, 0), (1, 0), (1, 1), (0, 0)]], [[(5, 5), (6, 5), (6, 6), (5, 5)]]]
+    assert shape(got[2]) == [[[(10, -2.5), (3, 4), (5, 6), (10, -2.5)]]]
+    assert got[3:] == [None] * 4
+
+
+def test_a_reader_accounts_for_every_feature_and_station(spark, tmp_dir):
+    from wxmesh.sources import landed
+
+    with open(tmp_dir + "/s.json", "w") as f:
+        f.write('{"sources": [{"id": "A", "lat": 1.5, "lon": "x"}, {"lat": 2}, null]}\n{"sources": []}\n{"other": 1}\nnot json\n\n')
+    rows, rejects = landed.read_stations(spark, tmp_dir + "/s.json", "2024-01-01 00:00:00")
+    got = rows.collect()
+    assert [(r["id"], r["lat"], r["lon"], r["created_at"]) for r in got] == [("A", 1.5, None, dt.datetime(2024, 1, 1))]
+    assert sorted(r["reason"] for r in rejects.collect()) == ["malformed document", "no sources", "no station id", "no station id"]
+
+
+def test_box_crosses_the_antimeridian_and_the_pole(spark):
+    """Stations that a plain longitude range would lose."""
+    st = stations_frame(spark, [("wrap", "W1", 0.0, -179.95), ("same", "W2", 0.0, 179.8), ("far", "W3", 0.0, -178.0),
+                                ("pole", "W4", 89.9, -170.0)])
+    assert {r["id"] for r in I.stations_in_radius(st, (0.0, 179.9)).collect()} == {"wrap", "same"}
+    assert {r["id"] for r in I.stations_in_radius(st, (0.0, -179.9)).collect()} == {"wrap", "same"}
+    assert {r["id"] for r in I.stations_in_radius(st, (89.9, 13.4)).collect()} == {"pole"}

@@ -1,4 +1,4 @@
-"""Geometry as plain column expressions.
+"""Geometry as plain column expressions.
 
 Spark 4.1 ships no usable spatial functions (the ST_* family is disabled), so
 points are ``struct<x: double, y: double>`` with x = longitude, y = latitude,
@@ -96,6 +96,20 @@ def multipolygon_coords(coords) -> Column:
         ring, lambda xy: F.struct(F.get(xy, 0).alias("x"), F.get(xy, 1).alias("y")))))
 
 
+def from_wkt(text) -> Column:
+    """H7: WKT ``POLYGON`` / ``MULTIPOLYGON`` text -> multipolygon; anything else (or EMPTY) -> null.
+
+    The text is rewritten as nested JSON lists, which Spark parses; a third
+    coordinate is left out.
+    """
+    t = F.upper(F.trim(_c(text)))
+    number = r"[-+]?[0-9.]+(?:E[-+]?[0-9]+)?"
+    lists = F.translate(F.regexp_replace(F.regexp_extract(t, r"^(?:MULTI)?POLYGON\s*Z?\s*(\(.*\))$", 1),
+                                         rf"({number})\s+({number})(?:\s+{number})?", "[$1,$2]"), "()", "[]")
+    return (F.when(lists == "", F.lit(None)).when(t.startswith("MULTIPOLYGON"), multipolygon_coords(F.from_json(lists, "array<array<array<array<double>>>>")))
+             .when(t.startswith("POLYGON"), polygon_to_multipolygon(F.from_json(lists, "array<array<array<double>>>"))))
+
+
 def bounding_box_filter(lat, lon, center_lat: float, center_lon: float, radius_m: float) -> Column:
     """Cheap, exact-superset prefilter for a radius around a fixed centre.
 

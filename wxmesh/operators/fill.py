@@ -17,9 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sequence import previous_in_set
+from .spatial_join import fits_broadcast
 
-# Largest dimension side that may be broadcast to build a spine (rows).
+# Largest dimension side that may be broadcast to build a spine. A time is a
+# fixed 8 bytes, so its rows bound its bytes; keys are measured in bytes too.
 SPINE_BROADCAST_MAX_ROWS = 2_000_000
+SPINE_BROADCAST_MAX_BYTES = 64 << 20
 
 
 def spine(keys: DataFrame, times: DataFrame, max_broadcast_rows: int = SPINE_BROADCAST_MAX_ROWS,
@@ -27,14 +30,14 @@ def spine(keys: DataFrame, times: DataFrame, max_broadcast_rows: int = SPINE_BRO
     """C4: every key x every time; both inputs are distinct dimension sets.
 
     The product *is* the requested output (one row per area and hour). The
-    smaller side is broadcast after its row count is checked; only if both
+    smaller side is broadcast after its size is checked; only if both
     exceed the bound is a plain partitioned product used.
     """
     if n_times is None:
         n_times = times.count()
     if n_times <= max_broadcast_rows:
         return keys.crossJoin(F.broadcast(times))
-    if keys.count() <= max_broadcast_rows:
+    if fits_broadcast(keys, max_broadcast_rows, SPINE_BROADCAST_MAX_BYTES):
         return F.broadcast(keys).crossJoin(times)
     return keys.crossJoin(times)
 

@@ -34,11 +34,6 @@ def _now(now) -> Column:
 
 # ------------------------------------------------------------- marks, I1 --
 
-def with_load_time(df: DataFrame, load_time, column: str = "ingested_at") -> DataFrame:
-    """Rows without a load time get the one of their batch."""
-    return df.withColumn(column, F.coalesce(F.col(column), _now(load_time)))
-
-
 def high_water_marks(existing: DataFrame, key: str = "station_id", ts: str = "timestamp") -> DataFrame:
     """Newest loaded time per source (one grouped aggregate for all)."""
     return existing.groupBy(key).agg(F.max(ts).alias("last_ts"))

@@ -14,7 +14,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geo import centroid
+from ..functions.geo import centroid, from_wkt
 from ..operators import checks as K
 from ..operators import ingest as I
 from ..operators.dedup import canonical_first, latest_wins
@@ -196,6 +196,18 @@ def q_polygon_centroid(spark, sf_dir):
         "plz", F.round(c["x"], 9).alias("cx"), F.round(c["y"], 9).alias("cy"))
 
 
+@register("wkt_shapes", with_ctes("SELECT plz, round(cx, 9) AS cx, round(cy, 9) AS cy FROM raw_postal"))
+def q_wkt_shapes(spark, sf_dir):
+    """H7: areas as WKT text (POLYGON and MULTIPOLYGON) read back into shapes."""
+    ring = F.concat(F.lit("("), F.concat_ws(", ", F.transform(
+        F.col("geometry")[0][0], lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string")))), F.lit(")"))
+    one = F.substring("plz", -1, 1).cast("int") % 2 == 1
+    text = F.when(one, F.concat(F.lit("POLYGON ("), ring, F.lit(")"))).otherwise(F.concat(F.lit("MULTIPOLYGON (("), ring, F.lit("))")))
+    c = centroid("geometry")
+    return _in(spark, sf_dir).raw_postal.select("plz", from_wkt(text).alias("geometry")).select(
+        "plz", F.round(c["x"], 9).alias("cx"), F.round(c["y"], 9).alias("cy"))
+
+
 @register("radius_filter", with_ctes(f"""
 SELECT id, distance FROM (
   SELECT id, round({hav('52.52' + D, '13.4' + D, 'lat', 'lon')}, 3) AS distance FROM raw_stations)

@@ -55,14 +55,6 @@ RAW = {
     "weather_forecasts": FORECASTS,
 }
 
-# Columns filled with the load time when a batch does not carry them.
-LOAD_TIME_COLUMN = {
-    "postal_codes": "created_at",
-    "weather_stations": "created_at",
-    "weather_observations": "ingested_at",
-    "weather_forecasts": "ingested_at",
-}
-
 NAMESPACES = ("raw", "staging", "analytics")
 
 
