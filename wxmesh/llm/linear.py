@@ -25,16 +25,19 @@ def bounded_sample(labelled: DataFrame, label: str, cap: int, key: Column, value
 
 
 def bounded_classes(labelled: DataFrame, label: str, cap: int, key: Column) -> DataFrame:
-    """At most ``cap`` (up to 1000) rows of each label, where the labels are not known beforehand.
+    """At most ``cap`` rows of each label, where the labels are not known beforehand.
 
-    Up to 1000 the rank filter is also a partial limit before the shuffle, so a
-    label that holds most rows sends at most ``cap`` rows from each task.
+    The rows with the smallest hash of ``key``; the size of a label says below
+    which hash about three times ``cap`` of its rows lie, and only those are
+    ranked, so a label that holds most rows sends few of them on.
     """
-    if cap > 1000:
-        raise ValueError("cap is over 1000")
-    order = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
-    return (labelled.withColumn("_rank", F.row_number().over(order))
-            .filter(F.col("_rank") <= cap).drop("_rank"))
+    size = labelled.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))  # one row per label
+    hashed = labelled.withColumn("_hash", F.shiftrightunsigned(F.xxhash64(key), 32))
+    near = hashed.join(F.broadcast(size), F.col(label) == F.col("_label")) \
+        .filter(F.col("_hash") * F.col("_n") <= F.lit(3 * cap) * F.lit(float(1 << 32)))
+    order = Window.partitionBy(label).orderBy("_hash", key)
+    return (near.withColumn("_rank", F.row_number().over(order))
+            .filter(F.col("_rank") <= cap).drop("_rank", "_hash", "_label", "_n"))
 
 
 def minimise(gradient, start: np.ndarray, steps: int, rate: float) -> np.ndarray:
