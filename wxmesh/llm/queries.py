@@ -70,9 +70,35 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_paths())
 
 
+#: Whole texts as hex; each 50-byte string with the smallest id that has it; covered bytes as spans.
+SUFFIX_DEDUP_SQL = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM texts)),
+earliest AS (SELECT s, min(doc_id) AS first_id FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT doc_id, i FROM strings JOIN earliest USING (s) WHERE first_id < doc_id),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 50 THEN 0 ELSE 1 END AS opens
+  FROM gone WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+spans AS (SELECT doc_id, k, min(i) AS lo, max(i) + 50 AS hi FROM numbered GROUP BY doc_id, k),
+gaps AS (  -- what is kept: before each span, and after the last
+  SELECT doc_id, k, coalesce(lag(s.hi) OVER (PARTITION BY s.doc_id ORDER BY s.k), 0) AS lo, s.lo AS hi FROM spans s
+  UNION ALL
+  SELECT t.doc_id, 1e9, coalesce(max(s.hi), 0), any_value(length(t.h) // 2)
+  FROM texts t LEFT JOIN spans s USING (doc_id) GROUP BY t.doc_id),
+kept AS (
+  SELECT g.doc_id, string_agg(substr(t.h, 2 * CAST(g.lo AS BIGINT) + 1, 2 * CAST(g.hi - g.lo AS BIGINT)), '' ORDER BY g.k) AS h
+  FROM gaps g JOIN texts t USING (doc_id) GROUP BY g.doc_id),
+counted AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT t.doc_id, CAST(length(t.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(c.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM texts t JOIN kept k USING (doc_id) LEFT JOIN counted c USING (doc_id)"""
+
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
-    "op2_suffix_dedup": (op2_suffix_dedup, None),
+    "op2_suffix_dedup": (op2_suffix_dedup, SUFFIX_DEDUP_SQL),
     "op3_toxicity": (op3_toxicity, None),
     "op4_html_extraction": (op4_html_extraction, None),
     "op5_language_id": (op5_language_id, None),
