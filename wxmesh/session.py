@@ -11,7 +11,9 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager, suppress
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +71,27 @@ def is_local(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Functions that run in tasks are known to them by module and name, so they
+    must be able to import it, wherever the driver was started.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="wxmesh-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    sc.addPyFile(str(path))  # the driver serves it to the executors
+    _shipped.add(sc.applicationId)
+
+
 class Scratch:
     """Owner of the tables a job writes for itself; ``release`` removes them.
 
