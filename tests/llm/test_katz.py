@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from llm_helpers import awkward, documents, empty, fold
 from wxmesh.llm import katz
@@ -51,7 +52,9 @@ def corpus(n=300):
     return rows
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("batch_bytes", [1 << 20, 400])
+def test_against_brute_force(spark, monkeypatch, batch_bytes):
+    monkeypatch.setattr(katz, "BATCH_BYTES", batch_bytes)
     rows = corpus()
     got = {r["doc_id"]: r for r in katz.score(documents(spark, rows)).collect()}
     model = Brute(t for i, t in rows if fold(i, 7) != 2)
