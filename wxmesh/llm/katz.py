@@ -13,15 +13,15 @@ Words are known by their 64-bit XXH64. The flow:
   the (previous word, word, text) triples whose previous word hashes there.
   Previous words that make up a large share of a sample of the texts ("hot"
   ones) are spread over the shards by both words, so no shard gets all of one.
-* The shards count their words and send the counts to the words' own shards,
-  which add them up and answer each sender with the counts of its words.
+* The shards count their words and send the counts to the words' owners, which
+  add them up and answer each sender with the counts of its words.
 * With the answers and the counts of counts a shard can score its triples. It
   sends sums for each text back under the batch; sums over hot words, of which
   a shard has a share only, are added up first and applied last.
 
 All counts are over all learning texts. The shuffle of triples is read three
-times but written once. The number of shards is the session's number of shuffle
-partitions.
+times but written once. The number of shards is twice the session's number of shuffle
+partitions; a task works on one at a time.
 
 Defined results: a null or empty text is the end token alone. Null ``doc_id``
 rows are learned from and not held out. Rows repeated in the input are counted
@@ -47,6 +47,7 @@ BEGIN = np.uint64(0x243F6A8885A308D3)
 END = np.uint64(0x13198A2E03707344)
 CUTOFF = 5  # counts above it are not discounted
 HOT_SAMPLE = 400
+BATCH_BYTES = 8 << 20
 ASK, STATS, META, SUMS, HOT = range(5)
 
 
@@ -82,41 +83,46 @@ def triples(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
     """``shard, batch, kind, blob`` of ``docs(doc_id, text, held_out)``; kind META lists the texts of a batch."""
 
     def emit(batches):
-        part = TaskContext.get().partitionId()
-        for k, batch in enumerate(batches):
-            if not batch.num_rows:
-                continue
-            name = (part << 20) + k
-            tokens = [word_hashes(b) for b in as_bytes(column_of(batch, "text"))]
-            lengths = np.array([len(t) for t in tokens], np.int64)
-            w = np.concatenate(tokens)
-            v = np.concatenate(([BEGIN], w[:-1]))
-            v[np.cumsum(lengths) - lengths] = BEGIN
-            text = np.repeat(np.arange(len(tokens)), lengths).astype(np.uint32)
-            learn = ~column_of(batch, "held_out").to_numpy(zero_copy_only=False)
-            del tokens
-            shard = (v % np.uint64(shards)).astype(np.uint32)
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, v), len(hot) - 1)
-                own = hot[at] == v
-                shard[own] = (pair_hash(v[own], w[own]) % np.uint64(shards)).astype(np.uint32)
-            order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
-            v, w, text = v[order], w[order], text[order]
-            edge = np.concatenate(([0], np.cumsum(np.bincount(shard, minlength=shards))))
-            flags = np.packbits(learn)
-            out = [(s, name, ASK, _pack(v[lo:hi], w[lo:hi], text[lo:hi], flags))
-                   for s, (lo, hi) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())) if hi > lo]
-            ids = column_of(batch, "doc_id")
-            known = np.array(ids.is_valid())
-            meta = pack_arrays(np.array(ids.fill_null(0)).astype(np.int64), known.astype(np.uint8), (~learn).astype(np.uint8),
-                               lengths.astype(np.uint32))
-            out.append((name % shards, name, META, meta))
-            for row in out:  # one by one, so that a batch of rows stays small
-                yield _row(*row)
+        part, k = TaskContext.get().partitionId(), 0
+        for whole in batches:
+            size = np.cumsum([len(b) for b in as_bytes(column_of(whole, "text"))])
+            lo = 0
+            while lo < whole.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + BATCH_BYTES, side="right")))
+                yield from _messages(whole.slice(lo, hi - lo), (part << 32) + k, shards, hot)
+                lo, k = hi, k + 1
 
     return docs.mapInArrow(emit, "shard int, batch long, kind int, blob binary")
 
 
+def _messages(batch: pa.RecordBatch, name: int, shards: int, hot: np.ndarray):
+    """One batch's triples for each shard, and the list of its texts."""
+    tokens = [word_hashes(b) for b in as_bytes(column_of(batch, "text"))]
+    lengths = np.array([len(t) for t in tokens], np.int64)
+    w = np.concatenate(tokens)
+    del tokens
+    v = np.concatenate(([BEGIN], w[:-1]))
+    v[np.cumsum(lengths) - lengths] = BEGIN
+    text = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)
+    learn = ~column_of(batch, "held_out").to_numpy(zero_copy_only=False)
+    shard = (v % np.uint64(shards)).astype(np.uint32)
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, v), len(hot) - 1)
+        own = hot[at] == v
+        shard[own] = (pair_hash(v[own], w[own]) % np.uint64(shards)).astype(np.uint32)
+    order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
+    edge = np.concatenate(([0], np.cumsum(np.bincount(shard, minlength=shards)))).tolist()
+    v, w, text = v[order], w[order], text[order]
+    flags = np.packbits(learn)
+    for s, (lo, hi) in enumerate(zip(edge, edge[1:])):
+        if hi > lo:
+            yield _row(s, name, ASK, _pack(v[lo:hi], w[lo:hi], text[lo:hi], flags))
+    ids = column_of(batch, "doc_id")
+    yield _row(name % shards, name, META, pack_arrays(
+        np.array(ids.fill_null(0)).astype(np.int64), np.array(ids.is_valid()).astype(np.uint8), (~learn).astype(np.uint8),
+        lengths.astype(np.uint32)))
+
+
 def _row(shard: int, batch: int, kind: int, blob: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([batch], pa.int64()), pa.array([kind], pa.int32()),
                                        pa.array([blob], pa.binary())], ["shard", "batch", "kind", "blob"])
@@ -200,9 +206,7 @@ class Unigram:
     def __init__(self, total: int, kinds: int, n: np.ndarray):
         self.total, self.kinds = total, kinds
         self.d = discounts(n)
-        kept = sum(self.d[r] * r * int(n[r - 1]) for r in range(1, CUTOFF + 1))
         lost = sum((1 - self.d[r]) * r * int(n[r - 1]) for r in range(1, CUTOFF + 1))
-        del kept
         self.scale = 1.0 if lost > 0 else total / (total + 1)
         self.unknown = lost / total if lost > 0 else 1 / (total + 1)
 
@@ -222,7 +226,8 @@ def _blobs(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
 def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """Per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    owners = shards
     docs = docs.select("doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
     hot = hot_words(docs, shards)
     sent = triples(docs, shards, hot)
@@ -233,10 +238,10 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
         shard = key[0].as_py()
         own = Shard([b for _, b in _blobs(rows, ASK)])
         words, count = own.words()
-        to = (words % np.uint64(shards)).astype(np.int64)
+        to = (words % np.uint64(owners)).astype(np.int64)
         out = [(int(u), shard, ASK, pack_arrays(words[to == u], smallest(count[to == u]))) for u in np.unique(to)]
-        # Any owner can pass the pairs' counts of counts on; this one does.
-        out.append((shard, shard, STATS, pack_arrays(counts_of_counts(own.count))))
+        # Any owner can pass the pairs' counts of counts on.
+        out.append((shard % owners, shard, STATS, pack_arrays(counts_of_counts(own.count))))
         return _table(out)
 
     def answer(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
@@ -266,7 +271,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
 
     def finish(key: tuple[pa.Scalar, ...], rows: pa.Table, heard: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        return _table(_score_shard(shard, rows, heard, shards, hot))
+        return _table(_score_shard(shard, rows, heard, owners, hot))
 
     done = by_shard.cogroup(replies.groupBy("shard")).applyInArrow(finish, "shard int, batch long, kind int, blob binary")
     done = materialise(done, "scores")
@@ -318,7 +323,7 @@ def _leftover(total, kept):
     return np.where(left > 1e-9 * total, left / np.maximum(total, 1), 1 / (total + 1))
 
 
-def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, shards: int, hot: np.ndarray) -> list:
+def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, owners: int, hot: np.ndarray) -> list:
     out = [(shard, b, META, blob) for b, blob in _blobs(rows, META)]
     sent = _blobs(rows, ASK)
     stats = _blobs(heard, STATS)
@@ -326,7 +331,7 @@ def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, shards: int, hot:
         return out
     own = Shard([b for _, b in sent])
     words, _ = own.words()
-    count, to = np.zeros(len(words), np.int64), (words % np.uint64(shards)).astype(np.int64)
+    count, to = np.zeros(len(words), np.int64), (words % np.uint64(owners)).astype(np.int64)
     for owner, blob in _blobs(heard, ASK):
         count[to == owner] = unpack_arrays(blob)[0]
     numbers = unpack_arrays(stats[0][1])[0]
