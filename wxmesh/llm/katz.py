@@ -21,7 +21,7 @@ Words are known by their 64-bit XXH64. The flow:
 
 All counts are over all learning texts. The shuffle of triples is read three
 times but written once. The number of shards is twice the session's number of shuffle
-partitions; a task works on one at a time.
+partitions (a task works on one at a time), that of owners half of it.
 
 Defined results: a null or empty text is the end token alone. Null ``doc_id``
 rows are learned from and not held out. Rows repeated in the input are counted
@@ -226,8 +226,8 @@ def _blobs(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
 def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """Per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     spark = docs.sparkSession
-    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    owners = shards
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards, owners = 2 * partitions, max(1, partitions // 2)
     docs = docs.select("doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
     hot = hot_words(docs, shards)
     sent = triples(docs, shards, hot)
