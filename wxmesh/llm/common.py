@@ -39,7 +39,7 @@ def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type)
+    return pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
                                        for c, f in zip(columns, schema)], schema=schema)
 
 
