@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import checks as K
 from ..operators import ingest as I
-from ..session import materialise, scratch
+from ..session import materialise, scratch, together
 from ..sources import landed
 from . import products as P
 
@@ -69,8 +69,9 @@ def run_pipeline(spark: SparkSession, raw_stations: DataFrame, raw_areas: DataFr
     with scratch(spark):
         stg_stations = spark.table("stg_stations")
         stg_areas = spark.table("stg_postal_codes")
-        stg = {"hourly_observations": materialise(spark.table("stg_observations"), "stg-observations"),
-               "hourly_forecasts": materialise(spark.table("stg_forecasts"), "stg-forecasts")}
+        staged = together(lambda: materialise(spark.table("stg_observations"), "stg-observations"),
+                          lambda: materialise(spark.table("stg_forecasts"), "stg-forecasts"))
+        stg = dict(zip(MARTS, staged))
         check({"stg_observations": stg["hourly_observations"], "stg_forecasts": stg["hourly_forecasts"],
                "stg_stations": stg_stations, "stg_postal_codes": stg_areas})
 

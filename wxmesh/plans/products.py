@@ -101,8 +101,12 @@ def load_areas(raw_areas: DataFrame, prefixes=AREA_PREFIXES) -> DataFrame:
 
 def active_station_ids(stg_obs: DataFrame, stg_fc: DataFrame) -> DataFrame:
     """G1: WMO ids with any non-null temperature in either fact table."""
-    pick = lambda df: df.filter(F.col("temperature").isNotNull()).select("wmo_station_id")
-    return pick(stg_obs).union(pick(stg_fc)).distinct()
+    return has_temperature(stg_obs).union(has_temperature(stg_fc)).distinct()
+
+
+def has_temperature(stg: DataFrame) -> DataFrame:
+    """WMO ids of one fact table with a non-null temperature (repeated)."""
+    return stg.filter(F.col("temperature").isNotNull()).select("wmo_station_id")
 
 
 def _axes(axis_order: str) -> tuple[str, str]:
@@ -137,18 +141,21 @@ def rank_stations(pairs: DataFrame, max_rank: int = MAX_STATION_RANK) -> DataFra
                  .filter(F.col("station_rank") <= max_rank))
 
 
-def station_area_map(stg_stations_df: DataFrame, stg_areas: DataFrame, stg_obs: DataFrame,
-                     stg_fc: DataFrame, radius_m: float = STATION_RADIUS_M,
-                     max_rank: int = MAX_STATION_RANK, axis_order: str = "xy") -> DataFrame:
+def station_area_map(stg_stations_df: DataFrame, stg_areas: DataFrame, stg_obs: DataFrame | None = None,
+                     stg_fc: DataFrame | None = None, radius_m: float = STATION_RADIUS_M,
+                     max_rank: int = MAX_STATION_RANK, axis_order: str = "xy", active_ids: DataFrame | None = None) -> DataFrame:
     """Each area's nearest stations with data, within ``radius_m``.
 
     The station points (one row per WMO place that has data) are among the
     staged stations; that small table is measured, and its size is the proven
     bound that decides whether the points are broadcast. ``axis_order='yx'``
     takes the first coordinate of a point as latitude, as the reference's
-    distance function does with its points.
+    distance function does with its points. ``active_ids`` may be given in place
+    of the facts.
     """
-    stations = station_points(stg_stations_df, active_station_ids(stg_obs, stg_fc), axis_order)
+    if active_ids is None:
+        active_ids = active_station_ids(stg_obs, stg_fc)
+    stations = station_points(stg_stations_df, active_ids, axis_order)
     bound = station_points(stg_stations_df, None, axis_order)
     pairs = distance_join(stations, area_centroids(stg_areas, axis_order), radius_m, measured=bound)
     return rank_stations(pairs.select("wmo_station_id", "postal_code", "dist"), max_rank) \

@@ -12,12 +12,16 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager, suppress
 from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+T = TypeVar("T")
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -155,6 +159,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent jobs (each writes, counts or measures a frame) at the same time and return their results.
+
+    Spark takes jobs from several threads; stages of a few tasks, which leave
+    cores idle, then overlap. Frames are built by the caller's thread.
+    """
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [running.result() for running in [pool.submit(job) for job in jobs]]
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and
     read it back: lineage is cut (a lost executor does not recompute the
