@@ -47,7 +47,7 @@ BEGIN = np.uint64(0x243F6A8885A308D3)
 END = np.uint64(0x13198A2E03707344)
 CUTOFF = 5  # counts above it are not discounted
 HOT_SAMPLE = 400
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 16 << 20
 ASK, STATS, META, SUMS, HOT = range(5)
 
 
