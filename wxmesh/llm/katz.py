@@ -21,7 +21,7 @@ Words are known by their 64-bit XXH64. The flow:
 
 All counts are over all learning texts. The shuffle of triples is read three
 times but written once. The number of shards is twice the session's number of shuffle
-partitions (a task works on one at a time), that of owners half of it.
+partitions (a group of two adds its sums up), that of owners half of it.
 
 Defined results: a null or empty text is the end token alone. Null ``doc_id``
 rows are learned from and not held out. Rows repeated in the input are counted
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,6 +49,7 @@ END = np.uint64(0x13198A2E03707344)
 CUTOFF = 5  # counts above it are not discounted
 HOT_SAMPLE = 400
 BATCH_BYTES = 16 << 20
+GROUP = 2  # shards of one group, which are worked on one after the other
 ASK, STATS, META, SUMS, HOT = range(5)
 
 
@@ -227,21 +229,23 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """Per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards, owners = 2 * partitions, max(1, partitions // 2)
+    shards, owners = GROUP * partitions, max(1, partitions // 2)
     docs = docs.select("doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
     hot = hot_words(docs, shards)
     sent = triples(docs, shards, hot)
-    by_shard = sent.groupBy("shard")
-
-    def ask(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        """The shard's words for each owner of words, and its counts of counts of pairs."""
-        shard = key[0].as_py()
-        own = Shard([b for _, b in _blobs(rows, ASK)])
-        words, count = own.words()
-        to = (words % np.uint64(owners)).astype(np.int64)
-        out = [(int(u), shard, ASK, pack_arrays(words[to == u], smallest(count[to == u]))) for u in np.unique(to)]
-        # Any owner can pass the pairs' counts of counts on.
-        out.append((shard % owners, shard, STATS, pack_arrays(counts_of_counts(own.count))))
+    grouped = lambda df: df.withColumn("group", F.expr(f"shard div {GROUP}")).groupBy("group")
+    by_group = grouped(sent)
+
+    def ask(rows: pa.Table) -> pa.Table:
+        """Each shard's words for each owner of words, and its counts of counts of pairs."""
+        out = []
+        for shard, own_rows in _by_shard(rows):
+            own = Shard([b for _, b in _blobs(own_rows, ASK)])
+            words, count = own.words()
+            to = (words % np.uint64(owners)).astype(np.int64)
+            out += [(int(u), shard, ASK, pack_arrays(words[to == u], smallest(count[to == u]))) for u in np.unique(to)]
+            # Any owner can pass the pairs' counts of counts on.
+            out.append((shard % owners, shard, STATS, pack_arrays(counts_of_counts(own.count))))
         return _table(out)
 
     def answer(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
@@ -258,7 +262,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
         out.append((-1, owner, STATS, pack_arrays(np.concatenate(([total.sum(), (total > 0).sum()], counts_of_counts(total), pairs)))))
         return _table(out)
 
-    replies = by_shard.applyInArrow(ask, "shard int, batch long, kind int, blob binary") \
+    replies = by_group.applyInArrow(ask, "shard int, batch long, kind int, blob binary") \
         .groupBy("shard").applyInArrow(answer, "shard int, batch long, kind int, blob binary")
 
     def add_up(rows: pa.Table) -> pa.Table:
@@ -269,11 +273,17 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     stats = replies.filter(f"kind = {STATS}").groupBy("kind").applyInArrow(add_up, "shard int, batch long, kind int, blob binary")
     replies = replies.filter(f"kind = {ASK}").unionByName(stats)
 
-    def finish(key: tuple[pa.Scalar, ...], rows: pa.Table, heard: pa.Table) -> pa.Table:
-        shard = key[0].as_py()
-        return _table(_score_shard(shard, rows, heard, owners, hot))
-
-    done = by_shard.cogroup(replies.groupBy("shard")).applyInArrow(finish, "shard int, batch long, kind int, blob binary")
+    def finish(rows: pa.Table, heard: pa.Table) -> pa.Table:
+        told = dict(_by_shard(heard))
+        out, sums = [], {}
+        for shard, own_rows in _by_shard(rows):
+            more, parts = _score_shard(shard, own_rows, told[shard], owners, hot)
+            out += more
+            for batch, part in parts:
+                sums.setdefault(batch, []).append(part)
+        return _table(out + [(-1, batch, SUMS, _add_sums(parts)) for batch, parts in sums.items()])
+
+    done = by_group.cogroup(grouped(replies)).applyInArrow(finish, "shard int, batch long, kind int, blob binary")
     done = materialise(done, "scores")
 
     # Sums over hot words: at most 4 * shards words, from each shard one row.
@@ -317,18 +327,35 @@ def _table(rows: list) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, ROWS)], schema=ROWS)
 
 
+def _by_shard(rows: pa.Table):
+    """The rows of each shard of a group."""
+    column = rows.column("shard")
+    for shard in sorted(set(column.to_pylist())):
+        yield shard, rows.filter(pc.equal(column, shard))
+
+
+def _add_sums(parts: list) -> bytes:
+    """The sums of one batch's texts over the shards of a group, packed."""
+    text, known, base, model, *hot = (np.concatenate(x) for x in zip(*parts))
+    touched = np.flatnonzero(np.bincount(text))
+    add = lambda x: np.bincount(text, x)[touched]
+    return pack_arrays(touched.astype(np.uint32), smallest(add(known).astype(np.int64)), add(base), add(model),
+                       *(smallest(h.astype(np.int64)) for h in hot))
+
+
 def _leftover(total, kept):
     """What the discounts leave of the histories' mass; one count is set aside where that is nothing."""
     left = total - kept
     return np.where(left > 1e-9 * total, left / np.maximum(total, 1), 1 / (total + 1))
 
 
-def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, owners: int, hot: np.ndarray) -> list:
+def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, owners: int, hot: np.ndarray) -> tuple[list, list]:
+    """Rows to send on, and ``(batch, sums of its texts)``."""
     out = [(shard, b, META, blob) for b, blob in _blobs(rows, META)]
     sent = _blobs(rows, ASK)
     stats = _blobs(heard, STATS)
     if not sent or not stats:
-        return out
+        return out, []
     own = Shard([b for _, b in sent])
     words, _ = own.words()
     count, to = np.zeros(len(words), np.int64), (words % np.uint64(owners)).astype(np.int64)
@@ -367,6 +394,7 @@ def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, owners: int, hot:
         table = np.zeros((3, 0))
     out.append((shard, -1 - shard, HOT, pack_arrays(numbers, table.ravel())))
 
+    parts = []
     for (batch, _), part, pair in zip(sent, own.parts, own.of):
         entry = pair[part.pair]  # of each entry, its distinct pair
         n = len(part.learn)
@@ -378,11 +406,9 @@ def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, owners: int, hot:
                               return_inverse=True)
         miss = np.bincount(back, ~seen[entry[hot_rows]], minlength=len(key))
         hit = np.bincount(back, seen[entry[hot_rows]], minlength=len(key))
-        out.append((shard, batch, SUMS, pack_arrays(
-            touched.astype(np.uint32), smallest(add(count[word] > 0).astype(np.int64)), add(base[word]), add(pair_score[entry]),
-            smallest(key // max(1, len(hot))), smallest(key % max(1, len(hot))), smallest(miss.astype(np.int64)),
-            smallest(hit.astype(np.int64)))))
-    return out
+        parts.append((batch, (touched, add(count[word] > 0), add(base[word]), add(pair_score[entry]),
+                              key // max(1, len(hot)), key % max(1, len(hot)), miss, hit)))
+    return out, parts
 
 
 def _hot_totals(done: DataFrame, hot: int):
