@@ -48,7 +48,7 @@ BEGIN = np.uint64(0x243F6A8885A308D3)
 END = np.uint64(0x13198A2E03707344)
 CUTOFF = 5  # counts above it are not discounted
 HOT_SAMPLE = 400
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 GROUP = 2  # shards of one group, which are worked on one after the other
 ASK, STATS, META, SUMS, HOT = range(5)
 
@@ -149,10 +149,10 @@ class Part:
 
     def __init__(self, blob: bytes):
         self.vs, self.ws, per_v, w, n, self.text, flags = unpack_arrays(blob)
-        self.v = np.repeat(np.arange(len(self.vs)), per_v)
-        self.w, self.n = w.astype(np.int64), n.astype(np.int64)
+        self.v = np.repeat(np.arange(len(self.vs), dtype=np.int32), per_v)
+        self.w, self.n = w.astype(np.int32), n
         self.learn = np.unpackbits(flags).astype(bool)
-        self.pair = np.repeat(np.arange(len(self.w)), self.n)  # of each entry
+        self.pair = np.repeat(np.arange(len(self.w), dtype=np.int32), n)  # of each entry
         self.learned = np.bincount(self.pair, self.learn[self.text], minlength=len(self.w)).astype(np.int64)
 
 
@@ -168,7 +168,7 @@ class Shard:
             learned = np.concatenate([p.learned for p in self.parts] or [np.zeros(0, np.int64)])
             self.count = np.bincount(back, learned, minlength=len(first)).astype(np.int64)
             self.first = first
-            self.of = np.split(back, np.cumsum([len(p.w) for p in self.parts])[:-1]) if self.parts else []
+            self.of = np.split(back.astype(np.int32), np.cumsum([len(p.w) for p in self.parts])[:-1]) if self.parts else []
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """All words of the shard, previous words too, and how often each is a (second) word in learning."""
