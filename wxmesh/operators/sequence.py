@@ -15,6 +15,9 @@ over ``n`` range partitions:
 
 The order must be total (add tie-break columns), so a retried task numbers
 its rows the same way.
+
+``dense_rank_within`` ranks inside groups in the same way, so that one large
+group is spread over partitions too.
 """
 
 from __future__ import annotations
@@ -31,17 +34,22 @@ def _parts(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def dense_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_id",
-                     num_partitions: int | None = None, start: int = 1) -> DataFrame:
-    """Add ``out`` = 1-based position of each row in ``order`` (like row_number)."""
-    n = _parts(df, num_partitions)
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+def _ranged(df: DataFrame, n: int, cols: Sequence[Column]) -> DataFrame:
+    """``df`` written in range partitions of ``cols`` with ``_pid`` and ``_local``, the position in it from 0."""
     from ..session import materialise
 
-    ranged = materialise(
+    return materialise(
         df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
           .withColumn("_pid", F.spark_partition_id())
           .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33)), "ranged")
+
+
+def dense_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_id",
+                     num_partitions: int | None = None, start: int = 1) -> DataFrame:
+    """Add ``out`` = 1-based position of each row in ``order`` (like row_number)."""
+    n = _parts(df, num_partitions)
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranged = _ranged(df, n, cols)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -50,6 +58,23 @@ def dense_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "r
                   .drop("_pid", "_local", "_off"))
 
 
+def dense_rank_within(df: DataFrame, group: str, value: str, out: str,
+                      num_partitions: int | None = None) -> DataFrame:
+    """Distinct (``group``, ``value``) pairs with ``out`` = dense_rank of ``value`` in its group.
+
+    A group may span range partitions: its ranks go on from the pairs it has in
+    the partitions before. The counts have one row per group and partition it is
+    in, so a join key never holds more than one partition's rows.
+    """
+    n = _parts(df, num_partitions)
+    ranged = _ranged(df.select(group, value).distinct(), n, [F.col(group), F.col(value)])
+    counts = ranged.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
+    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", group, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    return (ranged.join(offsets, ["_pid", group])
+                  .select(group, value, (F.col("_off") + F.col("_local") + F.lit(1)).cast("int").alias(out)))
+
+
 def previous_in_set(values: DataFrame, col: str, prev_col: str | None = None,
                     num_partitions: int | None = None) -> DataFrame:
     """For each distinct value of ``col``: the next smaller distinct value.

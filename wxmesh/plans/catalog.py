@@ -32,7 +32,6 @@ OBS_LOADED_BEFORE = "2024-01-16 00:00:00"     # observations already in the tabl
 OBS_NOW = "2024-01-25 00:00:00"               # time of the incremental run
 FC_ISSUED_SPLIT = "1996-01-01 00:00:00"       # older issues = table, newer = new run
 FC_NOW = "2024-02-05 12:00:00"                # time of the forecast run
-MAX_REPORTED_RANK = 50                        # ranks of the rank query
 
 
 class Inputs:
@@ -275,13 +274,13 @@ def q_distance_join_areas(spark, sf_dir):
         .select("station_id", "postal_code", "dist")
 
 
-@register("station_rank", with_ctes(f"SELECT * FROM ranked WHERE station_rank <= {MAX_REPORTED_RANK}"))
+@register("station_rank", with_ctes("SELECT * FROM ranked"))
 def q_station_rank(spark, sf_dir):
     i = _in(spark, sf_dir)
     stations = P.station_points(i.stg_stations, P.active_station_ids(i.stg_obs, i.stg_fc))
     pairs = distance_join(stations, P.area_centroids(i.stg_areas), P.STATION_RADIUS_M,
                           measured=P.station_points(i.stg_stations))
-    return P.rank_stations(pairs.select("wmo_station_id", "postal_code", "dist"), max_rank=MAX_REPORTED_RANK)
+    return P.rank_all_stations(_materialised(pairs.select("wmo_station_id", "postal_code", "dist")))
 
 
 @register("station_area_map", with_ctes("SELECT * FROM station_map"))

@@ -16,7 +16,7 @@ from ..functions.geo import centroid, point
 from ..functions.timeutil import hour_of, ts_literal
 from ..operators.dedup import canonical_first, first_per_group, latest_wins
 from ..operators.fill import SPINE_BROADCAST_MAX_ROWS, fill_from_previous, spine
-from ..operators.sequence import previous_in_set
+from ..operators.sequence import dense_rank_within, previous_in_set
 from ..operators.spatial_join import distance_join
 
 METRICS = ("temperature", "precipitation", "relative_humidity", "wind_speed")
@@ -141,6 +141,17 @@ def rank_stations(pairs: DataFrame, max_rank: int = MAX_STATION_RANK) -> DataFra
                  .filter(F.col("station_rank") <= max_rank))
 
 
+def rank_all_stations(pairs: DataFrame) -> DataFrame:
+    """E4 alone: every pair with its dense rank by distance per area.
+
+    Without a limit no rows can be dropped before the shuffle, so areas are not
+    windows here: a dense one is ranked by many tasks. ``pairs`` is read twice;
+    ties (equal distances) are one pair in the ranking and joined back.
+    """
+    ranks = dense_rank_within(pairs, "postal_code", "dist", "station_rank")
+    return pairs.join(ranks, ["postal_code", "dist"]).select("wmo_station_id", "postal_code", "dist", "station_rank")
+
+
 def station_area_map(stg_stations_df: DataFrame, stg_areas: DataFrame, stg_obs: DataFrame | None = None,
                      stg_fc: DataFrame | None = None, radius_m: float = STATION_RADIUS_M,
                      max_rank: int = MAX_STATION_RANK, axis_order: str = "xy", active_ids: DataFrame | None = None) -> DataFrame:
