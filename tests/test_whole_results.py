@@ -21,3 +21,12 @@ def test_one_dense_area_is_ranked_across_partitions(spark):
     got = P.rank_all_stations(spark.createDataFrame(rows, "wmo_station_id string, postal_code string, dist double")).collect()
     order = {a: {d: n for n, d in enumerate(sorted({d for _, b, d in rows if b == a}), 1)} for a in {a for _, a, _ in rows}}
     assert sorted(map(tuple, got)) == sorted((w, a, d, order[a][d]) for w, a, d in rows)
+
+
+def test_grid_join_matches_in_every_box(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    r = compare(entry.queries()["distance_join_grid"](spark, sf_dir), duck(sf_dir), entry.oracle_sql()["distance_join_grid"])
+    assert r["ok"], r["rows"]
+    at = r["spark_cols"].index("postal_code")
+    boxes = [int(row[at][1:]) // 1500 for row in r["s_rows"]]
+    assert set(boxes) == set(range(10)) and min(map(boxes.count, range(10))) > 0.7 * max(map(boxes.count, range(10)))

@@ -245,15 +245,29 @@ SELECT 'C' || CAST(c_custkey AS VARCHAR) AS postal_code,
 FROM customer"""
 
 
+SUPPLIER_STATIONS = f"""
+SELECT printf('%06d', s_suppkey) AS id, CASE WHEN s_suppkey % 20 <> 19 THEN printf('W%05d', k) END AS wmo_station_id,
+       52.52{D} + ((kk * 53) % 97 - 48) / 400.0{D} - (s_suppkey // 4000) * 1.5{D} AS lat,
+       13.4{D} + ((kk * 37) % 101 - 50) / 250.0{D} + (s_suppkey % 2) / 100000.0{D}
+         + ((s_suppkey // 100) % 40) * 2.0{D} AS lon,
+       s_suppkey % 10 <> 7 AND k % 9 <> 4 AS is_active
+FROM (SELECT s_suppkey, s_suppkey // 2 AS k,
+             s_suppkey // 2 - CASE WHEN (s_suppkey // 2) % 11 = 3 THEN 1 ELSE 0 END AS kk FROM supplier)"""
+BOX_STATIONS = """
+SELECT id AS station_id, first_value(lon) OVER w AS geom_x, first_value(lat) OVER w AS geom_y
+FROM supplier_stations WHERE wmo_station_id IS NOT NULL AND is_active
+WINDOW w AS (PARTITION BY wmo_station_id ORDER BY id)"""
+
+
 @register("distance_join_grid", with_ctes(f"""
 SELECT station_id, postal_code, dist FROM (
   SELECT s.station_id, a.postal_code, round({hav('a.cy', 'a.cx', 's.geom_y', 's.geom_x')}, 3) AS dist
-  FROM stg_stations s CROSS JOIN customer_areas a)
-WHERE dist <= 15000.0""", {"customer_areas": CUSTOMER_AREAS}))
+  FROM box_stations s CROSS JOIN customer_areas a)
+WHERE dist <= 15000.0""", {"customer_areas": CUSTOMER_AREAS, "supplier_stations": SUPPLIER_STATIONS, "box_stations": BOX_STATIONS}))
 def q_distance_join_grid(spark, sf_dir):
-    """C1 at scale: every staged station source x 100,000*sf customer areas."""
-    i = _in(spark, sf_dir)
-    pts = i.stg_stations.select("station_id", F.col("geometry")["y"].alias("lat"),
+    """C1 at scale: staged station sources x customer areas, both in boxes of the same density at every scale."""
+    stations = P.stg_stations(fx.bench_stations(spark, sf_dir))
+    pts = stations.select("station_id", F.col("geometry")["y"].alias("lat"),
                                 F.col("geometry")["x"].alias("lon"))
     areas = fx.bench_areas(spark, sf_dir).select(
         "postal_code", F.col("centroid")["y"].alias("area_lat"), F.col("centroid")["x"].alias("area_lon"))

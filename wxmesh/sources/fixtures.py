@@ -126,3 +126,24 @@ def bench_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
         point(F.lit(13.4) + ((c * 29) % 1501 - 750) / 2500.0 + (box % 40) * 2.0,
               F.lit(52.52) + ((c * 31) % 1499 - 749) / 3000.0 - F.floor(box / 40) * 1.5).alias("centroid"),
     )
+
+
+def bench_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations in the boxes of ``bench_areas``, 100 sources to a box, like 1,500 areas.
+
+    They lie as in ``raw_stations``, shifted by box. Ids are padded, never cut, so
+    every place is one of its own at any scale.
+    """
+    key = F.col("s_suppkey")
+    k, box = F.floor(key / 2), F.floor(key / 100)
+    kk = k - F.when(k % 11 == 3, 1).otherwise(0)
+    df = table(spark, sf_dir, "supplier").select(
+        F.format_string("%06d", key).alias("id"),
+        F.when(key % 20 != 19, F.format_string("W%05d", k)).alias("wmo_station_id"),
+        F.col("s_name").alias("station_name"),
+        (F.lit(52.52) + ((kk * 53) % 97 - 48) / 400.0 - F.floor(box / 40) * 1.5).alias("lat"),
+        (F.lit(13.4) + ((kk * 37) % 101 - 50) / 250.0 + (key % 2) / 100000.0 + (box % 40) * 2.0).alias("lon"),
+        F.when((key % 10 == 7) | (k % 9 == 4), _ts("2023-05-03 00:00:00"))
+         .otherwise(_ts("2025-12-01 00:00:00")).alias("last_record"),
+    )
+    return schemas.bind_by_name(df, schemas.STATIONS)
