@@ -6,8 +6,9 @@
    list of insults.
 2. Voters: each is a share of the lexicon (fixed words, learned words in four
    groups, word beginnings by length) or a pattern (insult near an address,
-   shouting, masked words, runs of marks), and fires or abstains on a text. One
-   fires when no lexicon voter does.
+   shouting, masked words, runs of marks), and fires or abstains on a text. A
+   lexicon voter fires on hits all through a text or on a passage of ``SPAN``
+   words that has some. One fires when no lexicon voter does.
 3. Label model: the firing patterns of all texts of the learning folds are
    counted in Spark; at most ``2**voters`` counts reach the driver. Expectation
    maximisation over the counts estimates the class balance and how often each
@@ -49,6 +50,7 @@ INSULTS = ("idiot idiots moron morons stupid dumb loser losers scum trash pathet
 ADDRESS = "you your you're youre u du dich dir dein deine ihr tu toi te ton ta vous votre tú usted tus eres".split()
 PREFIXES = (4, 5, 6, 7, 8)
 SPAN = 200
+DENSE = 3  # hits in one window that are more than chance, however long the text is
 PRIOR = 20.0
 MAX_TERMS, MIN_SUPPORT, MIN_LOG_ODDS, MIN_G2 = 512, 5, 3.0, 30.0
 VOTERS = ("fixed", "words_0", "words_1", "words_2", "words_3", "begin_4", "begin_5", "begin_6", "begin_7", "begin_8",
@@ -76,15 +78,16 @@ class Words:
         edge = np.cumsum([len(b) + 1 for b in low])
         self.text = np.searchsorted(edge, self.starts, side="right")
         self.codes = word_codes(self.raw, self.starts, self.ends)
+        self.place = np.arange(len(self.text)) - np.searchsorted(self.text, self.text)  # of a word in its text
         self.plain = plain
 
     def terms(self):
-        """Codes of words, then of word beginnings, each with its text and kind (0: word, else the length)."""
-        yield 0, self.codes, self.text
+        """Codes of words, then of word beginnings, each with its word and kind (0: word, else the length)."""
+        yield 0, self.codes, np.arange(len(self.codes))
         lengths = self.ends - self.starts
         for p in PREFIXES:
-            own = lengths > p
-            yield p, prefix_codes(self.raw, self.starts[own], np.minimum(lengths[own], p), p) * MIX + np.uint64(p), self.text[own]
+            own = np.flatnonzero(lengths > p)
+            yield p, prefix_codes(self.raw, self.starts[own], np.minimum(lengths[own], p), p) * MIX + np.uint64(p), own
 
     def patterns(self) -> np.ndarray:
         """Firings of the pattern voters: addressed, shouting, masked, marks."""
@@ -124,26 +127,48 @@ class Lexicon:
     def find(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How dense each term is in each text (0 to 255), and whether each voter fires on it.
 
-        Density is in hits for ``SPAN`` words, at most one, and a shorter text
-        counts as one of ``SPAN`` words: a long text meets a rare word by chance.
+        Both are measured over the whole text, in hits for ``SPAN`` words, and in
+        windows of ``SPAN`` words that overlap by half; the larger counts. A text
+        of up to ``SPAN`` words is one window, in which one hit is enough. A longer
+        one meets a rare word by chance, so a window needs up to ``DENSE`` hits,
+        and the terms are those of the window with the most hits.
         """
         words = Words(texts)
-        n = words.n
-        spans_ = np.maximum(1.0, np.bincount(words.text, minlength=n) / SPAN)
-        held, hits = np.zeros((n, len(self.codes))), np.zeros((n, 11))
-        np.add.at(hits[:, 0], words.text[member(words.codes, INSULT_CODES)], 1)
-        for _, codes, text in words.terms():
+        n, half = words.n, SPAN // 2
+        size = np.bincount(words.text, minlength=n)
+        spans_ = np.maximum(1.0, size / SPAN)
+        need = np.minimum(spans_, DENSE)
+        edge = np.concatenate(([0], np.cumsum(np.maximum(1, -(-size // half)))))  # the first window of each text
+        insults = np.flatnonzero(member(words.codes, INSULT_CODES))
+        word, term, voter = [insults], [np.full(len(insults), -1)], [np.zeros(len(insults), np.int64)]
+        for _, codes, own in words.terms():
             maybe = np.flatnonzero(self.bits[(codes * MIX) >> np.uint64(48)])
             if len(maybe):
                 at = np.minimum(np.searchsorted(self.codes, codes[maybe]), len(self.codes) - 1)
                 hit = self.codes[at] == codes[maybe]
-                np.add.at(held, (text[maybe[hit]], at[hit]), 1)
-                np.add.at(hits, (text[maybe[hit]], self.voter[at[hit]]), 1)
+                word.append(own[maybe[hit]])
+                term.append(at[hit])
+                voter.append(self.voter[at[hit]])
+        word, term, voter = np.concatenate(word), np.concatenate(term), np.concatenate(voter)
+        text, step = words.text[word], words.place[word] // half
+        whole, near = np.zeros((n, 11)), np.zeros((edge[-1], 11))
+        np.add.at(whole, (text, voter), 1)
+        np.add.at(near, (edge[text] + step, voter), 1)
+        np.add.at(near, (edge[text[step > 0]] + step[step > 0] - 1, voter[step > 0]), 1)
+        densest = np.array([near[a:b].sum(1).argmax() for a, b in zip(edge, edge[1:])], np.int64)
         votes = np.zeros((n, len(VOTERS)), bool)
-        votes[:, :10] = hits[:, :10] >= spans_[:, None]
+        if n:
+            top = np.maximum.reduceat(near, edge[:-1])
+            votes[:, :10] = ((whole >= spans_[:, None]) | (top >= need[:, None]))[:, :10]
         votes[:, 10:14] = words.patterns()
         votes[:, 14] = ~votes[:, :10].any(1)
-        return (255 * np.minimum(1, held / spans_[:, None])).astype(np.uint8), votes
+        held, inside = np.zeros((n, len(self.codes))), np.zeros((n, len(self.codes)))
+        learned = term >= 0
+        np.add.at(held, (text[learned], term[learned]), 1)
+        learned &= (step == densest[text]) | (step == densest[text] + 1)
+        np.add.at(inside, (text[learned], term[learned]), 1)
+        dense = np.maximum(held / spans_[:, None], inside / need[:, None])
+        return (255 * np.minimum(1, dense)).astype(np.uint8), votes
 
 
 def learn_lexicon(docs: DataFrame, known: DataFrame, cap: int) -> Lexicon:
@@ -158,8 +183,8 @@ def learn_lexicon(docs: DataFrame, known: DataFrame, cap: int) -> Lexicon:
         for batch in slices(batches, 512):
             toxic = column_of(batch, "label").to_numpy() == 1
             words = Words(as_texts(column_of(batch, "text")))
-            for kind, codes, text in words.terms():
-                pair = np.unique(np.rec.fromarrays((codes, text)))
+            for kind, codes, own in words.terms():
+                pair = np.unique(np.rec.fromarrays((codes, words.text[own])))
                 code, back = np.unique(pair.f0, return_inverse=True)
                 p = np.bincount(back, toxic[pair.f1]).astype(np.int64)
                 n = np.bincount(back, ~toxic[pair.f1]).astype(np.int64)
