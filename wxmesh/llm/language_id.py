@@ -13,6 +13,14 @@ and for every row when there is nothing to learn from. A null ``doc_id`` is in
 no fold, so such a row is learned from if it has a language. Repeated rows are
 scored each. Only ``doc_id``, ``text`` and ``lang`` are read; other columns,
 whatever their names, play no part.
+
+Whether a text is in a learned language at all is told by ``Likeness``: the
+cosine between the n-grams of its different words and the mean of the language
+it is taken for, against a low quantile of the cosines of learning texts of that
+language that are not in the mean, cut to the same size. It doesn't depend on how
+many languages or families there are. Words that come again, marks and digits
+play no part. Under 16 bytes, or with fewer than 100 learning texts of the
+language to compare with, there is no evidence against a text.
 """
 
 from __future__ import annotations
@@ -39,6 +47,9 @@ FAMILY = {
 BITS, ORDERS = 12, (1, 2, 3, 4)
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
+LETTERS = re.compile(r"[^\W\d_]+")
+#: Sizes in bytes at which likeness is calibrated, and what is below nearly all learning texts of a size.
+SIZES, MIN_TEXTS, QUANTILE, SLACK = (16, 32, 64, 128, 256, 512, 1024, 2048, 4096), 100, 0.01, 0.2
 
 
 def family_of(lang: str) -> str:
@@ -49,6 +60,44 @@ def vector(text: str) -> np.ndarray:
     return hashed_grams(f" {text.lower()} ".encode(), ORDERS, BITS)
 
 
+def plain_words(text: str) -> bytes:
+    """The different words of a text in the order they come, lower-cased."""
+    return f" {' '.join(dict.fromkeys(LETTERS.findall(text.lower())))} ".encode()
+
+
+def piece(raw: bytes, size: int) -> bytes:
+    """``size`` bytes from the middle."""
+    at = (len(raw) - size) // 2
+    return raw[at:at + size]
+
+
+class Likeness:
+    """How like its language a text is, beside what learning texts of that size are."""
+
+    def __init__(self, langs: list[str], means: np.ndarray):
+        self.langs = langs
+        self.means = (means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+        self.floors: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def of(self, raw: bytes, lang: int) -> float:
+        return float(self.means[lang] @ hashed_grams(raw, ORDERS, BITS))
+
+    def calibrate(self, lang: np.ndarray, size: np.ndarray, value: np.ndarray) -> Likeness:
+        """From the likeness to their own language of pieces of texts."""
+        for g in range(len(self.langs)):
+            found = [(np.log2(n), np.quantile(own, QUANTILE) * (1 - SLACK))
+                     for n in SIZES for own in [value[(lang == g) & (size == n)]] if len(own) >= MIN_TEXTS]
+            if found:
+                self.floors[g] = tuple(np.array(found).T)
+        return self
+
+    def enough(self, text: str, lang: int) -> bool:
+        raw = plain_words(text)
+        if lang not in self.floors or len(raw) < SIZES[0]:
+            return True
+        return self.of(raw, lang) >= np.interp(np.log2(len(raw)), *self.floors[lang])
+
+
 class Hierarchy:
     """Families, and pairs of languages within each; scores a matrix of texts."""
 
@@ -100,12 +149,14 @@ class Hierarchy:
         return lang, np.clip(score, 0, 1)
 
 
-def fit(docs: DataFrame, cap: int = 1000) -> Hierarchy | None:
-    """Learn from the rows of ``docs(doc_id, text, lang)`` that have a language and a letter."""
+def _learning_rows(docs: DataFrame, cap: int) -> DataFrame:
     rows = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text")
     ids = bounded_classes(rows.select("doc_id", "lang").filter("doc_id is not null").distinct(), "lang", cap, F.col("doc_id"))
-    rows = rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
+    return rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
+
 
+def fit(docs: DataFrame, cap: int = 1000) -> Hierarchy | None:
+    """Learn from the rows of ``docs(doc_id, text, lang)`` that have a language and a letter."""
     def vectors(batches):
         for batch in slices(batches, 512):
             texts = as_texts(column_of(batch, "text"))
@@ -114,7 +165,7 @@ def fit(docs: DataFrame, cap: int = 1000) -> Hierarchy | None:
                 column_of(batch, "lang").take(pa.array(keep, pa.int64())).cast(pa.string()),
                 pa.array([vector(texts[k]).astype(np.float16).tobytes() for k in keep], pa.binary())], ["lang", "x"])
 
-    got = rows.mapInArrow(vectors, "lang string, x binary").collect()
+    got = _learning_rows(docs, cap).mapInArrow(vectors, "lang string, x binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r["lang"], r["x"]))
@@ -122,6 +173,39 @@ def fit(docs: DataFrame, cap: int = 1000) -> Hierarchy | None:
                      np.array([r["lang"] for r in got]))
 
 
+def fit_likeness(docs: DataFrame, langs: list[str], cap: int = 1000) -> Likeness:
+    """Means from one half of the learning rows of ``fit``, calibrated with the other."""
+    rows, half = _learning_rows(docs, cap), F.crc32(F.concat(F.lit("half "), F.col("doc_id").cast("string")).cast("binary")) % 2
+    rows = rows.withColumn("half", F.coalesce(half, F.lit(0)))
+
+    def sums(batches):
+        total = np.zeros((len(langs), 1 << BITS))
+        for batch in slices(batches, 512):
+            for lang, text in zip(column_of(batch, "lang").to_pylist(), as_texts(column_of(batch, "text"))):
+                if lang in langs and LETTER.search(text):
+                    total[langs.index(lang)] += hashed_grams(plain_words(text), ORDERS, BITS)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
+
+    total = np.zeros((len(langs), 1 << BITS))
+    for r in rows.filter("half = 0").select("lang", "text").mapInArrow(sums, "x binary").toLocalIterator():
+        total += np.frombuffer(r["x"]).reshape(total.shape)
+    like = Likeness(langs, total)
+
+    def values(batches):
+        for batch in slices(batches, 512):
+            out = []
+            for lang, text in zip(column_of(batch, "lang").to_pylist(), as_texts(column_of(batch, "text"))):
+                raw = plain_words(text)
+                if lang in langs:
+                    g = langs.index(lang)
+                    out += [(g, n, like.of(piece(raw, n), g)) for n in SIZES if n <= len(raw)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
+                                              pa.array([r[2] for r in out], pa.float64())], ["lang", "size", "value"])
+
+    got = rows.filter("half = 1").select("lang", "text").mapInArrow(values, "lang long, size long, value double").collect()
+    return like.calibrate(*(np.array([r[c] for r in got]) for c in ("lang", "size", "value")))
+
+
 def predict(docs: DataFrame, model: Hierarchy | None, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``docs`` with ``lang_pred string, score double``."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
@@ -142,15 +226,16 @@ def predict(docs: DataFrame, model: Hierarchy | None, keep: list[str]) -> DataFr
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(score, f"{kinds}, lang_pred string, score double")
 
 
-def known_languages(docs: DataFrame, model: Hierarchy | None, min_score: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is told with at least ``min_score``."""
+def known_languages(docs: DataFrame, model: Hierarchy | None, like: Likeness | None) -> DataFrame:
+    """The rows of ``docs``, all columns, that have a letter and are like the language they are taken for."""
     def keep(batches):
         for batch in slices(batches, 512):
             texts = as_texts(column_of(batch, "text"))
             good = np.zeros(len(texts), bool)
             known = [k for k, t in enumerate(texts) if LETTER.search(t)] if model else []
             if known:
-                good[known] = model.predict(np.stack([vector(texts[k]) for k in known]))[1] >= min_score
+                best = model.predict(np.stack([vector(texts[k]) for k in known]))[0]
+                good[known] = [like.enough(texts[k], g) for k, g in zip(known, best.tolist())]
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(keep, docs.schema)
