@@ -143,14 +143,14 @@ members AS (SELECT conv_id, len(path) AS size, unnest(range(len(path) + 1)) AS d
 nodes AS (
   SELECT depth, path[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
          coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (size = depth), '') AS ends,
-         CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * strlen(path[depth].text) END AS saved
-  FROM members GROUP BY ALL),
-kids AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+         (count(*) - 1) * max(CASE WHEN depth = 0 THEN 0 ELSE strlen(path[depth].text) END) AS saved
+  FROM members GROUP BY depth, path[1:depth]),
+kids AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY prefix[1:depth - 1]),
 counted AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (prefix)),
 above AS (SELECT unnest(range(depth + 1)) AS up, prefix, n_children, saved FROM counted),
 sums AS (
   SELECT prefix[1:up] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
-  FROM above GROUP BY ALL)
+  FROM above GROUP BY prefix[1:up])
 SELECT CAST(n.conv_id AS BIGINT) AS conv_id, CAST(n.depth AS BIGINT) AS depth, CAST(p.conv_id AS BIGINT) AS parent_conv_id,
        CAST(n.n_convs AS BIGINT) AS n_convs, CAST(n.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
        CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
@@ -160,7 +160,7 @@ FROM counted n JOIN sums s USING (prefix) LEFT JOIN nodes p ON n.depth > 0 AND p
 SPELLING_SQL = f"""
 WITH RECURSIVE {CRC_TABLE},
 runs AS (
-  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{6,}}')),
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{6,}}')),
                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
   FROM documents),
 hashed AS (
