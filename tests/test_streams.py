@@ -185,3 +185,19 @@ def test_a_run_leaves_nothing_in_the_shared_folder(spark, tmp_dir):
     assert spark.table("analytics.hourly_observations").count() == 6720
     assert spark.table("stg_observations").count() > 0 and spark.table("cleaned_forecasts").count() > 0
     assert set(result.names.values()) == {"analytics.hourly_observations", "analytics.hourly_forecasts"}
+
+
+def test_a_replay_is_counted_as_what_it_loads(spark, stations, folders):
+    landing, table, ckpt = folders
+    land(landing, "a.json", doc("S1", (at(1), 1.0), (at(2), 2.0)), doc("S2", (at(3), 3.0)), "broken")
+    first = S.run_available_now(spark, landing, table, ckpt, stations, NOW)
+    counts = lambda done: {r["station_id"]: r["n_rows"] for r in S.loaded(spark, table, done).collect()}
+    assert counts(first) == {"S1": 2, "S2": 1}
+    for name in ("0", ".0.crc"):
+        os.remove(f"{ckpt}/commits/{name}")
+    replayed = S.run_available_now(spark, landing, table, ckpt, stations, NOW + dt.timedelta(days=1))
+    assert replayed == first and counts(replayed) == {"S1": 2, "S2": 1}
+    land(landing, "b.json", doc("S1", (at(4), 4.0)))
+    second = S.run_available_now(spark, landing, table, ckpt, stations, NOW)
+    assert counts(second) == {"S1": 1} and counts(first + second) == {"S1": 3, "S2": 1}
+    assert S.run_available_now(spark, landing, table, ckpt, stations, NOW) == [] and counts([]) == {}

@@ -36,11 +36,17 @@ def arguments(argv=None) -> argparse.Namespace:
 
     for name in ("stations", "areas"):
         command(name, "landing", "raw", "now")
+    layout = {"choices": ("lines", "collection", "any"), "default": "any",
+              "help": "areas as one feature per line, as whole collection documents, or each file by what it holds"}
+    sub.choices["areas"].add_argument("--layout", **layout)
     for p in (command("observations", "landing", "table", "checkpoint", "raw", "now"),
               command("forecasts", "landing", "table", "checkpoint", "raw", "now"),
               command("run", "landing", "raw", "out", "checkpoint", "now")):
         p.add_argument("--max-files", type=int, help="files of a micro-batch at most")
         p.add_argument("--max-bytes", type=int, help="bytes of a micro-batch at most")
+    for name in ("observations", "forecasts"):
+        sub.choices[name].add_argument("--rejects", help="folder of bad records (default: rejects/ under the raw tables)")
+    sub.choices["run"].add_argument("--layout", **layout)
     command("pipeline", "raw", "out")
     for name in ("pipeline", "run"):
         sub.choices[name].add_argument("--allow", action="append", default=[], metavar="MODEL:RULE",
@@ -63,21 +69,24 @@ def main(argv=None) -> int:
     checkpoint_dir(spark)
     raw = lambda name: schemas.read_raw(spark, args.raw, name)
     limits = {"max_files": getattr(args, "max_files", None), "max_bytes": getattr(args, "max_bytes", None)}
+    rejects = getattr(args, "rejects", None) or f"{getattr(args, 'raw', '').rstrip('/')}/rejects/{args.cmd}"
     allow = [tuple(a.split(":", 1)) for a in getattr(args, "allow", [])]
 
     if args.cmd in ("stations", "areas"):
-        load = pipeline.load_stations if args.cmd == "stations" else pipeline.load_areas
-        load(spark, args.landing, args.raw, args.now).show(truncate=False)
+        rejects = (pipeline.load_stations(spark, args.landing, args.raw, args.now) if args.cmd == "stations"
+                   else pipeline.load_areas(spark, args.landing, args.raw, args.now, layout=args.layout))
+        rejects.show(truncate=False)
     elif args.cmd == "observations":
         S.run_available_now(spark, args.landing, args.table, args.checkpoint,
-                            active_stations(raw("weather_stations"), P.ACTIVE_SINCE), args.now, **limits)
+                            active_stations(raw("weather_stations"), P.ACTIVE_SINCE), args.now, rejects, **limits)
     elif args.cmd == "forecasts":
         S.run_forecasts_available_now(spark, args.landing, args.table, args.checkpoint,
-                                      raw("weather_stations").filter(F.col("observation_type") == "forecast"), args.now, **limits)
+                                      raw("weather_stations").filter(F.col("observation_type") == "forecast"), args.now,
+                                      rejects_path=rejects, **limits)
     else:
         if args.cmd == "run":
             result, summary = pipeline.run_job(spark, args.landing, args.raw, args.out, args.checkpoint, args.now,
-                                               allow=allow, **limits)
+                                               allow=allow, layout=args.layout, **limits)
             summary.filter("station_id is null").show(truncate=False)
         else:
             result = pipeline.run_pipeline(spark, raw("weather_stations"), raw("postal_codes"), raw("weather_observations"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.geo import centroid
 from ..operators import ingest as I
+from ..operators.repair import repair_areas
 from ..session import delete_path, scratch_path
 from ..sources import fixtures as fx
 from ..sources import landed
@@ -91,6 +92,61 @@ def q_read_geojson_rejects(spark, sf_dir):
         rejects.select("reason", "value"))
 
 
+def _customer_shapes(spark, sf_dir) -> DataFrame:
+    """``key, geometry``: every customer an area whose points are those of its kind, in hundredths of a degree from its own corner."""
+    k = F.col("c_custkey")
+    kind = F.get(F.array(*[F.expr("array(" + ", ".join(
+        "array(" + ", ".join("array(" + ", ".join(f"named_struct('x', {x}D, 'y', {y}D)" for x, y in ring) + ")" for ring in part) + ")"
+        for part in shape) + ")") for shape, _ in _SHAPES]), (k % len(_SHAPES)).cast("int"))
+    moved = F.transform(kind, lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.struct(
+        ((k % 500) / 10.0 + p["x"] / 100.0).alias("x"), ((k % 300) / 10.0 + p["y"] / 100.0).alias("y")))))
+    return fx.table(spark, sf_dir, "customer").select(k.cast("string").alias("key"), moved.alias("geometry"))
+
+
+_BOX = [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
+#: Shapes and where the centroid of what they cover lies (as SQL, null: they cover nothing).
+_SHAPES = (
+    ([[_BOX]], ("1", "1")),
+    ([[[(0, 0), (4, 4), (4, 0), (0, 1), (0, 0)]]], ("8.8 / 3", "1.6")),                                 # bow-tie: its larger lobe
+    ([[[(0, 0), (0, 2), (1, 1), (2, 2), (2, 0), (1, 1), (0, 0)]]], ("1", "1")),                         # two lobes that touch
+    ([[[(0, 0), (2, 0), (2, 1), (5, 1), (2, 1), (2, 2), (0, 2), (0, 0)]]], ("1", "1")),                 # spike
+    ([[_BOX], [[(1, 1), (3, 1), (3, 3), (1, 3), (1, 1)]]], ("1.5", "1.5")),                             # overlapping parts
+    ([[[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]], [_BOX]], ("2", "2")),                                 # a part within a part
+    ([[[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(3, 1), (6, 1), (6, 2), (3, 2), (3, 1)]]], ("1.9", "30.5 / 15")),  # hole beyond the shell
+    ([[[(0, 0), (2, 0), (1, 0), (0, 0)]]], ("NULL", "NULL")),                                           # no extent
+    ([[[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)]]], ("30.5 / 15", "30.5 / 15")),  # sound, with a hole
+)
+
+
+def _centre_sql(axis: int, step: str) -> str:
+    return (f"round({step} / 10.0{D} + (CASE c_custkey % {len(_SHAPES)} "
+            + " ".join(f"WHEN {k} THEN {c[axis]}" for k, (_, c) in enumerate(_SHAPES)) + f" END) / 100.0{D}, 6)")
+
+
+@register("polygon_repair", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS key, {_centre_sql(0, "c_custkey % 500")} AS cx, {_centre_sql(1, "c_custkey % 300")} AS cy
+FROM customer""")
+def q_polygon_repair(spark, sf_dir):
+    """Bow-ties, spikes, overlapping and nested parts and stray holes: the centroid of what the repaired area covers."""
+    c = centroid("geometry")
+    return repair_areas(_customer_shapes(spark, sf_dir)).select("key", F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"))
+
+
+@register("read_geojson_collection", f"""
+SELECT 'C' || CAST(c_custkey AS VARCHAR) AS plz, {_centre_sql(0, "c_custkey % 500")} AS cx, {_centre_sql(1, "c_custkey % 300")} AS cy
+FROM customer WHERE c_custkey % {len(_SHAPES)} IN (0, {len(_SHAPES) - 1})""")
+def q_read_geojson_collection(spark, sf_dir):
+    """Collection documents of many features, read in as many tasks as their bytes ask for; the type first in one, last in the other."""
+    areas = _customer_shapes(spark, sf_dir).filter(F.col("key").cast("long") % len(_SHAPES) % (len(_SHAPES) - 1) == 0) \
+        .select(F.concat(F.lit("C"), "key").alias("plz"), "geometry")
+    path, odd = scratch_path(spark, "collections"), F.xxhash64("plz") % 2 == 0
+    landed.land_areas_collection(areas.filter(odd), f"{path}/first")
+    landed.land_areas_collection(areas.filter(~odd), f"{path}/last", type_first=False, separator=" , ")
+    c = centroid("geometry")
+    return landed.read_geojson_areas(spark, f"{path}/*", layout="collection").select(
+        "plz", F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"))
+
+
 @register("read_stations_json", with_ctes("""
 SELECT id, wmo_station_id, station_name, observation_type, lat, lon, last_record FROM raw_stations"""))
 def q_read_stations_json(spark, sf_dir):
@@ -210,6 +266,19 @@ def q_load_areas(spark, sf_dir):
     return schemas.read_raw(spark, raw_dir, "postal_codes").select("plz", "name", "created_at")
 
 
+@register("load_area_collection", with_ctes(f"""
+SELECT postal_code AS plz, round(cx, 9) AS cx, round(cy, 9) AS cy, TIMESTAMP '{OBS_NOW}' AS created_at FROM stg_areas"""))
+def q_load_area_collection(spark, sf_dir):
+    """Areas landed as one collection document and as single lines, side by side, loaded by the job."""
+    landing, raw_dir = scratch_path(spark, "areas"), scratch_path(spark, "raw")
+    raw, some = _in(spark, sf_dir).raw_postal, F.col("plz") < "12"
+    landed.land_areas_collection(raw.filter(some), f"{landing}/collection")
+    landed.land_areas_geojson(raw.filter(~some), f"{landing}/lines")
+    J.load_areas(spark, f"{landing}/*", raw_dir, OBS_NOW)
+    c = centroid("geometry")
+    return schemas.read_raw(spark, raw_dir, "postal_codes").select("plz", F.round(c["x"], 9).alias("cx"), F.round(c["y"], 9).alias("cy"), "created_at")
+
+
 # ---------------------------------------------------------------- streams, I2
 
 _OBS_OUT = ["station_id", "wmo_station_id", "timestamp", "temperature", "ingested_at"]
@@ -381,18 +450,31 @@ def q_mart_file_order(spark, sf_dir):
 SELECT "table", station_id, n_rows FROM (
   SELECT 'weather_observations' AS "table", station_id, count(*) AS n_rows FROM job_obs GROUP BY ROLLUP (station_id)
   UNION ALL
-  SELECT 'weather_forecasts', station_id, count(*) FROM fcs_all GROUP BY ROLLUP (station_id))""", {
+  SELECT 'weather_forecasts', station_id, count(*) FROM fcs_all GROUP BY ROLLUP (station_id)
+  UNION ALL
+  SELECT 'rejects/' || s, NULL, count(*) FROM nation, unnest(['stations', 'areas', 'observations', 'forecasts']) AS t(s) GROUP BY s
+  UNION ALL
+  SELECT 'rejected ' || s, '{{"x":' || CAST(n_nationkey AS VARCHAR), 1
+  FROM nation, unnest(['stations', 'areas', 'observations', 'forecasts']) AS t(s))""", {
     **_FC_CTES, "active_sources": ACTIVE_SOURCES,
     "job_obs": f"""SELECT o.station_id FROM raw_obs o JOIN active_sources a ON o.station_id = a.id
                    WHERE o."timestamp" >= TIMESTAMP '{FC_NOW}' - INTERVAL 30 DAY AND o."timestamp" <= TIMESTAMP '{FC_NOW}'"""}))
 def q_run_job(spark, sf_dir):
-    """Landed files of all four kinds to marts in one run; its ingest summary."""
+    """Landed files of all four kinds, bad lines among them, to marts in one run; its ingest summary and the rejects read back."""
     i = _in(spark, sf_dir)
     landing, raw_dir, out, ckpt = (scratch_path(spark, n) for n in ("job-landing", "job-raw", "job-marts", "job-ckpt"))
     landed.land_stations_json(i.raw_stations, f"{landing}/stations")
     landed.land_areas_geojson(i.raw_postal, f"{landing}/areas")
+    sources = ("stations", "areas", "observations", "forecasts")
+    bad = fx.table(spark, sf_dir, "nation").select(F.concat(F.lit('{"x":'), F.col("n_nationkey").cast("string")).alias("value"))
     landed.land_weather_json(i.raw_obs.select("station_id", "timestamp", "temperature", "precipitation", "relative_humidity", "wind_speed"),
                              f"{landing}/observations")
     _land_forecasts(spark, sf_dir, f"{landing}/forecasts")
+    for source in sources:
+        _lines(bad, f"{landing}/{source}", "append")
     _, summary = J.run_job(spark, landing, raw_dir, out, ckpt, FC_NOW, allow=NULL_WMO_ALLOWED)
+    for source in sources:
+        kept = spark.read.parquet(f"{raw_dir}/rejects/{source}")
+        summary = summary.unionByName(kept.select(F.lit(f"rejected {source}").alias("table"), F.col("value").alias("station_id"),
+                                                  F.lit(1).cast("long").alias("n_rows")))
     return summary

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import checks as K
 from ..operators import ingest as I
+from ..operators.repair import repair_areas
 from ..session import materialise, scratch, together
 from ..sources import landed
 from . import products as P
@@ -92,43 +94,65 @@ def run_pipeline(spark: SparkSession, raw_stations: DataFrame, raw_areas: DataFr
 
 # ------------------------------------------------------------- load jobs, L10
 
+def _kept_rejects(rejects: DataFrame, raw_dir: str, source: str) -> DataFrame:
+    """The rejects of a full load, written beside the raw tables in place of the last load's, and read back."""
+    path = f"{raw_dir.rstrip('/')}/rejects/{source}"
+    rejects.write.mode("overwrite").parquet(path)
+    return rejects.sparkSession.read.schema(landed.REJECTS).parquet(path)
+
+
 def load_stations(spark: SparkSession, landing: str, raw_dir: str, now, centre=I.DISCOVERY_CENTRE,
                   radius_m: float = I.DISCOVERY_RADIUS_M) -> DataFrame:
     """Landed station documents -> the raw station table, fully refreshed (A4, A8, B12, B14); returns the rejects."""
     rows, rejects = landed.read_stations(spark, landing, now)
     found = I.stations_in_radius(rows, centre, radius_m).withColumn("location", P.point("lon", "lat"))
     I.full_refresh(schemas.bind_by_name(found, schemas.STATIONS), f"{raw_dir.rstrip('/')}/weather_stations")
-    return rejects
+    return _kept_rejects(rejects, raw_dir, "stations")
 
 
 def load_areas(spark: SparkSession, landing: str, raw_dir: str, now, prefixes=P.AREA_PREFIXES,
-               multiline: bool = False) -> DataFrame:
-    """Landed GeoJSON features -> the raw area table, fully refreshed (A6, A7, A8, B8); returns the rejects."""
-    rows, rejects = landed.read_geojson(spark, landing, prefixes, multiline, now)
-    I.full_refresh(rows, f"{raw_dir.rstrip('/')}/postal_codes")
-    return rejects
+               layout: str = "any") -> DataFrame:
+    """Landed GeoJSON features -> the raw area table, repaired and fully refreshed (A6, A7, A8, B8); returns the rejects.
+
+    ``layout`` as in ``landed.read_geojson``: features per line and whole collections may both be landed.
+    """
+    rows, rejects = landed.read_geojson(spark, landing, prefixes, layout, now)
+    I.full_refresh(repair_areas(rows), f"{raw_dir.rstrip('/')}/postal_codes")
+    return _kept_rejects(rejects, raw_dir, "areas")
 
 
 def run_job(spark: SparkSession, landing: str, raw_dir: str, out_dir: str, checkpoint: str, now, *,
-            allow: Iterable[tuple[str, str]] = (), gate: bool = True, **limits) -> tuple[PipelineResult, DataFrame]:
+            allow: Iterable[tuple[str, str]] = (), gate: bool = True, layout: str = "any",
+            **limits) -> tuple[PipelineResult, DataFrame]:
     """``landing/{stations,areas,observations,forecasts}`` -> raw tables -> marts.
 
-    Returns the marts and the ingest summary (D3): the rows that this run loaded,
-    by table and station, with a total row per table (null station).
+    Bad records go to ``raw_dir/rejects/{stations,areas,observations,forecasts}``. Returns the marts and the ingest
+    summary (D3): the rows that this run's micro-batches loaded, by table and station, with a total row per
+    table (null station), and the number of rejects of this run by source.
     """
     from ..streaming import incremental as S
 
     landing, raw_dir = landing.rstrip("/"), raw_dir.rstrip("/")
-    load_stations(spark, f"{landing}/stations", raw_dir, now)
-    load_areas(spark, f"{landing}/areas", raw_dir, now)
+    rejects = {"stations": load_stations(spark, f"{landing}/stations", raw_dir, now),
+               "areas": load_areas(spark, f"{landing}/areas", raw_dir, now, layout=layout)}
     stations = schemas.read_raw(spark, raw_dir, "weather_stations")
-    S.run_available_now(spark, f"{landing}/observations", f"{raw_dir}/weather_observations", f"{checkpoint}/observations",
-                        I.active_stations(stations, P.ACTIVE_SINCE), now, **limits)
-    S.run_forecasts_available_now(spark, f"{landing}/forecasts", f"{raw_dir}/weather_forecasts", f"{checkpoint}/forecasts",
-                                  stations.filter(F.col("observation_type") == "forecast"), now, **limits)
+    batches = {
+        "observations": S.run_available_now(
+            spark, f"{landing}/observations", f"{raw_dir}/weather_observations", f"{checkpoint}/observations",
+            I.active_stations(stations, P.ACTIVE_SINCE), now, f"{raw_dir}/rejects/observations", **limits),
+        "forecasts": S.run_forecasts_available_now(
+            spark, f"{landing}/forecasts", f"{raw_dir}/weather_forecasts", f"{checkpoint}/forecasts",
+            stations.filter(F.col("observation_type") == "forecast"), now,
+            rejects_path=f"{raw_dir}/rejects/forecasts", **limits)}
     raw = {name: S.read_table_or_empty(spark, f"{raw_dir}/{name}", schema) for name, schema in schemas.RAW.items()}
     result = run_pipeline(spark, raw["weather_stations"], raw["postal_codes"], raw["weather_observations"],
                           raw["weather_forecasts"], out_dir, allow=allow, gate=gate)
-    loaded = [I.ingest_counts(raw[n].filter(F.col("ingested_at") == P.ts_literal(now))).select(F.lit(n).alias("table"), "station_id", "n_rows")
-              for n in ("weather_observations", "weather_forecasts")]
-    return result, loaded[0].unionByName(loaded[1])
+    parts = []
+    for source, done in batches.items():
+        counts = S.loaded(spark, f"{raw_dir}/weather_{source}", done).rollup("station_id").agg(F.sum("n_rows").alias("n_rows"))
+        parts.append(counts.select(F.lit(f"weather_{source}").alias("table"), "station_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
+        rejects[source] = S.of_batches(S.read_table_or_empty(spark, f"{raw_dir}/rejects/{source}", S.REJECTS_SCHEMA), done)
+    for source, bad in rejects.items():
+        parts.append(bad.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(f"rejects/{source}").alias("table"), F.lit(None).cast("string").alias("station_id"), "n_rows"))
+    return result, reduce(DataFrame.unionByName, parts)

@@ -53,9 +53,9 @@ FEATURE = T.StructType([
 REJECTS = "reason string, value string, file string"
 
 
-def lines(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+def lines(spark: SparkSession, path: str) -> DataFrame:
     """``value``, ``_file`` and ``_issued`` (the file's time) of each line that is not blank."""
-    return with_origin(spark.read.option("wholetext", whole_files).text(path))
+    return with_origin(spark.read.text(path))
 
 
 def with_origin(text: DataFrame) -> DataFrame:
@@ -169,18 +169,57 @@ def _whole(shape: Column) -> Column:
     return (F.size(points) > 0) & F.forall(points, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
 
 
-def judged_areas(text: DataFrame, multiline: bool = False) -> DataFrame:
-    if multiline:
-        docs = _parsed(text, _doc(("features", T.ArrayType(FEATURE)))).withColumn("_broken", _broken())
-        one = docs.withColumn("_f", F.explode_outer(F.when(~F.col("_broken"), F.col("_d.features"))))
-        one = one.filter(F.col("_broken") | (F.coalesce(F.size("_d.features"), F.lit(0)) > 0))
-        one = one.withColumn("value", F.when(F.col("_broken"), F.col("value")).otherwise(F.to_json("_f")))
-    else:
-        one = _parsed(text, T.StructType([*FEATURE.fields, T.StructField(CORRUPT, S)])) \
-            .withColumn("_broken", _broken()).withColumn("_f", F.struct("_d.properties", "_d.geometry"))
+#: What stands once in every feature of a collection (``"type": "Feature"``), so files are cut there.
+FEATURE_MARK = '"Feature"'
+
+
+def collection_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Collection documents as the text between feature marks: ``value``, ``_file``.
+
+    The mark is the record separator of the read, so a document of any size and
+    on any number of lines is split over tasks; no record is longer than two features.
+    """
+    return with_origin(spark.read.option("lineSep", FEATURE_MARK).text(path))
+
+
+def collection_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files under ``path`` that hold collection documents: ``_file``."""
+    return collection_pieces(spark, path).filter(F.col("value").contains('"FeatureCollection"')).select("_file").distinct()
+
+
+def collection_features(pieces: DataFrame) -> DataFrame:
+    """One row per feature: its text in ``value``, repaired where the mark cut it.
+
+    A piece begins inside the feature whose mark stands before it. If members
+    follow, the piece holds them up to the feature's end, and what stands after is
+    left to the next one. If the feature closes at once, its members stood before its
+    mark, so the piece holds those of the feature that follows. ``_lost``
+    is true where a feature has members on both sides in a way that one piece cannot hold.
+    """
+    inside = F.col("value").rlike(r"(?s)^\s*[,}]")
+    closes = F.col("value").rlike(r"(?s)^\s*\}")
+    ahead = F.when(inside, F.regexp_extract("value", r"(?s)^\s*\}\s*,\s*(\{.*)$", 1)) \
+             .otherwise(F.regexp_extract("value", r"(?s)\"features\"\s*:\s*\[\s*(\{.*)$", 1))
+    bare = ahead.rlike(r"(?s)^\{[^{}]*$")  # only its type, or plain members such as an id, before the mark
+    whole = F.when(inside & ~closes, F.concat(F.lit('{"type":' + FEATURE_MARK), "value")) \
+             .when((ahead != "") & ~bare, F.concat(ahead, F.lit(FEATURE_MARK + "}")))
+    ends = F.col("value").rlike(r"(?s)(,\s*\{[^{}]*|\]\s*(,.*)?\}\s*)$")
+    lost = inside & ~closes & ~ends & F.col("value").rlike(r'"type"\s*:\s*$')
+    made = F.array_compact(F.array(F.when(whole.isNotNull(), F.struct(whole.alias("text"), F.lit(False).alias("lost"))),
+                                   F.when(lost, F.struct(F.col("value").alias("text"), F.lit(True).alias("lost")))))
+    return pieces.select(F.explode(made).alias("_m"), "_file").select(
+        F.col("_m.text").alias("value"), "_file", F.col("_m.lost").alias("_lost"))
+
+
+def judged_areas(text: DataFrame) -> DataFrame:
+    """One row for each feature in ``value``, with ``_reason`` where it is no area."""
+    one = _parsed(text, T.StructType([*FEATURE.fields, T.StructField(CORRUPT, S)])) \
+        .withColumn("_broken", _broken()).withColumn("_f", F.struct("_d.properties", "_d.geometry"))
     one = one.withColumn("_shape", F.when(~F.col("_broken"), _geometry(F.col("_f.geometry"))))
     kind = F.col("_f.geometry.type")
-    reason = (F.when(F.col("_broken"), F.lit("malformed document"))
+    lost = F.col("_lost") if "_lost" in text.columns else F.lit(False)
+    reason = (F.when(lost, F.lit("a feature with members on both sides of its type"))
+              .when(F.col("_broken"), F.lit("malformed document"))
               .when(F.col("_f.geometry").isNull() | kind.isNull(), F.lit("no geometry"))
               .when(~kind.isin("Polygon", "MultiPolygon"), F.lit("not a polygon"))
               .when(F.col("_shape").isNull() | ~F.coalesce(_whole(F.col("_shape")), F.lit(False)), F.lit("bad coordinates"))
@@ -189,15 +228,31 @@ def judged_areas(text: DataFrame, multiline: bool = False) -> DataFrame:
                       reason.alias("_reason"), F.col("value").alias("_shown"))
 
 
-def read_geojson(spark: SparkSession, path: str, prefixes=None, multiline: bool = False,
+LAYOUTS = ("lines", "collection", "any")
+
+
+def area_features(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """The landed features, one a row. ``any``: each file by what it holds, told by one scan."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout is one of {LAYOUTS}")
+    if layout == "lines":
+        return lines(spark, path)
+    if layout == "collection":
+        return collection_features(collection_pieces(spark, path))
+    documents = collection_files(spark, path)
+    return (lines(spark, path).join(documents, "_file", "left_anti").select("value", "_file", F.lit(False).alias("_lost"))
+            .unionByName(collection_features(collection_pieces(spark, path).join(documents, "_file", "left_semi"))))
+
+
+def read_geojson(spark: SparkSession, path: str, prefixes=None, layout: str = "lines",
                  load_time=None) -> tuple[DataFrame, DataFrame]:
     """A6 + A7 + B8: GeoJSON features -> area rows with a shape, and the rejects.
 
-    Default layout: one feature per line. ``multiline=True`` reads whole
-    FeatureCollection documents (each document is then parsed by one task).
+    ``layout``: ``lines`` (one feature per line), ``collection`` (whole
+    FeatureCollection documents, split over tasks) or ``any`` (files of both).
     Features outside ``prefixes`` are neither rows nor rejects.
     """
-    judged = judged_areas(lines(spark, path, multiline), multiline)
+    judged = judged_areas(area_features(spark, path, layout))
     rows = judged.filter(F.col("_reason").isNull()).select("plz", "geometry", F.col("plz").alias("name"))
     if prefixes:
         from ..plans.products import prefix_filter
@@ -205,8 +260,8 @@ def read_geojson(spark: SparkSession, path: str, prefixes=None, multiline: bool
     return schemas.bind_by_name(rows, schemas.AREAS, load_time, "created_at"), _rejects(judged)
 
 
-def read_geojson_areas(spark: SparkSession, path: str, prefixes=None, multiline: bool = False) -> DataFrame:
-    return read_geojson(spark, path, prefixes, multiline)[0]
+def read_geojson_areas(spark: SparkSession, path: str, prefixes=None, layout: str = "lines") -> DataFrame:
+    return read_geojson(spark, path, prefixes, layout)[0]
 
 
 # ----------------------------------------------------------------- writers --
@@ -215,15 +270,28 @@ def _iso(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-def land_areas_geojson(areas: DataFrame, path: str) -> None:
-    """Areas -> one GeoJSON feature per line (MultiPolygon geometry)."""
+def feature_json(type_first: bool = True) -> Column:
+    """An area row as a GeoJSON feature (MultiPolygon geometry); its type stands first or last."""
     coords = F.transform("geometry", lambda part: F.transform(part, lambda ring: F.transform(
         ring, lambda p: F.array(p["x"], p["y"]))))
-    feat = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(F.col("plz").alias("postcode")).alias("properties"),
-        F.struct(F.lit("MultiPolygon").alias("type"), coords.alias("coordinates")).alias("geometry"))
-    areas.select(F.to_json(feat).alias("value")).write.mode("overwrite").text(path)
+    members = [F.lit("Feature").alias("type"),
+               F.struct(F.lit("MultiPolygon").alias("type"), coords.alias("coordinates")).alias("geometry"),
+               F.struct(F.col("plz").alias("postcode")).alias("properties")]
+    return F.to_json(F.struct(*(members if type_first else members[1:] + members[:1])))
+
+
+def land_areas_geojson(areas: DataFrame, path: str) -> None:
+    """Areas -> one GeoJSON feature per line (MultiPolygon geometry)."""
+    areas.select(feature_json().alias("value")).write.mode("overwrite").text(path)
+
+
+def land_areas_collection(areas: DataFrame, path: str, type_first: bool = True, separator: str = ",") -> None:
+    """Areas -> one FeatureCollection document, and so one file, written by one task."""
+    head = F.when(F.col("_k") == 0, F.lit('{"type":"FeatureCollection","features":[')).otherwise(F.lit(separator))
+    rows = areas.select("plz", feature_json(type_first).alias("_t")).coalesce(1).sortWithinPartitions("plz")
+    rows = rows.withColumn("_k", F.monotonically_increasing_id()).select(F.concat(head, "_t").alias("value"))
+    close = areas.sparkSession.range(1).select(F.lit("]}").alias("value"))
+    rows.unionByName(close).coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
 def land_stations_json(stations: DataFrame, path: str) -> None:

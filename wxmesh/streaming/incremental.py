@@ -58,9 +58,13 @@ def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) ->
 KEY = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 TIMES_SCHEMA = T.StructType([T.StructField("now", T.TimestampNTZType()), *KEY])
 MARKS_SCHEMA = T.StructType([T.StructField("station_id", T.StringType()), T.StructField("last_ts", T.TimestampNTZType()), *KEY])
+LOADED_SCHEMA = T.StructType([T.StructField("station_id", T.StringType()), T.StructField("n_rows", T.LongType()), *KEY])
 IDS_SCHEMA = T.StructType([T.StructField("max_id", T.LongType()), *KEY])
 
 
+REJECTS_SCHEMA = T.StructType([*(T.StructField(n, T.StringType()) for n in ("reason", "value", "file")), *KEY])
+
+
 class Batch:
     """One micro-batch: its key, its fixed time, and its side tables next to the target table."""
 
@@ -123,23 +127,41 @@ def incremental_batch_writer(table_path: str, stations: DataFrame, now, run_id,
             if rejects_path:
                 batch.write(_rejects(judged), rejects_path)
             batch.write(advance_marks(marks, new), f"{batch.base}_marks")
+            batch.write(station_counts(new), f"{batch.base}_loaded")
             batch.prune("marks", "times")
 
     return process
 
 
+def station_counts(rows: DataFrame) -> DataFrame:
+    """D3: what one micro-batch loaded, kept beside the table under the micro-batch's key."""
+    return rows.groupBy("station_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def of_batches(rows: DataFrame, batches: list[tuple[str, int]]) -> DataFrame:
+    """The rows of a keyed table that the given micro-batches wrote."""
+    keys = rows.sparkSession.createDataFrame(batches, "run_id string, batch_id long")
+    return rows.join(F.broadcast(keys), ["run_id", "batch_id"], "left_semi")  # one row per micro-batch of this call
+
+
+def loaded(spark: SparkSession, table_path: str, batches: list[tuple[str, int]]) -> DataFrame:
+    """D3: ``station_id, n_rows`` that the given micro-batches loaded, also if one was a replay."""
+    counts = of_batches(read_table_or_empty(spark, f"{table_path.rstrip('/')}_loaded", LOADED_SCHEMA), batches)
+    return counts.groupBy("station_id").agg(F.sum("n_rows").alias("n_rows"))
+
+
 def run_available_now(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                      stations: DataFrame, now, rejects_path: str | None = None, **limits) -> None:
-    """Process every landed file not seen before, then stop.
+                      stations: DataFrame, now, rejects_path: str | None = None, **limits) -> list[tuple[str, int]]:
+    """Process every landed file not seen before, then stop; returns the keys of the micro-batches.
 
     ``limits``: ``max_files`` and ``max_bytes`` of a micro-batch.
     """
-    _run(spark, landing, checkpoint, lambda run_id: incremental_batch_writer(
+    return _run(spark, landing, checkpoint, lambda run_id: incremental_batch_writer(
         table_path, stations, now, run_id, rejects_path), **limits)
 
 
 def _run(spark: SparkSession, landing: str, checkpoint: str, writer, max_files: int | None = None,
-         max_bytes: int | None = None) -> None:
+         max_bytes: int | None = None) -> list[tuple[str, int]]:
     reader = spark.readStream.format("text")
     for name, value in (("maxFilesPerTrigger", max_files), ("maxBytesPerTrigger", max_bytes)):
         if value is not None:
@@ -150,13 +172,20 @@ def _run(spark: SparkSession, landing: str, checkpoint: str, writer, max_files:
         started.wait()
         return known[0]
 
-    query = (with_origin(reader.load(landing)).writeStream.foreachBatch(writer(run_id))
+    process, done = writer(run_id), []
+
+    def noted(text: DataFrame, batch_id: int) -> None:
+        process(text, batch_id)
+        done.append((run_id(), batch_id))
+
+    query = (with_origin(reader.load(landing)).writeStream.foreachBatch(noted)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     known.append(query.id)
     started.set()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    return done
 
 
 # --------------------------------------------------------------- forecasts --
@@ -208,6 +237,7 @@ def forecast_batch_writer(table_path: str, stations: DataFrame, now, run_id, id_
                 batch.write(_rejects(judged), rejects_path)
             top = fresh.agg((F.count(F.lit(1)) + F.lit(last)).cast("bigint").alias("max_id"))
             batch.write(top, f"{batch.base}_ids")
+            batch.write(station_counts(fresh), f"{batch.base}_loaded")
             batch.prune("ids", "times")
 
     return process
@@ -215,7 +245,7 @@ def forecast_batch_writer(table_path: str, stations: DataFrame, now, run_id, id_
 
 def run_forecasts_available_now(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                                 stations: DataFrame, now, id_order=FORECAST_ORDER, rejects_path: str | None = None,
-                                **limits) -> None:
-    """Forecast runs: every landed file not seen before, then stop (``limits`` as above)."""
-    _run(spark, landing, checkpoint, lambda run_id: forecast_batch_writer(
+                                **limits) -> list[tuple[str, int]]:
+    """Forecast runs: every landed file not seen before, then stop (``limits`` and result as above)."""
+    return _run(spark, landing, checkpoint, lambda run_id: forecast_batch_writer(
         table_path, stations, now, run_id, id_order, rejects_path), **limits)
