@@ -1,16 +1,21 @@
 """Main text of web pages by two-pass block rules.
 
 The page is cut into blocks at block-level tags. Pass one decides each block
-from what it shows by itself: the density of stop words, its length, the share
-of its text inside links, and the element that encloses it (a menu, footer,
-form, advert, comment list and the like, or the article). Short or otherwise
-undecided blocks are left open. In pass two an open block inherits the label of
-its nearest decided neighbours: the one they agree on, else the nearer one's,
-and in a tie it is dropped, unless it is a heading before kept text. If the
-page has no decided block, its open blocks are kept.
+from its own text: the density of stop words, its length and the share of
+its text inside links make it good, bad, or leave it open. What encloses a block
+(a menu, footer, form, advert, comment list and the like, or the article; by
+element, or by a class or id all of whose words say so) only tips: an open block
+follows it, and prose in such a place is set aside. It goes if the page has
+its prose elsewhere, and stays if it has none, so no name empties an article.
+In pass two an open block inherits the label of its nearest decided neighbours:
+the one they agree on, else the nearer one's. A block that reads as a sentence goes on
+with the good text before it; the page's title, where it is repeated, counts as decided;
+in a tie a heading goes with good text after it, and anything else is dropped. If the page
+has no decided block, its open blocks are kept.
 
 Defined results: null or empty html gives an empty text. Rows repeated in the
-input are extracted each. Only ``page_id``, ``url`` and ``html`` are read.
+input are extracted each. Only ``page_id``, ``url`` and ``html`` are read. The time for
+a page is in proportion to its length, however its tags are nested.
 """
 
 from __future__ import annotations
@@ -49,43 +54,46 @@ BAD_WORDS = frozenset("""nav navbar navigation menu menubar breadcrumb breadcrum
     dialog form""".split())
 WEAK_WORDS = frozenset("header head top meta byline tags".split())
 GOOD_WORDS = frozenset("article main content post entry story body text prose".split())
-NEGATED = frozenset("has with no without is not".split())
+#: Words that say where or in what shape something stands, not what it is.
+PLACE_WORDS = frozenset("""slot box block wrap wrapper container inner outer top bottom left right center list item items section area
+    bar button buttons link links col column row cell panel pane group site page global primary secondary main header head
+    area zone region unit module text content small large sticky fixed js id""".split())
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+UNSEEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 SCOPE = frozenset("div section article main nav header footer aside form ul ol dl table body blockquote".split())
 WORD = re.compile(r"[^\W\d_]+")
+SENTENCE_END = re.compile(r"[.!?…。]['\")\]’”»]*$")
 GOOD, BAD, OPEN = 1, -1, 0
+#: Fixed thresholds of pass one: link shares, lengths in characters, shares of stop words.
+MANY_LINKS, SOME_LINKS, SHORT, MEDIUM, LONG, PROSE, SPARSE = 0.5, 0.2, 120, 70, 200, 0.2, 0.1
 
 
-def hint(name: str, attributes: str) -> int | None:
-    """What the element itself says of its content; None if nothing."""
-    if name in FURNITURE or name == "form":
-        return BAD
-    found = None
+def hint(name: str, attributes: str) -> tuple[int | None, bool]:
+    """What the element itself says of its content (None: nothing), and whether it hides it."""
+    found, hidden = BAD if name in FURNITURE or name == "form" else GOOD if name in ("article", "main") else None, False
     if "=" in attributes or "hidden" in attributes:
         for key, *values in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), "".join(values).lower()
-            if key == "hidden" or key == "aria-hidden" and value == "true":
-                return BAD
             if key == "style":
-                if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                    return BAD
+                hidden |= UNSEEN_STYLE.search(value) is not None
+                continue
+            if key == "hidden" or key == "aria-hidden":
+                hidden |= key == "hidden" or value == "true"
                 continue
             for token in value.split():
-                words = re.split(r"[-_:\d]+", token)
-                if words[0] in NEGATED:
-                    continue
-                if not BAD_WORDS.isdisjoint(words):
-                    return BAD
-                good = not GOOD_WORDS.isdisjoint(words)
-                if not good and not WEAK_WORDS.isdisjoint(words) and name != "h1":
+                words = {w for w in re.split(r"[-_:\d]+", token) if w}
+                if words & BAD_WORDS:
+                    if words <= BAD_WORDS | PLACE_WORDS:
+                        found = BAD
+                elif words and words <= WEAK_WORDS | PLACE_WORDS and words & WEAK_WORDS and name != "h1":
                     found = BAD if found is None else found
-                elif good and WEAK_WORDS.isdisjoint(words):
-                    found = GOOD
-    return GOOD if found is None and name in ("article", "main") else found
+                elif words & GOOD_WORDS and not words & WEAK_WORDS:
+                    found = GOOD if found is None else found
+    return found, hidden
 
 
 class Block:
@@ -95,12 +103,39 @@ class Block:
         self.text, self.linked, self.where, self.heading = text, linked, where, heading
 
 
-def blocks(page: str) -> list[Block]:
-    """The visible text blocks of a page in order, with what encloses them."""
+class Inside:
+    """The open elements. Every step takes constant time on average, whatever their number."""
+
+    def __init__(self):
+        #: name, what it says of its content, whether out of sight, within an article, furniture only by a form
+        self.stack: list[tuple[str, int, bool, bool, bool]] = [("", OPEN, False, False, True)]
+        self.at: dict[str, list[int]] = {}
+        self.scopes: list[int] = [0]
+
+    def push(self, name: str, *state) -> None:
+        self.at.setdefault(name, []).append(len(self.stack))
+        if name in SCOPE:
+            self.scopes.append(len(self.stack))
+        self.stack.append((name, *state))
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            name = self.stack.pop()[0]
+            self.at[name].pop()
+        while self.scopes[-1] >= depth:
+            self.scopes.pop()
+
+    def last(self, name: str) -> int:
+        held = self.at.get(name)
+        return held[-1] if held else 0
+
+
+def blocks(page: str) -> tuple[list[Block], str]:
+    """The visible text blocks of a page in order, with what encloses them, and the page's title."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # name, label of the content, whether it is out of sight
+    inside = Inside()
     parts: list[str] = []
-    linked, in_link, heading = 0, False, False
+    linked, in_link, heading, title = 0, False, False, ""
     at, size = 0, len(page)
 
     def flush():
@@ -108,13 +143,13 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, stack[-1][1] if stack else OPEN, heading))
+                out.append(Block(text, linked, inside.stack[-1][1], heading))
             parts.clear()
         linked = 0
 
     def say(raw: str):
         nonlocal linked
-        if raw and not (stack and stack[-1][2]):
+        if raw and not inside.stack[-1][2]:
             text = html.unescape(raw)
             parts.append(text)
             if in_link:
@@ -138,61 +173,83 @@ def blocks(page: str) -> list[Block]:
         if m[1]:
             if name == "a":
                 in_link = False
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None and not (name in INLINE and any(s[0] in SCOPE for s in stack[depth:])):
-                del stack[depth:]
-            heading = False
+            depth = inside.last(name)
+            if depth and not (name in INLINE and inside.scopes[-1] > depth):
+                inside.cut(depth)
+            if name not in INLINE:
+                heading = False
             continue
         if name in VOID or m[3].endswith("/") and name in UNSEEN:
             continue
         if name in CLOSED_BY_SAME or name not in INLINE:
             # An unclosed p (or li, td, ...) ends where its next sibling, or for p any block, begins.
-            ends = {name} if name in CLOSED_BY_SAME else {"p"}
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends:
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE:
-                    break
+            depth = inside.last(name if name in CLOSED_BY_SAME else "p")
+            if depth > inside.scopes[-1]:
+                inside.cut(depth)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            if name == "title" and not title:
+                title = " ".join(html.unescape(page[at:end.start() if end else size]).split())
             at = end.end() if end else size
             continue
-        above, unseen, reason = (stack[-1][1], stack[-1][2], None) if stack else (OPEN, False, None)
-        own = hint(name, m[3]) if name not in ("body", "html") else None
-        in_article = any(s[0] in ("article", "main") for s in stack)
+        _, above, unseen, in_article, by_form = inside.stack[-1]
+        own, hidden = hint(name, m[3]) if name not in ("body", "html") else (None, False)
         if name == "header" and own is None and not in_article:
             own = BAD
-        if above == BAD:
-            # A form around the whole page is no form of the page; all else that is furniture stays so.
-            only_form = all(s[0] == "form" or s[1] != BAD for s in stack) or [s[0] for s in stack if s[1] == BAD][0] == "form"
-            own = GOOD if only_form and own == GOOD and name in ("article", "main") else BAD
-        stack.append((name, above if own is None else own, unseen or name in UNSEEN))
+        if name in INLINE and own != BAD and not hidden:
+            in_link |= name == "a"
+            continue  # nothing depends on it
+        if above == BAD and not (by_form and own == GOOD and name in ("article", "main")):
+            own, by_form = BAD, by_form and (own != BAD or name == "form")
+        elif own == BAD:
+            by_form = name == "form"
+        inside.push(name, above if own is None else own, unseen or hidden or name in UNSEEN,
+                    in_article or name in ("article", "main"), by_form)
         if name == "a":
             in_link = True
         elif name not in INLINE:
             heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
     flush()
-    return out
+    return out, title
 
 
-def decide(block: Block) -> int:
-    """Pass one: the label of a block by itself."""
+def density(block: Block) -> int:
+    """What a block's own text says: its length, its share of links and of stop words."""
     text, n = block.text, len(block.text)
-    if block.where == BAD or text.startswith(("©", "(c) ", "Copyright ")):
+    if text.startswith(("©", "(c) ", "Copyright ")):
         return BAD
     links = block.linked / n
-    if block.where == GOOD:
-        return BAD if links > 0.8 and n < 80 else GOOD
-    if links > 0.5 or links > 0.2 and n < 120:
+    if links > MANY_LINKS or links > SOME_LINKS and n < SHORT:
         return BAD
     words = [w.lower() for w in WORD.findall(text)]
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if links <= 0.2 and (n >= 70 and stops >= 0.2 or n >= 200 and stops >= 0.1):
+    if links <= SOME_LINKS and (n >= MEDIUM and stops >= PROSE or n >= LONG and stops >= SPARSE):
         return GOOD
     return OPEN
 
 
+def decide(found: list[Block], title: str = "") -> list[int]:
+    """Pass one: the label of each block by its text, tipped by what encloses it."""
+    own = [density(b) for b in found]
+    outside = any(b.where == GOOD and label != BAD or b.where == OPEN and label == GOOD for b, label in zip(found, own))
+    misnamed = not outside and any(b.where == BAD and label == GOOD for b, label in zip(found, own))
+    labels = []
+    for block, label in zip(found, own):
+        if block.where == BAD:
+            label = label if misnamed else BAD
+        elif block.where == GOOD and not block.text.startswith("©"):
+            label = BAD if block.linked > 0.8 * len(block.text) and len(block.text) < 80 else GOOD
+        elif label == OPEN and title and block.text.casefold() == title.casefold():
+            label = GOOD
+        labels.append(label)
+    return labels
+
+
+def reads_on(block: Block) -> bool:
+    """Whether a block reads as a sentence without links."""
+    return not block.linked and len(block.text.split()) > 1 and SENTENCE_END.search(block.text) is not None
+
+
 def inherit(found: list[Block], labels: list[int]) -> list[int]:
     """Pass two: open blocks take the label of their nearest decided neighbours."""
     n, out = len(labels), list(labels)
@@ -211,6 +268,8 @@ def inherit(found: list[Block], labels: list[int]) -> list[int]:
                 out[k] = GOOD if a == b else labels[a if b is None else b]
             elif labels[b] == labels[a]:
                 out[k] = labels[a]
+            elif labels[b] == GOOD and reads_on(found[k]):
+                out[k] = GOOD
             elif a - k == k - b:
                 out[k] = labels[a] if found[k].heading else BAD
             else:
@@ -219,8 +278,8 @@ def inherit(found: list[Block], labels: list[int]) -> list[int]:
 
 
 def main_text(page: str) -> str:
-    found = blocks(page)
-    labels = inherit(found, [decide(b) for b in found])
+    found, title = blocks(page)
+    labels = inherit(found, decide(found, title))
     return " ".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 
