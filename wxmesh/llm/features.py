@@ -29,14 +29,28 @@ def prefix_codes(raw: bytes, starts: np.ndarray, lengths: np.ndarray, size: int
     return codes
 
 
+#: An odd base, and what undoes a multiplication by it, for sums of bytes times powers modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+UNDO = pow(BASE, -1, 1 << 64)
+POWERS_KEPT = 1 << 18
+
+
+def _powers(of: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate(([1], np.full(max(0, n - 1), of, np.uint64))).astype(np.uint64), dtype=np.uint64)
+
+
+KEPT = _powers(BASE, POWERS_KEPT), _powers(UNDO, POWERS_KEPT)
+
+
 def word_codes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit code of each word, from its length and first 24 bytes."""
-    lengths = ends - starts
-    codes = prefix_codes(raw, starts, lengths)
-    for at in (8, 16):
-        rest = np.maximum(lengths - at, 0)
-        codes = codes * np.uint64(0xBF58476D1CE4E5B9) ^ prefix_codes(raw, np.where(rest > 0, starts + at, 0), rest)
-    return codes + lengths.astype(np.uint64) * np.uint64(0x94D049BB133111EB)
+    """A 64-bit code of each word, from all of its bytes and its length."""
+    a = np.frombuffer(raw, np.uint8)
+    up, down = KEPT if len(a) < POWERS_KEPT else (_powers(BASE, len(a) + 1), _powers(UNDO, len(a) + 1))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * up[:len(a)], dtype=np.uint64)))
+    codes = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
+    codes ^= codes >> np.uint64(29)
+    codes *= np.uint64(0xBF58476D1CE4E5B9)
+    return codes ^ codes >> np.uint64(32)
 
 
 def root_shares(ids: np.ndarray, size: int) -> np.ndarray:

@@ -29,6 +29,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ FAMILY = {
     "turkic": ("tr", "az", "kk"),
 }
 BITS, ORDERS = 12, (1, 2, 3, 4)
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Sizes in bytes at which likeness is calibrated, and what is below nearly all learning texts of a size.

@@ -52,7 +52,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 SPAN = 200
 DENSE = 3  # hits in one window that are more than chance, however long the text is
 PRIOR = 20.0
-MAX_TERMS, MIN_SUPPORT, MIN_LOG_ODDS, MIN_G2 = 512, 5, 3.0, 30.0
+MIN_SUPPORT, MIN_LOG_ODDS, MIN_G2 = 5, 3.0, 30.0
 VOTERS = ("fixed", "words_0", "words_1", "words_2", "words_3", "begin_4", "begin_5", "begin_6", "begin_7", "begin_8",
           "addressed", "shouting", "masked", "marks", "nothing")
 MARKS = np.frombuffer(b"!?*#$%&", np.uint8)
@@ -200,7 +200,7 @@ def learn_lexicon(docs: DataFrame, known: DataFrame, cap: int) -> Lexicon:
            .mapInArrow(rows, "code long, kind long, pos long, neg long")
            .groupBy("code", "kind").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
            .filter(F.col("pos") >= MIN_SUPPORT).filter(odds >= MIN_LOG_ODDS).withColumn("g2", g2).filter(F.col("g2") >= MIN_G2)
-           .orderBy(F.desc("g2"), "code", "kind").limit(MAX_TERMS).collect())
+           .orderBy(F.desc("g2"), "code", "kind").collect())  # of at most ``cap`` rows a class
     codes = np.array([r["code"] for r in got], np.int64).view(np.uint64)
     return Lexicon(codes, np.array([r["kind"] for r in got], np.int64))
 
