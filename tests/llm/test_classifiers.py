@@ -47,6 +47,8 @@ def test_language_awkward(spark):
     assert len(got) == docs.count()
     assert {r["lang_pred"] for r in got if r["doc_id"] in (1, 2, 3, 9)} == {"und"}
     assert all(r["lang_pred"] != "und" for r in got if r["doc_id"] in (4, 5, 6, 7))
+    odd = documents(spark, [(k, t, "en") for k, t in enumerate(["words here", "½ ² ¾", "Ⅷ ⅷ", "① ②", "٣٤", "ª", "ß"])])
+    assert {r["doc_id"] for r in language_id.identify(odd).collect() if r["lang_pred"] == "und"} == {1, 2, 3, 4}
     assert language_id.identify(empty(spark)).count() == 0
     unlabelled = language_id.identify(documents(spark, [(1, "words"), (2, "more words")])).collect()
     assert {(r["lang_pred"], r["score"]) for r in unlabelled} == {("und", 0.0)}
@@ -78,6 +80,48 @@ def test_quality_never_sees_negatives_or_held_out_labels(spark, docs):
     assert {r["doc_id"]: r["score"] for r in quality_pu.classify(docs, flipped).collect()} == plain
 
 
+def test_quality_parts_against_plain_sums(spark):
+    """Edges, cells, prior and scores recomputed text by text, without grouping or hashing of texts."""
+    import math
+
+    rng = random.Random(2)
+    junk = ["$$$ BUY | " * 9, "word", "A fine sentence, of the kind that is here. " * 5, "x\ny\nx\n" * 7, "1234 " * 30]
+    rows = [(k, " ".join(rng.choice(junk) for _ in range(rng.randrange(1, 6)))) for k in range(150)] + [(200, None), (201, "")]
+    rows += [(300 + k, rows[k % 7][1]) for k in range(60)]  # copies weigh as one text
+    made = quality_pu.featured(documents(spark, rows).withColumn("held_out", F.lit(False)))
+    texts = made.dropDuplicates(["text_hash"])
+    plain = [t.encode() for t in sorted({t or "" for _, t in rows})]
+    s = np.array([np.minimum(quality_pu.style(t), 6e4).astype(np.float16).astype(np.float32) for t in plain])
+    g = np.array([np.rint(quality_pu.hashed_grams(t, (3,), quality_pu.BITS) * 65535).astype(np.uint16) for t in plain])
+    edges = quality_pu.edges_of(texts)
+    for k in range(s.shape[1]):
+        column, places = sorted(s[:, k].tolist()), sorted([j / 8 for j in range(1, 8)] + [0.02, 0.05, 0.95, 0.98])
+        assert edges[k].tolist() == [next(v for v in column if sum(x <= v for x in column) >= q * len(column)) for q in places]
+    size, mean = quality_pu.cells_of(texts, edges)
+    assert size.sum() == len(plain)
+    everything = np.hstack((quality_pu.expand(s, edges), g / 65535))
+    assert np.allclose((size[:, None] * mean).sum(0), everything.sum(0), atol=1e-3)
+    pos = (s[:40], g[:40])
+    model = quality_pu.Model(pos, edges, (size, mean), 0.6)
+    score = model.score(s, g)
+    for k in range(0, len(plain), 9):
+        x = [float(v > e) for j, v in enumerate(s[k]) for e in edges[j]] + [v / 65535 for v in g[k].tolist()]
+        assert score[k] == pytest.approx(1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.w[:-1].tolist())) - float(model.w[-1]))), abs=1e-4)
+    step = [min(int(v * 200), 199) for v in score]
+    ratios = [(sum(x >= t for x in step) / len(step)) / (sum(x >= t for x in step[:40]) / 40)
+              for t in range(200) if sum(x >= t for x in step[:40]) >= 20]
+    assert quality_pu.estimated_prior(model, texts, pos) == pytest.approx(min(max(min(ratios), 0.01), 0.99))
+
+
+def test_quality_long_text_counts_whole(spark):
+    """Two long texts that differ only after the first million bytes get different scores; copies the same."""
+    rows = [(k, "a plain sentence of words, as it is. " * (k % 9 + 1)) for k in range(60)]
+    long = "a plain sentence of words, as it is. " * 30_000
+    rows += [(100, long + "$$$ |||| " * 30_000), (101, long), (102, long)]
+    got = {r["doc_id"]: r["score"] for r in quality_pu.classify(documents(spark, rows), labels(spark, [(k, 1) for k in range(0, 60, 2)])).collect()}
+    assert got[101] == got[102] != got[100]
+
+
 def test_quality_awkward(spark):
     docs = awkward(spark)
     got = quality_pu.classify(docs, labels(spark, [(4, 1), (4, 0), (5, 0), (None, 1), (6, None)])).collect()
@@ -113,9 +157,12 @@ def test_rules_counts_against_brute_force(spark):
         assert r["base_failed"] == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and r["kept"] == (not r["base_failed"])
 
 
-def test_rules_verdict(spark, docs):
-    known = table(spark, SF, "labels").selectExpr("doc_id", "quality as label")
-    got = [r for r in quality_rules.assess(docs, known).join(known, "doc_id").collect() if not r["base_failed"]]
+def test_rules_verdict_on_held_out_rows(spark):
+    big = "/root/testdata/sf0.1"
+    known = table(spark, big, "labels").selectExpr("doc_id", "quality as label")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    got = quality_rules.assess(table(spark, big, "documents"), known.filter(~held)).join(known.filter(held), "doc_id")
+    got = [r for r in got.collect() if not r["base_failed"]]
     assert sum(r["kept"] == bool(r["label"]) for r in got) >= 0.97 * len(got)
     good = [r for r in got if r["label"] == 1]
     assert sum(r["kept"] for r in good) >= 0.99 * len(good)
@@ -150,6 +197,21 @@ def test_toxicity_without_labels_and_awkward(spark):
     assert toxicity.classify(empty(spark), labels(spark, [(1, 1)])).count() == 0
 
 
+def test_posterior_is_bayes_rule_over_the_voters():
+    """For every firing pattern the posterior follows from the fitted rates and dampings, voter by voter."""
+    import math
+
+    rng = np.random.default_rng(1)
+    pattern, n = np.unique(rng.integers(0, 1 << len(toxicity.VOTERS), 200), return_counts=True)
+    model = toxicity.LabelModel(pattern, n, n // 2, n // 3)
+    for p in pattern.tolist():
+        odds = math.log(model.balance / (1 - model.balance))
+        for v in range(len(toxicity.VOTERS)):
+            clean, toxic = (float(r[v]) if p >> v & 1 else 1 - float(r[v]) for r in model.rate)
+            odds += float(model.damp[v]) * math.log(toxic / clean)
+        assert model.posterior[p] == pytest.approx(1 / (1 + math.exp(-max(-40, min(40, odds)))), abs=1e-9)
+
+
 def test_label_model_discounts_repeated_voters():
     """Two voters that always agree weigh less each than one that stands alone."""
     rng = np.random.default_rng(0)

@@ -32,11 +32,13 @@ def prefix_codes(raw: bytes, starts: np.ndarray, lengths: np.ndarray, size: int
 #: An odd base, and what undoes a multiplication by it, for sums of bytes times powers modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 UNDO = pow(BASE, -1, 1 << 64)
-POWERS_KEPT = 1 << 18
+POWERS_KEPT = 1 << 20
 
 
 def _powers(of: int, n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate(([1], np.full(max(0, n - 1), of, np.uint64))).astype(np.uint64), dtype=np.uint64)
+    factors = np.full(n, of, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors, dtype=np.uint64)
 
 
 KEPT = _powers(BASE, POWERS_KEPT), _powers(UNDO, POWERS_KEPT)
