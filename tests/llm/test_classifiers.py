@@ -89,7 +89,8 @@ def test_quality_parts_against_plain_sums(spark):
     rows = [(k, " ".join(rng.choice(junk) for _ in range(rng.randrange(1, 6)))) for k in range(150)] + [(200, None), (201, "")]
     rows += [(300 + k, rows[k % 7][1]) for k in range(60)]  # copies weigh as one text
     made = quality_pu.featured(documents(spark, rows).withColumn("held_out", F.lit(False)))
-    texts = made.dropDuplicates(["text_hash"])
+    texts = quality_pu.distinct_texts(made)
+    assert texts.count() == len({t or "" for _, t in rows})
     plain = [t.encode() for t in sorted({t or "" for _, t in rows})]
     s = np.array([np.minimum(quality_pu.style(t), 6e4).astype(np.float16).astype(np.float32) for t in plain])
     g = np.array([np.rint(quality_pu.hashed_grams(t, (3,), quality_pu.BITS) * 65535).astype(np.uint16) for t in plain])

@@ -43,6 +43,8 @@ BITS, BINS, CELLS = 9, 8, 1024
 TAILS = (0.02, 0.05, 0.95, 0.98)
 #: The prior before any score is known, and the share of positives that a threshold must keep to count.
 FIRST_PRIOR, ENOUGH = 0.5, 0.5
+#: Bits of the table of hashes that occur more than once.
+TABLE_BITS = 24
 WHOLE = 65535  # n-gram shares are kept as multiples of 1 / WHOLE
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 VECTORS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text_hash", pa.int64()), ("s", pa.binary()), ("g", pa.binary())])
@@ -61,6 +63,29 @@ def featured(docs: DataFrame) -> DataFrame:
         .mapInArrow(rows, "doc_id long, held_out boolean, text_hash long, s binary, g binary")
 
 
+def distinct_texts(vectors: DataFrame) -> DataFrame:
+    """Features of each distinct text once. Only texts that may have copies meet in a shuffle.
+
+    A bit table of fixed size holds the hashes that occur more than once; a text whose bit is not set has no copy.
+    """
+    twice = vectors.groupBy("text_hash").agg(F.count("*").alias("n")).filter("n > 1")
+    bit = F.pmod(F.col("text_hash"), F.lit(1 << TABLE_BITS))
+    words = twice.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(text_hash, {1 << TABLE_BITS}) & 63 as int))")).alias("bits"))
+    table = np.zeros(1 << TABLE_BITS - 6, np.int64)
+    for r in words.collect():  # at most the table
+        table[r["word"]] = r["bits"]
+
+    def picked(copies: bool):
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = column_of(batch, "text_hash").to_numpy() & ((1 << TABLE_BITS) - 1)
+                yield batch.filter(pa.array((table[at >> 6] >> (at & 63) & 1 == 1) == copies))
+
+        return vectors.select("text_hash", "s", "g").mapInArrow(rows, "text_hash long, s binary, g binary")
+
+    return picked(False).unionByName(picked(True).dropDuplicates(["text_hash"])).select("s", "g")
+
+
 def values_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     s, g = (b"".join(column_of(batch, c).to_pylist()) for c in "sg")
     return (np.frombuffer(s, np.float16).reshape(-1, len(STYLE)).astype(np.float32),
@@ -176,7 +201,7 @@ def fit(vectors: DataFrame, labels: DataFrame, cap: int = 2000) -> Model | None:
     free = vectors.filter("doc_id is not null").join(known, "doc_id", "left_anti")
     if free.isEmpty():
         free = vectors.filter("doc_id is not null")
-    texts = materialise(free.select("text_hash", "s", "g").dropDuplicates(["text_hash"]), "unlabelled")
+    texts = materialise(distinct_texts(free), "unlabelled")
     edges = edges_of(texts)
     cells = cells_of(texts, edges)
     some, rest = (tuple(x[k::2] for x in pos) for k in (0, 1))  # the prior is estimated with positives that the scores were not fitted to
