@@ -30,3 +30,17 @@ def test_grid_join_matches_in_every_box(spark):
     at = r["spark_cols"].index("postal_code")
     boxes = [int(row[at][1:]) // 1500 for row in r["s_rows"]]
     assert set(boxes) == set(range(10)) and min(map(boxes.count, range(10))) > 0.7 * max(map(boxes.count, range(10)))
+
+
+def test_range_lookup_is_a_search_of_the_bounds(spark):
+    """Every key in the range that counting all bounds gives, for few and for ten thousand bounds."""
+    from bisect import bisect_right
+
+    from wxmesh.operators.ingest import range_part
+
+    keys = [f"{k:06d}" for k in range(0, 100_000, 37)] + ["", "zzz", "050000"]
+    frame = spark.createDataFrame([(k,) for k in keys] + [(None,)], "key string")
+    for n in (1, 2, 3, 8, 1000, 10_000):
+        bounds = [f"{k * (100_000 // n):06d}" for k in range(n)]
+        got = {r["key"]: r["p"] for r in frame.select("key", range_part("key", bounds).alias("p")).collect()}
+        assert got.pop(None) == 0 and got == {k: bisect_right(bounds[1:], k) for k in keys}

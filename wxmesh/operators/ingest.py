@@ -215,6 +215,26 @@ def range_bounds(keys: DataFrame, key: str, parts: int) -> list:
     return sorted(r["low"] for r in ranged.groupBy("_p").agg(F.min(key).alias("low")).collect())
 
 
+def range_part(key: str, bounds: Sequence) -> Column:
+    """The number of the range that ``key`` lies in: how many of the sorted ``bounds`` after the first are at or below it.
+
+    A binary search as a column expression, so a row costs the logarithm of the number of bounds. A null lies in the first range.
+    """
+    later = list(bounds)[1:]
+    if not later:
+        return F.lit(0)
+    held, low, high = F.array(*map(F.lit, later)), F.lit(0).alias("low"), F.lit(len(later)).alias("high")
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        above = F.coalesce(F.get(held, middle) <= F.col(key), F.lit(False)) & (s["low"] < s["high"])
+        return F.struct(F.when(above, middle + 1).otherwise(s["low"]).alias("low"),
+                        F.when(above | (s["low"] >= s["high"]), s["high"]).otherwise(middle).alias("high"))
+
+    steps = F.array(*[F.lit(k) for k in range(len(later).bit_length() + 1)])
+    return F.aggregate(steps, F.struct(low, high), halve, lambda s: s["low"])
+
+
 def write_sorted(df: DataFrame, path: str, keys: Sequence[str], bounds: Sequence, fmt: str = "parquet",
                  table: str | None = None) -> None:
     """F2 at the sink: rows go to the part of the first key's range, sorted inside,
@@ -225,8 +245,7 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], bounds: Sequence
     With ``table`` the files are also a catalog table of that name.
     """
     bounds = list(bounds) or [""]
-    part = F.size(F.filter(F.array(*map(F.lit, bounds[1:])), lambda b: b <= F.col(keys[0]))) if bounds[1:] else F.lit(0)
-    out = (df.repartitionById(len(bounds), part.cast("int")).sortWithinPartitions(*keys)
+    out = (df.repartitionById(len(bounds), range_part(keys[0], bounds).cast("int")).sortWithinPartitions(*keys)
              .write.mode("overwrite").format(fmt))
     if table:
         out.option("path", path).saveAsTable(table)

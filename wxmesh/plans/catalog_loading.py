@@ -226,6 +226,19 @@ def q_bind_types(spark, sf_dir):
         "k", "wind_direction", "cloud_cover", "relative_humidity", "visibility")
 
 
+@register("lists_to_text", """
+SELECT l_orderkey * 10 + l_linenumber AS k,
+       CASE l_linenumber % 3 WHEN 0 THEN '[' || CAST(l_partkey AS VARCHAR) || ',' || CAST(l_suppkey AS VARCHAR) || ']' WHEN 1 THEN '[]' END
+         AS fallback_source_ids
+FROM lineitem""")
+def q_lists_to_text(spark, sf_dir):
+    """Lists (some empty, some null) bound to a text column of the raw table."""
+    li, n = fx.table(spark, sf_dir, "lineitem"), F.col("l_linenumber") % 3
+    ids = F.when(n == 0, F.array("l_partkey", "l_suppkey")).when(n == 1, F.array().cast("array<bigint>"))
+    batch = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"), ids.alias("fallback_source_ids"))
+    return schemas.bind_by_name(batch, schemas.OBSERVATIONS, keep=("k",)).select("k", "fallback_source_ids")
+
+
 @register("append_by_name", with_ctes(f"""
 SELECT station_id, "timestamp", temperature, wind_speed, relative_humidity, ingested_at FROM raw_obs WHERE event_id % 2 = 0
 UNION ALL
