@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import publish
 from ..functions.timeutil import days_before, ts_literal
 from .sequence import dense_row_number
 from .spatial_join import distance_join
@@ -189,15 +190,14 @@ def route_keys(sources: DataFrame, candidates: DataFrame, first_radius_m: float
 
 # ------------------------------------------------------------ sinks, A8/A9 --
 
-def full_refresh(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """A8 + B14: replace the table with ``df``; an empty batch changes nothing.
+def full_refresh(df: DataFrame, path: str) -> bool:
+    """A8 + B14: replace the table with ``df`` in one step (see ``publish``); an empty batch changes nothing.
 
-    ``df`` must not be read from ``path`` itself (Spark refuses to overwrite
-    a path it is reading). Returns whether the table was replaced.
+    ``df`` may be read from the table itself. Returns whether the table was replaced.
     """
     if df.isEmpty():
         return False
-    df.write.mode("overwrite").format(fmt).save(path)
+    publish.replace(df, path)
     return True
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import centroid, from_wkt
 from ..operators import checks as K
 from ..operators import ingest as I
+from ..operators import publish
 from ..operators.dedup import canonical_first, latest_wins
 from ..operators.sequence import previous_in_set
 from ..operators.spatial_join import distance_join
@@ -474,7 +475,7 @@ def q_full_refresh(spark, sf_dir):
     I.full_refresh(i.raw_stations.filter(F.col("observation_type") == "forecast"), path)
     I.full_refresh(i.raw_stations, path)
     I.full_refresh(i.raw_stations.filter(F.lit(False)), path)      # an empty batch is refused
-    return spark.read.parquet(path).select(
+    return publish.read(spark, path, i.raw_stations.schema).select(
         "id", "wmo_station_id", "station_name", "observation_type", "lat", "lon", "last_record")
 
 

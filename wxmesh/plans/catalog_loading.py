@@ -371,7 +371,7 @@ def _forecast_stations(spark, sf_dir) -> DataFrame:
 
 
 def _forecasts(spark, table: str) -> DataFrame:
-    return spark.read.schema(S.DATED).parquet(table).select(*_FC_OUT)
+    return S.read_table_or_empty(spark, table, S.DATED).select(*_FC_OUT)
 
 
 @register("stream_replace_future", with_ctes(f"""

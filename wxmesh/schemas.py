@@ -66,9 +66,11 @@ def create_namespaces(spark: SparkSession, location: str | None = None) -> list[
     return list(NAMESPACES)
 
 
-def read_raw(spark: SparkSession, base_path: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """A3: a named raw source read with its declared schema (no inference)."""
-    return spark.read.schema(RAW[name]).format(fmt).load(f"{base_path.rstrip('/')}/{name}")
+def read_raw(spark: SparkSession, base_path: str, name: str) -> DataFrame:
+    """A3: a named raw source, as it is published now, read with its declared schema (no inference)."""
+    from .operators.publish import read
+
+    return read(spark, f"{base_path.rstrip('/')}/{name}", RAW[name])
 
 
 def _stamp(load_time) -> str:

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.timeutil import ts_literal
+from ..operators import publish
 from ..operators.ingest import (
     advance_marks,
     assign_ids,
@@ -44,15 +45,10 @@ ISSUE = ("_issued",)
 SIDE_BATCHES_KEPT = 3
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path`` read with its declared schema (partition values
+    """The table at ``path``, as it is published now, read with its declared schema (partition values
     such as zero-padded ids keep their string type), or an empty frame."""
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    return publish.read(spark, path, schema)
 
 
 KEY = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
@@ -203,7 +199,7 @@ def forecast_batch_writer(table_path: str, stations: DataFrame, now, run_id, id_
     issue time, then its values) stays. The table is partitioned by the
     forecast's date; past hours can never change, so a micro-batch reads and
     rewrites only the dates from ``now`` on, which the horizon bounds, whatever
-    the history. The largest id so far is kept in a side table.
+    the history; they change places in one step (see ``publish``). The largest id so far is kept in a side table.
     """
     def process(text: DataFrame, batch_id: int) -> None:
         spark = text.sparkSession
@@ -226,13 +222,8 @@ def forecast_batch_writer(table_path: str, stations: DataFrame, now, run_id, id_
                 touched.alias("s"), (F.col("e.station_id") == F.col("s.station_id")) & (F.col("e.forecast_timestamp") > n), "left_anti")
             numbered = assign_ids(fresh, id_order, last).withColumn("ingested_at", n) \
                 .select(*schemas.FORECASTS.fieldNames()).withColumn("forecast_date", F.col("forecast_timestamp").cast("date"))
-            # written aside first: the partitions it is read from are replaced below
-            out = materialise(kept.select(*DATED.fieldNames()).unionByName(numbered), "fc-ahead")
-            gone = ahead.select("forecast_date").distinct().exceptAll(out.select("forecast_date").distinct()).collect()
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("forecast_date").parquet(table_path))
-            for day in gone:  # at most the days of the horizon: all of their rows were replaced
-                delete_path(spark, f"{table_path.rstrip('/')}/forecast_date={day['forecast_date']}")
+            publish.replace_partitions(kept.select(*DATED.fieldNames()).unionByName(numbered), table_path, "forecast_date",
+                                       str(spark.range(1).select(n.cast("date").cast("string")).first()[0]))
             if rejects_path:
                 batch.write(_rejects(judged), rejects_path)
             top = fresh.agg((F.count(F.lit(1)) + F.lit(last)).cast("bigint").alias("max_id"))
