@@ -9,7 +9,7 @@ from llm_helpers import awkward, documents
 from test_simhash import brute_components, brute_fingerprint
 from test_suffix_dedup import brute as brute_suffix
 from wxmesh.llm import decontaminate
-from wxmesh.llm.decontaminate import Index, Item
+from wxmesh.llm.decontaminate import Item, Part, Statistics
 
 ITEM = "what is the name of the river that flows through the old town near the northern hills. It is the Silver Brook."
 ALPHABETS = {"en": "the of and to in a is that it was".split(), "de": "der die und das ist nicht ein von zu".split(),
@@ -59,7 +59,8 @@ def test_stages_against_brute_force(spark, corpus, sf_dir):
     want = {i: t for i, (n, t) in left.items() if not n or t.strip()}
     assert {i: r["text"] for i, r in at["suffix_dedup"].items()} == want
     assert all(r["n_chars"] == len(r["text"]) for r in at["suffix_dedup"].values())
-    index = Index([Item(1, ITEM)])
+    items = [Item(1, ITEM)]
+    index = Part(items, Statistics.of(items))
     want = {i: t for i, t in want.items() if not decontaminate.matches([t], index, decontaminate.THRESHOLD, decontaminate.CONTAINMENT)}
     assert 140 not in want and set(at["decontamination"]) == set(want)
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -89,4 +90,4 @@ def test_registered(spark):
 
     assert [name for name, _ in pipeline.STAGES] == ["language_id", "simhash", "suffix_dedup", "decontamination", "packing"]
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
