@@ -6,6 +6,8 @@
 ``pipeline``  raw tables (Parquet folders named like the raw tables, read with
               their declared schemas) -> gated staging, map, cleaned facts and
               the two hourly marts under ``--out``.
+``refresh``   the two hourly marts by day under ``--out``, brought up to date with
+              what the raw tables gained since the last refresh.
 ``run``       all of it: landed files to marts, then the ingest summary.
 
 On a cluster, ``spark.checkpoint.dir`` must name a shared folder (it is read
@@ -48,7 +50,8 @@ def arguments(argv=None) -> argparse.Namespace:
         sub.choices[name].add_argument("--rejects", help="folder of bad records (default: rejects/ under the raw tables)")
     sub.choices["run"].add_argument("--layout", **layout)
     command("pipeline", "raw", "out")
-    for name in ("pipeline", "run"):
+    command("refresh", "raw", "out")
+    for name in ("pipeline", "refresh", "run"):
         sub.choices[name].add_argument("--allow", action="append", default=[], metavar="MODEL:RULE",
                                        help="check that may fail without stopping the run")
     return ap.parse_args(argv)
@@ -59,7 +62,7 @@ def main(argv=None) -> int:
 
     from . import schemas
     from .operators.ingest import active_stations
-    from .plans import pipeline
+    from .plans import moving_marts, pipeline
     from .plans import products as P
     from .session import checkpoint_dir, release_scratch
     from .streaming import incremental as S
@@ -83,6 +86,10 @@ def main(argv=None) -> int:
         S.run_forecasts_available_now(spark, args.landing, args.table, args.checkpoint,
                                       raw("weather_stations").filter(F.col("observation_type") == "forecast"), args.now,
                                       rejects_path=rejects, **limits)
+    elif args.cmd == "refresh":
+        done = moving_marts.catch_up(spark, args.raw, args.out, allow)
+        for name in moving_marts.MARTS:
+            print(f"{name}: {len(done.rebuilt.get(name, []))} days rebuilt")
     else:
         if args.cmd == "run":
             result, summary = pipeline.run_job(spark, args.landing, args.raw, args.out, args.checkpoint, args.now,

@@ -11,6 +11,7 @@ sub-folders that are no longer named are removed afterwards. A folder without
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -91,13 +92,44 @@ def replace_partitions(df: DataFrame, path: str, column: str, keep: str) -> None
 
     The names of a column's values must sort as the values do (dates do).
     """
+    before = _partitioned(df.sparkSession, path, column)
+    _swap(df, path, column, before, [f for f in before if f.split("/")[0] < f"{column}={keep}"])
+
+
+def replace_values(df: DataFrame, path: str, column: str, values: Collection[str]) -> None:
+    """Publish ``df`` in place of the partitions with these values of ``column``; a value without rows is gone afterwards.
+
+    ``df`` must hold no other values. The values are folder names: plain text without signs that a path escapes.
+    """
+    before, gone = _partitioned(df.sparkSession, path, column), {f"{column}={v}" for v in values}
+    _swap(df, path, column, before, [f for f in before if f.split("/")[0] not in gone])
+
+
+def values_of(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of ``column`` that the table has now, sorted, from the names of its sub-folders."""
+    return sorted({f.split("/")[0].partition("=")[2] for f in _partitioned(spark, path, column)})
+
+
+def read_values(spark: SparkSession, path: str, schema: T.StructType, column: str, values: Collection[str]) -> DataFrame:
+    """The rows with these values of the partition column: no folder of another value is listed or opened."""
+    base, wanted = path.rstrip("/"), {f"{column}={v}" for v in values}
+    folders = [f"{base}/{f}" for f in _partitioned(spark, path, column) if f.split("/")[0] in wanted]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
+
+def _partitioned(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The table's sub-folders, each of one value of ``column``."""
+    published = current(spark, path.rstrip("/"))
+    return published if published is not None else [n for n in children(spark, path) if n.startswith(f"{column}=")]
+
+
+def _swap(df: DataFrame, path: str, column: str, before: list[str], stays: list[str]) -> None:
+    """Publish ``df`` beside those of the folders ``before`` that stay."""
     spark, base, version = df.sparkSession, path.rstrip("/"), f"v-{uuid.uuid4().hex[:12]}"
-    before = current(spark, base)
-    if before is None:
-        before = [name for name in children(spark, base) if name.startswith(f"{column}=")]
     aside = f"{base}/_aside-{version}"
     df.write.partitionBy(column).parquet(aside)
-    stays = [f for f in before if f.split("/")[0] < f"{column}={keep}"]
     comes, files = [], _files(spark, base)
     for name in children(spark, aside):
         if name.startswith(f"{column}="):  # as many as there are new partitions

@@ -17,6 +17,7 @@ from ..session import delete_path, scratch_path
 from ..sources import fixtures as fx
 from ..sources import landed
 from ..streaming import incremental as S
+from . import moving_marts as M
 from . import pipeline as J
 from . import products as P
 from .catalog import (
@@ -33,6 +34,7 @@ from .catalog import (
 from .oracle import D, hav, with_ctes
 
 NULL_WMO_ALLOWED = [("stg_observations", "not_null(wmo_station_id)"), ("stg_forecasts", "not_null(wmo_station_id)")]
+FC_FAR = "2024-02-08 00:00:00"                # forecasts from here on are replaced as a whole
 LATER = "2024-02-06 18:00:00"                 # a restart a day after FC_NOW
 
 
@@ -441,6 +443,34 @@ def q_pipeline_run(spark, sf_dir):
     return obs.unionByName(fc)
 
 
+_BOTH_MARTS = f"""
+SELECT 'hourly_observations' AS mart, postal_code, observation_hour AS hour, {", ".join(_MART_VALUES)} FROM obs_mart
+UNION ALL
+SELECT 'hourly_forecasts', postal_code, forecast_hour, {", ".join(_MART_VALUES)} FROM fc_mart"""
+
+
+def _both_marts(spark, base) -> DataFrame:
+    obs, fc = (M.read_mart(spark, base, name).select(F.lit(name).alias("mart"), "postal_code", F.col(spec.hour).alias("hour"),
+                                                     *(F.col(v).cast("double").alias(v) for v in _MART_VALUES))
+               for name, (spec, _) in M.MARTS.items())
+    return obs.unionByName(fc)
+
+
+@register("moving_marts", with_ctes(_BOTH_MARTS))
+def q_moving_marts(spark, sf_dir):
+    """Both marts after three runs that each rebuild only the days they touch: a first load,
+    later observations with more forecasts of the near days, and the far days' forecasts replaced."""
+    i, base = _in(spark, sf_dir), scratch_path(spark, "moving")
+    obs, fc = i.raw_obs, i.raw_fc
+    early, far = F.col("ingested_at") < _at(OBS_LOADED_BEFORE), F.col("forecast_timestamp") >= _at(FC_FAR)
+    issued = F.col("ingested_at") < _at(FC_ISSUED_SPLIT)
+    for changes in ({"hourly_observations": M.Change(obs.filter(early)), "hourly_forecasts": M.Change(fc.filter(issued))},
+                    {"hourly_observations": M.Change(obs.filter(~early)), "hourly_forecasts": M.Change(fc.filter(~issued & ~far))},
+                    {"hourly_forecasts": M.Change(fc.filter(far), FC_FAR[:10])}):
+        M.advance(spark, base, i.stg_stations, i.stg_areas, changes)
+    return _both_marts(spark, base)
+
+
 @register("mart_file_order", with_ctes("""
 SELECT 'hourly_observations' AS mart, count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order FROM obs_mart
 UNION ALL
