@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import publish
 from ..functions.timeutil import days_before, ts_literal
-from .sequence import dense_row_number
+from .sequence import numbered_in_place, range_part
 from .spatial_join import distance_join
 
 # Fixed values of the reference's loading settings.
@@ -88,10 +88,12 @@ def assign_ids(batch: DataFrame, order: Sequence[str], start_after: Column | int
                id_col: str = "id") -> DataFrame:
     """Dense surrogate ids ``start_after + 1 ...`` in a total ``order``.
 
-    The numbering is spread over range partitions (no single-task window);
-    ``start_after`` may be a scalar column such as ``max(id)`` of the table.
+    The numbering is spread over range partitions (no single-task window), and
+    no rows are written for it; ``start_after`` may be a scalar column such as
+    ``max(id)`` of the table. ``batch`` is read twice, first its order columns
+    only, so it must give the same rows again.
     """
-    numbered = dense_row_number(batch, order, "_seq")
+    numbered = numbered_in_place(batch, order, "_seq")
     base = start_after if isinstance(start_after, Column) else F.lit(start_after)
     return numbered.withColumn(id_col, (base + F.col("_seq")).cast("bigint")).drop("_seq")
 
@@ -215,26 +217,6 @@ def range_bounds(keys: DataFrame, key: str, parts: int) -> list:
     return sorted(r["low"] for r in ranged.groupBy("_p").agg(F.min(key).alias("low")).collect())
 
 
-def range_part(key: str, bounds: Sequence) -> Column:
-    """The number of the range that ``key`` lies in: how many of the sorted ``bounds`` after the first are at or below it.
-
-    A binary search as a column expression, so a row costs the logarithm of the number of bounds. A null lies in the first range.
-    """
-    later = list(bounds)[1:]
-    if not later:
-        return F.lit(0)
-    held, low, high = F.array(*map(F.lit, later)), F.lit(0).alias("low"), F.lit(len(later)).alias("high")
-
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
-        above = F.coalesce(F.get(held, middle) <= F.col(key), F.lit(False)) & (s["low"] < s["high"])
-        return F.struct(F.when(above, middle + 1).otherwise(s["low"]).alias("low"),
-                        F.when(above | (s["low"] >= s["high"]), s["high"]).otherwise(middle).alias("high"))
-
-    steps = F.array(*[F.lit(k) for k in range(len(later).bit_length() + 1)])
-    return F.aggregate(steps, F.struct(low, high), halve, lambda s: s["low"])
-
-
 def write_sorted(df: DataFrame, path: str, keys: Sequence[str], bounds: Sequence, fmt: str = "parquet",
                  table: str | None = None) -> None:
     """F2 at the sink: rows go to the part of the first key's range, sorted inside,
