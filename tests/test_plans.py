@@ -60,3 +60,19 @@ def test_station_side_is_the_broadcast_side(spark):
         plan = plan_of(spark, name)
         joins = re.findall(r"BroadcastHashJoin \[_cx#\d+L, _cy#\d+L\], \[_cx#\d+L, _cy#\d+L\], Inner, (Build\w+)", plan)
         assert joins == ["BuildLeft"], (name, joins)
+
+
+def test_only_stations_near_an_area_reach_the_newest_row_step(spark):
+    """C2 before E1: the raw rows are reduced by the candidate stations below the window, in either fact table."""
+    from wxmesh.plans.catalog import Inputs
+
+    i, whole = Inputs(spark, SF, near=True), Inputs(spark, SF)
+    for name in ("stg_obs", "stg_fc"):
+        plan = getattr(i, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Window [") < plan.index("LeftSemi")
+        staged, every = getattr(i, name), getattr(whole, name)
+        want = every.join(i.near_ids, "wmo_station_id", "left_semi").select(*every.columns)
+        assert staged.exceptAll(want).isEmpty() and want.exceptAll(staged).isEmpty()
+        assert 0 < staged.count() < every.count()
+    mapped = whole.station_map.select("wmo_station_id")
+    assert mapped.join(i.near_ids, "wmo_station_id", "left_anti").isEmpty()

@@ -43,11 +43,15 @@ class Inputs:
     into the shared ``spark.checkpoint.dir`` on first use: later reads start
     from the written table (with column pruning), lineage is cut and a lost
     executor does not force the upstream dedup and joins to run again.
+
+    With ``near`` the facts are those of stations near an area only: what lies
+    behind the station map is the same, and the newest-row step has less to sort.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialise=()):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialise=(), near: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         self.materialise = tuple(materialise)
+        self.near = near
 
     def _m(self, df: DataFrame, name: str) -> DataFrame:
         return _materialised(df) if name in self.materialise else df
@@ -74,10 +78,16 @@ class Inputs:
     def stg_areas(self): return P.stg_postal_codes(self.areas)
 
     @cached_property
-    def stg_obs(self): return self._m(P.stg_facts(self.raw_obs, P.OBSERVATIONS), "stg_obs")
+    def near_ids(self): return _materialised(P.near_station_ids(self.stg_stations, self.stg_areas))
+
+    def _facts(self, raw: DataFrame) -> DataFrame:
+        return P.of_stations(raw, self.near_ids) if self.near else raw
+
+    @cached_property
+    def stg_obs(self): return self._m(P.stg_facts(self._facts(self.raw_obs), P.OBSERVATIONS), "stg_obs")
 
     @cached_property
-    def stg_fc(self): return self._m(P.stg_facts(self.raw_fc, P.FORECASTS), "stg_fc")
+    def stg_fc(self): return self._m(P.stg_facts(self._facts(self.raw_fc), P.FORECASTS), "stg_fc")
 
     def _active(self, name: str) -> DataFrame:
         """Active ids of one fact table, written if the staged facts themselves are not."""
@@ -88,6 +98,8 @@ class Inputs:
     def station_map(self):
         if "station_map" not in self.materialise:
             return P.station_area_map(self.stg_stations, self.stg_areas, self.stg_obs, self.stg_fc)
+        if self.near:
+            self.near_ids  # before two threads ask for it
         # The two fact tables are staged at the same time.
         obs, fc = together(lambda: self._active("stg_obs"), lambda: self._active("stg_fc"))
         return _materialised(P.station_area_map(self.stg_stations, self.stg_areas, active_ids=obs.union(fc).distinct()))
@@ -116,8 +128,8 @@ FC_MART_INPUTS = ("stg_fc", "station_map")        # stg_obs is read once
 MART_INPUTS = ("stg_obs", "stg_fc", "station_map")
 
 
-def _in(spark, sf_dir, materialise=()) -> Inputs:
-    return Inputs(spark, sf_dir, materialise)
+def _in(spark, sf_dir, materialise=(), near: bool = False) -> Inputs:
+    return Inputs(spark, sf_dir, materialise, near)
 
 
 def _xy(df: DataFrame, col: str = "geometry", x: str = "geom_x", y: str = "geom_y") -> DataFrame:
@@ -300,7 +312,7 @@ def q_station_rank(spark, sf_dir):
 
 @register("station_area_map", with_ctes("SELECT * FROM station_map"))
 def q_station_area_map(spark, sf_dir):
-    return _in(spark, sf_dir).station_map
+    return _in(spark, sf_dir, near=True).station_map
 
 
 # ---------------------------------------------------------- cleaning, L6/L7
@@ -309,14 +321,14 @@ def q_station_area_map(spark, sf_dir):
 SELECT wmo_station_id, postal_code, "timestamp", observation_hour,
        temperature, precipitation, relative_humidity, wind_speed FROM cleaned_obs"""))
 def q_cleaned_observations(spark, sf_dir):
-    return _in(spark, sf_dir, ("stg_obs",)).cleaned_obs_wr.drop("station_rank")
+    return _in(spark, sf_dir, ("stg_obs",), near=True).cleaned_obs_wr.drop("station_rank")
 
 
 @register("cleaned_forecasts", with_ctes("""
 SELECT wmo_station_id, postal_code, forecast_timestamp, forecast_hour,
        temperature, precipitation, relative_humidity, wind_speed FROM cleaned_fc"""))
 def q_cleaned_forecasts(spark, sf_dir):
-    return _in(spark, sf_dir, ("stg_fc",)).cleaned_fc_wr.drop("station_rank")
+    return _in(spark, sf_dir, ("stg_fc",), near=True).cleaned_fc_wr.drop("station_rank")
 
 
 @register("range_or_null_filter", with_ctes("""
@@ -342,18 +354,18 @@ def _materialised(df: DataFrame) -> DataFrame:
 
 @register("hour_spine", with_ctes("SELECT * FROM obs_hours"))
 def q_hour_spine(spark, sf_dir):
-    return _in(spark, sf_dir, OBS_MART_INPUTS).hours(P.OBSERVATIONS)
+    return _in(spark, sf_dir, OBS_MART_INPUTS, near=True).hours(P.OBSERVATIONS)
 
 
 @register("area_hour_spine", with_ctes("SELECT postal_code, forecast_hour FROM fc_spine"))
 def q_area_hour_spine(spark, sf_dir):
-    i = _in(spark, sf_dir, materialise=FC_MART_INPUTS)
+    i = _in(spark, sf_dir, materialise=FC_MART_INPUTS, near=True)
     return P.area_hour_spine(i.stg_areas, i.hours(P.FORECASTS))
 
 
 @register("best_station_per_hour", with_ctes("SELECT * FROM obs_best"))
 def q_best_station_per_hour(spark, sf_dir):
-    return P.best_station_per_hour(_in(spark, sf_dir, ("stg_obs",)).cleaned_obs_wr, P.OBSERVATIONS)
+    return P.best_station_per_hour(_in(spark, sf_dir, ("stg_obs",), near=True).cleaned_obs_wr, P.OBSERVATIONS)
 
 
 @register("lag_values", with_ctes("""
@@ -362,7 +374,7 @@ FROM fc_spine s LEFT JOIN fc_numbered p ON p.k = s.k - 1
 LEFT JOIN fc_choice c ON c.postal_code = s.postal_code AND c.k = s.k - 1"""))
 def q_lag_values(spark, sf_dir):
     """E6 alone: previous row's (unfilled) temperature on the forecast spine."""
-    i = _in(spark, sf_dir, materialise=FC_MART_INPUTS)
+    i = _in(spark, sf_dir, materialise=FC_MART_INPUTS, near=True)
     hours = _materialised(i.hours(P.FORECASTS))
     grid = P.area_hour_spine(i.stg_areas, hours)
     prev = previous_in_set(hours, "forecast_hour", "prev_forecast_hour")
@@ -376,12 +388,12 @@ def q_lag_values(spark, sf_dir):
 
 @register("hourly_observations", with_ctes("SELECT * FROM obs_mart"))
 def q_hourly_observations(spark, sf_dir):
-    return _in(spark, sf_dir, materialise=OBS_MART_INPUTS).mart(P.OBSERVATIONS)
+    return _in(spark, sf_dir, materialise=OBS_MART_INPUTS, near=True).mart(P.OBSERVATIONS)
 
 
 @register("hourly_forecasts", with_ctes("SELECT * FROM fc_mart"))
 def q_hourly_forecasts(spark, sf_dir):
-    return _in(spark, sf_dir, materialise=FC_MART_INPUTS).mart(P.FORECASTS)
+    return _in(spark, sf_dir, materialise=FC_MART_INPUTS, near=True).mart(P.FORECASTS)
 
 
 # --------------------------------------------------------- loading, I1/A8-A12

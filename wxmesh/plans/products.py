@@ -132,6 +132,24 @@ def station_points(stg_stations_df: DataFrame, active_ids: DataFrame | None = No
                     F.col("geometry")[lon].alias("lon")).distinct()
 
 
+def near_station_ids(stg_stations_df: DataFrame, stg_areas: DataFrame, radius_m: float = STATION_RADIUS_M,
+                     axis_order: str = "xy") -> DataFrame:
+    """WMO ids with a place within ``radius_m`` of an area, whether they have data or not.
+
+    No other id can get into the station map. Stations and areas are small beside
+    the facts, so this is known first and takes raw rows away before the
+    newest-row step sorts them (see ``of_stations``).
+    """
+    stations = station_points(stg_stations_df, None, axis_order)
+    pairs = distance_join(stations, area_centroids(stg_areas, axis_order), radius_m, measured=stations)
+    return pairs.select("wmo_station_id").distinct()
+
+
+def of_stations(raw: DataFrame, ids: DataFrame) -> DataFrame:
+    """The raw rows of these WMO ids. All rows of an id stay or go together, so the newest row per id and time is the same."""
+    return raw.join(ids, "wmo_station_id", "left_semi").select(*raw.columns)
+
+
 def rank_stations(pairs: DataFrame, max_rank: int = MAX_STATION_RANK) -> DataFrame:
     """E4 + F1: dense rank by distance per area, keep ranks <= max_rank (ties kept)."""
     from pyspark.sql import Window
