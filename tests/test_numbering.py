@@ -26,7 +26,7 @@ def in_order(row):
     return tuple((v is not None, "" if v is None else v) for v in row)
 
 
-@pytest.mark.parametrize("n,parts", [(0, 4), (1, 4), (700, 1), (700, 5), (700, 64)])
+@pytest.mark.parametrize("n,parts", [(0, 4), (1, 4), (700, 1), (700, 5), (700, 64), (700, 300)])
 def test_numbers_follow_the_order(spark, n, parts):
     data = rows(n)
     df = spark.createDataFrame(data, SCHEMA).repartition(3)

@@ -69,6 +69,20 @@ def range_part(key: str | Column, bounds: Sequence) -> Column:
     return F.aggregate(steps, F.struct(low, high), halve, lambda s: s["low"])
 
 
+TREE_PARTS = 256  # beyond, the comparisons as one expression would be too large to plan and compile
+
+
+def _part_of(key: Column, bounds: Sequence[Column]) -> Column:
+    """As ``range_part``: the same binary search, for not too many bounds as nested conditions that are compiled with the plan."""
+    def between(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        middle = (lo + hi + 1) // 2
+        return F.when(bounds[middle] <= key, between(middle, hi)).otherwise(between(lo, middle - 1))
+
+    return between(0, max(0, len(bounds) - 1)) if len(bounds) <= TREE_PARTS else range_part(key, bounds)
+
+
 def _cuts(df: DataFrame, order: Sequence[str], n: int) -> list[tuple[Column, int]]:
     """At most ``n`` (lowest key, number of rows) of consecutive ranges, from the order columns; equal keys share a range.
 
@@ -97,7 +111,7 @@ def numbered_in_place(df: DataFrame, order: Sequence[str], out: str = "row_id",
         raise ValueError("a binary column cannot be in the order")
     cuts = _cuts(df, order, _parts(df, num_partitions))
     before = list(accumulate((n for _, n in cuts[:-1]), initial=0))
-    part = range_part(F.struct(*order), [low for low, _ in cuts]).cast("int")
+    part = _part_of(F.struct(*order), [low for low, _ in cuts]).cast("int")
     local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
     dealt = (df.withColumn("_part", part).repartitionById(len(before), F.col("_part")).sortWithinPartitions(*order)
                .withColumn("_local", local))
