@@ -11,22 +11,20 @@ materialise results.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import publish
 from ..functions.timeutil import days_before, ts_literal
+from .nearest import nearest_place
 from .sequence import numbered_in_place, range_part
-from .spatial_join import distance_join
 
 # Fixed values of the reference's loading settings.
 BACKFILL_DAYS = 30            # history fetched for a station without a mark
 FORECAST_HORIZON_DAYS = 10    # forecast window ahead of 'now'
 DISCOVERY_RADIUS_M = 50000.0  # station search radius around the centre
 DISCOVERY_CENTRE = (52.52, 13.40)   # (lat, lon)
-GLOBE_RADIUS_M = 20_100_000.0   # over half the Earth's circumference
 
 
 def _now(now) -> Column:
@@ -149,45 +147,20 @@ def stations_in_radius(stations: DataFrame, centre=DISCOVERY_CENTRE,
                     .withColumn("distance", centre_distance_m("lat", "lon", lat0, lon0)))
 
 
-def route_keys(sources: DataFrame, candidates: DataFrame, first_radius_m: float = DISCOVERY_RADIUS_M) -> DataFrame:
+def route_keys(sources: DataFrame, candidates: DataFrame) -> DataFrame:
     """Request key per source: its WMO id, else the nearest WMO place, however far.
 
-    ``candidates`` are sources that have a WMO id. The nearest place is looked
-    for in a ring that grows fourfold until it spans the globe; a place found
-    within a ring is the nearest of all, so only sources that found none go on.
-    Each round keeps one candidate per source by a grouped ``min_by`` (partial
-    before the shuffle). A source without coordinates, or with no candidate
-    anywhere, gets a null key (the reference raises for it).
+    ``candidates`` are sources that have a WMO id. See ``nearest`` for the
+    search. A source without coordinates, or with no candidate anywhere, gets a
+    null key (the reference raises for it).
     """
-    from ..session import materialise
-
     direct = sources.filter(F.col("wmo_station_id").isNotNull()).select(
         F.col("id").alias("station_id"), F.col("wmo_station_id").alias("route_key"),
         F.lit(0.0).alias("route_dist"))
-    lost = materialise(sources.filter(F.col("wmo_station_id").isNull()).select(
-        F.col("id").alias("station_id"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon")), "unrouted")
-    places = materialise(candidates.filter("wmo_station_id is not null and lat is not null and lon is not null")
-                         .select(F.col("wmo_station_id").alias("route_key"), "lat", "lon").distinct(), "places")
-    nowhere = lost.filter(F.col("s_lat").isNull() | F.col("s_lon").isNull())
-    looking = lost.filter(F.col("s_lat").isNotNull() & F.col("s_lon").isNotNull())
-    found: list[DataFrame] = []
-    radius = first_radius_m
-    while not looking.isEmpty():
-        globe = radius >= GLOBE_RADIUS_M
-        pairs = distance_join(places, looking, min(radius, GLOBE_RADIUS_M), area_lat="s_lat", area_lon="s_lon",
-                              dist_col="route_dist")
-        best = F.min(F.struct("route_dist", "route_key")).alias("_b")
-        here = materialise(pairs.groupBy("station_id").agg(best).select("station_id", "_b.route_key", "_b.route_dist"), "routed")
-        found.append(here)
-        left = looking.join(here, "station_id", "left_anti")
-        if globe:
-            nowhere = nowhere.unionByName(left)
-            break
-        looking = materialise(left, "unrouted")
-        radius *= 4
-    none = nowhere.select("station_id", F.lit(None).cast("string").alias("route_key"),
-                          F.lit(None).cast("double").alias("route_dist"))
-    return reduce(DataFrame.unionByName, [direct, *found, none])
+    lost = sources.filter(F.col("wmo_station_id").isNull()).select(
+        F.col("id").alias("station_id"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
+    places = candidates.select(F.col("wmo_station_id").alias("route_key"), "lat", "lon")
+    return direct.unionByName(nearest_place(lost, places))
 
 
 # ------------------------------------------------------------ sinks, A8/A9 --
