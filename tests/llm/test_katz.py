@@ -16,31 +16,42 @@ def tokens(text):
 
 
 class Brute:
-    def __init__(self, texts):
-        self.uni, self.bi = Counter(), defaultdict(Counter)
+    """The model in dictionaries: counts of every n-gram by its history, evaluated by recursion."""
+
+    def __init__(self, texts, order):
+        self.uni, self.order = Counter(), order
+        self.after = {k: defaultdict(Counter) for k in range(2, order + 1)}
         for t in texts:
             w = tokens(t)
             self.uni.update(w)
-            for a, b in zip(["<s>"] + w, w):
-                self.bi[a][b] += 1
+            for h, x in self.places(w):
+                for k in self.after:
+                    self.after[k][h[len(h) - k + 1:]][x] += 1
         self.n, self.v = sum(self.uni.values()), len(self.uni)
         count = lambda values: katz.counts_of_counts(np.array(list(values), np.int64))
         self.unigram = katz.Unigram(self.n, self.v, count(self.uni.values()))
-        self.d = katz.discounts(count(c for x in self.bi.values() for c in x.values()))
-
-    def word(self, w):
-        return float(self.unigram.p(np.array([self.uni.get(w, 0)]))[0])
-
-    def p(self, v, w):
-        after = self.bi.get(v)
-        if not after:
-            return self.word(w)
-        total = sum(after.values())
-        left = total - sum(self.d[min(c, katz.CUTOFF + 1)] * c for c in after.values())
-        full = left <= 1e-9 * total
-        if w in after:
-            return self.d[min(after[w], katz.CUTOFF + 1)] * after[w] / total * (total / (total + 1) if full else 1)
-        return (1 / (total + 1) if full else left / total) / (1 - sum(map(self.word, after))) * self.word(w)
+        self.d = {k: katz.discounts(count(c for x in t.values() for c in x.values())) for k, t in self.after.items()}
+
+    def places(self, w):
+        padded = ["<s>"] * (self.order - 1) + w
+        return [(tuple(padded[i:i + self.order - 1]), x) for i, x in enumerate(w)]
+
+    def p(self, h, w):
+        if not h:
+            return float(self.unigram.p(np.array([self.uni.get(w, 0)]))[0])
+        k = len(h) + 1
+        seen = self.after[k].get(h)
+        if not seen:
+            return self.p(h[1:], w)
+        total = sum(seen.values())
+        full = min(seen.values()) > katz.CUTOFF
+        if w in seen:
+            return self.d[k][min(seen[w], katz.CUTOFF + 1)] * seen[w] / total * (total / (total + 1) if full else 1)
+        left = 1 / (total + 1) if full else (total - sum(self.d[k][min(c, katz.CUTOFF + 1)] * c for c in seen.values())) / total
+        return left / (1 - sum(self.p(h[1:], x) for x in seen)) * self.p(h[1:], w)
+
+    def score(self, text):
+        return sum(math.log10(self.p(h, x)) for h, x in self.places(tokens(text)))
 
 
 def corpus(n=300):
@@ -52,33 +63,50 @@ def corpus(n=300):
     return rows
 
 
-@pytest.mark.parametrize("batch_bytes", [1 << 20, 400])
-def test_against_brute_force(spark, monkeypatch, batch_bytes):
+@pytest.mark.parametrize("order, batch_bytes", [(1, 400), (2, 400), (3, 1 << 20), (3, 400), (4, 400)])
+def test_against_brute_force(spark, monkeypatch, order, batch_bytes):
     monkeypatch.setattr(katz, "BATCH_BYTES", batch_bytes)
     rows = corpus()
-    got = {r["doc_id"]: r for r in katz.score(documents(spark, rows)).collect()}
-    model = Brute(t for i, t in rows if fold(i, 7) != 2)
-    assert abs(sum(map(model.word, model.uni)) + model.unigram.unknown - 1) < 1e-12
-    for v in list(model.bi)[:40] + ["<s>", "same"]:
-        everything = sum(model.p(v, w) for w in model.uni) + model.p(v, "never seen")
-        assert abs(everything - 1) < 1e-9, v
+    got = {r["doc_id"]: r for r in katz.score(documents(spark, rows), order=order).collect()}
+    model = Brute((t for i, t in rows if fold(i, 7) != 2), order)
+    for k, table in model.after.items():
+        for h in [*list(table)[:12], ("<s>",) * (k - 1), ("always", "the", "same")[:k - 1]]:
+            everything = sum(model.p(h, w) for w in model.uni) + model.p(h, "never seen")
+            assert abs(everything - 1) < 1e-9, h
     for i, t in rows:
         w, r = tokens(t), got[i]
         assert r["held_out"] == (fold(i, 7) == 2) and r["n_tokens"] == len(w) and r["train_tokens"] == model.n
         assert r["n_known"] == sum(x in model.uni for x in w)
         base = sum(math.log10((model.uni.get(x, 0) + 1) / (model.n + model.v + 1)) for x in w)
-        score = sum(math.log10(model.p(a, b)) for a, b in zip(["<s>"] + w, w))
-        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], score, rel_tol=1e-9)
-
-
-def test_hot_words_change_nothing(spark, monkeypatch):
-    docs = documents(spark, corpus(80))
-    plain = lambda: sorted((r["doc_id"], round(r["score"], 7)) for r in katz.score(docs).collect())
-    monkeypatch.setattr(katz, "hot_words", lambda docs, shards: np.zeros(0, np.uint64))
-    without = plain()
-    every = np.unique(np.concatenate([katz.word_hashes(f"w{k}".encode()) for k in range(0, 400, 2)] + [[katz.BEGIN]]).astype(np.uint64))
-    monkeypatch.setattr(katz, "hot_words", lambda docs, shards: every)
-    assert plain() == without
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], model.score(t), rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_hot_histories_change_nothing(spark, monkeypatch, order):
+    """Every second word hot, and half of the longer histories; shards of one and of more groups."""
+    rows = corpus(80)
+    docs = documents(spark, rows)
+    monkeypatch.setattr(katz, "BATCH_BYTES", 900)
+    plain = lambda: {r["doc_id"]: r["score"] for r in katz.score(docs, order=order).collect()}
+    monkeypatch.setattr(katz, "hot_histories", lambda docs, shards, width: katz.Hot())
+    model = Brute((t for i, t in rows if fold(i, 7) != 2), order)
+    want = {i: model.score(t) for i, t in rows}
+    assert all(math.isclose(s, want[i], rel_tol=1e-9) for i, s in plain().items())
+    found = {}
+    for k, codes in enumerate(katz.histories(katz.contexts([katz.word_hashes(t.encode()) for _, t in rows], max(order, 2))[1:]), 1):
+        found.update({c: k for c in codes[codes % np.uint64(2) == 0].tolist() + [int(katz.BEGIN)] * (k == 1)})
+    monkeypatch.setattr(katz, "hot_histories", lambda docs, shards, width: katz.Hot(list(found), list(found.values())))
+    monkeypatch.setattr(katz, "GROUP_BYTES", 1000)
+    assert all(math.isclose(s, want[i], rel_tol=1e-9) for i, s in plain().items())
+
+
+def test_one_text_a_third_of_all_rows(spark):
+    """Real hot histories: copies of one text, one word over and over, found by the sample."""
+    rows = corpus(60) + [(1000 + k, "same " * 40) for k in range(120)]
+    docs = documents(spark, rows)
+    assert set(katz.hot_histories(docs, 16, 3).lengths.tolist()) == {1, 2}
+    model = Brute((t for i, t in rows if fold(i, 7) != 2), 3)
+    assert all(math.isclose(r["score"], model.score(dict(rows)[r["doc_id"]]), rel_tol=1e-9) for r in katz.score(docs).collect())
 
 
 def test_discounts_without_the_counts_they_need():

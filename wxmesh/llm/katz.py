@@ -1,27 +1,34 @@
-"""Language-model scoring: a Katz backoff bigram model, counted and applied in partitioned tables.
+"""Language-model scoring: a Katz backoff model of n-grams, counted and applied in partitioned tables.
 
-``P(w | v)`` is the Good-Turing discounted relative frequency of a bigram seen
-in learning, else ``alpha(v) P(w)``, where ``alpha(v)`` is exactly what the
-discounts of ``v`` leave free over what ``P`` gives to the words unseen after
-``v``. ``P(w)`` is the discounted unigram; what its discounts leave is the
-probability of the one unknown word. If the discounts leave nothing, one count
-is set aside, so every distribution sums to one and no word gets zero.
+``P(w | h)`` is the Good-Turing discounted relative frequency of ``w`` after the
+history ``h`` (the last ``order - 1`` tokens) if learning has seen it, else
+``alpha(h) P(w | h')`` with the oldest token of ``h`` left out, and so on down to
+single words. ``alpha(h)`` is exactly what the discounts of ``h`` leave free over
+what ``P(. | h')`` gives to the words unseen after ``h``; a history that learning
+has not seen has weight one. ``P(w)`` is the discounted unigram; what its
+discounts leave is the probability of the one unknown word. If no n-gram of a
+history is discounted, one count is set aside, so every distribution sums to one
+and no word gets zero.
 
-Words are known by their 64-bit XXH64. The flow:
+Words are known by their 64-bit XXH64, n-grams by a 64-bit hash of these; two
+that share a hash count as one. The flow:
 
 * Each Arrow batch of texts becomes one compressed value for each shard, with
-  the (previous word, word, text) triples whose previous word hashes there.
-  Previous words that make up a large share of a sample of the texts ("hot"
-  ones) are spread over the shards by both words, so no shard gets all of one.
-* The shards count their words and send the counts to the words' owners, which
-  add them up and answer each sender with the counts of its words.
-* With the answers and the counts of counts a shard can score its triples. It
-  sends sums for each text back under the batch; sums over hot words, of which
-  a shard has a share only, are added up first and applied last.
-
-All counts are over all learning texts. The shuffle of triples is read three
-times but written once. The number of shards is twice the session's number of shuffle
-partitions (a group of two adds its sums up), that of owners half of it.
+  the n-grams whose previous word hashes there. So all tables of a history and
+  of those that it backs off to lie in one shard. Histories that make up a large
+  share of a sample of the texts ("hot" ones) are spread by one word more, in the
+  end by the whole n-gram, so no shard gets all of one.
+* The shards count their words, and the shorter n-grams of hot histories, and send
+  the counts to owners, which add them up and answer each sender.
+* With the answers and the counts of counts a shard goes down from the longest
+  history of each token to the first that has seen it. It sends sums for each
+  text back under the batch; the weights of hot histories, of which a shard has
+  a share only, are added up first and applied last.
+
+All counts are over all learning texts. The shuffle of n-grams is read three
+times but written once. There are two shards a group of ``applyInArrow``, and as
+many groups as the session has shuffle partitions, or more where a group would
+have over ``GROUP_BYTES`` of text; owners are half the shuffle partitions.
 
 Defined results: a null or empty text is the end token alone. Null ``doc_id``
 rows are learned from and not held out. Rows repeated in the input are counted
@@ -47,9 +54,11 @@ SEED = 20
 BEGIN = np.uint64(0x243F6A8885A308D3)
 END = np.uint64(0x13198A2E03707344)
 CUTOFF = 5  # counts above it are not discounted
+ORDER = 3  # words of the longest n-grams
 HOT_SAMPLE = 400
 BATCH_BYTES = 8 << 20
 GROUP = 2  # shards of one group, which are worked on one after the other
+GROUP_BYTES = 256 << 20  # of text a group at most, on average
 ASK, STATS, META, SUMS, HOT = range(5)
 
 
@@ -66,22 +75,60 @@ def pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def hot_words(docs: DataFrame, shards: int) -> np.ndarray:
-    """Words that hold over a quarter of a shard's share in a hash sample; they only steer where triples go."""
+def contexts(tokens: list[np.ndarray], width: int) -> list[np.ndarray]:
+    """The tokens of all texts, then the token one, two, ... ``width - 1`` places before each; BEGIN before a text."""
+    w = np.concatenate(tokens or [np.zeros(0, np.uint64)])
+    lengths = np.array([len(t) for t in tokens], np.int64)
+    place = np.arange(len(w)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    back = lambda k: np.where(place >= k, np.roll(w, k), BEGIN)
+    return [w, *(back(k) for k in range(1, width))]
+
+
+def histories(before: list[np.ndarray]) -> list[np.ndarray]:
+    """Codes of the last one, two, ... tokens; a longer history's code is made from the shorter one's."""
+    codes = before[:1]
+    for older in before[1:]:
+        codes.append(pair_hash(codes[-1], older))
+    return codes
+
+
+class Hot:
+    """Codes of frequent histories (sorted) and how many tokens each has."""
+
+    def __init__(self, codes=(), lengths=()):
+        codes, lengths = np.array(codes, np.uint64), np.array(lengths, np.int64)
+        order = np.argsort(codes)
+        self.codes, self.lengths = codes[order], lengths[order]
+
+    def __len__(self):
+        return len(self.codes)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """The place of each code, -1 if it is none of these."""
+        if not len(self.codes):
+            return np.full(len(codes), -1)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, at, -1)
+
+
+def hot_histories(docs: DataFrame, shards: int, width: int) -> Hot:
+    """Histories that hold over a quarter of a shard's share in a hash sample; they only steer where n-grams go."""
     def counted(batches):
         for batch in batches:
-            words = [word_hashes(b) for b in as_bytes(column_of(batch, "text"))]
-            code, n = np.unique(np.concatenate([np.append(BEGIN, w[:-1]) for w in words] or [np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n)], ["word", "n"])
+            _, *before = contexts([word_hashes(b) for b in as_bytes(column_of(batch, "text"))], width)
+            for k, codes in enumerate(histories(before), 1):
+                code, n = np.unique(codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), k)), pa.array(code.view(np.int64)), pa.array(n)],
+                                                 ["length", "code", "n"])
 
     rows = bounded_rows(docs.select("doc_id", "text"), HOT_SAMPLE, F.col("doc_id")).select("text") \
-        .mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    hot = rows.filter(F.col("n") * 4 * shards > total).select("word").collect()  # at most 4 * shards words
-    return np.sort(np.array([r["word"] for r in hot], np.int64).view(np.uint64))
+        .mapInArrow(counted, "length long, code long, n long").groupBy("length", "code").agg(F.sum("n").alias("n"))
+    total = rows.filter("length = 1").agg(F.sum("n")).first()[0] or 0
+    hot = rows.filter(F.col("n") * 4 * shards > total).select("code", "length").collect()  # at most 4 * shards a length
+    return Hot(np.array([r["code"] for r in hot], np.int64).view(np.uint64), [r["length"] for r in hot])
 
 
-def triples(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
+def ngrams(docs: DataFrame, shards: int, width: int, hot: Hot) -> DataFrame:
     """``shard, batch, kind, blob`` of ``docs(doc_id, text, held_out)``; kind META lists the texts of a batch."""
 
     def emit(batches):
@@ -91,34 +138,35 @@ def triples(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
             lo = 0
             while lo < whole.num_rows:
                 hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + BATCH_BYTES, side="right")))
-                yield from _messages(whole.slice(lo, hi - lo), (part << 32) + k, shards, hot)
+                yield from _messages(whole.slice(lo, hi - lo), (part << 32) + k, shards, width, hot)
                 lo, k = hi, k + 1
 
     return docs.mapInArrow(emit, "shard int, batch long, kind int, blob binary")
 
 
-def _messages(batch: pa.RecordBatch, name: int, shards: int, hot: np.ndarray):
-    """One batch's triples for each shard, and the list of its texts."""
+def _messages(batch: pa.RecordBatch, name: int, shards: int, width: int, hot: Hot):
+    """One batch's n-grams for each shard, and the list of its texts."""
     tokens = [word_hashes(b) for b in as_bytes(column_of(batch, "text"))]
     lengths = np.array([len(t) for t in tokens], np.int64)
-    w = np.concatenate(tokens)
+    grams = contexts(tokens, width)
     del tokens
-    v = np.concatenate(([BEGIN], w[:-1]))
-    v[np.cumsum(lengths) - lengths] = BEGIN
-    text = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)
-    learn = ~column_of(batch, "held_out").to_numpy(zero_copy_only=False)
-    shard = (v % np.uint64(shards)).astype(np.uint32)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, v), len(hot) - 1)
-        own = hot[at] == v
-        shard[own] = (pair_hash(v[own], w[own]) % np.uint64(shards)).astype(np.uint32)
+    codes = histories(grams[1:])
+    to, hot_so_far = codes[0].copy(), np.ones(len(codes[0]), bool)
+    for code, longer in zip(codes, [*codes[1:], None] if len(hot) else []):
+        hot_so_far &= hot.find(code) >= 0
+        to[hot_so_far] = pair_hash(code[hot_so_far], grams[0][hot_so_far]) if longer is None else longer[hot_so_far]
+    shard = (to % np.uint64(shards)).astype(np.uint32)
+    del codes, to, hot_so_far
     order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
     edge = np.concatenate(([0], np.cumsum(np.bincount(shard, minlength=shards)))).tolist()
-    v, w, text = v[order], w[order], text[order]
+    text = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)[order]
+    vocabulary = np.unique(np.append(grams[0], BEGIN))
+    grams = [np.searchsorted(vocabulary, g).astype(np.int32)[order] for g in grams]
+    learn = ~column_of(batch, "held_out").to_numpy(zero_copy_only=False)
     flags = np.packbits(learn)
     for s, (lo, hi) in enumerate(zip(edge, edge[1:])):
         if hi > lo:
-            yield _row(s, name, ASK, _pack(v[lo:hi], w[lo:hi], text[lo:hi], flags))
+            yield _row(s, name, ASK, _pack(vocabulary, [g[lo:hi] for g in grams], text[lo:hi], flags))
     ids = column_of(batch, "doc_id")
     yield _row(name % shards, name, META, pack_arrays(
         np.array(ids.fill_null(0)).astype(np.int64), np.array(ids.is_valid()).astype(np.uint8), (~learn).astype(np.uint8),
@@ -130,54 +178,80 @@ def _row(shard: int, batch: int, kind: int, blob: bytes) -> pa.RecordBatch:
                                        pa.array([blob], pa.binary())], ["shard", "batch", "kind", "blob"])
 
 
-def _pack(v, w, text, flags) -> bytes:
-    """Triples sorted by (v, w): the distinct words, each distinct pair once, and the texts of each pair."""
-    vs, v = np.unique(v, return_inverse=True)
-    ws, w = np.unique(w, return_inverse=True)
-    key = v * len(ws) + w
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.diff(key, prepend=-1))
-    pairs = key[first]
-    per_v = np.bincount(pairs // len(ws), minlength=len(vs))
-    return pack_arrays(vs, ws, smallest(per_v), smallest(pairs % len(ws)),
-                       smallest(np.diff(np.append(first, len(key)))), smallest(text[order]), flags)
+def _pack(vocabulary: np.ndarray, grams: list, text: np.ndarray, flags: np.ndarray) -> bytes:
+    """N-grams sorted by (previous word, word, older words): the words, each distinct n-gram once, and its texts."""
+    used = np.zeros(len(vocabulary), bool)
+    for g in grams:
+        used[g] = True
+    words, place = vocabulary[used], np.cumsum(used) - 1
+    w, v, *older = (place[g] for g in grams)
+    if len(words) ** len(grams) < 1 << 62:
+        key = v
+        for g in (w, *older):
+            key = key * len(words) + g
+        order = np.argsort(key, kind="stable")
+        new = np.diff(key[order], prepend=-1) != 0
+    else:
+        order = np.lexsort((*older[::-1], w, v))
+        new = np.append(True, np.any([g[order][1:] != g[order][:-1] for g in (v, w, *older)], axis=0))
+    first = np.flatnonzero(new)
+    at = order[first]
+    return pack_arrays(words, smallest(np.bincount(v[at], minlength=len(words))), smallest(np.diff(np.append(first, len(order)))),
+                       smallest(text[order]), flags, *(smallest(g[at]) for g in (w, *older)))
 
 
 class Part:
-    """One unpacked value of triples."""
+    """One unpacked value of n-grams."""
 
     def __init__(self, blob: bytes):
-        self.vs, self.ws, per_v, w, n, self.text, flags = unpack_arrays(blob)
-        self.v = np.repeat(np.arange(len(self.vs), dtype=np.int32), per_v)
-        self.w, self.n = w.astype(np.int32), n
+        self.words, per_v, n, self.text, flags, w, *older = unpack_arrays(blob)
+        self.before = [np.repeat(np.arange(len(self.words), dtype=np.int32), per_v), *older]
+        self.w = w
         self.learn = np.unpackbits(flags).astype(bool)
-        self.pair = np.repeat(np.arange(len(self.w), dtype=np.int32), n)  # of each entry
-        self.learned = np.bincount(self.pair, self.learn[self.text], minlength=len(self.w)).astype(np.int64)
+        self.gram = np.repeat(np.arange(len(w), dtype=np.int32), n)  # of each entry
+        self.learned = np.bincount(self.gram, self.learn[self.text], minlength=len(w)).astype(np.int64)
+
+
+class Level:
+    """The distinct n-grams of one length in a shard: learning counts, their histories, and the shorter n-grams they end in."""
+
+    def __init__(self, count, history, hot: Hot):
+        self.count = count
+        codes, self.history = np.unique(history, return_inverse=True)
+        self.hot = hot.find(codes)              # of each history
+        self.histories = len(codes)
+        self.shared = self.hot[self.history] >= 0
+        self.code = self.down = None
 
 
 class Shard:
-    """What a shard knows of its own: its words (sorted) and its distinct pairs with their learning counts."""
+    """What a shard knows of its own: its words (sorted), and its distinct n-grams of each length from the longest down."""
 
-    def __init__(self, blobs: list[bytes], pairs: bool = True):
+    def __init__(self, blobs: list[bytes], width: int, hot: Hot):
         self.parts = [Part(b) for b in blobs]
         none = [np.zeros(0, np.uint64)]
-        if pairs:
-            codes = np.concatenate([pair_hash(p.vs[p.v], p.ws[p.w]) for p in self.parts] or none)
-            _, first, back = np.unique(codes, return_index=True, return_inverse=True)
-            learned = np.concatenate([p.learned for p in self.parts] or [np.zeros(0, np.int64)])
-            self.count = np.bincount(back, learned, minlength=len(first)).astype(np.int64)
-            self.first = first
-            self.of = np.split(back.astype(np.int32), np.cumsum([len(p.w) for p in self.parts])[:-1]) if self.parts else []
-
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """All words of the shard, previous words too, and how often each is a (second) word in learning."""
-        none = [np.zeros(0, np.uint64)]
-        words = np.unique(np.concatenate([x for p in self.parts for x in (p.vs, p.ws)] + none + [np.array([END])]))
-        count = np.zeros(len(words), np.int64)
-        for p in self.parts:
-            np.add.at(count, np.searchsorted(words, p.ws), np.bincount(p.w, p.learned, minlength=len(p.ws)).astype(np.int64))
-        return words, count
+        put = lambda make: np.concatenate([make(p) for p in self.parts] or none)
+        w = put(lambda p: p.words[p.w])
+        past = histories([put(lambda p, k=k: p.words[p.before[k]]) for k in range(width - 1)])
+        count = np.concatenate([p.learned for p in self.parts] or [np.zeros(0, np.int64)])
+        self.levels: dict[int, Level] = {}
+        above = None
+        for k in range(width, 1, -1):
+            code, first, back = np.unique(pair_hash(past[k - 2], w), return_index=True, return_inverse=True)
+            count = np.bincount(back, count, minlength=len(first)).astype(np.int64)
+            if above is None:
+                self.of = np.split(back.astype(np.int32), np.cumsum([len(p.w) for p in self.parts])[:-1]) if self.parts else []
+            else:
+                above.down = back
+            w, past = w[first], [x[first] for x in past[:k - 1]]
+            above = self.levels[k] = Level(count, past[k - 2], hot)
+            above.code = code
+        self.words, above.down = np.unique(w, return_inverse=True)
+        self.word_count = np.bincount(above.down, count, minlength=len(self.words)).astype(np.int64)
+
+    def asked(self, order: int) -> list[tuple[int, np.ndarray]]:
+        """Lengths below the longest, and which of their n-grams other shards may have too."""
+        return [(k, np.flatnonzero(level.shared)) for k, level in self.levels.items() if k < max(order, 2)]
 
 
 def counts_of_counts(count: np.ndarray) -> np.ndarray:
@@ -225,50 +299,71 @@ def _blobs(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
     return sorted((b, blob) for b, k, blob in zip(*(table.column(c).to_pylist() for c in ("batch", "kind", "blob"))) if k == kind)
 
 
-def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
+def score(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER) -> DataFrame:
     """Per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards, owners = GROUP * partitions, max(1, partitions // 2)
+    if order < 1:
+        raise ValueError("the order of the model must be 1 or more")
     docs = docs.select("doc_id", "text").withColumn("held_out", crc_fold(F.col("doc_id"), folds) == held)
-    hot = hot_words(docs, shards)
-    sent = triples(docs, shards, hot)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_bytes = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards, owners = GROUP * max(partitions, -(-n_bytes // GROUP_BYTES)), max(1, partitions // 2)
+    width = max(order, 2)
+    hot = hot_histories(docs, shards, width)
+    sent = ngrams(docs, shards, width, hot)
     grouped = lambda df: df.withColumn("group", F.expr(f"shard div {GROUP}")).groupBy("group")
     by_group = grouped(sent)
 
     def ask(rows: pa.Table) -> pa.Table:
-        """Each shard's words for each owner of words, and its counts of counts of pairs."""
+        """Each shard's words and shared n-grams for each of their owners, and its part of the statistics."""
         out = []
         for shard, own_rows in _by_shard(rows):
-            own = Shard([b for _, b in _blobs(own_rows, ASK)])
-            words, count = own.words()
-            to = (words % np.uint64(owners)).astype(np.int64)
-            out += [(int(u), shard, ASK, pack_arrays(words[to == u], smallest(count[to == u]))) for u in np.unique(to)]
-            # Any owner can pass the pairs' counts of counts on.
-            out.append((shard % owners, shard, STATS, pack_arrays(counts_of_counts(own.count))))
+            own = Shard([b for _, b in _blobs(own_rows, ASK)], width, hot)
+            to = (own.words % np.uint64(owners)).astype(np.int64)
+            code, history, count = _shared(own, order)
+            gram_to = (code % np.uint64(owners)).astype(np.int64)
+            for u in np.unique(np.concatenate((to, gram_to))):
+                mine, theirs = to == u, gram_to == u
+                out.append((int(u), shard, ASK, pack_arrays(own.words[mine], smallest(own.word_count[mine]), code[theirs],
+                                                            smallest(history[theirs]), smallest(count[theirs]))))
+            out.append((shard % owners, shard, STATS, pack_arrays(_own_stats(own, order, hot))))  # any owner can pass it on
         return _table(out)
 
     def answer(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        """The total counts, to each asker in the order it asked; the counts of counts of words."""
+        """The total counts, to each asker in the order it asked; one asker counts for each shared n-gram."""
         owner = key[0].as_py()
         asked = [(b, *unpack_arrays(blob)) for b, blob in _blobs(rows, ASK)]
-        words, back = np.unique(np.concatenate([a[1] for a in asked] or [np.zeros(0, np.uint64)]), return_inverse=True)
-        total = np.bincount(back, np.concatenate([a[2] for a in asked] or [np.zeros(0)]), minlength=len(words)).astype(np.int64)
-        out, at = [], 0
-        for asker, theirs, _ in asked:
-            out.append((asker, owner, ASK, pack_arrays(smallest(total[back[at:at + len(theirs)]]))))
-            at += len(theirs)
-        pairs = sum((unpack_arrays(b)[0] for _, b in _blobs(rows, STATS)), np.zeros(CUTOFF + 1, np.int64))
-        out.append((-1, owner, STATS, pack_arrays(np.concatenate(([total.sum(), (total > 0).sum()], counts_of_counts(total), pairs)))))
-        return _table(out)
+        put = lambda k: np.concatenate([a[k] for a in asked] or [np.zeros(0, np.uint64)])
+        words, back = np.unique(put(1), return_inverse=True)
+        total = np.bincount(back, put(2), minlength=len(words)).astype(np.int64)
+        codes, first, gram_back = np.unique(put(3), return_index=True, return_inverse=True)
+        gram_total = np.bincount(gram_back, put(5), minlength=len(codes)).astype(np.int64)
+        history = put(4).astype(np.int64)[first]
+        counts = np.zeros(len(gram_back), bool)
+        counts[first] = True
+        out, at, gram_at = [], 0, 0
+        for asker, theirs, _, grams, *_ in asked:
+            own, own_grams = slice(at, at + len(theirs)), slice(gram_at, gram_at + len(grams))
+            out.append((asker, owner, ASK, pack_arrays(smallest(total[back[own]]), smallest(gram_total[gram_back[own_grams]]),
+                                                       np.packbits(counts[own_grams]))))
+            at, gram_at = own.stop, own_grams.stop
+        stats = Stats(order, len(hot))
+        stats.words += (total.sum(), (total > 0).sum())
+        stats.kinds[0] += counts_of_counts(total)
+        for k in range(2, order):
+            stats.kinds[k - 1] += counts_of_counts(gram_total[hot.lengths[history] == k - 1])
+        stats.discounted += np.bincount(history[(gram_total > 0) & (gram_total <= CUTOFF)], minlength=len(hot))
+        passed = sum((unpack_arrays(b)[0] for _, b in _blobs(rows, STATS)), stats.vector())
+        return _table([*out, (-1, owner, STATS, pack_arrays(passed))])
 
     replies = by_group.applyInArrow(ask, "shard int, batch long, kind int, blob binary") \
         .groupBy("shard").applyInArrow(answer, "shard int, batch long, kind int, blob binary")
 
     def add_up(rows: pa.Table) -> pa.Table:
-        """One row of totals becomes one for each shard."""
-        total = sum((unpack_arrays(b)[0] for _, b in _blobs(rows, STATS)), np.zeros(2 * CUTOFF + 4, np.int64))
-        return _table([(s, 0, STATS, pack_arrays(total)) for s in range(shards)])
+        """One row of statistics becomes one for each shard."""
+        total = sum((unpack_arrays(b)[0] for _, b in _blobs(rows, STATS)), Stats(order, len(hot)).vector())
+        blob = pack_arrays(total)
+        return _table([(s, 0, STATS, blob) for s in range(shards)])
 
     stats = replies.filter(f"kind = {STATS}").groupBy("kind").applyInArrow(add_up, "shard int, batch long, kind int, blob binary")
     replies = replies.filter(f"kind = {ASK}").unionByName(stats)
@@ -276,8 +371,12 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     def finish(rows: pa.Table, heard: pa.Table) -> pa.Table:
         told = dict(_by_shard(heard))
         out, sums = [], {}
+        if 0 in told:                           # every shard has heard the same statistics: one hands them on
+            known = Stats(order, len(hot), unpack_arrays(_blobs(told[0], STATS)[0][1])[0])
+            out.append((0, -1, HOT, pack_arrays(-1 - np.arange(len(hot) + 1), np.append(known.words[0], known.total).astype(float),
+                                                np.append(0, known.discounted).astype(float))))
         for shard, own_rows in _by_shard(rows):
-            more, parts = _score_shard(shard, own_rows, told[shard], owners, hot)
+            more, parts = _score_shard(shard, own_rows, told[shard], owners, order, hot)
             out += more
             for batch, part in parts:
                 sums.setdefault(batch, []).append(part)
@@ -285,17 +384,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
 
     done = by_group.cogroup(grouped(replies)).applyInArrow(finish, "shard int, batch long, kind int, blob binary")
     done = materialise(done, "scores")
-
-    # Sums over hot words: at most 4 * shards words, from each shard one row.
-    free, unseen = np.ones(len(hot)), np.ones(len(hot))
-    learned, total = 0, np.zeros((len(hot), 3))
-    totals = _hot_totals(done, len(hot))
-    if totals is not None:
-        learned, total = totals
-        free, unseen = _leftover(total[:, 0], total[:, 1]), np.maximum(1 - total[:, 2], 1e-300)
-    log_alpha = np.where(total[:, 0] > 0, np.log10(free / unseen), 0.0)
-    reserve = np.where((total[:, 0] > 0) & (total[:, 0] - total[:, 1] <= 1e-9 * total[:, 0]),
-                       np.log10(total[:, 0] / (total[:, 0] + 1.0), where=total[:, 0] > 0, out=np.zeros(len(hot))), 0.0)
+    learned, log_alpha = _hot_alphas(done, len(hot))
 
     def collect(rows: pa.Table) -> pa.Table:
         meta = _blobs(rows, META)
@@ -305,11 +394,11 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
         n = len(ids)
         known, base, model = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
         for blob in [unpack_arrays(b) for _, b in _blobs(rows, SUMS)]:
-            text, k, b, m, hot_text, hot_word, hot_unseen, hot_seen = blob
+            text, k, b, m, hot_text, hot_history, hot_unseen = blob
             known[text] += k
             base[text] += b
             model[text] += m
-            np.add.at(model, hot_text, hot_unseen * log_alpha[hot_word] + hot_seen * reserve[hot_word])
+            np.add.at(model, hot_text, hot_unseen * log_alpha[hot_history.astype(np.int64)])
         return pa.table([pa.array(ids, mask=valid == 0), pa.array(held_out.astype(bool)), pa.array(lengths.astype(np.int64)),
                          pa.array(known), pa.array(np.full(n, learned)), pa.array(base), pa.array(model)], schema=OUT)
 
@@ -343,85 +432,137 @@ def _add_sums(parts: list) -> bytes:
                        *(smallest(h.astype(np.int64)) for h in hot))
 
 
-def _leftover(total, kept):
-    """What the discounts leave of the histories' mass; one count is set aside where that is nothing."""
-    left = total - kept
-    return np.where(left > 1e-9 * total, left / np.maximum(total, 1), 1 / (total + 1))
+class Stats:
+    """Numbers of the whole corpus, which add up: tokens and distinct words; counts of counts for each
+    length of n-grams; for each hot history its count and how many of its n-grams are discounted."""
+
+    def __init__(self, order: int, hot: int, vector: np.ndarray | None = None):
+        sizes = np.cumsum([2, order * (CUTOFF + 1), hot])
+        self.words, kinds, self.total, self.discounted = np.split(
+            np.zeros(sizes[-1] + hot, np.int64) if vector is None else vector, sizes)
+        self.kinds = kinds.reshape(order, CUTOFF + 1)
+
+    def vector(self) -> np.ndarray:
+        return np.concatenate((self.words, self.kinds.ravel(), self.total, self.discounted))
+
 
+def _own_stats(own: Shard, order: int, hot: Hot) -> np.ndarray:
+    """What a shard can tell of n-grams that it alone has, and its part of the counts of hot histories."""
+    stats = Stats(order, len(hot))
+    for k, level in own.levels.items():
+        if k > order:
+            continue
+        whole = np.full(len(level.count), k == order) | ~level.shared
+        stats.kinds[k - 1] += counts_of_counts(level.count[whole])
+        history = level.hot[level.history]
+        stats.total += np.bincount(history[level.shared], level.count[level.shared], minlength=len(hot)).astype(np.int64)
+        small = level.shared & whole & (level.count > 0) & (level.count <= CUTOFF)
+        stats.discounted += np.bincount(history[small], minlength=len(hot))
+    return stats.vector()
 
-def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, owners: int, hot: np.ndarray) -> tuple[list, list]:
+
+def _shared(own: Shard, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, hot histories and own counts of the n-grams that other shards may have too, length by length."""
+    asked = [(own.levels[k], at) for k, at in own.asked(order)]
+    put = lambda make, kind: np.concatenate([make(level, at) for level, at in asked] or [np.zeros(0, kind)])
+    return (put(lambda level, at: level.code[at], np.uint64), put(lambda level, at: level.hot[level.history[at]], np.int64),
+            put(lambda level, at: level.count[at], np.int64))
+
+
+def _score_shard(shard: int, rows: pa.Table, heard: pa.Table, owners: int, order: int, hot: Hot) -> tuple[list, list]:
     """Rows to send on, and ``(batch, sums of its texts)``."""
     out = [(shard, b, META, blob) for b, blob in _blobs(rows, META)]
-    sent = _blobs(rows, ASK)
-    stats = _blobs(heard, STATS)
-    if not sent or not stats:
+    sent, width = _blobs(rows, ASK), max(order, 2)
+    if not sent:
         return out, []
-    own = Shard([b for _, b in sent])
-    words, _ = own.words()
-    count, to = np.zeros(len(words), np.int64), (words % np.uint64(owners)).astype(np.int64)
+    stats = Stats(order, len(hot), unpack_arrays(_blobs(heard, STATS)[0][1])[0])
+    own = Shard([b for _, b in sent], width, hot)
+    count, to = np.zeros(len(own.words), np.int64), (own.words % np.uint64(owners)).astype(np.int64)
+    code, _, _ = _shared(own, order)
+    gram_count, gram_to, mine = np.zeros(len(code), np.int64), (code % np.uint64(owners)).astype(np.int64), np.zeros(len(code), bool)
     for owner, blob in _blobs(heard, ASK):
-        count[to == owner] = unpack_arrays(blob)[0]
-    numbers = unpack_arrays(stats[0][1])[0]
-    unigram = Unigram(int(numbers[0]), int(numbers[1]), numbers[2:CUTOFF + 3])
-    d = discounts(numbers[CUTOFF + 3:])
-    p_word, base = unigram.p(count), unigram.base(count)
-    ends = int(count[np.searchsorted(words, END)])  # so many texts begin in learning
-
-    # The distinct pairs: their words as positions in ``words``, in the order of own.count.
-    v = np.concatenate([np.searchsorted(words, p.vs)[p.v] for p in own.parts])[own.first]
-    w = np.concatenate([np.searchsorted(words, p.ws)[p.w] for p in own.parts])[own.first]
-    history = np.where(words == BEGIN, ends, count).astype(np.float64)
-    seen = own.count > 0
-    kept = d[np.minimum(own.count, CUTOFF + 1)] * own.count
-    sums = lambda x: np.bincount(v[seen], x[seen], minlength=len(words))
-    total, mass, covered = sums(own.count.astype(np.float64)), sums(kept), sums(p_word[w])
-    is_hot = np.isin(words, hot)
-    known = np.flatnonzero((total > 0) & ~is_hot)
-    log_alpha, reserve = np.zeros(len(words)), np.zeros(len(words))
-    log_alpha[known] = np.log10(_leftover(total[known], mass[known]) / np.maximum(1 - covered[known], 1e-300))
-    full = known[total[known] - mass[known] <= 1e-9 * total[known]]
-    reserve[full] = np.log10(total[full] / (total[full] + 1))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        log_seen = np.log10(kept / history[v]) + reserve[v]
-    pair_score = np.where(seen, log_seen, np.log10(p_word[w]) + log_alpha[v])
-
-    if len(hot):
-        at = np.searchsorted(words, hot)
-        here = (at < len(words)) & (words[np.minimum(at, len(words) - 1)] == hot)
-        table = np.zeros((3, len(hot)))
-        table[:, here] = np.stack((total, mass, covered))[:, at[here]]
-    else:
-        table = np.zeros((3, 0))
-    out.append((shard, -1 - shard, HOT, pack_arrays(numbers, table.ravel())))
+        words, grams, counts = unpack_arrays(blob)
+        count[to == owner] = words
+        gram_count[gram_to == owner] = grams
+        mine[gram_to == owner] = np.unpackbits(counts, count=len(grams)).astype(bool)
+    counts_here, at = {}, 0                     # n-grams whose history's sums this shard answers for
+    for k, places in own.asked(order):
+        own.levels[k].count[places] = gram_count[at:at + len(places)]
+        counts_here[k] = np.ones(len(own.levels[k].count), bool)
+        counts_here[k][places] = mine[at:at + len(places)]
+        at += len(places)
+
+    unigram = Unigram(int(stats.words[0]), int(stats.words[1]), stats.kinds[0])
+    base = unigram.base(count)
+    p = unigram.p(count)                        # of the n-grams one shorter, where seen
+    log_p = np.log10(p)                         # the same, seen or not, but for the weights of hot histories
+    word = np.arange(len(count))                # the last word of each n-gram
+    events = []                                 # for each length: hot history whose weight is still to be added, or -1
+    for k in range(2, width + 1):
+        level = own.levels[k]
+        down, word = level.down, word[level.down]
+        events = [e[down] for e in events]
+        if k > order:                           # a model of single words: the pairs only carry them
+            log_p = log_p[down]
+            continue
+        d = discounts(stats.kinds[k - 1])
+        seen, is_hot = level.count > 0, level.hot >= 0
+        sums = lambda x, at: np.bincount(level.history[at], x[at], level.histories).astype(np.float64)  # noqa: E731, B023
+        total = sums(level.count.astype(np.float64), seen)
+        fine = sums(np.ones(len(seen)), seen & (level.count <= CUTOFF))
+        total[is_hot], fine[is_hot] = stats.total[level.hot[is_hot]], stats.discounted[level.hot[is_hot]]
+        kept = d[np.minimum(level.count, CUTOFF + 1)] * level.count
+        own_share = seen & counts_here.get(k, True)
+        mass, covered = sums(kept, own_share), sums(p[down], own_share)
+        learned = np.flatnonzero((total > 0) & ~is_hot)
+        log_alpha = np.zeros(level.histories)
+        log_alpha[learned] = _log_weight(total[learned], fine[learned], mass[learned], covered[learned])
+        if is_hot.any():
+            out.append((shard, -1, HOT, pack_arrays(level.hot[is_hot], mass[is_hot], covered[is_hot])))
+        reserve = np.where(fine > 0, 1.0, total / (total + 1))
+        safe = np.maximum(total, 1)
+        p = kept / safe[level.history] * reserve[level.history]
+        with np.errstate(divide="ignore"):
+            log_p = np.where(seen, np.log10(p), log_p[down] + log_alpha[level.history])
+        events.append(np.where(seen, -1, level.hot[level.history]))
 
     parts = []
-    for (batch, _), part, pair in zip(sent, own.parts, own.of):
-        entry = pair[part.pair]  # of each entry, its distinct pair
+    for (batch, _), part, gram in zip(sent, own.parts, own.of):
+        entry = gram[part.gram]  # of each entry, its distinct n-gram
         n = len(part.learn)
-        text, word = part.text, w[entry]
+        text, last = part.text.astype(np.int64), word[entry]
         touched = np.flatnonzero(np.bincount(text, minlength=n))
-        add = lambda x: np.bincount(text, x, minlength=n)[touched]
-        hot_rows = np.flatnonzero(is_hot[v[entry]])
-        key, back = np.unique(text[hot_rows].astype(np.int64) * max(1, len(hot)) + np.searchsorted(hot, words[v[entry[hot_rows]]]),
-                              return_inverse=True)
-        miss = np.bincount(back, ~seen[entry[hot_rows]], minlength=len(key))
-        hit = np.bincount(back, seen[entry[hot_rows]], minlength=len(key))
-        parts.append((batch, (touched, add(count[word] > 0), add(base[word]), add(pair_score[entry]),
-                              key // max(1, len(hot)), key % max(1, len(hot)), miss, hit)))
+        add = lambda x: np.bincount(text, x, minlength=n)[touched]  # noqa: E731, B023
+        pending = [(text[at], e[entry[at]]) for e in events for at in [np.flatnonzero(e[entry] >= 0)]]
+        key = np.concatenate([t * len(hot) + h for t, h in pending] or [np.zeros(0, np.int64)])
+        key, misses = np.unique(key, return_counts=True)
+        parts.append((batch, (touched, add(count[last] > 0), add(base[last]), add(log_p[entry]),
+                              key // max(1, len(hot)), key % max(1, len(hot)), misses)))
     return out, parts
 
 
-def _hot_totals(done: DataFrame, hot: int):
-    """The learning tokens, and for each hot word its count, its discounted count and the unigram mass seen after it."""
-    def one(batches):
+def _log_weight(total, discounted, kept, covered) -> np.ndarray:
+    """log10 of what a history's discounts leave, over what the shorter history gives to the words not seen after it."""
+    left = np.where(discounted > 0, (total - kept) / np.maximum(total, 1), 1 / (total + 1))
+    return np.log10(np.maximum(left, 1e-300) / np.maximum(1 - covered, 1e-300))
+
+
+def _hot_alphas(done: DataFrame, hot: int) -> tuple[int, np.ndarray]:
+    """The learning tokens, and the log10 weight of each hot history, from sums added up by Spark.
+
+    History ``h`` has its discounted count and covered mass under ``h``, its count
+    and number of discounted n-grams under ``-2 - h``; the tokens are under -1.
+    """
+    def rows_of(batches):
         for batch in batches:
-            got = [unpack_arrays(b) for b in column_of(batch, "blob").to_pylist()]
-            if got:
-                total = sum(g[1] for g in got)
-                yield pa.RecordBatch.from_arrays([pa.array([int(got[0][0][0])]), pa.array([total.tolist()], pa.list_(pa.float64()))],
-                                                 ["learned", "sums"])
-
-    rows = done.filter(f"kind = {HOT}").select("blob").mapInArrow(one, "learned long, sums array<double>").collect()
-    if not rows:
-        return None
-    return rows[0]["learned"], np.sum([r["sums"] for r in rows], axis=0).reshape(3, hot).T
+            for blob in column_of(batch, "blob").to_pylist():
+                h, a, b = unpack_arrays(blob)
+                yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(a), pa.array(b)], ["h", "a", "b"])
+
+    rows = done.filter(f"kind = {HOT}").select("blob").mapInArrow(rows_of, "h long, a double, b double") \
+        .groupBy("h").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()  # at most two a hot history
+    sums = np.zeros((2, 2 * hot + 1))           # from the end: negative places
+    for h, a, b in rows:
+        sums[:, h] = a, b
+    (kept, total), (covered, discounted) = ((x[:hot], x[hot:-1][::-1]) for x in sums)
+    return int(sums[0, -1]), np.where(total > 0, _log_weight(total, discounted, kept, covered), 0.0)
