@@ -93,7 +93,8 @@ def test_hot_histories_change_nothing(spark, monkeypatch, order):
     want = {i: model.score(t) for i, t in rows}
     assert all(math.isclose(s, want[i], rel_tol=1e-9) for i, s in plain().items())
     found = {}
-    for k, codes in enumerate(katz.histories(katz.contexts([katz.word_hashes(t.encode()) for _, t in rows], max(order, 2))[1:]), 1):
+    _, *before = katz.contexts(*katz.hashes_of([t.encode() for _, t in rows]), max(order, 2), katz.BEGIN)
+    for k, codes in enumerate(katz.histories(before), 1):
         found.update({c: k for c in codes[codes % np.uint64(2) == 0].tolist() + [int(katz.BEGIN)] * (k == 1)})
     monkeypatch.setattr(katz, "hot_histories", lambda docs, shards, width: katz.Hot(list(found), list(found.values())))
     monkeypatch.setattr(katz, "GROUP_BYTES", 1000)

@@ -56,7 +56,7 @@ END = np.uint64(0x13198A2E03707344)
 CUTOFF = 5  # counts above it are not discounted
 ORDER = 3  # words of the longest n-grams
 HOT_SAMPLE = 400
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 12 << 20
 GROUP = 2  # shards of one group, which are worked on one after the other
 GROUP_BYTES = 256 << 20  # of text a group at most, on average
 ASK, STATS, META, SUMS, HOT = range(5)
@@ -69,19 +69,22 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return np.fromiter((*(digest(w, SEED) for w in words), int(END)), np.uint64, len(words) + 1)
 
 
+def hashes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of all texts, one after the other, and how many each has."""
+    tokens = [word_hashes(t) for t in texts]
+    return np.concatenate(tokens or [np.zeros(0, np.uint64)]), np.array([len(t) for t in tokens], np.int64)
+
+
 def pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     x = (v ^ (v >> np.uint64(31))) * MIX + w
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
 
 
-def contexts(tokens: list[np.ndarray], width: int) -> list[np.ndarray]:
-    """The tokens of all texts, then the token one, two, ... ``width - 1`` places before each; BEGIN before a text."""
-    w = np.concatenate(tokens or [np.zeros(0, np.uint64)])
-    lengths = np.array([len(t) for t in tokens], np.int64)
-    place = np.arange(len(w)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    back = lambda k: np.where(place >= k, np.roll(w, k), BEGIN)
-    return [w, *(back(k) for k in range(1, width))]
+def contexts(tokens: np.ndarray, lengths: np.ndarray, width: int, begin) -> list[np.ndarray]:
+    """The tokens of all texts, then the token one, two, ... ``width - 1`` places before each; ``begin`` before a text."""
+    place = np.arange(len(tokens), dtype=np.int32) - np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
+    return [tokens, *(np.where(place >= k, np.roll(tokens, k), tokens.dtype.type(begin)) for k in range(1, width))]
 
 
 def histories(before: list[np.ndarray]) -> list[np.ndarray]:
@@ -115,7 +118,8 @@ def hot_histories(docs: DataFrame, shards: int, width: int) -> Hot:
     """Histories that hold over a quarter of a shard's share in a hash sample; they only steer where n-grams go."""
     def counted(batches):
         for batch in batches:
-            _, *before = contexts([word_hashes(b) for b in as_bytes(column_of(batch, "text"))], width)
+            tokens, lengths = hashes_of(as_bytes(column_of(batch, "text")))
+            _, *before = contexts(tokens, lengths, width, BEGIN)
             for k, codes in enumerate(histories(before), 1):
                 code, n = np.unique(codes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), k)), pa.array(code.view(np.int64)), pa.array(n)],
@@ -146,22 +150,22 @@ def ngrams(docs: DataFrame, shards: int, width: int, hot: Hot) -> DataFrame:
 
 def _messages(batch: pa.RecordBatch, name: int, shards: int, width: int, hot: Hot):
     """One batch's n-grams for each shard, and the list of its texts."""
-    tokens = [word_hashes(b) for b in as_bytes(column_of(batch, "text"))]
-    lengths = np.array([len(t) for t in tokens], np.int64)
-    grams = contexts(tokens, width)
+    tokens, lengths = hashes_of(as_bytes(column_of(batch, "text")))
+    vocabulary, tokens = np.unique(tokens, return_inverse=True)
+    grams = contexts(tokens.astype(np.int32), lengths, width, len(vocabulary))
+    vocabulary = np.append(vocabulary, BEGIN)
     del tokens
-    codes = histories(grams[1:])
+    codes = histories([vocabulary[g] for g in grams[1:]])
     to, hot_so_far = codes[0].copy(), np.ones(len(codes[0]), bool)
     for code, longer in zip(codes, [*codes[1:], None] if len(hot) else []):
         hot_so_far &= hot.find(code) >= 0
-        to[hot_so_far] = pair_hash(code[hot_so_far], grams[0][hot_so_far]) if longer is None else longer[hot_so_far]
-    shard = (to % np.uint64(shards)).astype(np.uint32)
+        to[hot_so_far] = pair_hash(code[hot_so_far], vocabulary[grams[0][hot_so_far]]) if longer is None else longer[hot_so_far]
+    shard = (to % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.uint32)
     del codes, to, hot_so_far
-    order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
+    order = np.argsort(shard, kind="stable").astype(np.int32)
     edge = np.concatenate(([0], np.cumsum(np.bincount(shard, minlength=shards)))).tolist()
     text = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)[order]
-    vocabulary = np.unique(np.append(grams[0], BEGIN))
-    grams = [np.searchsorted(vocabulary, g).astype(np.int32)[order] for g in grams]
+    grams = [g[order] for g in grams]
     learn = ~column_of(batch, "held_out").to_numpy(zero_copy_only=False)
     flags = np.packbits(learn)
     for s, (lo, hi) in enumerate(zip(edge, edge[1:])):
@@ -196,7 +200,7 @@ def _pack(vocabulary: np.ndarray, grams: list, text: np.ndarray, flags: np.ndarr
         new = np.append(True, np.any([g[order][1:] != g[order][:-1] for g in (v, w, *older)], axis=0))
     first = np.flatnonzero(new)
     at = order[first]
-    return pack_arrays(words, smallest(np.bincount(v[at], minlength=len(words))), smallest(np.diff(np.append(first, len(order)))),
+    return pack_arrays(np.diff(words, prepend=np.uint64(0)), smallest(np.bincount(v[at], minlength=len(words))), smallest(np.diff(np.append(first, len(order)))),
                        smallest(text[order]), flags, *(smallest(g[at]) for g in (w, *older)))
 
 
@@ -204,7 +208,8 @@ class Part:
     """One unpacked value of n-grams."""
 
     def __init__(self, blob: bytes):
-        self.words, per_v, n, self.text, flags, w, *older = unpack_arrays(blob)
+        gaps, per_v, n, self.text, flags, w, *older = unpack_arrays(blob)
+        self.words = np.cumsum(gaps, dtype=np.uint64)
         self.before = [np.repeat(np.arange(len(self.words), dtype=np.int32), per_v), *older]
         self.w = w
         self.learn = np.unpackbits(flags).astype(bool)
