@@ -4,11 +4,12 @@ import json
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from wxmesh import schemas
-from wxmesh.operators.repair import clean_ring, repair, repair_areas, signed_area
+from wxmesh.operators.repair import clean_ring, few_meetings, few_winding, meetings, repair, repair_areas, signed_area, winding
 from wxmesh.plans import pipeline
 from wxmesh.sources import landed
 
@@ -129,3 +130,28 @@ def test_sound_areas_stay_as_they_are(spark):
     got = {r["plz"]: r for r in repair_areas(spark.createDataFrame(rows, schema)).collect()}
     assert [[[(p["x"], p["y"]) for p in ring] for ring in part] for part in got["1"]["geometry"]] == shape
     assert got["2"]["geometry"] is None and not got["3"]["geometry"] and not got["4"]["geometry"] and got["1"]["x"] == "k"
+
+
+def test_areas_of_one_file_are_repaired_by_all_tasks(spark):
+    box = "array(array(array(named_struct('x', id + 0D, 'y', 0D), named_struct('x', id + 2D, 'y', 2D), named_struct('x', id + 2D, 'y', 0D), " \
+          "named_struct('x', id + 0D, 'y', 2D), named_struct('x', id + 0D, 'y', 0D))))"
+    areas = spark.range(400).selectExpr("id", f"IF(id % 4 = 0, NULL, {box}) AS geometry").coalesce(1)
+    mended = repair_areas(areas).withColumn("task", F.spark_partition_id())
+    rows = mended.collect()
+    assert sorted(r["id"] for r in rows) == list(range(400))
+    assert all((r["geometry"] is None) == (r["id"] % 4 == 0) for r in rows)
+    sizes = [r["count"] for r in mended.groupBy("task").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 100
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_few_edges_are_cut_and_wound_as_many_are(seed):
+    rng = random.Random(seed)
+    at = (lambda: rng.random()) if seed % 2 else (lambda: float(rng.randrange(4)))
+    ends = [(at(), at()) for _ in range(24)]
+    edges = [(p, q) for p, q in zip(ends, ends[1:]) if p != q]
+    a, b = (np.array([e[k] for e in edges]) for k in (0, 1))
+    assert few_meetings(edges, 11) == meetings(a, b, 11)
+    points = [(rng.random() * 4, rng.random() * 4) for _ in range(30)] + ends
+    times = [rng.choice((-1, 1, 2)) for _ in edges]
+    assert few_winding(points, edges, times) == winding(np.array(points), a, b, np.array(times)).tolist()
