@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wxmesh import schemas
+from wxmesh.operators import ingest as I
 from wxmesh.session import materialise, release_scratch, scratch, scratch_path
+from wxmesh.sources import landed
 from wxmesh.streaming import incremental as S
 
 NOW = dt.datetime(2024, 1, 25, 12)
@@ -201,3 +203,22 @@ def test_a_replay_is_counted_as_what_it_loads(spark, stations, folders):
     second = S.run_available_now(spark, landing, table, ckpt, stations, NOW)
     assert counts(second) == {"S1": 1} and counts(first + second) == {"S1": 3, "S2": 1}
     assert S.run_available_now(spark, landing, table, ckpt, stations, NOW) == [] and counts([]) == {}
+
+
+def test_landed_weather_is_parsed_once(spark, tmp_dir):
+    """A condition on a document, a join on its station or the step for rejects must not parse its text again."""
+    lines = ['{"station_id":"A","weather":[{"timestamp":"2024-01-01T00:00:00Z","temperature":"1.5"},null,{"timestamp":"x"}]}',
+             '{"station_id":"A","weather":[]}', '{"station_id":"A","weather":null}', '{"station_id":"A"}', '{"weather":[{}]}', '{"station_id":"A', "7"]
+    with open(f"{tmp_dir}/a.json", "w") as f:
+        f.write("\n".join(lines))
+    judged = landed.judged_weather(landed.lines(spark, tmp_dir))
+    stations = spark.createDataFrame([("A", "W")], "id string, wmo_station_id string")
+    rows = I.attach_station(landed.weather_rows(judged), stations).filter("timestamp <= timestamp_ntz'2025-01-01 00:00:00'")
+    both = landed.weather_verdicts(judged).filter("_reason IS NOT NULL OR timestamp <= timestamp_ntz'2025-01-01 00:00:00'")
+    for df in (rows, both):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [(r["station_id"], r["wmo_station_id"], r["temperature"]) for r in rows.collect()] == [("A", "W", 1.5)]
+    got = [(r["_reason"], r["_shown"], r["temperature"]) for r in both.collect()]
+    assert sorted(got, key=str) == sorted([
+        (None, None, 1.5), ("empty entry", lines[0], None), ("bad timestamp", '{"timestamp":"x"}', None), ("no station id", "{}", None),
+        ("malformed document", lines[5], None), ("malformed document", lines[6], None)], key=str)
