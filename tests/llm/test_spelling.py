@@ -82,6 +82,16 @@ def test_very_long_words(spark):
     assert got["a" * 15_000][:2] == ("a" * 15_001,) * 2 and got[long + "x"][1] == long
 
 
+def test_no_join_is_broadcast(spark):
+    """Grams and forms look small to Spark, cut from few words or read from compressed files; the driver must hold none."""
+    words = spelling.numbered(spark.createDataFrame([("kitten", 50), ("kittens", 9), ("mitten", 5)], "word string, n long"))
+    frames = [spelling.lists(words, 3, 100), spelling.near_pairs(words), spelling.group(words.select("word", "n"))]
+    for frame in frames:
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_awkward_and_empty(spark):
     docs = awkward(spark)
     assert collected(spelling.group(spelling.vocabulary(docs, min_count=1))) is not None

@@ -82,6 +82,15 @@ def vocabulary(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = M
         .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
 
 
+def shuffled(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join by shuffling and sorting both sides, whatever Spark takes their sizes for.
+
+    Spark takes grams for as many as the words that they are cut from, and a table for the size of its compressed
+    files: either way it would broadcast what is a hundred times larger in the driver's memory.
+    """
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def longest(length: int) -> int:
     """Code points of a gram at most, where the longer word has ``length``."""
     return min(LONGEST, length // 2)
@@ -180,9 +189,9 @@ def rarest(word: str, n_of: dict[tuple[int, int], int], shortest: int, top: int,
 
 def lists(words: DataFrame, shortest: int, frequent: int) -> DataFrame:
     """List entries: a word under the length of the longer word of a pair, a gram and its place there."""
-    places = grams_of(words, shortest).join(dictionary(words, shortest), "gram") \
+    places = shuffled(grams_of(words, shortest), dictionary(words, shortest), "gram") \
         .select("id", F.struct("place", F.char_length("gram").alias("size"), F.col("n").alias("n")).alias("_gram"))
-    known = places.groupBy("id").agg(F.collect_list("_gram").alias("grams")).join(words, "id")
+    known = shuffled(places.groupBy("id").agg(F.collect_list("_gram").alias("grams")), words, "id")
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2048):
@@ -215,7 +224,7 @@ def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH, frequent: int = F
     one = listed.select("length", "gram", "place", F.col("word").alias("a"), F.col("n").alias("n_a"), "shorter")
     two = listed.filter("not shorter").select(F.col("length").alias("length_b"), F.col("gram").alias("gram_b"),
                                               F.col("place").alias("place_b"), F.col("word").alias("b"), F.col("n").alias("n_b"))
-    met = one.join(two, (F.col("length") == F.col("length_b")) & (F.col("gram") == F.col("gram_b"))
+    met = shuffled(one, two, (F.col("length") == F.col("length_b")) & (F.col("gram") == F.col("gram_b"))
                    & (F.col("place") == F.col("place_b")) & (F.col("shorter") | (F.col("a") < F.col("b")))
                    & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "n_a", "b", "n_b").distinct()
@@ -231,16 +240,16 @@ def group(words: DataFrame, min_length: int = MIN_LENGTH, times: int = TIMES, fr
         .alias("_side")).select("_side.*")
     best = sides.groupBy("word").agg(F.min("other").alias("_best"), F.count("*").alias("n_near"))
     is_form = -F.col("_best.less") >= times * F.col("n")
-    told = materialise(words.join(best, "word", "left").select(
+    told = materialise(shuffled(words, best, "word", "left").select(
         "word", F.when(is_form, F.col("_best.near")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(is_form, -F.col("_best.less")).alias("form_n")), "forms")
     up = told.filter("form is not null").select("word", F.col("form").alias("root"))
     while True:  # each round doubles the steps; counts grow ``times``-fold a step, so few rounds are needed
         beyond = up.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        up = materialise(up.join(beyond, "root", "left").select(
+        up = materialise(shuffled(up, beyond, "root", "left").select(
             "word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")), "roots")
         if up.filter("moved").isEmpty():
             break
         up = up.select("word", "root")
-    return told.join(up.select("word", "root"), "word", "left") \
+    return shuffled(told, up.select("word", "root"), "word", "left") \
         .select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
