@@ -8,6 +8,7 @@ import corpus_pipeline as pipeline
 from llm_helpers import awkward, documents
 from test_simhash import brute_components, brute_fingerprint
 from test_suffix_dedup import brute as brute_suffix
+from test_suffix_dedup import edited
 from wxmesh.llm import decontaminate
 from wxmesh.llm.decontaminate import Item, Part, Statistics
 
@@ -91,3 +92,13 @@ def test_registered(spark):
     assert [name for name, _ in pipeline.STAGES] == ["language_id", "simhash", "suffix_dedup", "decontamination", "packing"]
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
+
+
+def test_repeated_passages_of_edited_copies(spark):
+    """The third stage on copies that the second leaves, with words changed and ends cut; and nothing of a plain copy."""
+    rows = edited(21, 60)
+    docs = documents(spark, [*rows, (10**6, rows[0][1])], extra=True).repartition(5, "doc_id")
+    got = {r["doc_id"]: r for r in pipeline.without_repeated_passages(spark, docs, "").collect()}
+    want = {k: v[3].decode() for k, v in brute_suffix([*rows, (10**6, rows[0][1])]).items() if not v[1] or v[3].strip()}
+    assert {k: r["text"] for k, r in got.items()} == want and 10**6 not in want
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
